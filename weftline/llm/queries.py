@@ -5,8 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import ledger, pieces, simhash
-from weftline.llm.common import table
+from weftline.llm import decontam, ledger, linespread, pieces, quality, simhash
+from weftline.llm.common import remainder, table
+
+
+def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 5) == 0).alias("held_out"), "score", "predicted")
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every (document, test item) pair where the document holds the item, with score and overlaps."""
+    found = decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    shown = [F.round(c, 4).alias(c) for c in ("score", "question_overlap", "answer_overlap")]
+    return found.select("doc_id", "item_id", *shown)
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +33,13 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(docs, model).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that stand on several sites; its text is given by length and digest."""
+    cleaned = linespread.remove_boilerplate(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    text = F.coalesce("text", F.lit(""))
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.md5(text.cast("binary")).alias("text_md5"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links of 3 bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
@@ -34,6 +56,28 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op3_sentencepiece, op8_simhash, op10_rule_ledger)}
+QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op8_simhash, op10_rule_ledger)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_spread": r"""
+WITH lines AS (
+  SELECT doc_id, source, text, coalesce(string_split(text, chr(10)), []::VARCHAR[]) AS l FROM documents
+), rows AS (
+  SELECT doc_id, coalesce(source, '') AS source, lower(trim(regexp_replace(unnest(l), '\s+', ' ', 'g'))) AS k FROM lines
+), common AS (
+  SELECT k, min(doc_id) AS first FROM rows WHERE k <> '' GROUP BY k HAVING count(DISTINCT source) >= 3
+), drops AS (
+  SELECT r.doc_id, list(DISTINCT r.k) AS d FROM rows r JOIN common c ON r.k = c.k AND r.doc_id <> c.first GROUP BY r.doc_id
+), cut AS (
+  SELECT x.doc_id, x.l, list_transform(x.l, lambda y: lower(trim(regexp_replace(y, '\s+', ' ', 'g')))) AS n,
+         coalesce(d.d, []::VARCHAR[]) AS d
+  FROM lines x LEFT JOIN drops d ON x.doc_id = d.doc_id
+), kept AS (
+  SELECT doc_id, len(list_filter(n, lambda y: y <> '')) AS n_lines, len(list_filter(n, lambda y: list_contains(d, y))) AS n_removed,
+         coalesce(array_to_string(list_filter(l, lambda y: NOT list_contains(d, lower(trim(regexp_replace(y, '\s+', ' ', 'g'))))), chr(10)), '') AS t
+  FROM cut
+)
+SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed,
+       CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5
+FROM kept""",
+}
