@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import decontam, ledger, linespread, pieces, quality, simhash
-from weftline.llm.common import remainder, table
+from weftline.llm import decontam, deobfuscate, ledger, licenses, linespread, pieces, quality, simhash, urls
+from weftline.llm.common import Written, remainder, table
 
 
 def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,12 +40,34 @@ def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_removed", F.length(text).cast("long").alias("n_chars"), F.md5(text.cast("binary")).alias("text_md5"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    found = licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", *(name for name, _ in licenses.FIELDS))
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page's URL: list rules, then boosted trees learnt from seed-labelled URLs."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = urls.train(urls.seed_labels(pages))
+    return urls.judge(pages, model).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document: 3-word shingles, links of 3 bits or fewer."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document after restoring disguised words."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = deobfuscate.fit_language_model(Written(deobfuscate.word_counts(docs)).df)
+    lexicon = deobfuscate.train(docs, table(spark, sf_dir, "labels"), model)
+    scored = deobfuscate.score(docs, model, lexicon)
+    return scored.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule measurements of every document, the base rules' verdict and the full policy's."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,7 +78,13 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op8_simhash, op10_rule_ledger)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op5_license_scan,
+        op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {
     "op4_line_spread": r"""
