@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import decontam, deobfuscate, ledger, licenses, linespread, pieces, quality, simhash, urls
+from weftline.llm import decontam, deobfuscate, ledger, licenses, linespread, pieces, quality, simhash, urls, wrapper
 from weftline.llm.common import Written, remainder, table
 
 
@@ -46,6 +46,11 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(name for name, _ in licenses.FIELDS))
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by its host's wrapper."""
+    return wrapper.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's URL: list rules, then boosted trees learnt from seed-labelled URLs."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -78,11 +83,18 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus pipeline's result."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op5_license_scan,
-        op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger,
+        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, pipeline,
     )
 }
 
