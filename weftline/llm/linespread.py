@@ -105,14 +105,12 @@ def remove_boilerplate(
 
     lines = F.split(F.col(text_col), "\n")
     hit = F.col("__drop").isNotNull()
-
-    def goes(line: Column) -> Column:
-        return F.array_contains("__drop", line_key(normalised(line))) & (normalised(line) != "")
-
-    text = F.when(hit, F.array_join(F.filter(lines, lambda x: ~goes(x)), "\n")).otherwise(F.col(text_col))
+    goes = lambda x: F.array_contains("__drop", line_key(normalised(x))) & x.rlike(r"\S")
+    joined = joined.withColumn("__lines", lines).withColumn("__left", F.when(hit, F.filter("__lines", lambda x: ~goes(x))))
+    text = F.when(hit, F.array_join("__left", "\n")).otherwise(F.col(text_col))
     counted = {
-        "n_lines": F.coalesce(F.size(F.filter(lines, lambda x: normalised(x) != "")), F.lit(0)),
-        "n_removed": F.when(hit, F.size(F.filter(lines, goes))).otherwise(F.lit(0)),
+        "n_lines": F.coalesce(F.size(F.filter("__lines", lambda x: x.rlike(r"\S"))), F.lit(0)),
+        "n_removed": F.when(hit, F.size("__lines") - F.size("__left")).otherwise(F.lit(0)),
     }
     named = [c for c in docs.columns if c not in counted]
     return joined.select(
