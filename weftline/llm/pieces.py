@@ -13,7 +13,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -23,13 +25,15 @@ from weftline.llm.common import texts, with_columns
 MARK = "▁"
 #: Longer chunks are segmented where they stand and not kept, so that a table entry is small.
 KEPT_CHARS = 64
-#: Entries after which a task starts its table anew; results don't depend on it.
+#: Entries after which a worker starts its table anew; results don't depend on it.
 TABLE_ENTRIES = 600_000
+#: Characters of the texts whose chunks are held at once.
+HELD_CHARS = 500_000
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 
 
 class ChunkTable:
-    """Distinct marked words of a task with their ids and decoded text."""
+    """Distinct marked words of a worker with their ids, and what they decode to where that isn't themselves."""
 
     def __init__(self, model_path: str):
         import sentencepiece
@@ -40,33 +44,41 @@ class ChunkTable:
             raise ValueError("a piece of this vocabulary crosses a whitespace marker; chunks can't be segmented alone")
         self.anchor = self.model.encode("a")  # something before a chunk, so that its leading space is decoded too
         self.anchor_text = self.model.decode(self.anchor)
-        self.table: dict[str, tuple[str, int, str]] = {}
+        self.ids: dict[str, str] = {}
+        self.odd: dict[str, str] = {}
 
-    def segment(self, chunks: list[str]) -> list[tuple[str, int, str]]:
-        """For each chunk: ids as text, how many, and the decoded chunk with its leading spaces."""
+    def segment(self, chunks: list[str]) -> tuple[dict[str, str], dict[str, str]]:
+        """Ids as text by chunk, and the decoded chunk where it differs from the chunk with its marks as spaces."""
         skip, text = len(self.anchor), len(self.anchor_text)
-        encoded = self.model.encode([f"a{c.replace(MARK, ' ')}" for c in chunks], num_threads=1)
+        plain = [c.replace(MARK, " ") for c in chunks]
+        encoded = self.model.encode([f"a{p}" for p in plain], num_threads=1)
         decoded = self.model.decode(encoded, num_threads=1)
-        return [(str(ids[skip:])[1:-1].replace(" ", ""), len(ids) - skip, d[text:]) for ids, d in zip(encoded, decoded, strict=True)]
+        ids = {c: str(e[skip:])[1:-1].replace(" ", "") for c, e in zip(chunks, encoded, strict=True)}
+        return ids, {c: d[text:] for c, p, d in zip(chunks, plain, decoded, strict=True) if d[text:] != p}
 
     def learn(self, chunks: set[str]) -> None:
         """Segment those of the chunks that the table lacks."""
-        new = [c for c in chunks if c not in self.table]
-        if len(self.table) + len(new) > TABLE_ENTRIES:
-            self.table.clear()
+        new = [c for c in chunks if c not in self.ids]
+        if len(self.ids) + len(new) > TABLE_ENTRIES:
+            self.ids, self.odd = {}, {}
             new = list(chunks)
-        for at in range(0, len(new), 20_000):
-            part = new[at : at + 20_000]
-            self.table.update(zip(part, self.segment(part), strict=True))
-
-    def look_up(self, chunks: list[str]) -> list[tuple[str, int, str]]:
-        """Entries of a text's chunks in order; chunks too long for the table are segmented here."""
-        found = list(map(self.table.get, chunks))
-        if None in found:
-            missing = [i for i, f in enumerate(found) if f is None]
-            for i, entry in zip(missing, self.segment([chunks[i] for i in missing]), strict=True):
-                found[i] = entry
-        return found
+        if new:
+            ids, odd = self.segment(new)
+            self.ids.update(ids)
+            self.odd.update(odd)
+
+    def code(self, chunks: list[str]) -> tuple[str, str]:
+        """A text's ids joined by commas and its decoded text, from its chunks by position."""
+        found, odd = list(map(self.ids.get, chunks)), self.odd
+        if None in found:  # chunks too long for the table
+            ids, long_odd = self.segment([c for c, f in zip(chunks, found, strict=True) if f is None])
+            found = [ids[c] if f is None else f for c, f in zip(chunks, found, strict=True)]
+            odd = odd | long_odd
+        if odd.keys().isdisjoint(chunks):
+            decoded = "".join(chunks).replace(MARK, " ")
+        else:
+            decoded = "".join([odd[c] if c in odd else c.replace(MARK, " ") for c in chunks])
+        return ",".join(found), decoded[1:]  # without the space that encoding puts before a text
 
 
 #: One table for each model and Python worker: tasks that follow in a worker find what earlier ones segmented.
@@ -79,11 +91,27 @@ def chunk_table(model_path: str) -> ChunkTable:
     return _TABLES[model_path]
 
 
+def portions(items: list[str], most: int = HELD_CHARS) -> Iterator[list[str]]:
+    """Texts in order, in lists of at most ``most`` characters or one text."""
+    part, size = [], 0
+    for item in items:
+        if part and size + len(item) > most:
+            yield part
+            part, size = [], 0
+        part.append(item)
+        size += len(item)
+    if part:
+        yield part
+
+
 def marked(text: str) -> list[str]:
     """A text's marked words: spaces as marks, one mark before the text, cut before each run of marks."""
     return _CHUNKS.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+_NO_IDS = np.empty(0, np.int32)
+
+
 def encode_decode(
     docs: DataFrame, model_path: str, text_col: str = "text", with_ids: bool = False, with_text: bool = False
 ) -> DataFrame:
@@ -99,16 +127,15 @@ def encode_decode(
 
     def rows(batch: pa.RecordBatch, table: ChunkTable):
         out: list[list] = [[] for _ in fields]
-        cut = list(map(marked, texts(batch, text_col)))
-        table.learn({c for chunks in cut for c in chunks if len(c) <= KEPT_CHARS})
-        for chunks in cut:
-            got = table.look_up(chunks)
-            ids = ",".join([g[0] for g in got])
-            decoded = "".join([g[2] for g in got])[1:]  # the space that encoding put before the text
-            values = [sum([g[1] for g in got]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
-            values += [[int(i) for i in ids.split(",")] if ids else []] * with_ids + [decoded] * with_text
-            for column, value in zip(out, values, strict=True):
-                column.append(value)
+        for part in portions(texts(batch, text_col)):
+            cut = list(map(marked, part))
+            table.learn({c for chunks in cut for c in chunks if len(c) <= KEPT_CHARS})
+            for chunks in cut:
+                ids, decoded = table.code(chunks)
+                values = [ids.count(",") + bool(ids), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()]
+                values += [np.fromstring(ids, np.int32, sep=",") if ids else _NO_IDS] * with_ids + [decoded] * with_text
+                for column, value in zip(out, values, strict=True):
+                    column.append(value)
         kinds = [pa.int64(), pa.string(), pa.string()] + [pa.list_(pa.int32())] * with_ids + [pa.string()] * with_text
         return [pa.array(c, k) for c, k in zip(out, kinds, strict=True)]
 
