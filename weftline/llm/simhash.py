@@ -12,6 +12,11 @@ differs in at most one bit. A half is a 23-bit word and 9 bits more:
 Fingerprints are first made distinct, so exact copies cost one row. Rows that
 share a key are compared in full; only a spanning forest of the links inside a
 key is passed on, and connected components follow.
+
+Texts that share four fifths of their shingles differ in far more than 3 of 64
+bits. For those, ``similar_documents`` takes wide fingerprints cut into many
+such halves: two texts are candidates if any half agrees up to what its keys
+tolerate, and a candidate pair is verified on the shingles themselves.
 """
 
 from __future__ import annotations
@@ -52,14 +57,20 @@ def fingerprint(text: bytes, size: int = 3) -> int:
     if not words:
         return 0
     parts = [words[i:] for i in range(size)] if len(words) >= size else [[b" ".join(words)]]
-    bits = np.zeros(64, np.int64)
-    n, step = len(parts[-1]), 1 << 16
+    total, n, step = np.zeros(64, np.int64), len(parts[-1]), 1 << 16
     digest, glue = xxhash.xxh64_intdigest, b" ".join
     for at in range(0, n, step):
         hashes = [digest(glue(s), 42) for s in zip(*(p[at : at + step] for p in parts))]  # noqa: B905  cut to the shortest
-        wide = np.unpackbits(np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        bits += wide.sum(0, dtype=np.int64)
-    return int(np.packbits(bits * 2 > n, bitorder="little").view(np.uint64)[0])
+        total += bit_counts(np.array(hashes, np.uint64)[:, None])
+    return int(np.packbits(total * 2 > n, bitorder="little").view(np.uint64)[0])
+
+
+def bit_counts(hashes: np.ndarray) -> np.ndarray:
+    """How often each bit is set in rows of 64-bit words; rows are summed 255 at a time in bytes, then the sums."""
+    rows = np.unpackbits(np.ascontiguousarray(hashes).view(np.uint8), axis=1, bitorder="little")
+    whole = len(rows) // 255 * 255
+    blocks = rows[:whole].reshape(-1, 255, rows.shape[1]).sum(1, dtype=np.uint8).sum(0, dtype=np.int64)
+    return blocks + rows[whole:].sum(0, dtype=np.uint8)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -123,12 +134,11 @@ def golay_near(words: np.ndarray) -> np.ndarray:
 
 
 def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys of fingerprints (int64), and for each key the position of its fingerprint."""
+    """Keys of fingerprints, one word each or (n, words), and for each key the position of its fingerprint."""
     at, out = [], []
     every = np.arange(len(fps))
-    unsigned = fps.view(np.uint64)
-    for half, value in enumerate((unsigned & np.uint64(0xFFFFFFFF), unsigned >> np.uint64(32))):
-        value = value.astype(np.int64)
+    halves = np.ascontiguousarray(fps.reshape(len(fps), -1)).view(np.uint32).astype(np.int64)
+    for half, value in enumerate(halves.T):
         word, rest = value & 0x7FFFFF, value >> 23
         near = golay_near(word)
         new = np.ones(near.shape, bool)
@@ -305,6 +315,18 @@ def link_components(nodes: DataFrame, radius: int = RADIUS, key_cap: int = KEY_C
     return found
 
 
+def label_rows(prints: DataFrame, groups: DataFrame, found: DataFrame, by: list[str]) -> DataFrame:
+    """(id, by..., component_id) for rows (id, by...), from groups (by..., node, n) and components (node, component)."""
+    named = groups.join(found, "node", "left").select(*by, "n", F.coalesce("component", "node").alias("component_id"))
+    named = Written(named)
+    total = named.df.agg(F.sum("n")).first()[0] or 0
+    # Groups of a thousandth of all rows or more: a thousand at most, so they can be broadcast; the rest has no hot key.
+    often = max(total // 1000, 1000)
+    hot = F.broadcast(named.df.where(F.col("n") >= often).select(*by, "component_id"))
+    rest = named.df.where(F.col("n") < often).select(*by, "component_id")
+    return prints.join(hot, by).unionByName(prints.join(hot, by, "left_anti").join(rest, by))
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3, radius: int = RADIUS, key_cap: int = KEY_CAP
 ) -> DataFrame:
@@ -318,25 +340,197 @@ def near_duplicates(
     prints = Written(fingerprints(docs, id_col, text_col, size).withColumnRenamed(id_col, "id"))
     groups = Written(prints.df.groupBy("fp").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n")))
     found = Written(link_components(groups.df.where("node is not null"), radius, key_cap))
-    named = groups.df.join(found.df, "node", "left").select("fp", "n", F.coalesce("component", "node").alias("component_id"))
-    named = Written(named)
-    total = named.df.agg(F.sum("n")).first()[0] or 0
-    # Groups of a thousandth of all rows or more: a thousand at most, so they can be broadcast; the rest has no hot key.
-    often = max(total // 1000, 1000)
-    hot = F.broadcast(named.df.where(F.col("n") >= often).select("fp", "component_id"))
-    rest = named.df.where(F.col("n") < often).select("fp", "component_id")
-    of_hot = prints.df.join(hot, "fp")
-    of_rest = prints.df.join(hot, "fp", "left_anti").join(rest, "fp")
-    return of_hot.unionByName(of_rest).select(F.col("id").alias(id_col), "fp", "component_id")
+    labelled = label_rows(prints.df, groups.df, found.df, ["fp"])
+    return labelled.select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+# -- similar documents ----------------------------------------------------------------------------
+
+#: 64-bit words of a wide fingerprint (two halves each), and odd multipliers that make them from one hash (from a rule).
+WIDE_WORDS = 12
+MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 for i in range(1, WIDE_WORDS + 1)], np.uint64)
+#: Bits of the first word in which a candidate pair may differ: at similarity 0.8 about 10 do, with a deviation of 3.
+CANDIDATE_BITS = 18
+#: In keys of more than SMALL_GROUP rows, rows this close to one another stand for each other.
+SAME_BITS, SMALL_GROUP = 6, 32
+
+
+def shingle_hashes(text: bytes, size: int) -> tuple[np.ndarray, bytes]:
+    """Distinct hashes of a text's shingles, and the words they were made from; few words are one shingle, none give none."""
+    words = text.lower().split()
+    parts = [words[i:] for i in range(size)] if len(words) >= size else [[b" ".join(words)]] if words else [[]]
+    digest, glue = xxhash.xxh64_intdigest, b" ".join
+    return np.unique(np.array([digest(glue(s), 42) for s in zip(*parts)], np.uint64)), b" ".join(words)  # noqa: B905
+
+
+def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
+    """SimHash of WIDE_WORDS words over distinct hashes."""
+    total, step = np.zeros(64 * WIDE_WORDS, np.int64), 1 << 14
+    for at in range(0, len(hashes), step):
+        mixed = hashes[at : at + step, None] * MULTIPLIERS
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        total += bit_counts(mixed ^ (mixed >> np.uint64(32)))
+    return np.packbits(total * 2 > len(hashes), bitorder="little").view(np.uint64)
+
+
+def pairs_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """From rows (key, node, fp, n) sorted by key: candidate pairs (a, b) with a < b, once a batch.
+
+    Small keys give all pairs that the sizes and the first fingerprint word
+    allow. In a larger key rows meet pivots: the key's first rows, and then each
+    that isn't within SAME_BITS of a pivot. Pivots live until the key ends, so a
+    key of any size is worked through batch by batch.
+    """
+
+    def near(fp, n, other_fp, other_n):
+        close = np.bitwise_count(fp ^ other_fp)
+        return (close <= CANDIDATE_BITS) & (np.minimum(n, other_n) >= similarity * np.maximum(n, other_n)), close
+
+    def emit(a, b):
+        a, b = np.concatenate(a), np.concatenate(b)
+        both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
+        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+
+    held = [np.empty(0, np.int64) for _ in range(4)]
+    pivots: list[tuple] = []  # of the key that the held rows begin with, if it has outgrown a batch
+
+    def through(node, fp, n, out_a, out_b, more: bool):
+        """Rows of one large key against its pivots."""
+        rest = np.ones(len(node), bool)
+        known = 0
+        while known < len(pivots) or rest.any():
+            if known == len(pivots):
+                at = int(rest.argmax())
+                pivots.append((node[at], fp[at], n[at]))
+                rest[at] = False
+            p_node, p_fp, p_n = pivots[known]
+            ok, close = near(fp, n, p_fp, p_n)
+            ok &= node != p_node
+            out_a.append(node[ok])
+            out_b.append(np.full(int(ok.sum()), p_node))
+            rest &= ~(ok & (close <= SAME_BITS))
+            known += 1
+        if not more:
+            pivots.clear()
+
+    def solve(key, node, fp, n, last: bool):
+        """All complete keys; the last one is complete if ``last``. Returns pairs and where the unfinished key begins."""
+        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, int)
+        sizes = np.diff(np.append(starts, len(key)))
+        done = len(starts) if last else len(starts) - 1
+        small = np.flatnonzero((sizes[:done] > 1) & (sizes[:done] <= SMALL_GROUP))
+        if pivots:  # the first key continues a large one
+            small = small[small > 0]
+        for gap in range(1, SMALL_GROUP):
+            wide = small[sizes[small] > gap]
+            if not len(wide):
+                break
+            reps = sizes[wide] - gap
+            u = np.repeat(starts[wide], reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
+            ok, _ = near(fp[u], n[u], fp[u + gap], n[u + gap])
+            out_a.append(node[u[ok]])
+            out_b.append(node[u[ok] + gap])
+        for i in range(len(starts)):
+            if (i == 0 and pivots) or sizes[i] > SMALL_GROUP:
+                part = slice(starts[i], starts[i] + sizes[i])
+                through(node[part], fp[part], n[part], out_a, out_b, more=i == done)
+        left = len(key) if last or done < 0 or pivots else starts[done]
+        return emit(out_a, out_b), left
+
+    for batch in batches:
+        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
+        if pivots and len(new[0]) and new[0][0] != ended:
+            pivots.clear()
+        rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
+        if not len(rows[0]):
+            continue
+        found, left = solve(rows[0], rows[1], rows[2].view(np.uint64), rows[3], False)
+        ended = rows[0][-1]
+        held = [x[left:] for x in rows]
+        if found.num_rows:
+            yield found
+    if len(held[0]):
+        found, _ = solve(held[0], held[1], held[2].view(np.uint64), held[3], True)
+        if found.num_rows:
+            yield found
+
+
+def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(id, component_id) per row: groups of texts linked by a Jaccard similarity of word shingles from ``similarity`` up.
+
+    Texts with the same words are one group from the start. Candidates come
+    from wide fingerprints; of pairs at similarity 0.8, 0.85 and 0.9 about 90,
+    97 and 99 in a hundred are candidates by themselves, and a group needs only
+    enough of its links to hang together. Every candidate is verified exactly,
+    so nothing less similar is linked. Null and empty texts are one group. Null
+    ids get their group's component and never name one; repeated ids are one
+    document.
+    """
+
+    def rows(batch: pa.RecordBatch):
+        h1, h2, n, wide = [], [], [], []
+        for text in utf8(batch, text_col):
+            hashes, plain = shingle_hashes(text, size)
+            whole = xxhash.xxh3_128_intdigest(plain)
+            h1.append((whole & (2**64 - 1)) - 2**63)
+            h2.append((whole >> 64) - 2**63)
+            n.append(len(hashes))
+            wide.append(wide_fingerprint(hashes).tobytes())
+        return [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), pa.array(wide, pa.binary())]
+
+    fields = [("h1", T.LongType()), ("h2", T.LongType()), ("size", T.LongType()), ("wide", T.BinaryType())]
+    prints = Written(with_columns(docs.select(F.col(id_col).alias("id"), text_col), fields, rows, keep=["id"]))
+    grouped = prints.df.groupBy("h1", "h2").agg(
+        F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.min("size").alias("size"), F.min("wide").alias("wide")
+    )
+    groups = Written(grouped)
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+                node, sizes = (part.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+                wide = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
+                key, at = keys(wide)
+                first = wide[:, 0].copy().view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[at]), pa.array(first[at]), pa.array(sizes[at])], names=["key", "node", "fp", "n"])
+
+    keyed = groups.df.where("node is not null and size > 0").select("node", "size", "wide").mapInArrow(spread, "key long, node long, fp long, n long")
+    pairs = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda b: pairs_of_sorted(b, similarity), "a long, b long").distinct()
+    pairs = Written(pairs)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [shingle_hashes(t, size)[0].astype(np.uint32).view(np.int32) for t in utf8(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "shingles"])
+
+    wanted = Written(pairs.df.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+    side = F.broadcast(wanted.df) if wanted.small() else wanted.df
+    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(side, "node", "left_semi")
+    texts = Written(texts.mapInArrow(sets, "node long, shingles array<int>"))
+    left = texts.df.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+    right = texts.df.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+    both = F.size(F.array_intersect("x", "y"))
+    alike = both >= F.lit(similarity) * (F.size(F.array_distinct("x")) + F.size(F.array_distinct("y")) - both)
+    links = pairs.df.join(left, "a").join(right, "b").where(alike).select("a", "b")
+    found = Written(connected_components(links))
+    labelled = label_rows(prints.df.select("id", "h1", "h2"), groups.df.select("h1", "h2", "node", "n"), found.df, ["h1", "h2"])
+    return labelled.select(F.col("id").alias(id_col), "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's: one document of each group, columns unchanged.
+    """One document of each group of ``similar_documents``, the one with the smallest id; columns unchanged.
 
     Rows with the same id count as one document, of which one row stays; rows
-    with a null id are all kept, as they name no group.
+    with a null id are all kept, as they name no group. Only ids travel: the
+    rows that go are few against the corpus, and are taken out by a broadcast
+    anti-join when their table is small.
     """
-    kept = near_duplicates(docs, id_col, text_col, **options).where(F.col(id_col) == F.col("component_id"))
-    kept = kept.select(F.col(id_col).alias("__kept")).distinct()
-    chosen = docs.join(kept, docs[id_col] == kept["__kept"], "left_semi").dropDuplicates([id_col])
-    return chosen.unionByName(docs.where(F.col(id_col).isNull()))
+    found = Written(similar_documents(docs, id_col, text_col, **options).where(F.col(id_col).isNotNull()))
+    per_id = found.df.groupBy(F.col(id_col).alias("__id")).agg(F.count(F.lit(1)).alias("__n"), F.min("component_id").alias("__first"))
+    marked = Written(per_id.where((F.col("__n") > 1) | (F.col("__first") != F.col("__id"))))
+    side = F.broadcast(marked.df) if marked.small() else marked.df
+    untouched = docs.join(side, docs[id_col] == side["__id"], "left_anti")
+    repeated = side.where(F.col("__first") == F.col("__id")).select("__id")
+    again = docs.join(repeated, docs[id_col] == repeated["__id"], "left_semi").dropDuplicates([id_col])
+    return untouched.unionByName(again)
