@@ -98,7 +98,40 @@ QUERIES = {
     )
 }
 
+_NOTICE_TOKENS = ",\n    ".join(
+    f"('{n.label}', '{t.decode()}', {n.need}, {n.span}, {len(n.tokens)})" for n in licenses.prepare(licenses.NOTICES, {}) for t in n.tokens
+)
+_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": f"""
+WITH tok(label, token, need, span, size) AS (VALUES
+    {_NOTICE_TOKENS}
+), d AS (SELECT doc_id, {_LOWER} AS t FROM documents),
+a AS (SELECT doc_id, generate_subscripts(ws, 1) - 1 AS i, unnest(ws) AS w FROM (SELECT doc_id, regexp_extract_all(t, '{_WORD}') AS ws FROM d)),
+n AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM a WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+b AS (
+  SELECT doc_id, i, CASE WHEN w = 'mit' AND w1 = 'license' THEN 'mit' WHEN w = 'apache' AND w1 = 'license' THEN 'apache'
+    WHEN w = 'general' AND w1 = 'public' AND w2 = 'license' THEN 'gpl' END AS label FROM n
+), lines AS (SELECT doc_id, generate_subscripts(x, 1) AS line, unnest(x) AS t FROM (SELECT doc_id, string_split(t, chr(10)) AS x FROM d)),
+lw AS (SELECT doc_id, line, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM (SELECT doc_id, line, regexp_extract_all(t, '{_WORD}') AS ws FROM lines)),
+met AS (SELECT lw.doc_id, lw.line, lw.i, tok.* FROM lw JOIN tok ON lw.w = tok.token),
+best AS (
+  SELECT x.doc_id, x.label, x.line, x.i, count(DISTINCT y.token) AS held, any_value(x.need) AS need, any_value(x.size) AS size
+  FROM met x JOIN met y ON x.doc_id = y.doc_id AND x.line = y.line AND x.label = y.label AND y.i BETWEEN x.i AND x.i + x.span - 1
+  GROUP BY x.doc_id, x.label, x.line, x.i
+), notices AS (SELECT doc_id, label, max(CAST(held AS DOUBLE) / size) AS share FROM best WHERE held >= need GROUP BY doc_id, label),
+every AS (SELECT doc_id, label FROM b WHERE label IS NOT NULL UNION SELECT doc_id, label FROM notices),
+counts AS (SELECT doc_id, count(*) AS n FROM a GROUP BY doc_id),
+base AS (SELECT doc_id, count(*) AS n, min(i) AS lo, max(i) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM b WHERE label IS NOT NULL GROUP BY doc_id),
+labelled AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every GROUP BY doc_id),
+shares AS (SELECT doc_id, max(share) AS share FROM notices GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(counts.n, 0) AS BIGINT) AS n_words, CAST(coalesce(base.n, 0) AS BIGINT) AS n_base, CAST(base.lo AS BIGINT) AS first_word,
+       CAST(base.hi AS BIGINT) AS last_word, coalesce(base.labels, '') AS base_labels, coalesce(labelled.labels, '') AS labels,
+       CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(shares.share, 0.0) END AS score
+FROM d LEFT JOIN counts ON d.doc_id = counts.doc_id LEFT JOIN base ON d.doc_id = base.doc_id
+LEFT JOIN labelled ON d.doc_id = labelled.doc_id LEFT JOIN shares ON d.doc_id = shares.doc_id""",
     "op4_line_spread": r"""
 WITH lines AS (
   SELECT doc_id, source, text, coalesce(string_split(text, chr(10)), []::VARCHAR[]) AS l FROM documents
@@ -120,4 +153,36 @@ WITH lines AS (
 SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed,
        CAST(length(t) AS BIGINT) AS n_chars, md5(t) AS text_md5
 FROM kept""",
+    "op10_rule_ledger": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+w AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS word
+  FROM (SELECT doc_id, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d)
+), win AS (
+  SELECT doc_id, i, word, lead(word, 1) OVER o AS b, lead(word, 2) OVER o AS c FROM w WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+), rep AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, word, b, c) AS n FROM win WHERE c IS NOT NULL) WHERE n > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM rep) GROUP BY doc_id
+), runs AS (
+  SELECT doc_id, max(n) AS n FROM (
+    SELECT doc_id, count(*) AS n FROM (SELECT doc_id, word, i - row_number() OVER (PARTITION BY doc_id, word ORDER BY i) AS g FROM w) GROUP BY doc_id, word, g
+  ) GROUP BY doc_id
+), sums AS (SELECT doc_id, count(*) AS n, sum(length(word)) AS chars FROM w GROUP BY doc_id),
+l AS (
+  SELECT doc_id, t, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS x FROM d
+), m AS (
+  SELECT l.doc_id, coalesce(s.n, 0) AS n_words, coalesce(s.chars, 0) AS word_chars, length(regexp_replace(l.t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(l.x) - len(list_distinct(l.x)) AS n_dup_lines, coalesce(c.n, 0) AS n_repeat_words, len(l.x) AS n_lines, coalesce(r.n, 0) AS max_run
+  FROM l LEFT JOIN sums s ON l.doc_id = s.doc_id LEFT JOIN covered c ON l.doc_id = c.doc_id LEFT JOIN runs r ON l.doc_id = r.doc_id
+), f AS (
+  SELECT *, (CASE WHEN n_words < 50 THEN 1 ELSE 0 END) + (CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * n_symbols > 25 * n_words AND n_symbols > 10 THEN 4 ELSE 0 END) + (CASE WHEN word_chars < 2 * n_words THEN 8 ELSE 0 END)
+    + (CASE WHEN word_chars > 15 * n_words THEN 16 ELSE 0 END) + (CASE WHEN n_lines >= 4 AND 100 * n_dup_lines > 60 * n_lines THEN 32 ELSE 0 END)
+    + (CASE WHEN max_run >= 12 THEN 64 ELSE 0 END) AS failed FROM m
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars, CAST(n_symbols AS BIGINT) AS n_symbols,
+       CAST(n_dup_lines AS BIGINT) AS n_dup_lines, CAST(n_repeat_words AS BIGINT) AS n_repeat_words,
+       (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, failed = 0 AS kept, CAST(failed AS BIGINT) AS failed_rules
+FROM f""",
 }
