@@ -159,10 +159,14 @@ def test_pairs_do_not_depend_on_batches(size):
             label = [x if v == y else v for v in label]
         return label
 
-    want = {
+    exact = {
         (i, j)
         for i in range(900)
         for j in range(i + 1, 900)
         if key[i] == key[j] and (int(fp[i]) ^ int(fp[j])).bit_count() <= simhash.CANDIDATE_BITS and min(n[i], n[j]) >= 0.8 * max(n[i], n[j])
     }
-    assert run(size) == components_of(want)
+    same = {(i, j) for i, j in exact if (int(fp[i]) ^ int(fp[j])).bit_count() <= simhash.SAME_BITS}
+    got, whole, least = run(size), components_of(exact), components_of(same)
+    assert got == run(900)
+    assert all(whole[i] == whole[g] for i, g in enumerate(got))  # no pair but a candidate
+    assert len(set(got)) <= len(set(least))  # and no close one is lost

@@ -377,9 +377,11 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
     """From rows (key, node, fp, n) sorted by key: candidate pairs (a, b) with a < b, once a batch.
 
     Small keys give all pairs that the sizes and the first fingerprint word
-    allow. In a larger key rows meet pivots: the key's first rows, and then each
-    that isn't within SAME_BITS of a pivot. Pivots live until the key ends, so a
-    key of any size is worked through batch by batch.
+    allow. In a larger key a row within SAME_BITS of a pivot is paired with the
+    first such pivot; any other row becomes a pivot and is paired with the
+    earlier ones. So a group of copies gives about one pair a row, not all of
+    them. Pivots live until the key ends, and a key of any size is worked
+    through batch by batch.
     """
 
     def near(fp, n, other_fp, other_n):
@@ -401,14 +403,20 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
         while known < len(pivots) or rest.any():
             if known == len(pivots):
                 at = int(rest.argmax())
-                pivots.append((node[at], fp[at], n[at]))
                 rest[at] = False
+                if pivots:  # a new pivot is linked to the earlier ones that may be similar
+                    p_node, p_fp, p_n = (np.array(c) for c in zip(*pivots, strict=True))
+                    ok, _ = near(p_fp, p_n, fp[at], n[at])
+                    ok &= p_node != node[at]
+                    out_a.append(p_node[ok])
+                    out_b.append(np.full(int(ok.sum()), node[at]))
+                pivots.append((node[at], fp[at], n[at]))
             p_node, p_fp, p_n = pivots[known]
             ok, close = near(fp, n, p_fp, p_n)
-            ok &= node != p_node
+            ok &= rest & (close <= SAME_BITS) & (node != p_node)
             out_a.append(node[ok])
             out_b.append(np.full(int(ok.sum()), p_node))
-            rest &= ~(ok & (close <= SAME_BITS))
+            rest &= ~ok
             known += 1
         if not more:
             pivots.clear()
