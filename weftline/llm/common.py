@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Rows of an Arrow batch that are in Python's hands at once.
+ROWS_AT_ONCE = 500
 #: Tables up to this many bytes (as written, compressed) may be broadcast.
 BROADCAST_BYTES = 8 << 20
 
@@ -117,9 +119,7 @@ def with_columns(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state = setup() if setup else None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
             got = rows(batch, state) if setup else rows(batch)
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(batch.schema.get_field_index(c)) for c in kept), *got],

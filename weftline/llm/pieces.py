@@ -26,7 +26,7 @@ MARK = "▁"
 #: Longer chunks are segmented where they stand and not kept, so that a table entry is small.
 KEPT_CHARS = 64
 #: Entries after which a worker starts its table anew; results don't depend on it.
-TABLE_ENTRIES = 600_000
+TABLE_ENTRIES = 400_000
 #: Characters of the texts whose chunks are held at once.
 HELD_CHARS = 500_000
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
