@@ -134,39 +134,54 @@ def test_similar_documents_are_the_verified_classes(spark, make):
 
 
 @pytest.mark.parametrize("size", [3, 7, 1000])
-def test_pairs_do_not_depend_on_batches(size):
+@pytest.mark.parametrize("seed", [3, 4])
+def test_stars_and_cross_pairs_lose_no_candidate_whatever_the_batches(size, seed):
     import pyarrow as pa
 
-    rng = np.random.default_rng(3)
-    key = np.sort(rng.integers(0, 60, 900))
-    key[300:700] = key[300]
+    rng = np.random.default_rng(seed)
+    key = rng.integers(0, 60, 900)
+    key[300:700] = 30
     key = np.sort(key)
-    fp = rng.integers(0, 2**63, 900)
-    fp[200:800] = fp[200] ^ (1 << rng.integers(0, 60, 600))
-    n = rng.integers(80, 110, 900)
-    columns = [key, np.arange(900), fp, n]
-    names = ["key", "node", "fp", "n"]
-
-    def run(step):
-        batches = [pa.RecordBatch.from_arrays([pa.array(c[i : i + step]) for c in columns], names=names) for i in range(0, 900, step)]
-        pairs = {tuple(p.values()) for b in simhash.pairs_of_sorted(iter(batches), 0.8) for p in b.to_pylist()}
-        return components_of(pairs)
-
-    def components_of(pairs):
-        label = list(range(900))
+    wide = rng.integers(0, 2**63, (900, simhash.WIDE_WORDS))
+    for i in range(200, 800):  # a family in which some differ by many bits
+        flips = rng.integers(0, 63, rng.integers(0, 13))
+        wide[i] = wide[200]
+        wide[i, 0] ^= np.bitwise_xor.reduce(1 << flips) if len(flips) else 0
+    fp, n, node = wide[:, 0], rng.integers(80, 110, 900), np.arange(900)
+
+    def batches(names, columns):
+        for i in range(0, len(columns[0]), size):
+            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + size]) for c in columns], names=names)
+
+    def components_of(pairs, label=None):
+        label = list(range(900)) if label is None else list(label)
         for a, b in sorted(pairs):
             x, y = sorted((label[a], label[b]))
             label = [x if v == y else v for v in label]
         return label
 
+    rows = [r for b in simhash.pairs_of_sorted(batches(["key", "node", "fp", "n"], [key, node, fp, n]), 0.8) for r in b.to_pylist()]
+    pairs = {(r["a"], r["b"]) for r in rows if r["b"] is not None}
+    crowded = [(r["key"], r["a"]) for r in rows if r["b"] is None]
+    sizes = Counter(key.tolist())
+    assert sorted(crowded) == [(k, i) for i, k in enumerate(key.tolist()) if sizes[k] > simhash.SMALL_GROUP]
     exact = {
         (i, j)
         for i in range(900)
         for j in range(i + 1, 900)
         if key[i] == key[j] and (int(fp[i]) ^ int(fp[j])).bit_count() <= simhash.CANDIDATE_BITS and min(n[i], n[j]) >= 0.8 * max(n[i], n[j])
     }
-    same = {(i, j) for i, j in exact if (int(fp[i]) ^ int(fp[j])).bit_count() <= simhash.SAME_BITS}
-    got, whole, least = run(size), components_of(exact), components_of(same)
-    assert got == run(900)
-    assert all(whole[i] == whole[g] for i, g in enumerate(got))  # no pair but a candidate
-    assert len(set(got)) <= len(set(least))  # and no close one is lost
+    assert pairs <= exact
+    # half of the star's links fail verification; the cross pairs must then offer every candidate between what is left
+    real = {p for p in exact if (p[0] + p[1]) % 2 == 0}
+    part = np.array(components_of(pairs & real))
+    most = {k: max(Counter(part[key == k].tolist()).items(), key=lambda x: (x[1], x[0]))[0] for k in set(key.tolist())}
+    crowd = np.array([i for _, i in crowded])
+    largest = np.array([part[i] == most[key[i]] for i in crowd])
+    crowd, largest = (x[np.lexsort((crowd, largest, key[crowd]))] for x in (crowd, largest))
+    columns = [key[crowd], crowd, [wide[i].tobytes() for i in crowd], n[crowd], part[crowd], largest]
+    found = simhash.cross_of_sorted(batches(["key", "node", "wide", "n", "part", "largest"], columns), 0.8)
+    cross = {(r["a"], r["b"]) for b in found for r in b.to_pylist()}
+    near = lambda a, b: int(np.bitwise_count(wide[a] ^ wide[b]).sum()) <= simhash.WIDE_BITS
+    assert cross == {(a, b) for a, b in exact if sizes[key[a]] > simhash.SMALL_GROUP and part[a] != part[b] and near(a, b)}
+    assert components_of(cross & real, part) == components_of(real)

@@ -351,8 +351,10 @@ WIDE_WORDS = 12
 MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 for i in range(1, WIDE_WORDS + 1)], np.uint64)
 #: Bits of the first word in which a candidate pair may differ: at similarity 0.8 about 10 do, with a deviation of 3.
 CANDIDATE_BITS = 18
-#: In keys of more than SMALL_GROUP rows, rows this close to one another stand for each other.
-SAME_BITS, SMALL_GROUP = 6, 32
+#: Of the whole wide fingerprint: at similarity 0.8 about 116 bits differ, with a deviation of 10.
+WIDE_BITS = 156
+#: Keys of more rows than this are linked in stars first, then between the components that the stars leave.
+SMALL_GROUP = 32
 
 
 def shingle_hashes(text: bytes, size: int) -> tuple[np.ndarray, bytes]:
@@ -373,95 +375,143 @@ def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
     return np.packbits(total * 2 > len(hashes), bitorder="little").view(np.uint64)
 
 
-def pairs_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """From rows (key, node, fp, n) sorted by key: candidate pairs (a, b) with a < b, once a batch.
-
-    Small keys give all pairs that the sizes and the first fingerprint word
-    allow. In a larger key a row within SAME_BITS of a pivot is paired with the
-    first such pivot; any other row becomes a pivot and is paired with the
-    earlier ones. So a group of copies gives about one pair a row, not all of
-    them. Pivots live until the key ends, and a key of any size is worked
-    through batch by batch.
-    """
+def may_be_similar(fp, n, other_fp, other_n, similarity: float) -> np.ndarray:
+    """Whether first fingerprint words and numbers of shingles allow the similarity."""
+    return (np.bitwise_count(fp ^ other_fp) <= CANDIDATE_BITS) & (np.minimum(n, other_n) >= similarity * np.maximum(n, other_n))
 
-    def near(fp, n, other_fp, other_n):
-        close = np.bitwise_count(fp ^ other_fp)
-        return (close <= CANDIDATE_BITS) & (np.minimum(n, other_n) >= similarity * np.maximum(n, other_n)), close
 
-    def emit(a, b):
-        a, b = np.concatenate(a), np.concatenate(b)
-        both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1)
-        return pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
+def candidates(a=(), b=(), *crowded) -> pa.RecordBatch:
+    """Distinct pairs (a, b), a < b; or rows (node, null, key, fp, n) of large keys."""
+    if crowded:
+        columns = [pa.array(a, pa.int64()), pa.nulls(len(a), pa.int64()), *(pa.array(c, pa.int64()) for c in crowded)]
+    else:
+        both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1).astype(np.int64)
+        columns = [pa.array(both[0]), pa.array(both[1]), *(pa.nulls(both.shape[1], pa.int64()) for _ in range(3))]
+    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "key", "fp", "n"])
 
-    held = [np.empty(0, np.int64) for _ in range(4)]
-    pivots: list[tuple] = []  # of the key that the held rows begin with, if it has outgrown a batch
-
-    def through(node, fp, n, out_a, out_b, more: bool):
-        """Rows of one large key against its pivots."""
-        rest = np.ones(len(node), bool)
-        known = 0
-        while known < len(pivots) or rest.any():
-            if known == len(pivots):
+
+CANDIDATES = "a long, b long, key long, fp long, n long"
+
+
+def pairs_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """From rows (key, node, fp, n) sorted by key: candidate pairs, and the rows of large keys.
+
+    Keys of up to SMALL_GROUP rows give all pairs that may be similar. In a
+    larger key a row is paired with the first leader that it may be similar to,
+    and leads where there is none: one pair a row at most. Its rows are passed
+    on, for ``cross_of_sorted`` to find what the stars have missed. A key of any
+    size is worked through batch by batch; only its leaders are kept.
+    """
+    leaders: list[tuple] = []  # of the large key that the next rows may continue
+
+    def star(node, fp, n):
+        rest, known = np.ones(len(node), bool), 0
+        while rest.any():
+            if known == len(leaders):
                 at = int(rest.argmax())
+                leaders.append((node[at], fp[at], n[at]))
                 rest[at] = False
-                if pivots:  # a new pivot is linked to the earlier ones that may be similar
-                    p_node, p_fp, p_n = (np.array(c) for c in zip(*pivots, strict=True))
-                    ok, _ = near(p_fp, p_n, fp[at], n[at])
-                    ok &= p_node != node[at]
-                    out_a.append(p_node[ok])
-                    out_b.append(np.full(int(ok.sum()), node[at]))
-                pivots.append((node[at], fp[at], n[at]))
-            p_node, p_fp, p_n = pivots[known]
-            ok, close = near(fp, n, p_fp, p_n)
-            ok &= rest & (close <= SAME_BITS) & (node != p_node)
-            out_a.append(node[ok])
-            out_b.append(np.full(int(ok.sum()), p_node))
-            rest &= ~ok
+            leader, l_fp, l_n = leaders[known]
+            met = np.flatnonzero(rest)
+            met = met[may_be_similar(fp[met], n[met], l_fp, l_n, similarity)]
+            rest[met] = False
+            met = met[node[met] != leader]
+            if len(met):
+                yield candidates(node[met], np.full(len(met), leader))
             known += 1
-        if not more:
-            pivots.clear()
 
-    def solve(key, node, fp, n, last: bool):
-        """All complete keys; the last one is complete if ``last``. Returns pairs and where the unfinished key begins."""
-        out_a, out_b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, int)
+    def solve(key, node, fp, n):
+        """Keys that begin here; the last one may go on if it is large."""
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         sizes = np.diff(np.append(starts, len(key)))
-        done = len(starts) if last else len(starts) - 1
-        small = np.flatnonzero((sizes[:done] > 1) & (sizes[:done] <= SMALL_GROUP))
-        if pivots:  # the first key continues a large one
-            small = small[small > 0]
+        small = np.flatnonzero((sizes > 1) & (sizes <= SMALL_GROUP))
         for gap in range(1, SMALL_GROUP):
             wide = small[sizes[small] > gap]
             if not len(wide):
                 break
             reps = sizes[wide] - gap
             u = np.repeat(starts[wide], reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
-            ok, _ = near(fp[u], n[u], fp[u + gap], n[u + gap])
-            out_a.append(node[u[ok]])
-            out_b.append(node[u[ok] + gap])
-        for i in range(len(starts)):
-            if (i == 0 and pivots) or sizes[i] > SMALL_GROUP:
-                part = slice(starts[i], starts[i] + sizes[i])
-                through(node[part], fp[part], n[part], out_a, out_b, more=i == done)
-        left = len(key) if last or done < 0 or pivots else starts[done]
-        return emit(out_a, out_b), left
+            u = u[may_be_similar(fp[u], n[u], fp[u + gap], n[u + gap], similarity)]
+            if len(u):
+                yield candidates(node[u], node[u + gap])
+        for i in np.flatnonzero(sizes > SMALL_GROUP):
+            part = slice(starts[i], starts[i] + sizes[i])
+            leaders.clear()
+            yield from star(node[part], fp[part], n[part])
+            yield candidates(node[part], (), key[part], fp[part].view(np.int64), n[part])
 
+    held = [np.empty(0, np.int64) for _ in range(4)]
+    large = None  # the key that leaders are of
     for batch in batches:
         new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        if pivots and len(new[0]) and new[0][0] != ended:
-            pivots.clear()
-        rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
-        if not len(rows[0]):
+        if large is not None and len(new[0]):
+            same = int(np.searchsorted(new[0], large, "right"))
+            if same:
+                key, node, fp, n = (x[:same] for x in new)
+                yield from star(node, fp.view(np.uint64), n)
+                yield candidates(node, (), key, fp, n)
+            new = [x[same:] for x in new]
+            large = None if len(new[0]) else large
+        if not len(new[0]):
             continue
-        found, left = solve(rows[0], rows[1], rows[2].view(np.uint64), rows[3], False)
-        ended = rows[0][-1]
-        held = [x[left:] for x in rows]
-        if found.num_rows:
-            yield found
+        rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
+        last = int(np.searchsorted(rows[0], rows[0][-1], "left"))
+        if len(rows[0]) - last > SMALL_GROUP:  # the last key is large already: its leaders are kept for what follows
+            large, last = rows[0][-1], len(rows[0])
+        if last:
+            yield from solve(rows[0][:last], rows[1][:last], rows[2][:last].view(np.uint64), rows[3][:last])
+        held = [x[last:] for x in rows]
     if len(held[0]):
-        found, _ = solve(held[0], held[1], held[2].view(np.uint64), held[3], True)
-        if found.num_rows:
-            yield found
+        yield from solve(held[0], held[1], held[2].view(np.uint64), held[3])
+
+
+def cross_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """From rows (key, node, wide, n, part, largest) of large keys: all candidate pairs between different parts.
+
+    Rows are sorted by key, and within a key the largest part comes last, so
+    that it streams past the rows of the others.
+    """
+    kept: list[np.ndarray] = []  # node, wide, n, part of a key's rows so far, without its largest part
+    current = None
+    for batch in batches:
+        key, node, n, part, largest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4, 5))
+        wide, largest = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, WIDE_WORDS), largest.astype(bool)
+        bounds = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key)) if len(key) else []
+        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+            if key[lo] != current:
+                current, kept = key[lo], [x[:0] for x in (node, wide, n, part)]
+            own = np.flatnonzero(~largest[lo:hi]) + lo
+            first = len(kept[0])
+            kept = [np.concatenate((k, x[own])) for k, x in zip(kept, (node, wide, n, part), strict=True)]
+            step = max(1, 2_000_000 // (hi - lo))
+            for at in range(0, len(kept[0]), step):
+                k_node, k_wide, k_n, k_part = (x[at : at + step, None] for x in kept)
+                ok = may_be_similar(k_wide[:, :, 0], k_n, wide[lo:hi, 0], n[lo:hi], similarity) & (k_part != part[lo:hi])
+                if at + step > first:  # the new rows meet one another once
+                    ok[max(0, first - at) :] &= largest[lo:hi] | (k_node[max(0, first - at) :] < node[lo:hi])
+                u, v = np.nonzero(ok)
+                for i in range(0, len(u), 100_000):
+                    x, y = at + u[i : i + 100_000], lo + v[i : i + 100_000]
+                    close = np.bitwise_count(kept[1][x] ^ wide[y]).sum(1, dtype=int) <= WIDE_BITS
+                    if close.any():
+                        yield candidates(kept[0][x[close]], node[y[close]])
+
+
+def cross_pairs(crowded: DataFrame, groups: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
+    """Candidate pairs of rows (node, key) of large keys that lie in different components of found (node, component).
+
+    ``groups`` has the wide fingerprint and the number of shingles of each node.
+    A key whose rows are in one component already is left out before that joins.
+    """
+    parted = crowded.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
+    parted = Written(parted)
+    parts = parted.df.groupBy("key", "part").agg(F.count(F.lit(1)).alias("m"))
+    most = parts.groupBy("key").agg(F.max(F.struct("m", "part")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
+    open_keys = parted.df.join(most.select("key", "most.part", "parts").withColumnRenamed("part", "__most"), "key")
+    rows = open_keys.join(groups.select("node", "wide", "size"), "node")
+    rows = rows.select("key", "node", "wide", F.col("size").alias("n"), "part", (F.col("part") == F.col("__most")).alias("largest"))
+    rows = rows.repartition("key").sortWithinPartitions("key", "largest", "node")
+    return rows.mapInArrow(lambda b: cross_of_sorted(b, similarity), CANDIDATES).select("a", "b").distinct()
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -471,7 +521,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     from wide fingerprints; of pairs at similarity 0.8, 0.85 and 0.9 about 90,
     97 and 99 in a hundred are candidates by themselves, and a group needs only
     enough of its links to hang together. Every candidate is verified exactly,
-    so nothing less similar is linked. Null and empty texts are one group. Null
+    so nothing less similar is linked. Keys of many rows are linked in stars, and
+    then whatever lies in different components there is compared in full. Null and empty texts are one group. Null
     ids get their group's component and never name one; repeated ids are one
     document.
     """
@@ -504,24 +555,34 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[at]), pa.array(first[at]), pa.array(sizes[at])], names=["key", "node", "fp", "n"])
 
     keyed = groups.df.where("node is not null and size > 0").select("node", "size", "wide").mapInArrow(spread, "key long, node long, fp long, n long")
-    pairs = keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda b: pairs_of_sorted(b, similarity), "a long, b long").distinct()
-    pairs = Written(pairs)
+    met = Written(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda b: pairs_of_sorted(b, similarity), CANDIDATES))
+    pairs = Written(met.df.where("b is not null").select("a", "b").distinct())
+    crowded = met.df.where("b is null").select(F.col("a").alias("node"), "key")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [shingle_hashes(t, size)[0].astype(np.uint32).view(np.int32) for t in utf8(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "shingles"])
 
-    wanted = Written(pairs.df.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-    side = F.broadcast(wanted.df) if wanted.small() else wanted.df
-    texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(side, "node", "left_semi")
-    texts = Written(texts.mapInArrow(sets, "node long, shingles array<int>"))
-    left = texts.df.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = texts.df.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    alike = both >= F.lit(similarity) * (F.size(F.array_distinct("x")) + F.size(F.array_distinct("y")) - both)
-    links = pairs.df.join(left, "a").join(right, "b").where(alike).select("a", "b")
-    found = Written(connected_components(links))
+    def verified(pairs: Written) -> Written:
+        """The pairs whose shingle sets are as similar as asked."""
+        wanted = Written(pairs.df.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        side = F.broadcast(wanted.df) if wanted.small() else wanted.df
+        texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(side, "node", "left_semi")
+        texts = Written(texts.mapInArrow(sets, "node long, shingles array<int>"))
+        left = texts.df.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
+        right = texts.df.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
+        both = F.size(F.array_intersect("x", "y"))
+        alike = both >= F.lit(similarity) * (F.size(F.array_distinct("x")) + F.size(F.array_distinct("y")) - both)
+        return Written(pairs.df.join(left, "a").join(right, "b").where(alike).select("a", "b"))
+
+    links = verified(pairs)
+    found = Written(connected_components(links.df))
+    if crowded.take(1):
+        cross = Written(cross_pairs(crowded, groups.df, found.df, similarity))
+        more = verified(cross)
+        if more.df.take(1):
+            found = Written(connected_components(links.df.unionByName(more.df)))
     labelled = label_rows(prints.df.select("id", "h1", "h2"), groups.df.select("h1", "h2", "node", "n"), found.df, ["h1", "h2"])
     return labelled.select(F.col("id").alias(id_col), "component_id")
 
