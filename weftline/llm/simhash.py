@@ -354,7 +354,7 @@ CANDIDATE_BITS = 18
 #: Of the whole wide fingerprint: at similarity 0.8 about 116 bits differ, with a deviation of 10.
 WIDE_BITS = 156
 #: Keys of more rows than this are linked in stars first, then between the components that the stars leave.
-SMALL_GROUP = 32
+SMALL_GROUP = 128
 
 
 def shingle_hashes(text: bytes, size: int) -> tuple[np.ndarray, bytes]:
