@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import textwrap
 import zlib
 
 import numpy as np
@@ -173,6 +174,26 @@ def test_license_places(spark, make, odd):
     assert licenses.scan(make([])).count() == 0
 
 
+def test_hard_wrapped_notices_are_found(spark, make):
+    def wrapped(text, width):
+        return "\n".join(textwrap.wrap(f"foo bar {text} and more", width))
+
+    rows = licenses.scan(make([wrapped(t, w) for _, t in licenses.NOTICES for w in (12, 40, 70)] + ["all\n" + "foo " * 20 + "rights\nreserved"])).orderBy("doc_id").collect()
+    assert all(label in r["labels"].split(",") for r, (label, _) in zip(rows[:-1], [n for n in licenses.NOTICES for _ in range(3)], strict=True))
+    assert rows[-1]["labels"] == ""
+
+
+def test_blocks_across_lines_equal_brute_force():
+    rng = random.Random(9)
+    vocabulary = [w for _, t in licenses.NOTICES for w in licenses.words(t.encode())] + [b"foo", b"bar"]
+    notices = licenses.prepare(licenses.NOTICES, {b"the": 50, b"license": 20})
+    scanner = licenses.Scanner(notices)
+    for _ in range(200):
+        tokens = rng.choices(vocabulary, k=rng.randint(0, 120))
+        want = {n.label: brute_notice(tokens, n) for n in notices}
+        assert scanner.blocks(tokens) == {label: share for label, share in want.items() if share}
+
+
 # -- HTML -----------------------------------------------------------------------------------------
 
 PAGE = "<!DOCTYPE html><html><body><nav><ul><li>Home<li>News</ul></nav><div class='cookie-notice'>Cookies!</div>{body}<footer>&copy; us</footer></body></html>"

@@ -1,11 +1,11 @@
 """License scans as an exact set-similarity join of text blocks with license notices.
 
-A notice matches a block (so many consecutive words of one line) that holds at
-least a share of its distinct words. Tokens are ordered by their frequency in
-the corpus, rarest first. A block that reaches the share must hold one of the
-notice's first few tokens in that order (prefix filter), be long enough (length
-filter), and leave enough tokens behind the first one met (positional filter);
-only such pairs are verified. The notices are a fixed small table, so their
+A notice matches a block (so many consecutive words of a text, across its lines,
+as notices are often hard-wrapped) that holds at least a share of its distinct
+words. Tokens are ordered by their frequency in the corpus, rarest first. A block
+that reaches the share must hold one of the notice's first few tokens in that
+order (prefix filter), be long enough (length filter), and leave enough tokens
+behind the first one met (positional filter); only such pairs are verified. The notices are a fixed small table, so their
 side of the join travels to the tasks and the corpus is read in place.
 """
 
@@ -91,9 +91,9 @@ def token_frequency(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTI
 
 
 def block_matches(line: list[bytes], notice: Notice) -> float:
-    """The largest share of the notice found in a block of the line, 0 where it is under the threshold.
+    """The largest share of the notice found in a block of the words, 0 where it is under the threshold.
 
-    A block is ``span`` consecutive words, or the line where that is shorter.
+    A block is ``span`` consecutive words, or all of them where they are fewer.
     """
     if len(set(line)) < notice.need:
         return 0.0
@@ -138,26 +138,28 @@ class Scanner:
             labels |= {label} if found else set()
         return starts, labels
 
+    def blocks(self, tokens: list[bytes]) -> dict[str, float]:
+        """Notices that a block of the words contains, with the best share."""
+        if self.prefixes.isdisjoint(tokens):
+            return {}
+        distinct = set(tokens)
+        candidates: dict[str, Notice] = {}
+        for token in self.prefixes & distinct:
+            for at, notice in self.index[token]:
+                # if this is the notice's first token here, at most the ones after it can still be met
+                rest = min(len(notice.tokens) - at, len(distinct))
+                earlier = any(t in distinct for t in notice.tokens[:at])
+                if earlier or rest >= notice.need:
+                    candidates[notice.label] = notice
+        shares = {label: block_matches(tokens, notice) for label, notice in candidates.items()}
+        return {label: share for label, share in shares.items() if share}
+
     def notices(self, text: bytes) -> dict[str, float]:
-        """Notices that a block of the text contains, with the best share."""
+        """Notices that a block within one line of the text contains, with the best share: a part of what ``blocks`` finds."""
         found: dict[str, float] = {}
-        for raw in text.split(b"\n"):
-            line = words(raw)
-            if self.prefixes.isdisjoint(line):
-                continue
-            distinct = set(line)
-            candidates: dict[str, Notice] = {}
-            for token in self.prefixes & distinct:
-                for at, notice in self.index[token]:
-                    # if this is the notice's first token here, at most the ones after it can still be met
-                    rest = min(len(notice.tokens) - at, len(distinct))
-                    earlier = any(t in distinct for t in notice.tokens[:at])
-                    if earlier or rest >= notice.need:
-                        candidates[notice.label] = notice
-            for label, notice in candidates.items():
-                share = block_matches(line, notice)
-                if share:
-                    found[label] = max(found.get(label, 0.0), share)
+        for line in text.split(b"\n"):
+            for label, share in self.blocks(words(line)).items():
+                found[label] = max(found.get(label, 0.0), share)
         return found
 
 
@@ -181,7 +183,7 @@ def scan(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTICES, share:
         for text in utf8(batch, text_col):
             tokens = words(text)
             starts, base = scanner.base(tokens) if b"license" in text.lower() else ([], set())
-            more = scanner.notices(text) if not scanner.prefixes.isdisjoint(tokens) else {}
+            more = scanner.blocks(tokens)
             score = 1.0 if base else max(more.values(), default=0.0)
             values = (
                 len(tokens), len(starts), min(starts, default=None), max(starts, default=None),
