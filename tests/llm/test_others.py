@@ -266,6 +266,19 @@ def test_rules_hosts_and_verdicts(spark):
     assert urls.train(spark.createDataFrame([], "url string, bad int")).score(np.zeros((1, len(urls.FEATURES))))[0] == pytest.approx(0.5)
 
 
+def test_suffix_rates_are_of_all_labelled_urls(spark):
+    rng = random.Random(10)
+    domains = ["".join(rng.choices("abcdefgh", k=8)) for _ in range(80)]
+    given = [(f"http://h.{d}.org/{j:02}", i % 2) for i, d in enumerate(domains) for j in range(10)] + [("http://one/1", 1), ("http://a.one/2", 0), ("none", 0)]
+    labelled = spark.createDataFrame(given, "url string, bad int")
+    model = urls.train(labelled.unionByName(labelled.limit(5)), train_rows=60)
+    rates = {r["name"]: (r["bad"], r["n"]) for side in (model.rates.labels, model.rates.domains) for r in side.df.collect()}
+    assert model.rates.mean == pytest.approx(401 / 803) and rates["org"] == (400, 800) and rates["one"] == (1, 2) and rates["a.one"] == (0, 1)
+    assert all(rates[f"h.{d}.org"] == (10 * (i % 2), 10) for i, d in enumerate(domains))
+    rows = urls.judge(labelled.withColumn("last_n", F.lit("clash")), model).collect()
+    assert sum((r["score"] >= 0.5) == r["bad"] for r in rows) >= 798 and {r["last_n"] for r in rows} == {"clash"}
+
+
 # -- toxicity -------------------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ the labelled URLs.
 from __future__ import annotations
 
 import re
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import with_columns
+from weftline.llm.common import Written, with_columns
 
 #: Fixed values: (rule, verdict); a rule is host/path-prefix.
 RULES = (
@@ -70,10 +70,63 @@ def _entropy(text: str) -> float:
     return float(-(p * np.log2(p)).sum())
 
 
-def suffixes(host: str) -> tuple[str, str]:
+def suffixes(host: Column) -> tuple[Column, Column]:
     """The last label of a host and its last three."""
-    parts = host.split(".")
-    return parts[-1], ".".join(parts[-3:])
+    return F.substring_index(host, ".", -1), F.substring_index(host, ".", -3)
+
+
+@dataclass
+class Rates:
+    """(name, bad, n, bads, ns): URLs and bad ones by suffix and fold, over all labelled URLs; names without a dot apart, as they are few."""
+
+    labels: Written
+    domains: Written
+    mean: float
+
+    def join(self, df: DataFrame, host: Column, fold: Column | None = None) -> DataFrame:
+        """Add RATES, the counts of each row's suffixes (without a fold's own); null where no labelled URL has the suffix.
+
+        Tables are broadcast where they are small, else joined by suffix, where
+        adaptive execution splits a hot suffix's rows.
+        """
+        last, domain = suffixes(host)
+        out = df.withColumns({"__last": last, "__domain": domain})
+        for name, side in (("last", self.labels), ("domain", self.domains)):
+            named = side.df.select(F.col("name").alias(f"__{name}"), *(F.col(c).alias(f"__{name}_{c}") for c in ("bad", "n", "bads", "ns")))
+            out = out.join(F.broadcast(named) if side.small() else named, f"__{name}", "left")
+            if fold is not None:
+                out = out.withColumns({f"__{name}_{c}": F.col(f"__{name}_{c}") - F.get(f"__{name}_{c}s", fold) for c in ("bad", "n")})
+        # a host of one label is its own domain
+        one = F.col("__domain") == F.col("__last")
+        own = {f"__domain_{c}": F.when(one, F.col(f"__last_{c}")).otherwise(F.col(f"__domain_{c}")) for c in ("bad", "n")}
+        return out.withColumns(own).select(*df.columns, *RATES)
+
+
+#: Columns that Rates.join adds.
+RATES = ["__last_bad", "__last_n", "__domain_bad", "__domain_n"]
+#: A row is trained with the rates of the other folds.
+FOLDS = 5
+
+
+def fold_of(url: Column) -> Column:
+    """Fold of a URL, another hash than the sample is drawn by."""
+    return F.pmod(F.xxhash64(url, F.lit("fold")), F.lit(FOLDS)).cast("int")
+
+
+def count_suffixes(labelled: DataFrame) -> Rates:
+    """Rates of all labelled URLs (distinct urls with bad 0/1), counted in the tasks before the shuffle."""
+    last, domain = suffixes(host_and_path(F.col("url"))[0])
+    named = labelled.select(F.explode(F.array_distinct(F.array(last, domain))).alias("name"), "bad", fold_of(F.col("url")).alias("fold"))
+    sums = [(F.sum(F.when(F.col("fold") == k, F.col("bad")).otherwise(0)), F.count(F.when(F.col("fold") == k, 1))) for k in range(FOLDS)]
+    counted = named.groupBy("name").agg(
+        F.sum("bad").cast("double").alias("bad"), F.count(F.lit(1)).cast("double").alias("n"),
+        *(F.array(*c).cast("array<double>").alias(name) for name, c in zip(("bads", "ns"), zip(*sums, strict=True), strict=True)),
+    )
+    counted, dotted = Written(counted), F.col("name").contains(".")
+    labels, domains = Written(counted.df.where(~dotted)), Written(counted.df.where(dotted))
+    # every URL has one last label
+    whole = labels.df.agg(F.sum("bad").alias("bad"), F.sum("n").alias("n")).first()
+    return Rates(labels, domains, whole["bad"] / whole["n"] if whole["n"] else 0.5)
 
 
 def _split(url: str | None) -> tuple[str, str, str, str]:
@@ -87,18 +140,16 @@ def _split(url: str | None) -> tuple[str, str, str, str]:
     return scheme, re.sub("[A-Z]", lambda m: m[0].lower(), host), path, query + mark
 
 
-def features(url: str | None, rates: tuple[dict[str, float], float]) -> list[float]:
-    """FEATURES of a URL; null or without "://" gives zeros but for the suffix rates, which are the mean."""
+def features(url: str | None, suffix_rate: float, domain_rate: float) -> list[float]:
+    """FEATURES of a URL, given its suffixes' rates; null or without "://" gives zeros but for those."""
     scheme, host, path, query = _split(url)
-    table, mean = rates
-    last, domain = suffixes(host)
     whole = f"{host}{path}{query}"
     labels = host.split(".") if host else []
     digits, host_digits = sum(map(str.isdigit, whole)), sum(map(str.isdigit, host))
     return [
         len(whole), len(host), len(path), len(query), sum(1 for x in path.split("/") if x), len(labels), query.count("="),
         digits / max(1, len(whole)), host_digits / max(1, len(host)), host.count("-"), max(map(len, labels), default=0),
-        _entropy(whole), _entropy(host), sum(c in "aeiou" for c in host) / max(1, len(host)), table.get(last, mean), table.get(domain, mean),
+        _entropy(whole), _entropy(host), sum(c in "aeiou" for c in host) / max(1, len(host)), suffix_rate, domain_rate,
         float("#" in query), float(scheme == "https"),
     ]
 
@@ -115,7 +166,7 @@ class Forest:
     feature: np.ndarray  # (trees, inner nodes)
     cut: np.ndarray
     value: np.ndarray  # (trees, leaves)
-    rates: tuple[dict[str, float], float]
+    rates: Rates | None
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.base)
@@ -128,7 +179,7 @@ class Forest:
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
-def fit(x: np.ndarray, y: np.ndarray, rates, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, l2: float = 1.0) -> Forest:
+def fit(x: np.ndarray, y: np.ndarray, rates: Rates | None, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, l2: float = 1.0) -> Forest:
     """Boost trees on histograms. No rows give 0.5 everywhere, one class its smoothed share."""
     n, k = x.shape
     share = (float(y.sum()) + 0.5) / (n + 1)
@@ -173,27 +224,25 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Forest:
     """Fit on labelled URLs (url, bad 0/1), at most ``train_rows`` distinct ones by smallest hash.
 
     Suffix rates are shares of bad URLs by last label and by last three labels,
-    drawn towards the overall share. Null URLs and labels are left out; a URL
-    labelled twice counts as bad if once bad.
+    over all labelled URLs, drawn towards the overall share; only the trees are
+    bounded. A row is trained with the rates of the other folds: without its own
+    label alone, a suffix's rate would tell the label. Null URLs and labels are left out; a URL labelled twice counts as
+    bad if once bad.
     """
-    chosen = labelled.where("url is not null and bad is not null").groupBy("url").agg(F.max("bad").alias("bad"))
-    got = chosen.orderBy(F.xxhash64("url"), "url").limit(train_rows).toPandas()
+    chosen = Written(labelled.where("url is not null and bad is not null").groupBy("url").agg(F.max("bad").alias("bad"))).df
+    rates = count_suffixes(chosen)
+    sample = chosen.orderBy(F.xxhash64("url"), "url").limit(train_rows)
+    url = F.col("url")
+    got = rates.join(sample, host_and_path(url)[0], fold_of(url)).orderBy(F.xxhash64("url"), "url").toPandas()
     y = got["bad"].to_numpy(float)
-    mean = float(y.mean()) if len(y) else 0.5
-    seen: dict[str, list[float]] = {}
-    names = [suffixes(_split(u)[1]) for u in got["url"]]
-    for pair, bad in zip(names, y, strict=True):
-        for name in dict.fromkeys(pair):
-            seen.setdefault(name, [0.0, 0.0])
-            seen[name][0] += bad
-            seen[name][1] += 1
-    # each row's own label is left out of the rates it is trained with
-    rates = {name: (bad + 4 * mean) / (n + 4) for name, (bad, n) in seen.items()}
-    x = np.array([features(u, ({}, mean)) for u in got["url"]], float).reshape(-1, len(FEATURES))
-    for row, (pair, bad) in enumerate(zip(names, y, strict=True)):
-        for column, name in zip((14, 15), pair, strict=True):
-            x[row, column] = (seen[name][0] - bad + 4 * mean) / (seen[name][1] + 3)
-    return fit(x, y, (rates, mean))
+    last, domain = (smoothed(got[f"__{c}_bad"].to_numpy(float), got[f"__{c}_n"].to_numpy(float), rates.mean) for c in ("last", "domain"))
+    x = np.array([features(*row) for row in zip(got["url"], last, domain, strict=True)], float).reshape(-1, len(FEATURES))
+    return fit(x, y, rates)
+
+
+def smoothed(bad: np.ndarray, n: np.ndarray, mean: float) -> np.ndarray:
+    """Share of bad ones drawn towards the mean."""
+    return (bad + 4 * mean) / (n + 4)
 
 
 def seed_labels(pages: DataFrame, seed_words: tuple[str, ...] = SEED_WORDS, url_col: str = "url") -> DataFrame:
@@ -206,17 +255,20 @@ def seed_labels(pages: DataFrame, seed_words: tuple[str, ...] = SEED_WORDS, url_
 def judge(pages: DataFrame, model: Forest, rules: tuple[tuple[str, str], ...] = RULES, url_col: str = "url") -> DataFrame:
     """Add host, path, rule, score and verdict: the rule's verdict where one fits, else block from THRESHOLD up.
 
-    Rows are independent: no shuffle. A null URL has empty host and path and no rule.
+    Rows only meet the suffix rates of the model. A null URL has empty host and path and no rule.
     """
     host, path = host_and_path(F.col(url_col))
     parted = pages.withColumns({"host": host, "path": path})
+    mean, forest = model.rates.mean, replace(model, rates=None)
 
     def rows(batch: pa.RecordBatch):
         urls = batch.column(batch.schema.get_field_index(url_col)).to_pylist()
-        x = np.array([features(u, model.rates) for u in urls], float)
-        return [pa.array(model.score(x))]
+        last_bad, last_n, bad, n = (batch.column(batch.schema.get_field_index(c)).fill_null(0).to_numpy(zero_copy_only=False) for c in RATES)
+        x = np.array([features(*row) for row in zip(urls, smoothed(last_bad, last_n, mean), smoothed(bad, n, mean), strict=True)], float)
+        return [pa.array(forest.score(x))]
 
-    ruled = with_columns(parted, [("score", T.DoubleType())], rows).withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
+    rated = model.rates.join(parted, F.col("host"))
+    ruled = with_columns(rated, [("score", T.DoubleType())], rows, keep=parted.columns).withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
     verdict = F.when(F.col("score") >= THRESHOLD, "block").otherwise("allow")
     for rule, said in dict(rules).items():
         verdict = F.when(F.col("rule") == rule, F.lit(said)).otherwise(verdict)
