@@ -236,6 +236,20 @@ def test_constant_nodes_of_a_host_are_template(spark):
     assert wrapper.extract_text(pages.limit(0)).count() == 0
 
 
+def test_wrapper_of_a_host_of_plain_divs(spark):
+    body = "<html><body><div class=top>Hello user{i}</div><div class=left><p>Teaser {j} of today</p></div><div class=text><h1>T{i}</h1><p>{words}</p>{own}</div></body></html>"
+    shared, words = "<div class=box>Read on with us</div>", [" ".join(f"w{i}x{k}" for k in range(40)) for i in range(10)]
+    html = [body.format(i=i, j=i * 7, words=words[i], own=shared if i else "<div class=box>Only here</div>") for i in range(10)]
+    rows = [(i + 1, "http://d.com/x", h) for i, h in enumerate(html)] + [(i, "http://d.com/x", h) for i, h in ((0, ""), (20, None), (21, " "))]
+    # pages of bare text beside elements, and a host whose only full page is too few
+    rows += [(30, "http://e.com/", "lead <p>x</p> rest"), (31, "http://f.com/", html[1]), (32, "http://f.com/", ""), (33, "http://f.com/", None)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[1] == f"T0 {words[0]} Only here"
+    assert [got[i + 1] for i in range(1, 10)] == [f"T{i} {words[i]}" for i in range(1, 10)]
+    assert got[0] == got[20] == got[21] == got[32] == "" and got[30] == "lead x rest"
+    assert got[31] == f"Hello user1 Teaser 7 of today T1 {words[1]} Read on with us"
+
+
 # -- URLs -----------------------------------------------------------------------------------------
 
 

@@ -2,12 +2,13 @@
 
 Pages of one host share a template. Each page becomes a tree of element runs
 (neighbouring siblings of one kind are one node, so a list or an article of any
-length is a small tree). The page with the smallest id is a host's model page;
-every other page's tree is aligned with it by simple tree matching. Over all
-pages of the host each node of the model then has either one text (constant: the
-template) or several (varying: a slot). The slot that holds the article becomes
-the host's content path; its blocks are the text of a page, without what the
-template repeats and without menus, forms and other furniture.
+length is a small tree). The non-empty page with the smallest id is a host's model
+page; every other page's tree is aligned with it by simple tree matching. Over all
+pages of the host a node of the model then has mostly one text (constant: the
+template) or several (varying: a slot). The slot that holds most of the varying
+text becomes the host's content path. The text of a page are the blocks of its
+article or main elements, or where it has none those of the content path, without
+what the template repeats and without menus, forms and other furniture.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,8 +53,16 @@ ENDS_PARAGRAPH = frozenset(
     """address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6
     header hgroup hr main menu nav ol p pre search section summary table ul""".split()
 )
-#: Constant nodes are template only if the host has this many pages.
+#: A wrapper is made of hosts with this many non-empty pages.
 MIN_PAGES = 3
+#: A node is template if one text covers this share of the pages that have it, and MIN_PAGES at least.
+TEMPLATE_SHARE = 0.8
+#: The content path goes down to a container that holds this share of the varying text and stands on this share of the
+#: pages, unless more than OWN_SHARE of the text lies beside all child elements.
+CONTENT_SHARE, OWN_SHARE = 0.5, 0.1
+CONTAINERS = frozenset("html body div section center".split())
+#: What stands beside the content path as a part of the text.
+TEXT_LEVEL = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
@@ -176,6 +186,13 @@ class Run:
     def text(self) -> str:
         return "\n".join(t for e in self.elements for t in blocks(e))
 
+    def digest(self) -> int:
+        return text_digest(self.text())
+
+
+def text_digest(text: str) -> int:
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) >> 1
+
 
 def run_tree(nodes: list[Node], depth: int = 0) -> list[Run]:
     """Runs of block elements; text and inline elements belong to the run around them."""
@@ -232,14 +249,50 @@ def align(runs: list[Run], model: list[dict]) -> list[tuple[Run, str]]:
     return [(x, y["p"]) for x, y in match(runs, model, label, children)[1]]
 
 
-def content_runs(runs: list[Run]) -> list[Run]:
-    """Article elements, or main ones, or the element with most text that isn't furniture; outermost first."""
+def choose(model: list[dict], pages: int, seen: dict[str, tuple[int, int, int, int]]) -> tuple[dict[str, int], list[str]]:
+    """Texts (hashes) of the template nodes by path, and the content paths, the main one last.
+
+    ``seen`` has of each path its pages, characters, and the pages and hash of
+    its most frequent text. From the root the content path goes down as long as
+    one container holds CONTENT_SHARE of the varying text; varying headings,
+    paragraphs and the like beside it belong to the text. There are no content
+    paths where it doesn't get below the body.
+    """
+    constant = {p: h for p, (n, _, most, h) in seen.items() if most >= max(MIN_PAGES, TEMPLATE_SHARE * n)}
+
+    def varying(node: dict) -> int:
+        return seen.get(node["p"], (0, 0))[1] - fixed(node)
+
+    def fixed(node: dict) -> int:
+        return seen.get(node["p"], (0, 0))[1] if node["p"] in constant else sum(map(fixed, node["c"]))
+
+    beside: list[str] = []
+    tag, path, below, total = "#root", "", model, sum(map(varying, model))
+    while total > 0:
+        texts = {x["p"]: varying(x) for x in below}
+        inner = [x for x in below if x["l"].split(" ")[0] in CONTAINERS and x["p"] not in constant and seen.get(x["p"], (0,))[0] >= CONTENT_SHARE * pages]
+        best = max(inner, key=lambda x: texts[x["p"]], default=None)
+        if best is None or texts[best["p"]] < CONTENT_SHARE * total or total - sum(texts.values()) > OWN_SHARE * total:
+            break
+        beside += [x["p"] for x in below if x["l"].split(" ")[0] in TEXT_LEVEL and x["p"] not in constant]
+        tag, path, below, total = best["l"].split(" ")[0], best["p"], best["c"], texts[best["p"]]
+    return constant, [] if tag in ("#root", "html", "body") else [*beside, path]
+
+
+def content_runs(root: Run, where: dict[int, str], content: list[str]) -> list[Run]:
+    """Article elements, or main ones, or those on the host's content paths, or the whole page; outermost first, in page order."""
     for tag in ("article", "main"):
-        found = _find(runs, tag)
+        found = _find(root.children, tag)
         if found:
             return found
-    body = _find(runs, "body") or runs
-    return body
+    found = [r for r in inside(root.children) if where.get(id(r)) in content] if content else []
+    if any(where[id(r)] == content[-1] and r.text() for r in found):
+        return found
+    return [root]
+
+
+def inside(items: list[Run]) -> list[Run]:
+    return [x for r in items for x in (r, *inside(r.children))]
 
 
 def _find(runs: list[Run], tag: str) -> list[Run]:
@@ -251,41 +304,35 @@ def _find(runs: list[Run], tag: str) -> list[Run]:
     return out
 
 
-def extract(page: str | None, model: list[dict] | None, constant: frozenset) -> str:
-    """Text of a page, given its host's model tree and the paths of its constant nodes."""
-    runs = run_tree(parse(page or "").children)
-    content = content_runs(runs)
-    if not content:  # no block element at all: the page is its own block
-        return " ".join(blocks(parse(page or "")))
+def extract(page: str | None, model: list[dict] | None, constant: dict[str, int] | frozenset, content: list[str] | tuple = ()) -> str:
+    """Text of a page, given its host's model tree, the texts (hashes) of its template nodes by path, and its content paths."""
+    tree = parse(page or "")
+    root = Run("#root", [tree], run_tree(tree.children))
+    where = {id(r): p for r, p in align(root.children, model)} if model and (constant or content) else {}
     dropped: set[int] = set()
-    if model and constant:
-        where = {id(r): p for r, p in align(runs, model)}
-
-        def inside(items: list[Run]) -> list[Run]:
-            return [x for r in items for x in (r, *inside(r.children))]
-
-        for top in content:
-            below = inside(top.children)
-            fixed = [r for r in below if where.get(id(r)) in constant]
-            # a page that is nothing but template has no slot to keep: then its text is the content
-            if any(where.get(id(r)) not in constant for r in below if not r.children):
-                dropped |= {id(e) for r in fixed for e in r.elements}
-    return " ".join(t for r in content for e in r.elements for t in blocks(e, frozenset(dropped)))
+    tops = content_runs(root, where, list(content))
+    for top in tops if constant else ():
+        below = inside(top.children)
+        # the template's text only: what a page has of its own at such a place stays
+        fixed = {id(r): r for r in below if where.get(id(r)) in constant and r.digest() == constant[where[id(r)]]}
+        # a page that is nothing but template has no slot to keep: then its text is the content
+        if any(id(r) not in fixed for r in below if not r.children):
+            dropped |= {id(e) for r in fixed.values() for e in r.elements}
+    return " ".join(t for r in tops for e in r.elements for t in blocks(e, frozenset(dropped)))
 
 
 # -- the operator ---------------------------------------------------------------------------------
 
 
 def induce(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, model, constant): the model page's tree as JSON and the paths of constant nodes, for each host.
+    """(host, model, constant, content): the model page's tree, template texts by path and content paths as JSON, for each host.
 
-    Every page of a host is aligned with its model page; a node is constant if
-    it is there in all of the host's pages (MIN_PAGES at least) with the same
-    text. Nodes' texts are compared by the smallest and the largest hash, so a
-    host of any size needs two numbers a node, combined in the tasks first.
+    Every non-empty page of a host is aligned with its model page. Nodes' texts
+    are counted by hash (in the tasks first), then each node's most frequent one
+    and its length are taken; see ``choose``.
     """
     host, _ = host_and_path(F.col(url_col))
-    keyed = pages.select(host.alias("host"), F.col(id_col).alias("id"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
+    keyed = pages.select(host.alias("host"), F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(F.col("html").rlike(r"\S"))
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,11 +348,9 @@ def induce(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
     side = F.broadcast(models.df) if models.small() else models.df
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
         known: dict[str, list] = {}
         for batch in batches:
-            hosts, paths, hashes = [], [], []
+            hosts, paths, hashes, sizes = [], [], [], []
             for h, page, model in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if model not in known:
                     if len(known) > 1000:
@@ -314,23 +359,34 @@ def induce(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html
                 for run, path in align(run_tree(parse(page).children), known[model]):
                     hosts.append(h)
                     paths.append(path)
-                    hashes.append(xxhash.xxh64_intdigest(run.text().encode("utf-8", "replace")) >> 1)
+                    text = run.text()
+                    hashes.append(text_digest(text))
+                    sizes.append(len(text))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(hashes, pa.int64())], names=["host", "path", "hash"]
+                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64())],
+                names=["host", "path", "hash", "chars"],
             )
 
-    seen = keyed.join(side, "host").select("host", "html", "model").mapInArrow(nodes, "host string, path string, hash long")
-    stats = seen.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.min("hash").alias("low"), F.max("hash").alias("high"))
-    same = stats.where("low = high").groupBy("host").agg(F.collect_list(F.struct("path", "n")).alias("same"))
-    joined = models.df.join(same, "host", "left")
-    constant = F.transform(F.filter("same", lambda s: s["n"] >= F.col("pages")), lambda s: s["path"])
-    return joined.select("host", "model", F.coalesce(constant, F.array().cast("array<string>")).alias("constant"))
+    def chosen_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for model, pages, nodes in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                found.append(choose(json.loads(model), pages, {x["path"]: (x["n"], x["chars"], x["most"]["n"], x["most"]["hash"]) for x in nodes or ()}))
+            columns = [pa.array([json.dumps(f[i]) for f in found], pa.string()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["host", "model", "constant", "content"])
+
+    seen = keyed.join(side, "host").select("host", "html", "model").mapInArrow(nodes, "host string, path string, hash long, chars long")
+    kinds = seen.groupBy("host", "path", "hash").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
+    stats = kinds.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.max(F.struct("n", "hash")).alias("most"))
+    each = stats.groupBy("host").agg(F.collect_list(F.struct("path", "n", "chars", "most")).alias("nodes"))
+    joined = models.df.join(each, "host", "left").select("host", "model", "pages", "nodes")
+    return joined.mapInArrow(chosen_of, "host string, model string, constant string, content string")
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of each page: main text by its host's wrapper.
 
-    Hosts with fewer than MIN_PAGES pages have no constant nodes to learn, and
+    Hosts with fewer than MIN_PAGES non-empty pages have no wrapper to learn, and
     their pages are read by structure alone; so are pages without a host. Null
     and empty pages have an empty text. Repeated rows are pages of their own.
     Wrappers are broadcast when their table is small, else joined by host, where
@@ -340,19 +396,20 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     wrappers = Written(induce(pages, id_col, url_col, html_col))
     side = F.broadcast(wrappers.df) if wrappers.small() else wrappers.df
     rows = pages.select(id_col, F.col(url_col).alias("__url"), F.col(html_col).alias("__html"), host.alias("host")).join(side, "host", "left")
-    rows = rows.select(id_col, "__url", "__html", "model", "constant")
+    rows = rows.select(id_col, "__url", "__html", "model", "constant", "content")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str | None, list | None] = {None: None}
+        known: dict[tuple, tuple] = {}
         for batch in batches:
             found = []
-            for page, model, constant in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4)), strict=True):
-                if model not in known:
+            for page, *told in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
+                key = tuple(told)
+                if key not in known:
                     if len(known) > 1000:
-                        known = {None: None}
-                    known[model] = json.loads(model)
-                found.append(extract(page, known[model], frozenset(constant or ())))
+                        known.clear()
+                    known[key] = tuple(json.loads(t) if t else () for t in told)
+                found.append(extract(page, *known[key]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())],
                 names=[id_col, "url", "text", "n_chars"],
