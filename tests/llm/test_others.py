@@ -330,6 +330,21 @@ def test_disguises_are_seen_through_and_clean_documents_left_alone(spark, make,
     assert deobfuscate.train(make([]), labels, uniform).chance == {}
 
 
+def test_long_joined_and_doubled_disguises(spark, make):
+    rng = random.Random(12)
+    vocabulary = ["you", "stupid", "idiot", "table", "green", "house", "walking", "never", "garden", "water", "people", "moron"]
+    model = deobfuscate.fit_language_model(deobfuscate.word_counts(make([" ".join(rng.choices(vocabulary, k=50)) for _ in range(50)])))
+    restorer = deobfuscate.Restorer(model)
+    for text, want in [
+        ("y o u s t u p i d i d i o t n e v e r w a l k i n g", {"you", "stupid", "idiot"}), ("y o u  s t u p i d", {"stupid"}),
+        ("stu" + 30 * "u" + "pid", {"stupid"}), ("iidiot stuupid", {"idiot", "stupid"}),
+        ("garden,water,people,house,st0pid/1d10t,never,walking,table", {"idiot", "garden", "table"}), ("green/m0ron/house", {"moron"}),
+        ("-".join("youstupididiotnever"), {"stupid", "idiot"}),
+    ]:
+        assert want <= restorer.words(text), text
+    assert {r["word"] for r in deobfuscate.word_counts(make(["ab" * 20 + " " + "x" * 5000])).collect()} == {"ab" * 20, "xxx"}
+
+
 def test_cover_leaves_entries_that_only_come_along():
     documents = [[0, 2] for _ in range(10)] + [[1] for _ in range(10)]
     assert deobfuscate.cover(documents, np.array([0.9, 0.9, 0.6]), np.array([0, 0, 8])) == {0, 1}

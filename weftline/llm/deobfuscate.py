@@ -44,13 +44,23 @@ SUPPORT, SUPPORT_SHARE, PREFIXES = 3, 0.004, (4, 5, 6)
 #: Weight that a toxic document keeps each time a chosen entry explains it.
 EXPLAINED = 0.5
 THRESHOLD = 0.3
+#: Longer tokens are cut at separators where the language model has word edges.
 LONGEST = 32
 _SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[0-9@$!|+])(?:[ .\-_*~·]{1,2}(?:[^\W_]|[0-9@$!|+])){2,}(?![^\W_])")
 _PLAIN = re.compile(r"[^\W\d_]+")
-_RUN = re.compile(r"(.)\1\1")
+_RUN = re.compile(r"(.)\1")
+_LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
+#: Characters that are in no disguise: words joined by them are read one by one.
+_JOINT = re.compile("[^" + r"\w" + "".join(map(re.escape, (*LOOK_ALIKES, *SEPARATORS))) + "]+")
+_GAP = re.compile(r"[ .\-_*~·]{2}")
 _LEET = frozenset(LOOK_ALIKES)
 
 
+def collapse(word: str) -> str:
+    """Runs of more than three of a character as three: no word has more, and the channel merges the rest alike."""
+    return _LONG_RUN.sub(r"\1\1\1", word)
+
+
 # -- the language model ---------------------------------------------------------------------------
 
 
@@ -64,7 +74,7 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
         seen: Counter[str] = Counter()
         for batch in batches:
             for text in texts(batch, text_col):
-                seen.update(w for w in _PLAIN.findall(text.lower()) if len(w) <= LONGEST)
+                seen.update(map(collapse, _PLAIN.findall(text.lower())))
             if len(seen) > 300_000:
                 yield out(seen)
                 seen = Counter()
@@ -130,17 +140,18 @@ def suspicious(token: str) -> bool:
     return not _LEET.isdisjoint(token) or _RUN.search(token) is not None or any(c in token[1:-1] for c in SEPARATORS)
 
 
-def restore(token: str, model: LanguageModel) -> str:
-    """The cheapest reading of a token in its lattice.
+def restore(token: str, model: LanguageModel, edges: bool = False) -> str:
+    """The cheapest reading of a token in its lattice; with ``edges`` of several words, parted by spaces.
 
     States are the last ORDER - 1 letters read. At each character a path may
     keep it, read a look-alike as a letter, drop a separator (or a look-alike at
-    the token's end, as in "idiot!!"), or merge a letter that repeats the one
-    before.
+    the token's end, as in "idiot!!"), merge a letter that repeats the one
+    before, or with ``edges`` end a word at a separator. Paths share their
+    beginnings, so the work is linear in the length.
     """
     start = (0,) * (ORDER - 1)
     cost, letters = model.cost, model.letters
-    paths: dict[tuple[int, ...], tuple[float, str]] = {start: (0.0, "")}
+    paths: dict[tuple[int, ...], tuple[float, tuple | None]] = {start: (0.0, None)}  # state: cost, (path before, letter)
     last_letter = max((i for i, c in enumerate(token) if c.isalnum()), default=-1)
     for at, char in enumerate(token):
         readings = []
@@ -151,22 +162,31 @@ def restore(token: str, model: LanguageModel) -> str:
             readings.append((char, 0.0))
         else:
             readings.append((None, DROP))
-        new: dict[tuple[int, ...], tuple[float, str]] = {}
+            if edges and char in SEPARATORS:
+                readings.append((" ", 0.0))
+        new: dict[tuple[int, ...], tuple[float, tuple | None]] = {}
         for state, (total, text) in paths.items():
             options = list(readings)
-            if text and any(r == text[-1] for r, _ in readings):
+            if text and any(r == text[1] for r, _ in readings):
                 options.append((None, MERGE))
             for reading, fee in options:
                 if reading is None:
                     key, value = state, (total + fee, text)
+                elif reading == " ":
+                    key, value = start, (total + fee + float(cost[(*state, 0)]), (text, " "))
                 else:
                     number = letters.get(reading, 1)
                     key = (*state[1:], number)
-                    value = (total + fee + float(cost[(*state, number)]), text + reading)
-                if key not in new or value < new[key]:
+                    value = (total + fee + float(cost[(*state, number)]), (text, reading))
+                if key not in new or value[0] < new[key][0]:
                     new[key] = value
-        paths = new if len(new) <= 200 else dict(sorted(new.items(), key=lambda x: x[1])[:200])
-    return min((total + float(cost[(*state, 0)]), text) for state, (total, text) in paths.items())[1]
+        paths = new if len(new) <= 200 else dict(sorted(new.items(), key=lambda x: x[1][0])[:200])
+    text = min(((total + float(cost[(*state, 0)]), text) for state, (total, text) in paths.items()), key=lambda x: x[0])[1]
+    out = []
+    while text:
+        text, letter = text
+        out.append(letter)
+    return "".join(reversed(out))
 
 
 class Restorer:
@@ -176,16 +196,28 @@ class Restorer:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.known: dict[str, tuple[str, ...]] = {}
+        self.known: dict[tuple[str, bool], tuple[str, ...]] = {}
 
-    def decode(self, token: str) -> tuple[str, ...]:
-        found = self.known.get(token)
+    def decode(self, token: str, spaced: bool = False) -> tuple[str, ...]:
+        """Readings of a token: the words in it as they stand, the token as one word, and the words that it joins."""
+        token = collapse(token)
+        found = self.known.get((token, spaced))
         if found is None:
-            plain = _PLAIN.findall(token)
-            # a token too long for a disguise is read as the words in it
-            found = tuple(dict.fromkeys([*plain, restore(token, self.model)])) if len(token) <= LONGEST else tuple(plain)
+            out = _PLAIN.findall(token)
+            parts = [p for p in _JOINT.split(token) if p]
+            whole = len(token) <= LONGEST
+            if whole:
+                out.append(restore(token, self.model))
+            for part in parts if len(parts) > 1 else ():
+                if suspicious(part):
+                    out += self.decode(part)
+            if len(parts) == 1 and (spaced or not whole):
+                out += restore(token, self.model, edges=True).split()
+                for piece in _GAP.split(token) if spaced and _GAP.search(token) else ():
+                    out.append(restore(piece, self.model))
+            found = tuple(dict.fromkeys(out))
             if len(self.known) < self.KEPT:
-                self.known[token] = found
+                self.known[token, spaced] = found
         return found
 
     def words(self, text: str) -> set[str]:
@@ -202,7 +234,7 @@ class Restorer:
         for token in [t for t in tokens if t.isalpha() and _RUN.search(t)]:
             out.update(self.decode(token))
         for spaced in _SPACED.findall(low):
-            out.update(self.decode(spaced))
+            out.update(self.decode(spaced, spaced=True))
         return out
 
 
