@@ -350,6 +350,23 @@ def test_cover_leaves_entries_that_only_come_along():
     assert deobfuscate.cover(documents, np.array([0.9, 0.9, 0.6]), np.array([0, 0, 8])) == {0, 1}
 
 
+def test_long_toxic_copies_keep_no_stem_out(spark, make):
+    rng = random.Random(13)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnop", k=n))
+    plain, incidental = [word(8) for _ in range(300)], [word(7) for _ in range(2500)]
+    # near copies of one long toxic text, and three stems that also stand in a few clean texts
+    texts = [" ".join(["qqcopy", *incidental, word(9)]) for _ in range(60)]
+    texts += [" ".join([*rng.choices(plain, k=30), f"zz{'xyw'[i % 3]}stem", word(9)]) for i in range(60)]
+    toxic = len(texts)
+    texts += [" ".join([*rng.choices(plain, k=30), *([f"zz{'xyw'[i % 3]}stem"] if i < 3 else []), word(9)]) for i in range(200)]
+    texts += [" ".join(["once", *plain[:9]])] * 6  # one toxic text six times is one
+    docs = make(texts)
+    labels = spark.createDataFrame([(i + 1, int(i < toxic or i >= toxic + 200)) for i in range(len(texts))], "doc_id long, toxic int")
+    lexicon = deobfuscate.train(docs, labels, deobfuscate.fit_language_model(deobfuscate.word_counts(docs)))
+    assert all(any(e.rstrip("*") in f"zz{c}stem" and e.startswith(f"zz{c}") for e in lexicon.chance) for c in "xyw")
+    assert "once" not in lexicon.chance and len(lexicon.chance) < 50
+
+
 # -- the pipeline ---------------------------------------------------------------------------------
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import remainder, texts, with_columns
+from weftline.llm.common import Written, remainder, texts, with_columns
 
 #: What a character may stand for besides itself.
 LOOK_ALIKES = {
@@ -37,8 +37,8 @@ KEEP, READ, DROP, MERGE = 2.0, 0.5, 0.2, 0.3
 #: Letters the language model tells apart: a-z, the most frequent others of the corpus, and one for the rest.
 ALPHABET = 48
 ORDER = 4
-#: Labelled rows at most, by smallest hash of the id; lexicon entries at most, by strength.
-TRAIN_ROWS, LEXICON = 20_000, 5_000
+#: Labelled rows at most, by smallest hash of the id.
+TRAIN_ROWS = 20_000
 #: A lexicon entry needs this many toxic documents, or this share of them; lengths of the word beginnings looked at.
 SUPPORT, SUPPORT_SHARE, PREFIXES = 3, 0.004, (4, 5, 6)
 #: Weight that a toxic document keeps each time a chosen entry explains it.
@@ -268,9 +268,10 @@ def train(
     """Learn the lexicon from labelled documents whose crc32(id) mod 4 is not 2.
 
     At most ``train_rows`` of those, by smallest hash of the id. Entries are
-    counted by documents of each label (partly in the tasks, then by
-    aggregation); candidates are the LEXICON strongest of those whose toxic share
-    is a half or more one standard error below its smoothed estimate. From them
+    counted by distinct texts of each label (partly in the tasks, then by
+    aggregation; a text is toxic if once labelled so). Candidates are all whose
+    toxic share is a half or more one standard error below its smoothed estimate,
+    but for those that could not be chosen even first. From them
     entries are chosen one after another by how much they explain of the toxic
     documents that the earlier ones leave, so that words which only come along
     with a toxic one, as in copies of a document, are not taken for its cause.
@@ -283,6 +284,8 @@ def train(
         .limit(train_rows)
     )
     rows = docs.select(F.col(id_col).alias("__id"), "text").join(F.broadcast(chosen), "__id").select("text", F.col("__label").cast("int").alias("label"))
+    rows = Written(rows.where("text is not null").groupBy("text").agg(F.max("label").alias("label"))).df
+    n_toxic = rows.where("label > 0").count()
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -300,9 +303,11 @@ def train(
     counted = rows.mapInArrow(run, "entry string, clean long, bad long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
     n, p = F.col("clean") + F.col("bad"), (F.col("bad") + 0.5) / (F.col("clean") + F.col("bad") + 1.0)
     sure = p - F.sqrt(p * (1 - p) / n)
-    kept = counted.where(F.col("bad") >= SUPPORT).withColumn("chance", sure).where(F.col("chance") >= 0.5)
-    kept = kept.orderBy(F.desc("chance"), F.desc("bad"), "entry").limit(LEXICON).collect()
-    chance = {r["entry"]: min(0.99, r["chance"]) for r in kept}
+    kept = counted.where(F.col("bad") >= SUPPORT).withColumn("chance", F.least(F.lit(0.99), sure)).where(F.col("chance") >= 0.5)
+    # gains only fall as entries are chosen: what is under the least gain at first is so to the end
+    kept = kept.where(F.col("bad") * F.col("chance") - F.col("clean") >= least_gain(n_toxic) - 1e-6)
+    kept = kept.select("entry", "clean", "chance").orderBy(F.desc("chance"), F.desc("bad"), "entry").toPandas()
+    chance = dict(zip(kept["entry"], kept["chance"].astype(float), strict=True))
     names = spark.sparkContext.broadcast({e: i for i, e in enumerate(chance)})
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,31 +316,43 @@ def train(
             met = [[at[e] for e in entries(restorer.words(t)) if e in at] for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(met, pa.list_(pa.int32()))], names=["met"])
 
-    toxic = rows.where("label > 0").mapInArrow(meet, "met array<int>").collect()
-    picked = cover([r["met"] for r in toxic], np.array(list(chance.values())), np.array([r["clean"] for r in kept]))
+    toxic = rows.where("label > 0").mapInArrow(meet, "met array<int>").toArrow().column("met").combine_chunks()
+    picked = cover(toxic, np.array(list(chance.values())), kept["clean"].to_numpy(float))
     return Lexicon({e: c for i, (e, c) in enumerate(chance.items()) if i in picked})
 
 
-def cover(documents: list[list[int]], chance: np.ndarray, clean: np.ndarray) -> set[int]:
-    """Entries that explain the toxic documents, greedily; documents list the candidates they hold.
+def least_gain(documents: int) -> float:
+    """What an entry must explain of so many toxic documents to be chosen."""
+    return max(SUPPORT, SUPPORT_SHARE * documents) * 0.5
+
+
+def cover(documents: list[list[int]] | pa.ListArray, chance: np.ndarray, clean: np.ndarray) -> set[int]:
+    """Entries that explain the toxic documents, greedily; documents list the candidates they hold, each once.
 
     ``clean`` counts the clean documents with each candidate; each takes as much
-    from its gain as a toxic document that nothing explains yet adds.
+    from its gain as a toxic document that nothing explains yet adds. Only the
+    (document, entry) pairs are kept, and a choice touches its own documents.
     """
-    held = np.zeros((len(documents), len(chance)), np.float32)
-    for row, met in enumerate(documents):
-        held[row, met] = 1
-    weight = np.ones(len(documents), np.float32)
-    least = max(SUPPORT, SUPPORT_SHARE * len(documents)) * 0.5
+    documents = documents if isinstance(documents, (pa.ListArray, pa.ChunkedArray)) else pa.array(documents, pa.list_(pa.int32()))
+    documents = documents.combine_chunks() if isinstance(documents, pa.ChunkedArray) else documents
+    entry = documents.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
+    ends = np.append(0, np.cumsum(documents.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
+    holder = np.repeat(np.arange(len(documents)), np.diff(ends))
+    by_entry = np.argsort(entry, kind="stable")
+    bounds = np.searchsorted(entry[by_entry], np.arange(len(chance) + 1))
+    weight, held = np.ones(len(documents)), np.diff(bounds).astype(float)
+    least = least_gain(len(documents))
     picked: set[int] = set()
     while len(picked) < len(chance):
-        gain = (weight @ held) * chance - clean
+        gain = held * chance - clean
         gain[list(picked)] = 0
         best = int(gain.argmax())
         if gain[best] < least:
             break
         picked.add(best)
-        weight = np.where(held[:, best] > 0, weight * EXPLAINED, weight)
+        for row in holder[by_entry[bounds[best] : bounds[best + 1]]]:
+            held[entry[ends[row] : ends[row + 1]]] -= weight[row] * (1 - EXPLAINED)
+            weight[row] *= EXPLAINED
     return picked
 
 
