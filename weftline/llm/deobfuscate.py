@@ -69,12 +69,12 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(seen):
-            return pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(list(map(collapse, seen)), pa.string()), pa.array(list(seen.values()), pa.int64())], names=["word", "n"])
 
         seen: Counter[str] = Counter()
         for batch in batches:
             for text in texts(batch, text_col):
-                seen.update(map(collapse, _PLAIN.findall(text.lower())))
+                seen.update(_PLAIN.findall(text.lower()))
             if len(seen) > 300_000:
                 yield out(seen)
                 seen = Counter()
@@ -200,9 +200,10 @@ class Restorer:
 
     def decode(self, token: str, spaced: bool = False) -> tuple[str, ...]:
         """Readings of a token: the words in it as they stand, the token as one word, and the words that it joins."""
-        token = collapse(token)
-        found = self.known.get((token, spaced))
+        key = (token, spaced)
+        found = self.known.get(key)
         if found is None:
+            token = collapse(token)
             out = _PLAIN.findall(token)
             parts = [p for p in _JOINT.split(token) if p]
             whole = len(token) <= LONGEST
@@ -217,7 +218,7 @@ class Restorer:
                     out.append(restore(piece, self.model))
             found = tuple(dict.fromkeys(out))
             if len(self.known) < self.KEPT:
-                self.known[token, spaced] = found
+                self.known[key] = found
         return found
 
     def words(self, text: str) -> set[str]:
