@@ -1,14 +1,15 @@
 """HTML extraction by wrapper induction.
 
 Pages of one host share a template. Each page becomes a tree of element runs
-(neighbouring siblings of one kind are one node, so a list or an article of any
-length is a small tree). The non-empty page with the smallest id is a host's model
-page; every other page's tree is aligned with it by simple tree matching. Over all
-pages of the host a node of the model then has mostly one text (constant: the
-template) or several (varying: a slot). The slot that holds most of the varying
-text becomes the host's content path. The text of a page are the blocks of its
-article or main elements, or where it has none those of the content path, without
-what the template repeats and without menus, forms and other furniture.
+(neighbouring paragraphs, items or other text elements of one kind are one node,
+and so are records, containers of one kind that a parent has many of). The
+model page of a host has its most frequent tree; every other page's tree is
+aligned with it by simple tree matching. Over all pages of the host a node of the
+model then has mostly one text (constant: the template) or several (varying: a
+slot). The slots choose the content: from the root the path goes down to the
+container with most of the varying text outside links, and what the template
+repeats inside it is left out. Elements that HTML itself sets apart from the text
+(``nav``, ``footer``, forms, scripts) and those named so are no slots.
 """
 
 from __future__ import annotations
@@ -16,15 +17,17 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.common import Written
+from weftline.llm.common import Written, lookup_side
 from weftline.llm.urls import host_and_path
 
 #: Fixed values of HTML: elements without an end, with raw text, and that stand in a line of text.
@@ -33,15 +36,21 @@ RAW = frozenset("script style textarea title noscript template iframe xmp noembe
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img".split()
 )
-#: Elements that never hold an article's text, and words of a class or id that say the same.
-FURNITURE = frozenset(
-    "head script style noscript template iframe nav header footer aside form button select option input textarea menu dialog svg canvas object audio video title xmp noembed noframes".split()
-)
+#: Fixed values of HTML: elements that show no text, and elements that HTML sets apart from a page's main text.
+TEXTLESS = frozenset("head script style noscript template iframe select option textarea svg canvas object audio video title xmp noembed noframes".split())
+FURNITURE = TEXTLESS | frozenset("nav header footer aside form button input menu dialog".split())
+FURNITURE_ROLES = frozenset("banner complementary contentinfo dialog menu menubar navigation search".split())
+#: A class or id names furniture if it is made of these words, and of words that name no thing of their own.
 FURNITURE_WORDS = frozenset(
     """ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies consent dialog disqus footer
     header masthead menu modal nav navbar navigation newsletter notice notices pagination popup promo promoted related replies
     respond share sharing sidebar signup social sponsor sponsored subscribe toolbar widget""".split()
 )
+PLAIN_WORDS = frozenset(
+    """a area articles bar block bottom box buttons by col column container content div global group holder icons inner item items left
+    left-hand links list main media outer page panel pane posts primary region right row secondary section site slot stories strip the
+    thread top unit us wrap wrapper zone""".split()
+)
 #: What an element's start closes when open, up to the nearest of the elements named after it.
 CLOSES = {
     "li": ("li", ("ul", "ol", "menu")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)), "option": ("option", ("select",)),
@@ -53,31 +62,56 @@ ENDS_PARAGRAPH = frozenset(
     """address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6
     header hgroup hr main menu nav ol p pre search section summary table ul""".split()
 )
-#: A wrapper is made of hosts with this many non-empty pages.
+#: A wrapper is made of this many non-empty pages at least.
 MIN_PAGES = 3
-#: A node is template if one text covers this share of the pages that have it, and MIN_PAGES at least.
-TEMPLATE_SHARE = 0.8
+#: A node is template if one text covers this share of the pages that have it, MIN_PAGES at least, and its other texts are few.
+TEMPLATE_SHARE, OTHER_TEXTS = 0.8, 0.1
 #: The content path goes down to a container that holds this share of the varying text and stands on this share of the
 #: pages, unless more than OWN_SHARE of the text lies beside all child elements.
 CONTENT_SHARE, OWN_SHARE = 0.5, 0.1
-CONTAINERS = frozenset("html body div section center".split())
+CONTAINERS = frozenset("html body div section center article main form table tbody tr td".split())
 #: What stands beside the content path as a part of the text.
-TEXT_LEVEL = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl table figure".split())
+TEXT_LEVEL = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl figure".split())
+#: Containers of one kind are records of a list where a parent has more than so many.
+RECORDS = 16
+#: Cells of an alignment that are in memory at once; larger ones are halved.
+CELLS = 4_000_000
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_WORDS = re.compile("[a-z]+")
+_HUMP = re.compile("([a-z])([A-Z])")
+_CLOSES = {tag: (frozenset(names.split()), frozenset(bounds)) for tag, (names, bounds) in CLOSES.items()}
 
 
-@dataclass
+@dataclass(eq=False, slots=True)
 class Node:
     tag: str
-    words: frozenset = frozenset()
+    names: tuple = ()  # classes, ids and roles, lower case, cut to words
+    linked: bool = False  # inside a link
     children: list = field(default_factory=list)  # nodes and strings, in order
 
 
+def names_of(attributes: str) -> tuple[tuple[str, ...], ...]:
+    """Words of each class, id and role, in order."""
+    out = []
+    for name, *values in _ATTRIBUTE.findall(attributes):
+        for token in next((v for v in values if v), "").split():
+            words = _WORDS.findall(_HUMP.sub(r"\1 \2", token).lower())
+            if words:
+                out.append((name.lower()[:1], *words))
+    return tuple(out)
+
+
 def parse(page: str) -> Node:
     """Tree of a page, forgiving: unknown ends are dropped, open elements end with their parent."""
     root = Node("#root")
     stack, at, lower = [root], 0, None
+    open_tags: Counter[str] = Counter()
+
+    def close(size: int):
+        open_tags.subtract(n.tag for n in stack[size:])
+        del stack[size:]
+
     for found in iter(lambda: _TOKEN.search(page, at), None):
         if found.start() > at:
             stack[-1].children.append(page[at : found.start()])
@@ -86,38 +120,36 @@ def parse(page: str) -> Node:
             continue
         tag = found[2].lower()
         if found[1]:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
-                    break
+            if open_tags[tag] > 0:
+                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
             continue
-        if tag in ENDS_PARAGRAPH:
+        if tag in ENDS_PARAGRAPH and open_tags["p"] > 0:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == "p":
-                    del stack[i:]
+                    close(i)
                     break
                 if stack[i].tag not in INLINE:
                     break
-        if tag in CLOSES:
-            names, bounds = CLOSES[tag]
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag in names.split():
-                    del stack[i:]
-                elif stack[i].tag in bounds:
-                    break
-        marks = {a.lower(): (b or c or d) for a, b, c, d in _ATTRIBUTE.findall(found[3])} if found[3].strip() else {}
-        words = frozenset(re.findall(r"[a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", " ".join(marks.values())).lower()))
-        node = Node(tag, words)
+        if tag in _CLOSES:
+            names, bounds = _CLOSES[tag]
+            if any(open_tags[n] > 0 for n in names):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i].tag in names:
+                        close(i)
+                    elif stack[i].tag in bounds:
+                        break
+        node = Node(tag, names_of(found[3]) if "=" in found[3] else ())
         stack[-1].children.append(node)
         if tag in RAW:
             lower = page.lower() if lower is None else lower
             end = lower.find(f"</{tag}", at) if len(lower) == len(page) else page.find(f"</{found[2]}", at)
             end = len(page) if end < 0 else end
             node.children.append(page[at:end])
-            close = page.find(">", end)
-            at = len(page) if close < 0 else close + 1
+            after = page.find(">", end)
+            at = len(page) if after < 0 else after + 1
         elif tag not in VOID:
             stack.append(node)
+            open_tags[tag] += 1
     if at < len(page):
         stack[-1].children.append(page[at:])
     return root
@@ -127,37 +159,49 @@ def parse(page: str) -> Node:
 SIDE_ARTICLES = frozenset("ad ads advert advertisement comment comments disqus promo promoted related replies respond sponsored".split())
 
 
-def furniture(node: Node) -> bool:
-    """Whether an element is page furniture by its kind or its name; html, body and main never are by name."""
-    if node.tag in FURNITURE:
+def furniture(tag: str, names: tuple) -> bool:
+    """Whether an element is page furniture by its kind or its name; html, body and main never are by name.
+
+    A name counts as a whole: ``related-posts`` is furniture, ``related-work`` isn't.
+    """
+    if tag in FURNITURE:
         return True
-    if node.tag in ("html", "body", "main"):
+    if not names or tag in ("html", "body", "main"):
         return False
-    return not (SIDE_ARTICLES if node.tag == "article" else FURNITURE_WORDS).isdisjoint(node.words)
+    telling = SIDE_ARTICLES if tag == "article" else FURNITURE_WORDS
+    for kind, *words in names:
+        if kind == "r":
+            if words[0] in FURNITURE_ROLES:
+                return True
+        elif not telling.isdisjoint(words) and all(w in FURNITURE_WORDS or w in PLAIN_WORDS for w in words):
+            return True
+    return False
 
 
-def blocks(node: Node, dropped: frozenset = frozenset()) -> list[str]:
-    """Texts of the blocks under a node in page order, references decoded, white space collapsed.
+def blocks(nodes: list[Node], dropped: frozenset = frozenset()) -> list[str]:
+    """Texts of the blocks inside nodes in page order, references decoded, white space collapsed.
 
-    Nodes in ``dropped`` (by identity) and furniture are left out.
+    Nodes in ``dropped`` (by identity) and furniture among their descendants are left out.
     """
     out: list[str] = []
     line: list[str] = []
 
     def flush():
-        text = " ".join("".join(line).split())
+        text = " ".join(entities.unescape("".join(line)).split())
         if text:
             out.append(text)
         line.clear()
 
-    work: list = [node]
+    work: list = []
+    for node in reversed(nodes):
+        work += [None, *reversed(node.children)]
     while work:
         x = work.pop()
         if x is None:
             flush()
         elif isinstance(x, str):
-            line.append(entities.unescape(x))
-        elif id(x) in dropped or furniture(x):
+            line.append(x)
+        elif id(x) in dropped or furniture(x.tag, x.names):
             if x.tag not in INLINE:
                 flush()
         elif x.tag == "br":
@@ -171,245 +215,492 @@ def blocks(node: Node, dropped: frozenset = frozenset()) -> list[str]:
     return out
 
 
-# -- run trees and their alignment ----------------------------------------------------------------
+# -- run trees ------------------------------------------------------------------------------------
 
 
-@dataclass
+@dataclass(eq=False, slots=True)
 class Run:
-    """Neighbouring siblings of one kind: their label, the elements, and the runs among their children."""
+    """Elements of one kind that are one node of the tree; of a model page only the kind and the path are kept."""
 
-    label: str
-    elements: list[Node]
+    tag: str
+    names: tuple
+    path: str = ""
+    elements: list = field(default_factory=list)
     children: list = field(default_factory=list)
     size: int = 1
+    shape: int = 0  # hash of the tree below, without texts
+    digest: int = 0  # hash of the texts
+    chars: int = 0
+    plain: int = 0  # characters outside links
+    own: str = ""
 
-    def text(self) -> str:
-        return "\n".join(t for e in self.elements for t in blocks(e))
-
-    def digest(self) -> int:
-        return text_digest(self.text())
+    @property
+    def label(self) -> tuple:
+        return self.tag, self.names
 
 
 def text_digest(text: str) -> int:
     return xxhash.xxh64_intdigest(text.encode("utf-8", "replace")) >> 1
 
 
-def run_tree(nodes: list[Node], depth: int = 0) -> list[Run]:
-    """Runs of block elements; text and inline elements belong to the run around them."""
-    runs: list[Run] = []
-    for node in nodes:
-        if isinstance(node, str) or node.tag in INLINE or node.tag in VOID:
-            continue
-        label = " ".join([node.tag, *sorted(node.words)])
-        if runs and runs[-1].label == label:
-            runs[-1].elements.append(node)
-        else:
-            runs.append(Run(label, [node]))
-    for run in runs:
-        if depth < 30:
-            run.children = run_tree([c for e in run.elements for c in e.children], depth + 1)
-        run.size = 1 + sum(c.size for c in run.children)
-    return runs
-
-
-def match(a: list, b: list, label, children) -> tuple[int, list]:
-    """Simple tree matching of two ordered forests: size of the largest matching and its pairs."""
-    best = [[(0, None)] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i, x in enumerate(a):
-        for j, y in enumerate(b):
-            options = [best[i][j + 1], best[i + 1][j]]
-            if label(x) == label(y):
-                score, pairs = match(children(x), children(y), label, children)
-                options.append((best[i][j][0] + 1 + score, (best[i][j], (x, y), pairs)))
+def parts(run: Run) -> list[Node]:
+    """Block elements among the children of a run's elements; its own text is what lies beside them.
+
+    Inline elements are looked through, so a block inside a link is a child too.
+    """
+    inner: list[Node] = []
+    texts: list[str] = []
+    linked: list[str] = []
+    for element in run.elements:
+        work = [(c, element.linked) for c in reversed(element.children)]
+        while work:
+            x, link = work.pop()
+            if isinstance(x, str):
+                (linked if link else texts).append(x)
+            elif x.tag in INLINE:
+                work.extend((c, link or x.tag == "a") for c in reversed(x.children))
+            elif x.tag not in VOID and x.tag not in TEXTLESS:
+                x.linked = link
+                inner.append(x)
+            else:
+                texts.append(" ")
+    plain, links = (" ".join(entities.unescape("".join(t)).split()) for t in (texts, linked))
+    run.plain, run.chars, run.own = len(plain), len(plain) + len(links), f"{plain}\n{links}"
+    return inner
+
+
+def run_tree(tree: Node) -> Run:
+    """The tree of runs under a page's root. Built level by level, so pages may be as deep and as wide as they are."""
+    root = Run("#root", (), elements=[tree])
+    order = [root]
+    for run in order:
+        inner = parts(run)
+        kinds = Counter((n.tag, n.names) for n in inner)
+        for node in inner:
+            label, last = (node.tag, node.names), run.children[-1] if run.children else None
+            if last is not None and last.label == label and (node.tag not in CONTAINERS or kinds[label] > RECORDS):
+                last.elements.append(node)
             else:
-                options.append(best[i][j])
-            best[i + 1][j + 1] = max(options, key=lambda o: o[0])
-    out, at = [], best[len(a)][len(b)][1]
-    while at is not None:
-        before, pair, inner = at
-        out += [pair, *inner]
-        at = before[1]
-    return best[len(a)][len(b)][0], out
+                run.children.append(Run(node.tag, node.names, f"{run.path}/{len(run.children)}", [node]))
+        order += run.children
+    for run in reversed(order):
+        run.digest = text_digest("\0".join([run.own, *(str(c.digest) for c in run.children)]))
+        run.chars += sum(c.chars for c in run.children)
+        run.plain += sum(c.plain for c in run.children)
+        shaped(run)
+    return root
+
+
+def shaped(run: Run) -> None:
+    run.size = 1 + sum(c.size for c in run.children)
+    run.shape = text_digest(f"{run.label}{[c.shape for c in run.children]}")
+
+
+def inside(run: Run) -> list[Run]:
+    """All runs below one, in page order."""
+    out, work = [], list(reversed(run.children))
+    while work:
+        out.append(work.pop())
+        work.extend(reversed(out[-1].children))
+    return out
+
+
+def skeleton(root: Run) -> list:
+    """A run tree as plain data in page order, to travel with a host: depth, tag and names of each node."""
+    return [[r.path.count("/"), r.tag, [list(n) for n in r.names]] for r in inside(root)]
+
 
+def from_skeleton(rows: list) -> Run:
+    """The run tree of a skeleton."""
+    root = Run("#root", ())
+    stack = [root]
+    for depth, tag, names in rows:
+        del stack[depth:]
+        above = stack[-1]
+        above.children.append(Run(tag, tuple(map(tuple, names)), f"{above.path}/{len(above.children)}"))
+        stack.append(above.children[-1])
+    for run in reversed([root, *inside(root)]):
+        shaped(run)
+    return root
 
-def skeleton(runs: list[Run], path: str = "") -> list[dict]:
-    """A run tree as plain data, to travel with a host: label, path and children."""
-    return [{"l": r.label, "p": f"{path}/{i}", "c": skeleton(r.children, f"{path}/{i}")} for i, r in enumerate(runs)]
 
+# -- simple tree matching -------------------------------------------------------------------------
 
-def align(runs: list[Run], model: list[dict]) -> list[tuple[Run, str]]:
-    """Page runs with the path of the model node that each is matched to."""
 
-    def label(x):
-        return x.label if isinstance(x, Run) else x["l"]
+def _rows(weight: np.ndarray) -> np.ndarray:
+    """Best score of the first rows against each number of first columns, for all rows of a weight matrix (0: no match)."""
+    best = np.zeros((len(weight) + 1, weight.shape[1] + 1), np.int64)
+    for i, w in enumerate(weight):
+        np.maximum.accumulate(np.maximum(best[i, 1:], np.where(w > 0, best[i, :-1] + w, 0)), out=best[i + 1, 1:])
+    return best
 
-    def children(x):
-        return x.children if isinstance(x, Run) else x["c"]
 
-    return [(x, y["p"]) for x, y in match(runs, model, label, children)[1]]
+def _last(weight: np.ndarray) -> np.ndarray:
+    """The last row of ``_rows``, without keeping the others."""
+    row = np.zeros(weight.shape[1] + 1, np.int64)
+    for w in weight:
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], np.where(w > 0, row[:-1] + w, 0)))
+    return row
 
 
-def choose(model: list[dict], pages: int, seen: dict[str, tuple[int, int, int, int]]) -> tuple[dict[str, int], list[str]]:
-    """Texts (hashes) of the template nodes by path, and the content paths, the main one last.
+class Matching:
+    """Largest order-preserving matching of two trees, labels equal and parents matched.
 
-    ``seen`` has of each path its pages, characters, and the pages and hash of
-    its most frequent text. From the root the content path goes down as long as
-    one container holds CONTENT_SHARE of the varying text; varying headings,
-    paragraphs and the like beside it belong to the text. There are no content
-    paths where it doesn't get below the body.
+    Trees of one shape match node by node. Scores of pairs of shapes are kept, so
+    the many equal records of a page cost one comparison. Equal subtrees at both
+    ends of two lists of children match each other in some largest matching, so
+    only what lies between goes through the table of the classic algorithm,
+    whose rows are computed as arrays. Nothing recurses, so depth is unbounded.
     """
-    constant = {p: h for p, (n, _, most, h) in seen.items() if most >= max(MIN_PAGES, TEMPLATE_SHARE * n)}
 
-    def varying(node: dict) -> int:
-        return seen.get(node["p"], (0, 0))[1] - fixed(node)
+    def __init__(self, cells: int = CELLS):
+        self.cells = cells
+        self.known: dict[tuple[int, int], int] = {}
+
+    def ends(self, a: list[Run], b: list[Run]) -> tuple[int, int]:
+        """How many children match at the front and at the back because they have one shape."""
+        most, front, back = min(len(a), len(b)), 0, 0
+        while front < most and a[front].shape == b[front].shape:
+            front += 1
+        while back < most - front and a[-1 - back].shape == b[-1 - back].shape:
+            back += 1
+        return front, back
+
+    def middle(self, a: Run, b: Run) -> tuple[list[Run], list[Run]]:
+        front, back = self.ends(a.children, b.children)
+        return a.children[front : len(a.children) - back], b.children[front : len(b.children) - back]
+
+    def open_pairs(self, a: list[Run], b: list[Run]) -> list[tuple[Run, Run]]:
+        """Pairs of children whose score is asked for, one for each pair of shapes."""
+        by_label: dict[tuple, dict[int, Run]] = {}
+        for y in b:
+            by_label.setdefault(y.label, {})[y.shape] = y
+        first = {x.shape: x for x in a}
+        return [(x, y) for s, x in first.items() for t, y in by_label.get(x.label, {}).items() if s != t and (s, t) not in self.known]
+
+    def weights(self, a: list[Run], b: list[Run]) -> np.ndarray:
+        """Nodes matched when child i is matched to child j, 0 where labels differ."""
+        a_at, b_at = ({s: i for i, s in enumerate(dict.fromkeys(x.shape for x in side))} for side in (a, b))
+        a_of, b_of = {x.shape: x for x in a}, {y.shape: y for y in b}
+        table = np.zeros((len(a_at), len(b_at)), np.int64)
+        for s, i in a_at.items():
+            for t, j in b_at.items():
+                if a_of[s].label == b_of[t].label:
+                    table[i, j] = a_of[s].size if s == t else self.known[s, t]
+        return table[np.array([a_at[x.shape] for x in a], int)[:, None], np.array([b_at[y.shape] for y in b], int)[None, :]]
+
+    def score(self, a: Run, b: Run) -> int:
+        """Number of matched nodes, the two themselves included."""
+        work = [(a, b)]
+        while work:
+            x, y = work[-1]
+            if x.shape == y.shape or (x.shape, y.shape) in self.known:
+                work.pop()
+                continue
+            front, _ = self.ends(x.children, y.children)
+            u, v = self.middle(x, y)
+            missing = self.open_pairs(u, v)
+            if missing:
+                work += missing
+                continue
+            kept = sum(c.size for c in x.children) - sum(c.size for c in u)
+            self.known[x.shape, y.shape] = 1 + kept + (int(_last(self.weights(u, v))[-1]) if u and v else 0)
+            work.pop()
+        return a.size if a.shape == b.shape else self.known[a.shape, b.shape]
+
+    def children(self, a: Run, b: Run) -> list[tuple[Run, Run]]:
+        """Matched pairs among the children of a matched pair."""
+        if a.shape == b.shape:
+            return list(zip(a.children, b.children, strict=True))
+        front, back = self.ends(a.children, b.children)
+        out = list(zip(a.children[:front], b.children[:front], strict=True))
+        out += list(zip(a.children[len(a.children) - back :], b.children[len(b.children) - back :], strict=True)) if back else []
+        u, v = self.middle(a, b)
+        parts = [(u, v)] if u and v else []
+        while parts:
+            u, v = parts.pop()
+            if len(u) > 1 and len(u) * len(v) > self.cells:  # halve: where the best score is split, both halves are best
+                half = len(u) // 2
+                upper = _last(self.weights(u[:half], v))
+                lower = _last(self.weights(u[half:][::-1], v[::-1]))[::-1]
+                cut = int((upper + lower).argmax())
+                parts += [(p, q) for p, q in ((u[:half], v[:cut]), (u[half:], v[cut:])) if p and q]
+                continue
+            weight = self.weights(u, v)
+            best = _rows(weight)
+            i, j = len(u), len(v)
+            while i and j:
+                if best[i, j] == best[i - 1, j]:
+                    i -= 1
+                elif best[i, j] == best[i, j - 1]:
+                    j -= 1
+                else:
+                    i, j = i - 1, j - 1
+                    out.append((u[i], v[j]))
+        return out
+
+
+def align(root: Run, model: Run) -> dict[int, str]:
+    """Path of the model node that each run (by identity) is matched to."""
+    matching = Matching()
+    matching.score(root, model)
+    where, work = {}, [(root, model)]
+    while work:
+        for x, y in matching.children(*work.pop()):
+            where[id(x)] = y.path
+            work.append((x, y))
+    return where
+
+
+# -- the wrapper ----------------------------------------------------------------------------------
+
+
+@dataclass
+class Seen:
+    """What a model node holds over the pages that have it."""
+
+    n: int  # pages
+    plain: int  # characters outside links
+    most: int  # pages with the most frequent text
+    digest: int  # and its hash
+    texts: int  # distinct texts
 
-    def fixed(node: dict) -> int:
-        return seen.get(node["p"], (0, 0))[1] if node["p"] in constant else sum(map(fixed, node["c"]))
+
+@dataclass
+class Wrapper:
+    """A host's model tree, hash of the template's text by path, and paths of the content, the main ones last."""
+
+    model: Run
+    template: dict[str, int]
+    content: list[str]
+    main: list[str]
+
+
+def choose(model: Run, pages: int, seen: dict[str, Seen]) -> tuple[dict[str, int], list[str], list[str]]:
+    """Template texts by path, the content paths, and those of them that must be on a page for the wrapper to fit it.
+
+    From the root the content path goes down as long as one container, or the
+    containers of one kind, hold CONTENT_SHARE of the varying text outside
+    links; varying headings, paragraphs and the like beside it belong to the
+    text. A template node of several elements that holds most of all text is a much
+    copied page's content and no template. There are no content paths where the path doesn't
+    get below the body.
+    """
+    nothing = Seen(0, 0, 0, 0, 0)
+    order = [model, *inside(model)]
+
+    def is_template(s: Seen) -> bool:
+        return s.most >= max(MIN_PAGES, TEMPLATE_SHARE * s.n) and s.texts - 1 <= OTHER_TEXTS * s.n
+
+    template = {r.path: s.digest for r in order[1:] if (s := seen.get(r.path, nothing)).n and is_template(s)}
+
+    def amounts(with_furniture: bool) -> tuple[dict[str, int], dict[str, int]]:
+        text, varying = {}, {}
+        for r in reversed(order):
+            below = [c.path for c in r.children]
+            plain = seen.get(r.path, nothing).plain if r is not model else sum(seen.get(p, nothing).plain for p in below)
+            own = max(0, plain - sum(seen.get(p, nothing).plain for p in below))
+            out = r is not model and not with_furniture and furniture(r.tag, r.names)
+            text[r.path] = 0 if out else own + sum(text[p] for p in below)
+            varying[r.path] = 0 if out or r.path in template else own + sum(varying[p] for p in below)
+        return text, varying
+
+    with_furniture = not amounts(False)[0][model.path]
+    text, _ = amounts(with_furniture)
+    node = model
+    while node is not None:  # down the one that holds most of the text
+        node = next((c for c in node.children if text[c.path] and text[c.path] > CONTENT_SHARE * text[node.path]), None)
+        if node is not None and node.path in template and node.children:
+            for r in (node, *inside(node)):
+                template.pop(r.path, None)
+            break
+    _, varying = amounts(with_furniture)
 
     beside: list[str] = []
-    tag, path, below, total = "#root", "", model, sum(map(varying, model))
-    while total > 0:
-        texts = {x["p"]: varying(x) for x in below}
-        inner = [x for x in below if x["l"].split(" ")[0] in CONTAINERS and x["p"] not in constant and seen.get(x["p"], (0,))[0] >= CONTENT_SHARE * pages]
-        best = max(inner, key=lambda x: texts[x["p"]], default=None)
-        if best is None or texts[best["p"]] < CONTENT_SHARE * total or total - sum(texts.values()) > OWN_SHARE * total:
+    node, main = model, []
+    while varying[node.path] > 0:
+        total, below = varying[node.path], node.children
+        if total - sum(varying[c.path] for c in below) > OWN_SHARE * total:
             break
-        beside += [x["p"] for x in below if x["l"].split(" ")[0] in TEXT_LEVEL and x["p"] not in constant]
-        tag, path, below, total = best["l"].split(" ")[0], best["p"], best["c"], texts[best["p"]]
-    return constant, [] if tag in ("#root", "html", "body") else [*beside, path]
+        inner = [c for c in below if c.tag in CONTAINERS and c.path not in template and seen.get(c.path, nothing).n >= CONTENT_SHARE * pages]
+        best = max(inner, key=lambda c: varying[c.path], default=None)
+        if best is None:
+            break
+        alike = [c for c in inner if c.label == best.label and varying[c.path]]
+        if varying[best.path] >= CONTENT_SHARE * total:
+            alike = [best]
+        elif node.tag in ("#root", "html") or sum(varying[c.path] for c in alike) < CONTENT_SHARE * total or best.tag in ("tr", "td"):
+            break
+        beside += [c.path for c in below if c.tag in TEXT_LEVEL and c.path not in template and varying[c.path]]
+        node, main = best, [c.path for c in alike]
+        if len(alike) > 1:
+            break
+    return template, *([[], []] if not main or node.tag in ("html", "body") else [[*beside, *main], main])
 
 
-def content_runs(root: Run, where: dict[int, str], content: list[str]) -> list[Run]:
-    """Article elements, or main ones, or those on the host's content paths, or the whole page; outermost first, in page order."""
+def by_structure(root: Run) -> list[Run]:
+    """A page's article elements, or main ones, or the whole page; outermost first, in page order."""
     for tag in ("article", "main"):
-        found = _find(root.children, tag)
+        found, work = [], list(reversed(root.children))
+        while work:
+            r = work.pop()
+            if furniture(r.tag, r.names):
+                continue
+            if r.tag == tag:
+                found.append(r)
+            else:
+                work.extend(reversed(r.children))
         if found:
             return found
-    found = [r for r in inside(root.children) if where.get(id(r)) in content] if content else []
-    if any(where[id(r)] == content[-1] and r.text() for r in found):
-        return found
     return [root]
 
 
-def inside(items: list[Run]) -> list[Run]:
-    return [x for r in items for x in (r, *inside(r.children))]
-
-
-def _find(runs: list[Run], tag: str) -> list[Run]:
-    out = []
-    for r in runs:
-        if furniture(r.elements[0]):
-            continue
-        out += [r] if r.elements[0].tag == tag else _find(r.children, tag)
-    return out
-
-
-def extract(page: str | None, model: list[dict] | None, constant: dict[str, int] | frozenset, content: list[str] | tuple = ()) -> str:
-    """Text of a page, given its host's model tree, the texts (hashes) of its template nodes by path, and its content paths."""
+def extract(page: str | None, wrapper: Wrapper | None = None) -> str:
+    """Text of a page by its group's wrapper; by structure alone where there is none or the page hasn't its content."""
     tree = parse(page or "")
-    root = Run("#root", [tree], run_tree(tree.children))
-    where = {id(r): p for r, p in align(root.children, model)} if model and (constant or content) else {}
+    root = run_tree(tree)
+    where = align(root, wrapper.model) if wrapper and (wrapper.template or wrapper.content) else {}
+    tops = [r for r in inside(root) if where.get(id(r)) in wrapper.content] if wrapper and wrapper.content else []
+    if not any(where[id(r)] in wrapper.main and r.chars for r in tops):
+        tops = by_structure(root)
     dropped: set[int] = set()
-    tops = content_runs(root, where, list(content))
-    for top in tops if constant else ():
-        below = inside(top.children)
+    for top in tops if where else ():
+        below = inside(top)
         # the template's text only: what a page has of its own at such a place stays
-        fixed = {id(r): r for r in below if where.get(id(r)) in constant and r.digest() == constant[where[id(r)]]}
+        fixed = {id(r) for r in below if wrapper.template.get(where.get(id(r))) == r.digest}
         # a page that is nothing but template has no slot to keep: then its text is the content
-        if any(id(r) not in fixed for r in below if not r.children):
-            dropped |= {id(e) for r in fixed.values() for e in r.elements}
-    return " ".join(t for r in tops for e in r.elements for t in blocks(e, frozenset(dropped)))
+        if any(id(r) not in fixed and r.chars for r in below if not r.children) or (top.own.strip() and id(top) not in fixed):
+            dropped |= {id(e) for r in below if id(r) in fixed for e in r.elements}
+    return " ".join(blocks([e for r in tops for e in r.elements], frozenset(dropped)))
 
 
 # -- the operator ---------------------------------------------------------------------------------
 
 
-def induce(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(host, model, constant, content): the model page's tree, template texts by path and content paths as JSON, for each host.
+def page_groups(pages: DataFrame) -> DataFrame:
+    """(host, key, pages): which pages make a wrapper together, for the hosts of pages (host, html).
 
-    Every non-empty page of a host is aligned with its model page. Nodes' texts
-    are counted by hash (in the tasks first), then each node's most frequent one
-    and its length are taken; see ``choose``.
+    A host with MIN_PAGES non-empty pages is a group by itself. Smaller hosts of
+    one registered domain (the last two labels) are one group, and what is left of
+    all domains is one. The key is null where even that is too few.
+    """
+    hosts = Written(pages.groupBy("host").agg(F.count(F.lit(1)).alias("pages")))
+    small = hosts.df.where(F.col("pages") < MIN_PAGES).withColumn("domain", F.substring_index("host", ".", -2))
+    domains = small.groupBy("domain").agg(F.sum("pages").alias("domain_pages"))
+    placed = small.join(domains, "domain")
+    enough = F.col("domain_pages") >= MIN_PAGES
+    rest = domains.where(~enough).agg(F.coalesce(F.sum("domain_pages"), F.lit(0)).alias("rest_pages"))
+    placed = placed.join(F.broadcast(rest))  # one row
+    key = F.when(enough, F.concat(F.lit("*."), "domain")).when(F.col("rest_pages") >= MIN_PAGES, "*")
+    size = F.when(enough, F.col("domain_pages")).otherwise(F.col("rest_pages"))
+    return hosts.df.where(F.col("pages") >= MIN_PAGES).select("host", F.col("host").alias("key"), "pages").unionByName(placed.select("host", key.alias("key"), size.alias("pages")))
+
+
+def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, wrapper): each host with its group's wrapper as JSON (null: none).
+
+    Every non-empty page of a group is aligned with the model page, one of those
+    with the group's most frequent tree. Nodes' texts are counted by hash (in the
+    tasks first), then each node's most frequent one is taken; see ``choose``.
     """
     host, _ = host_and_path(F.col(url_col))
-    keyed = pages.select(host.alias("host"), F.col(id_col).alias("id"), F.col(html_col).alias("html")).where(F.col("html").rlike(r"\S"))
+    keyed = pages.select(host.alias("host"), F.col(html_col).alias("html")).where(F.col("html").rlike(r"\S"))
+    groups = Written(page_groups(keyed))
+    side = lookup_side(groups)
+    keyed = keyed.join(side.where("key is not null").select("host", "key"), "host").select("key", "html")
+
+    def shapes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [run_tree(parse(h)).shape for h in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found, pa.int64())], names=["key", "page", "shape"])
 
     def trees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            trees = [json.dumps(skeleton(run_tree(parse(h).children))) for h in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(trees, pa.string())], names=["host", "model"])
+            found = [json.dumps(skeleton(run_tree(parse(h))), separators=(",", ":")) for h in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["key", "model"])
 
-    first = keyed.groupBy("host").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("pages"))
-    first = Written(first.where(F.col("pages") >= MIN_PAGES))
-    side = F.broadcast(first.df) if first.small() else first.df
-    chosen = keyed.join(side.select("host", "id"), ["host", "id"]).select("host", "html")
-    models = chosen.mapInArrow(trees, "host string, model string").groupBy("host").agg(F.min("model").alias("model"))
-    models = Written(models.join(side.select("host", "pages"), "host"))
-    side = F.broadcast(models.df) if models.small() else models.df
+    page = F.xxhash64("html").alias("page")
+    shaped_pages = keyed.select("key", "html", page).mapInArrow(shapes, "key string, page long, shape long")
+    kinds = shaped_pages.groupBy("key", "shape").agg(F.count(F.lit(1)).alias("n"), F.min("page").alias("page"))
+    first = Written(kinds.groupBy("key").agg(F.max(F.struct("n", "shape", "page")).alias("m"), F.sum("n").alias("pages")).select("key", "m.page", "pages"))
+    chosen = keyed.withColumn("page", page).join(lookup_side(first).select("key", "page"), ["key", "page"]).dropDuplicates(["key", "page"])
+    models = chosen.select("key", "html").mapInArrow(trees, "key string, model string").groupBy("key").agg(F.min("model").alias("model"))
+    models = Written(models.join(lookup_side(first).select("key", "pages"), "key"))
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, list] = {}
+        known: dict[str, Run] = {}
         for batch in batches:
-            hosts, paths, hashes, sizes = [], [], [], []
-            for h, page, model in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            out: list[list] = [[], [], [], []]
+            for key, html, model in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if model not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[model] = json.loads(model)
-                for run, path in align(run_tree(parse(page).children), known[model]):
-                    hosts.append(h)
-                    paths.append(path)
-                    text = run.text()
-                    hashes.append(text_digest(text))
-                    sizes.append(len(text))
+                    known[model] = from_skeleton(json.loads(model))
+                root = run_tree(parse(html))
+                where = align(root, known[model])
+                for run in inside(root):
+                    if id(run) in where:
+                        for column, value in zip(out, (key, where[id(run)], run.digest, run.plain), strict=True):
+                            column.append(value)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hosts, pa.string()), pa.array(paths, pa.string()), pa.array(hashes, pa.int64()), pa.array(sizes, pa.int64())],
-                names=["host", "path", "hash", "chars"],
+                [pa.array(out[0], pa.string()), pa.array(out[1], pa.string()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64())],
+                names=["key", "path", "digest", "plain"],
             )
 
-    def chosen_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def wrappers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = []
-            for model, pages, nodes in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                found.append(choose(json.loads(model), pages, {x["path"]: (x["n"], x["chars"], x["most"]["n"], x["most"]["hash"]) for x in nodes or ()}))
-            columns = [pa.array([json.dumps(f[i]) for f in found], pa.string()) for i in range(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["host", "model", "constant", "content"])
-
-    seen = keyed.join(side, "host").select("host", "html", "model").mapInArrow(nodes, "host string, path string, hash long, chars long")
-    kinds = seen.groupBy("host", "path", "hash").agg(F.count(F.lit(1)).alias("n"), F.sum("chars").alias("chars"))
-    stats = kinds.groupBy("host", "path").agg(F.sum("n").alias("n"), F.sum("chars").alias("chars"), F.max(F.struct("n", "hash")).alias("most"))
-    each = stats.groupBy("host").agg(F.collect_list(F.struct("path", "n", "chars", "most")).alias("nodes"))
-    joined = models.df.join(each, "host", "left").select("host", "model", "pages", "nodes")
-    return joined.mapInArrow(chosen_of, "host string, model string, constant string, content string")
+            made = []
+            for model, n, found in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
+                seen = {x["path"]: Seen(x["n"], x["plain"], x["most"]["n"], x["most"]["digest"], x["texts"]) for x in found or ()}
+                rows = json.loads(model)
+                made.append(json.dumps([rows, *choose(from_skeleton(rows), n, seen)], separators=(",", ":")))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(made, pa.string())], names=["key", "wrapper"])
+
+    seen = keyed.join(lookup_side(models).select("key", "model"), "key").select("key", "html", "model").mapInArrow(nodes, "key string, path string, digest long, plain long")
+    kinds = seen.groupBy("key", "path", "digest").agg(F.count(F.lit(1)).alias("n"), F.sum("plain").alias("plain"))
+    stats = kinds.groupBy("key", "path").agg(
+        F.sum("n").alias("n"), F.sum("plain").alias("plain"), F.max(F.struct("n", "digest")).alias("most"), F.count(F.lit(1)).alias("texts")
+    )
+    # as many nodes as the model page has
+    each = stats.groupBy("key").agg(F.collect_list(F.struct("path", "n", "plain", "most", "texts")).alias("nodes"))
+    made = models.df.join(each, "key", "left").select("key", "model", "pages", "nodes").mapInArrow(wrappers, "key string, wrapper string")
+    return groups.df.select("host", "key").join(made, "key", "left").select("host", "wrapper")
+
+
+def read_wrapper(text: str | None) -> Wrapper | None:
+    """A wrapper from its JSON."""
+    if text is None:
+        return None
+    rows, template, content, main = json.loads(text)
+    return Wrapper(from_skeleton(rows), template, content, main)
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(id, url, text, n_chars) of each page: main text by its host's wrapper.
 
-    Hosts with fewer than MIN_PAGES non-empty pages have no wrapper to learn, and
-    their pages are read by structure alone; so are pages without a host. Null
-    and empty pages have an empty text. Repeated rows are pages of their own.
-    Wrappers are broadcast when their table is small, else joined by host, where
-    adaptive execution splits a hot host's rows.
+    Hosts with fewer than MIN_PAGES non-empty pages share a wrapper (see
+    ``page_groups``); where there is none, or a page hasn't the wrapper's content,
+    its article or main elements are read, else the whole page, without
+    furniture. Null and empty pages have an empty text. Repeated rows are pages of
+    their own. Wrappers are broadcast when their table is small, else joined by
+    host, where adaptive execution splits a hot host's rows.
     """
     host, _ = host_and_path(F.col(url_col))
-    wrappers = Written(induce(pages, id_col, url_col, html_col))
-    side = F.broadcast(wrappers.df) if wrappers.small() else wrappers.df
-    rows = pages.select(id_col, F.col(url_col).alias("__url"), F.col(html_col).alias("__html"), host.alias("host")).join(side, "host", "left")
-    rows = rows.select(id_col, "__url", "__html", "model", "constant", "content")
+    wrappers = Written(induce(pages, url_col, html_col))
+    rows = pages.select(id_col, F.col(url_col).alias("__url"), F.col(html_col).alias("__html"), host.alias("host")).join(lookup_side(wrappers), "host", "left")
+    rows = rows.select(id_col, "__url", "__html", "wrapper")
     kind = pages.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[tuple, tuple] = {}
+        known: dict[str | None, Wrapper | None] = {}
         for batch in batches:
             found = []
-            for page, *told in zip(*(batch.column(i).to_pylist() for i in range(2, 6)), strict=True):
-                key = tuple(told)
-                if key not in known:
+            for page, told in zip(*(batch.column(i).to_pylist() for i in (2, 3)), strict=True):
+                if told not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[key] = tuple(json.loads(t) if t else () for t in told)
-                found.append(extract(page, *known[key]))
+                    known[told] = read_wrapper(told)
+                found.append(extract(page, known[told]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(list(map(len, found)), pa.int64())],
                 names=[id_col, "url", "text", "n_chars"],
