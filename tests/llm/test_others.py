@@ -331,11 +331,72 @@ def test_long_joined_and_doubled_disguises(spark, make):
         ("stu" + 30 * "u" + "pid", {"stupid"}), ("iidiot stuupid", {"idiot", "stupid"}),
         ("garden,water,people,house,st0pid/1d10t,never,walking,table", {"idiot", "garden", "table"}), ("green/m0ron/house", {"moron"}),
         ("-".join("youstupididiotnever"), {"stupid", "idiot"}),
+        ("s   t   u   p   i   d", {"stupid"}), ("i \t d . i\n\no t", {"idiot"}), ("m.........o.........r.........o........n", {"moron"}),
+        ("s...........t...........u.........p.........i.........d", {"stupid"}), ("st" + 500 * "u" + 500 * "." + "p1d", {"stupid"}),
     ]:
         assert want <= restorer.words(text), text
     assert {r["word"] for r in deobfuscate.word_counts(make(["ab" * 20 + " " + "x" * 5000])).collect()} == {"ab" * 20, "xxx"}
 
 
+def every_reading(token, model):
+    """All readings of a token with their costs, tried one by one."""
+    cost, last = model.cost, max((i for i, c in enumerate(token) if c.isalnum()), default=-1)
+
+    def price(context, char):
+        return float(cost[(*context, model.number(char) if char else 0)])
+
+    def go(at, text, total):
+        if at == len(token):
+            context = tuple(model.number(c) for c in text[-3:])
+            yield text, total + price((0,) * (3 - len(context)) + context, "")
+            return
+        char, options = token[at], []
+        if char in deobfuscate.LOOK_ALIKES:
+            options = [(r, deobfuscate.READ) for r in deobfuscate.LOOK_ALIKES[char]]
+            options.append((char if char.isalnum() else "", deobfuscate.KEEP if char.isalnum() or at <= last else deobfuscate.DROP))
+        else:
+            options = [(char, 0.0)] if char.isalpha() else [("", deobfuscate.DROP)]
+        if text and any(r == text[-1] for r, _ in options):
+            options.append(("", deobfuscate.MERGE))
+        for reading, fee in options:
+            context = tuple(model.number(c) for c in text[-3:])
+            more = price((0,) * (3 - len(context)) + context, reading) if reading else 0.0
+            yield from go(at + 1, text + reading, total + fee + more)
+
+    return list(go(0, "", 0.0))
+
+
+def test_restoring_is_the_cheapest_of_all_readings(make):
+    rng = random.Random(14)
+    vocabulary = ["you", "stupid", "idiot", "table", "green", "house", "walking", "never", "garden", "water", "people", "moron"]
+    model = deobfuscate.fit_language_model(deobfuscate.word_counts(make([" ".join(rng.choices(vocabulary, k=50)) for _ in range(50)])))
+    for _ in range(400):
+        token = "".join(rng.choices("stupidolrne013457!|$@.-*é", k=rng.randint(1, 8)))
+        readings = every_reading(token, model)
+        least = min(c for _, c in readings)
+        assert min(c for t, c in readings if t == deobfuscate.restore(token, model)) == pytest.approx(least), token
+
+
+def test_scoring_by_token_is_scoring_by_words(make):
+    rng = random.Random(15)
+    vocabulary = ["you", "stupid", "idiot", "table", "green", "house", "walking", "never", "garden", "water", "people", "moron"]
+    model = deobfuscate.fit_language_model(deobfuscate.word_counts(make([" ".join(rng.choices(vocabulary, k=50)) for _ in range(50)])))
+    lexicon = deobfuscate.Lexicon({"stupid": 0.9, "idio*": 0.8, "moron": 0.7, "all": 0.6, "w8": 0.5})
+    scorer, restorer, hit = deobfuscate.Scorer(model, lexicon), deobfuscate.Restorer(model), 0
+    for _ in range(600):
+        words = []
+        for word in rng.choices([*vocabulary, "all", "w8"], k=3):
+            for _ in range(rng.randint(0, 2)):
+                i = rng.randrange(len(word))
+                word = word[:i] + rng.choice("0134$!.-* u") + word[i + rng.randint(0, 1) :] if rng.random() < 0.7 else " ".join(word)
+            words.append(word)
+        text = " ".join(words)
+        want = lexicon.score(restorer.words(text))
+        hit += want > 0
+        assert scorer.score(text) == pytest.approx(want), text
+    assert 150 < hit < 600
+
+
 def test_cover_leaves_entries_that_only_come_along():
     documents = [[0, 2] for _ in range(10)] + [[1] for _ in range(10)]
     assert deobfuscate.cover(documents, np.array([0.9, 0.9, 0.6]), np.array([0, 0, 8])) == {0, 1}

@@ -44,15 +44,14 @@ SUPPORT, SUPPORT_SHARE, PREFIXES = 3, 0.004, (4, 5, 6)
 #: Weight that a toxic document keeps each time a chosen entry explains it.
 EXPLAINED = 0.5
 THRESHOLD = 0.3
-#: Longer tokens are cut at separators where the language model has word edges.
-LONGEST = 32
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[0-9@$!|+])(?:[ .\-_*~·]{1,2}(?:[^\W_]|[0-9@$!|+])){2,}(?![^\W_])")
+#: Letters put apart by any run of separators or white space.
+_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[0-9@$!|+])(?:[\s.\-_*~·]+(?:[^\W_]|[0-9@$!|+])){2,}(?![^\W_])")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1")
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
 #: Characters that are in no disguise: words joined by them are read one by one.
 _JOINT = re.compile("[^" + r"\w" + "".join(map(re.escape, (*LOOK_ALIKES, *SEPARATORS))) + "]+")
-_GAP = re.compile(r"[ .\-_*~·]{2}")
+_GAP = re.compile(r"[\s.\-_*~·]{2,}")
 _LEET = frozenset(LOOK_ALIKES)
 
 
@@ -73,8 +72,12 @@ def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
         seen: Counter[str] = Counter()
         for batch in batches:
+            tokens: Counter[str] = Counter()
             for text in texts(batch, text_col):
-                seen.update(_PLAIN.findall(text.lower()))
+                tokens.update(text.lower().split())
+            for token, n in tokens.items():
+                for word in (token,) if token.isalpha() else _PLAIN.findall(token):
+                    seen[word] += n
             if len(seen) > 300_000:
                 yield out(seen)
                 seen = Counter()
@@ -146,8 +149,11 @@ def restore(token: str, model: LanguageModel, edges: bool = False) -> str:
     States are the last ORDER - 1 letters read. At each character a path may
     keep it, read a look-alike as a letter, drop a separator (or a look-alike at
     the token's end, as in "idiot!!"), merge a letter that repeats the one
-    before, or with ``edges`` end a word at a separator. Paths share their
-    beginnings, so the work is linear in the length.
+    before, or with ``edges`` end a word at a separator or white space. This is
+    Viterbi decoding over all states reached: none is pruned. A state holds
+    letters that the token's characters may stand for, so there are at most
+    (letters of the token + 1) ** (ORDER - 1), in words some ten, and the work is
+    linear in the length, as paths share their beginnings.
     """
     start = (0,) * (ORDER - 1)
     cost, letters = model.cost, model.letters
@@ -162,7 +168,7 @@ def restore(token: str, model: LanguageModel, edges: bool = False) -> str:
             readings.append((char, 0.0))
         else:
             readings.append((None, DROP))
-            if edges and char in SEPARATORS:
+            if edges and (char in SEPARATORS or char.isspace()):
                 readings.append((" ", 0.0))
         new: dict[tuple[int, ...], tuple[float, tuple | None]] = {}
         for state, (total, text) in paths.items():
@@ -180,7 +186,7 @@ def restore(token: str, model: LanguageModel, edges: bool = False) -> str:
                     value = (total + fee + float(cost[(*state, number)]), (text, reading))
                 if key not in new or value[0] < new[key][0]:
                     new[key] = value
-        paths = new if len(new) <= 200 else dict(sorted(new.items(), key=lambda x: x[1][0])[:200])
+        paths = new
     text = min(((total + float(cost[(*state, 0)]), text) for state, (total, text) in paths.items()), key=lambda x: x[0])[1]
     out = []
     while text:
@@ -192,53 +198,53 @@ def restore(token: str, model: LanguageModel, edges: bool = False) -> str:
 class Restorer:
     """Restores the words of texts; each distinct suspicious token is decoded once a task."""
 
+    #: Entries after which a task starts its table anew; results don't depend on it.
     KEPT = 200_000
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.known: dict[tuple[str, bool], tuple[str, ...]] = {}
+        self.known: dict[str, tuple[str, ...]] = {}
 
-    def decode(self, token: str, spaced: bool = False) -> tuple[str, ...]:
-        """Readings of a token: the words in it as they stand, the token as one word, and the words that it joins."""
-        key = (token, spaced)
-        found = self.known.get(key)
+    def decode(self, token: str) -> tuple[str, ...]:
+        """Readings of a token or of spaced letters: the words in it as they stand, it as one word, and the words that it joins."""
+        found = self.known.get(token)
         if found is None:
-            token = collapse(token)
-            out = _PLAIN.findall(token)
-            parts = [p for p in _JOINT.split(token) if p]
-            whole = len(token) <= LONGEST
-            if whole:
-                out.append(restore(token, self.model))
+            short = collapse(token)
+            out = _PLAIN.findall(short)
+            out.append(restore(short, self.model))
+            parts = [p for p in _JOINT.split(short) if p]
             for part in parts if len(parts) > 1 else ():
                 if suspicious(part):
                     out += self.decode(part)
-            if len(parts) == 1 and (spaced or not whole):
-                out += restore(token, self.model, edges=True).split()
-                for piece in _GAP.split(token) if spaced and _GAP.search(token) else ():
+            if any(c in SEPARATORS or c.isspace() for c in short):
+                out += restore(short, self.model, edges=True).split()
+                for piece in _GAP.split(short) if _GAP.search(short) else ():
                     out.append(restore(piece, self.model))
             found = tuple(dict.fromkeys(out))
-            if len(self.known) < self.KEPT:
-                self.known[key] = found
+            if len(self.known) >= self.KEPT:
+                self.known.clear()
+            self.known[token] = found
         return found
 
     def words(self, text: str) -> set[str]:
         """Distinct words of a text as they stand and as restored."""
         low = text.lower()
-        tokens = set(low.split())
         out: set[str] = set()
-        for token in tokens:
-            if token.isalpha():
-                out.add(token)
-            else:
-                core = token.strip(".,;:?\"')(")
-                out.update(self.decode(core) if suspicious(core) else _PLAIN.findall(core))
-        for token in [t for t in tokens if t.isalpha() and _RUN.search(t)]:
-            out.update(self.decode(token))
+        for token in set(low.split()):
+            core = core_of(token)
+            if core.isalpha():
+                out.add(core)
+            out.update(self.decode(core) if suspicious(core) else _PLAIN.findall(core))
         for spaced in _SPACED.findall(low):
-            out.update(self.decode(spaced, spaced=True))
+            out.update(self.decode(spaced))
         return out
 
 
+def core_of(token: str) -> str:
+    """A token without the punctuation around it; of letters alone it is itself."""
+    return token if token.isalpha() else token.strip(".,;:?\"')(")
+
+
 # -- the lexicon ----------------------------------------------------------------------------------
 
 
@@ -250,17 +256,85 @@ def entries(words: set[str]) -> set[str]:
     return out
 
 
+def entries_of(word: str) -> list[str]:
+    """Lexicon entries of one word."""
+    return [word, *(f"{word[:size]}*" for size in PREFIXES if len(word) > size)]
+
+
 @dataclass
 class Lexicon:
     """Chance that a document with an entry is toxic, for the entries that tell."""
 
     chance: dict[str, float]
 
-    def score(self, words: set[str]) -> float:
+    def score_entries(self, met: set[str]) -> float:
         """Chance that at least one of the entries met is right."""
-        chance = self.chance
-        strongest = sorted((chance[e] for e in entries(words) if e in chance), reverse=True)[:5]
-        return 1.0 - math.prod(1.0 - c for c in strongest)
+        return 1.0 - math.prod(1.0 - self.chance[e] for e in sorted(met))
+
+    def score(self, words: set[str]) -> float:
+        return self.score_entries({e for e in entries(words) if e in self.chance})
+
+
+#: Longer tokens are decoded without asking the gate, whose search isn't linear.
+GATED = 32
+
+
+def gate(lexicon: Lexicon) -> re.Pattern | None:
+    """A pattern that every token with a reading in the lexicon contains; None for an empty lexicon.
+
+    Each letter of an entry is one or more characters that may stand for it,
+    with any number of characters between that a reading may drop.
+    """
+    looks: dict[str, str] = {}
+    for char, letters in LOOK_ALIKES.items():
+        for letter in letters:
+            looks[letter] = looks.get(letter, "") + char
+    kinds = set()
+    for entry in lexicon.chance:
+        letters = re.sub(r"(.)\1+", r"\1", entry.removesuffix("*"))
+        stands = [re.escape(x + looks.get(x, "")) for x in letters]
+        kinds.add("".join(f"[{c}][{c}\\W_]*" for c in stands))
+    return re.compile("|".join(sorted(kinds))) if kinds else None
+
+
+class Scorer:
+    """Scores texts; what a distinct token adds to the entries met is looked up once a task."""
+
+    KEPT = 500_000
+
+    def __init__(self, model: LanguageModel, lexicon: Lexicon):
+        self.restorer, self.lexicon, self.gate = Restorer(model), lexicon, gate(lexicon)
+        self.known: dict[str, tuple[str, ...]] = {}
+
+    def may_hit(self, token: str) -> bool:
+        return self.gate is not None and (len(token) > GATED or self.gate.search(token) is not None)
+
+    def hits(self, words) -> tuple[str, ...]:
+        chance = self.lexicon.chance
+        return tuple({e for w in words for e in entries_of(w) if e in chance})
+
+    def of_token(self, token: str) -> tuple[str, ...]:
+        core = core_of(token)
+        if not suspicious(core):
+            return self.hits((core,) if core.isalpha() else _PLAIN.findall(core))
+        return self.hits((core, *self.restorer.decode(core)) if core.isalpha() else self.restorer.decode(core)) if self.may_hit(core) else ()
+
+    def score(self, text: str) -> float:
+        low = text.lower()
+        tokens = set(low.split())
+        if len(self.known) > self.KEPT:
+            self.known.clear()
+        known, met = self.known, set()
+        for token in tokens:
+            found = known.get(token)
+            if found is None:
+                found = known[token] = self.of_token(token)
+            if found:
+                met.update(found)
+        for spaced in _SPACED.findall(low):
+            if self.may_hit(spaced):
+                met.update(self.hits(self.restorer.decode(spaced)))
+        return self.lexicon.score_entries(met)
 
 
 def train(
@@ -290,18 +364,25 @@ def train(
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         restorer = Restorer(shared.value)
+        for batch in batches:
+            words = [sorted(restorer.words(t)) for t in texts(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), batch.column(1)], names=["words", "label"])
+
+    worded = Written(rows.mapInArrow(read, "words array<string>, label int"))  # each labelled text is restored once
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
         for batch in batches:
-            for text, toxic in zip(texts(batch), batch.column(1).to_pylist(), strict=True):
-                seen[int(toxic > 0)].update(entries(restorer.words(text)))
+            for words, toxic in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                seen[int(toxic > 0)].update(entries(set(words)))
         names = list(seen[0].keys() | seen[1].keys())
         yield pa.RecordBatch.from_arrays(
             [pa.array(names, pa.string()), *(pa.array([c[x] for x in names], pa.int64()) for c in seen)], names=["entry", "clean", "bad"]
         )
 
-    counted = rows.mapInArrow(run, "entry string, clean long, bad long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
+    counted = worded.df.mapInArrow(run, "entry string, clean long, bad long").groupBy("entry").agg(F.sum("clean").alias("clean"), F.sum("bad").alias("bad"))
     n, p = F.col("clean") + F.col("bad"), (F.col("bad") + 0.5) / (F.col("clean") + F.col("bad") + 1.0)
     sure = p - F.sqrt(p * (1 - p) / n)
     kept = counted.where(F.col("bad") >= SUPPORT).withColumn("chance", F.least(F.lit(0.99), sure)).where(F.col("chance") >= 0.5)
@@ -312,12 +393,12 @@ def train(
     names = spark.sparkContext.broadcast({e: i for i, e in enumerate(chance)})
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer, at = Restorer(shared.value), names.value
+        at = names.value
         for batch in batches:
-            met = [[at[e] for e in entries(restorer.words(t)) if e in at] for t in texts(batch)]
+            met = [[at[e] for e in entries(set(words)) if e in at] for words in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(met, pa.list_(pa.int32()))], names=["met"])
 
-    toxic = rows.where("label > 0").mapInArrow(meet, "met array<int>").toArrow().column("met").combine_chunks()
+    toxic = worded.df.where("label > 0").mapInArrow(meet, "met array<int>").toArrow().column("met").combine_chunks()
     picked = cover(toxic, np.array(list(chance.values())), kept["clean"].to_numpy(float))
     return Lexicon({e: c for i, (e, c) in enumerate(chance.items()) if i in picked})
 
@@ -364,13 +445,8 @@ def score(docs: DataFrame, model: LanguageModel, lexicon: Lexicon, text_col: str
     """
     shared = docs.sparkSession.sparkContext.broadcast((model, lexicon))
 
-    def setup():
-        model, lexicon = shared.value
-        return Restorer(model), lexicon
-
-    def rows(batch: pa.RecordBatch, state):
-        restorer, lexicon = state
-        found = [lexicon.score(restorer.words(t)) for t in texts(batch, text_col)]
+    def rows(batch: pa.RecordBatch, scorer: Scorer):
+        found = list(map(scorer.score, texts(batch, text_col)))
         return [pa.array(found, pa.float64()), pa.array([int(f >= THRESHOLD) for f in found], pa.int32())]
 
-    return with_columns(docs, [("score", T.DoubleType()), ("predicted", T.IntegerType())], rows, setup=setup)
+    return with_columns(docs, [("score", T.DoubleType()), ("predicted", T.IntegerType())], rows, setup=lambda: Scorer(*shared.value))
