@@ -114,13 +114,13 @@ n AS (SELECT doc_id, i, w, lead(w, 1) OVER o AS w1, lead(w, 2) OVER o AS w2 FROM
 b AS (
   SELECT doc_id, i, CASE WHEN w = 'mit' AND w1 = 'license' THEN 'mit' WHEN w = 'apache' AND w1 = 'license' THEN 'apache'
     WHEN w = 'general' AND w1 = 'public' AND w2 = 'license' THEN 'gpl' END AS label FROM n
-), lines AS (SELECT doc_id, generate_subscripts(x, 1) AS line, unnest(x) AS t FROM (SELECT doc_id, string_split(t, chr(10)) AS x FROM d)),
-lw AS (SELECT doc_id, line, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM (SELECT doc_id, line, regexp_extract_all(t, '{_WORD}') AS ws FROM lines)),
-met AS (SELECT lw.doc_id, lw.line, lw.i, tok.* FROM lw JOIN tok ON lw.w = tok.token),
+), met AS (SELECT a.doc_id, a.i, tok.* FROM a JOIN tok ON a.w = tok.token),
+enough AS (SELECT doc_id, label FROM met GROUP BY doc_id, label HAVING count(DISTINCT token) >= any_value(need)),
+own AS (SELECT met.* FROM met JOIN enough ON met.doc_id = enough.doc_id AND met.label = enough.label),
 best AS (
-  SELECT x.doc_id, x.label, x.line, x.i, count(DISTINCT y.token) AS held, any_value(x.need) AS need, any_value(x.size) AS size
-  FROM met x JOIN met y ON x.doc_id = y.doc_id AND x.line = y.line AND x.label = y.label AND y.i BETWEEN x.i AND x.i + x.span - 1
-  GROUP BY x.doc_id, x.label, x.line, x.i
+  SELECT x.doc_id, x.label, x.i, count(DISTINCT y.token) AS held, any_value(x.need) AS need, any_value(x.size) AS size
+  FROM own x JOIN own y ON x.doc_id = y.doc_id AND x.label = y.label AND y.i BETWEEN x.i AND x.i + x.span - 1
+  GROUP BY x.doc_id, x.label, x.i
 ), notices AS (SELECT doc_id, label, max(CAST(held AS DOUBLE) / size) AS share FROM best WHERE held >= need GROUP BY doc_id, label),
 every AS (SELECT doc_id, label FROM b WHERE label IS NOT NULL UNION SELECT doc_id, label FROM notices),
 counts AS (SELECT doc_id, count(*) AS n FROM a GROUP BY doc_id),
