@@ -311,6 +311,67 @@ def test_suffix_rates_are_of_all_labelled_urls(spark):
     assert sum((r["score"] >= 0.5) == r["bad"] for r in rows) >= 798 and {r["last_n"] for r in rows} == {"clash"}
 
 
+def brute_split(x, y, base, l2, edges):
+    """The feature, cut and leaf sums of the best single split, by trying every one."""
+    p = 1 / (1 + np.exp(-base))
+    g, h = y - p, np.full(len(y), p * (1 - p))
+    best = (-1.0, None)
+    for j in range(x.shape[1]):
+        for cut in edges(x[:, j]):
+            right = x[:, j] >= cut
+            gain = sum(g[m].sum() ** 2 / (h[m].sum() + l2) for m in (right, ~right)) - g.sum() ** 2 / (h.sum() + l2)
+            if gain > best[0] + 1e-12:
+                best = (gain, (j, cut, [g[m].sum() / (h[m].sum() + l2) for m in (~right, right)]))
+    return best
+
+
+def test_first_tree_is_the_best_split_and_scores_follow_the_trees():
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        x = rng.integers(0, 12, size=(60, 4)).astype(float)
+        y = ((x[:, 1] + rng.normal(size=60) * 3) > 6).astype(float)
+        stump = urls.fit(x, y, None, trees=1, depth=1, rate=1.0, bins=1000)
+        gain, (_, _, values) = brute_split(x, y, stump.base, 1.0, lambda column: np.unique(column)[1:])
+        got = x[:, stump.feature[0, 0]] >= stump.cut[0, 0]
+        p = 1 / (1 + np.exp(-stump.base))
+        g, h = y - p, np.full(60, p * (1 - p))
+        same = sum(g[m].sum() ** 2 / (h[m].sum() + 1) for m in (got, ~got)) - g.sum() ** 2 / (h.sum() + 1)
+        assert same == pytest.approx(gain) and sorted(stump.value[0]) == pytest.approx(sorted(values))
+        model = urls.fit(x, y, None, trees=7, depth=3)
+        for row, score in zip(x, model.score(x), strict=True):
+            total = model.base
+            for feature, cut, value in zip(model.feature, model.cut, model.value, strict=True):
+                node = 0
+                for _ in range(3):
+                    node = 2 * node + 1 + int(row[feature[node]] >= cut[node])
+                total += value[node - 7]
+            assert score == pytest.approx(1 / (1 + np.exp(-total)))
+
+
+def test_hosts_and_words_never_labelled_are_judged_by_their_looks(spark):
+    rng = random.Random(16)
+    name = lambda: "".join(rng.choices(["th", "er", "in", "ou", "st", "le"], k=3))
+    bad = [f"{a}-{b}{i}.example.org" for i in range(12) for a, b in (("cheap", "pills"), ("casino", "win"), ("spam", "farm"), ("zzz", "qqq"))]
+    hosts = [f"{name()}.example.org" for _ in range(150)] + [h.replace(f"{i}.", f".x{i}.", 1) for i, h in enumerate(bad)]
+    given = [(f"https://{h}/en/{rng.randint(1, 9999)}?page={k}",) for h in hosts for k in range(3)]
+    pages = spark.createDataFrame(given, "url string")
+    labelled = urls.listed_labels(pages)
+    known = {r["url"].split("/")[2] for r in labelled.collect()}
+    assert known == {h for h in hosts if zlib.crc32(h.encode()) % urls.UNLABELLED}
+    labelled = labelled.where("not url like '%zzz%'")  # words that the list doesn't have, and no host with them is labelled
+    rows = urls.judge(pages, urls.train(labelled)).collect()
+    unseen = [r for r in rows if r["host"] not in known or "zzz" in r["host"]]
+    assert len(unseen) > 100 and sum((r["score"] >= 0.5) == ("-" in r["host"]) for r in unseen) / len(unseen) > 0.95
+
+
+def test_very_long_urls(spark):
+    given = ["http://" + "a" * 200_000 + ".com/en/x", "http://h.org/" + "p/" * 100_000, "://" * 10_000, "http://x.net/fr/?" + "a=1&" * 50_000]
+    model = urls.train(spark.createDataFrame([(u, i % 2) for i, u in enumerate(given)] * 3, "url string, bad int"))
+    rows = urls.judge(spark.createDataFrame(list(enumerate(given)), "page_id int, url string"), model).orderBy("page_id").collect()
+    assert [r["rule"] for r in rows] == ["com/", None, None, "net/fr/"] and [len(r["path"]) for r in rows] == [5, 200_001, 29_996, 4]
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
 # -- toxicity -------------------------------------------------------------------------------------
 
 

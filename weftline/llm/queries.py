@@ -52,10 +52,11 @@ def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Verdict on every page's URL: list rules, then boosted trees learnt from seed-labelled URLs."""
+    """Verdict on every page's URL: list rules, then boosted trees learnt from the labelled part of the hosts."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
-    model = urls.train(urls.seed_labels(pages))
-    return urls.judge(pages, model).select("page_id", "host", "path", "rule", "verdict", "score")
+    model = urls.train(urls.listed_labels(pages))
+    judged = urls.judge(pages, model).withColumn("held_out", urls.unlabelled(F.col("host")))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score", "held_out")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,8 +27,16 @@ RULES = (
     ("net/es/", "block"),
     ("net/fr/", "block"),
 )
-#: Words in a host name that published block lists sort under advertising, gambling, drugs and spam.
-SEED_WORDS = ("ads", "bets", "bingo", "casino", "cheap", "pills", "poker", "porn", "spam", "track", "viagra", "win")
+#: Words of host names that published block lists sort under these headings.
+BLOCK_LIST = {
+    "advertising and tracking": "ad ads adserver adservice advert advertising affiliate banners clicks doubleclick popads popup pixel telemetry track tracker tracking",
+    "gambling": "bet bets betting bingo blackjack casino casinos gamble gambling jackpot lottery poker roulette slots sportsbook",
+    "drugs": "cialis levitra pharma pharmacy pill pills steroids tramadol viagra xanax",
+    "adult": "adult cams erotic escort escorts nude porn porno sex xxx",
+    "spam and fraud": "cheap crack cracked free giveaway keygen loans payday phishing prize replica scam spam spammer torrents warez winner",
+}
+#: Hosts whose crc32 modulo this is 0 are never labelled: the model's error is measured on them.
+UNLABELLED = 3
 #: At most this many labelled URLs are used to fit, those with the smallest hash.
 TRAIN_ROWS = 20_000
 THRESHOLD = 0.5
@@ -180,7 +188,11 @@ class Forest:
 
 
 def fit(x: np.ndarray, y: np.ndarray, rates: Rates | None, trees: int = 60, depth: int = 3, rate: float = 0.2, bins: int = 32, l2: float = 1.0) -> Forest:
-    """Boost trees on histograms. No rows give 0.5 everywhere, one class its smoothed share."""
+    """Boost trees on histograms. No rows give 0.5 everywhere, one class its smoothed share.
+
+    Of splits that gain the same, the one with the widest gap between the two
+    sides is taken (as a share of the feature's range), and cuts lie in the middle.
+    """
     n, k = x.shape
     share = (float(y.sum()) + 0.5) / (n + 1)
     inner, leaves = 2**depth - 1, 2**depth
@@ -189,6 +201,9 @@ def fit(x: np.ndarray, y: np.ndarray, rates: Rates | None, trees: int = 60, dept
         return model
     edges = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, bins + 1)[1:-1], method="higher")) for j in range(k)]
     binned = [np.searchsorted(edges[j], x[:, j], "right") for j in range(k)]
+    below = [np.array([x[x[:, j] < e, j].max(initial=-np.inf) for e in edges[j]]) for j in range(k)]
+    gaps = [(e - b) / max(np.ptp(x[:, j]), 1e-12) for j, (e, b) in enumerate(zip(edges, below, strict=True))]
+    cuts = [np.where(np.isfinite(b), (e + b) / 2, e) for e, b in zip(edges, below, strict=True)]
     total = np.full(n, model.base)
     made: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     for _ in range(trees):
@@ -199,7 +214,7 @@ def fit(x: np.ndarray, y: np.ndarray, rates: Rates | None, trees: int = 60, dept
         for level in range(depth):
             for at in range(2**level - 1, 2 ** (level + 1) - 1):
                 rows = np.flatnonzero(node == at)
-                best = (1e-9, 0, np.inf)
+                best = (1e-9, 0.0, 0, np.inf)
                 gs, hs = g[rows].sum(), h[rows].sum()
                 for j in range(k):
                     if not len(rows) or not len(edges[j]):
@@ -208,10 +223,11 @@ def fit(x: np.ndarray, y: np.ndarray, rates: Rates | None, trees: int = 60, dept
                     left_h = np.cumsum(np.bincount(binned[j][rows], h[rows], len(edges[j]) + 1))[:-1]
                     gain = left_g**2 / (left_h + l2) + (gs - left_g) ** 2 / (hs - left_h + l2) - gs**2 / (hs + l2)
                     b = int(gain.argmax())
-                    if gain[b] > best[0]:
-                        best = (gain[b], j, edges[j][b])
-                feature[at], cut[at] = best[1], best[2]
-                node[rows] = 2 * at + 1 + (x[rows, best[1]] >= best[2])
+                    tie = abs(gain[b] - best[0]) <= 1e-9 * best[0]
+                    if gain[b] > best[0] and not tie or tie and gaps[j][b] > best[1]:
+                        best = (gain[b], gaps[j][b], j, cuts[j][b])
+                feature[at], cut[at] = best[2], best[3]
+                node[rows] = 2 * at + 1 + (x[rows, best[2]] >= best[3])
         leaf = node - inner
         value = rate * np.bincount(leaf, g, leaves) / (np.bincount(leaf, h, leaves) + l2)
         total += value[leaf]
@@ -226,7 +242,9 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Forest:
     Suffix rates are shares of bad URLs by last label and by last three labels,
     over all labelled URLs, drawn towards the overall share; only the trees are
     bounded. A row is trained with the rates of the other folds: without its own
-    label alone, a suffix's rate would tell the label. Null URLs and labels are left out; a URL labelled twice counts as
+    label alone, a suffix's rate would tell the label. Each row is seen a second
+    time as one of an unknown domain, so that the trees learn what URLs look like
+    and not domains alone. Null URLs and labels are left out; a URL labelled twice counts as
     bad if once bad.
     """
     chosen = Written(labelled.where("url is not null and bad is not null").groupBy("url").agg(F.max("bad").alias("bad"))).df
@@ -237,7 +255,9 @@ def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS) -> Forest:
     y = got["bad"].to_numpy(float)
     last, domain = (smoothed(got[f"__{c}_bad"].to_numpy(float), got[f"__{c}_n"].to_numpy(float), rates.mean) for c in ("last", "domain"))
     x = np.array([features(*row) for row in zip(got["url"], last, domain, strict=True)], float).reshape(-1, len(FEATURES))
-    return fit(x, y, rates)
+    unseen = x.copy()
+    unseen[:, FEATURES.index("domain_rate")] = rates.mean
+    return fit(np.concatenate((x, unseen)), np.concatenate((y, y)), rates, l2=2.0)  # every row counts twice, so the penalty does too
 
 
 def smoothed(bad: np.ndarray, n: np.ndarray, mean: float) -> np.ndarray:
@@ -245,11 +265,21 @@ def smoothed(bad: np.ndarray, n: np.ndarray, mean: float) -> np.ndarray:
     return (bad + 4 * mean) / (n + 4)
 
 
-def seed_labels(pages: DataFrame, seed_words: tuple[str, ...] = SEED_WORDS, url_col: str = "url") -> DataFrame:
-    """Labelled URLs (url, bad) of a table of pages: bad where a hyphen- or dot-cut host word is a seed word."""
+def unlabelled(host: Column) -> Column:
+    """Whether a host is held out from labelling."""
+    return F.crc32(host.cast("binary")) % UNLABELLED == 0
+
+
+def listed_labels(pages: DataFrame, block_list: dict[str, str] = BLOCK_LIST, url_col: str = "url") -> DataFrame:
+    """Labelled URLs (url, bad) of a table of pages: bad where a hyphen- or dot-cut word of the host is on the block list.
+
+    Only a part of the hosts is labelled (see UNLABELLED); the others' URLs are
+    judged by what the trees have learnt from these.
+    """
     host, _ = host_and_path(F.col(url_col))
-    bad = F.arrays_overlap(F.split(host, r"[.\-]"), F.array(*map(F.lit, seed_words)))
-    return pages.select(F.col(url_col).alias("url"), bad.cast("int").alias("bad"))
+    words = sorted({w for line in block_list.values() for w in line.split()})
+    bad = F.arrays_overlap(F.split(host, r"[.\-]"), F.array(*map(F.lit, words)))
+    return pages.where(~unlabelled(host)).select(F.col(url_col).alias("url"), bad.cast("int").alias("bad"))
 
 
 def judge(pages: DataFrame, model: Forest, rules: tuple[tuple[str, str], ...] = RULES, url_col: str = "url") -> DataFrame:
