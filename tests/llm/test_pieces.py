@@ -13,10 +13,10 @@ LIBRARY = sentencepiece.SentencePieceProcessor(model_file=MODEL)
 TABLE = pieces.ChunkTable(MODEL)
 
 
-def coded(text):
+def coded(text, table=TABLE):
     chunks = pieces.marked(text)
-    TABLE.learn({c for c in chunks if len(c) <= pieces.KEPT_CHARS})
-    ids, decoded = TABLE.code(chunks)
+    table.learn({c for c in chunks if len(c) <= pieces.KEPT_CHARS})
+    ids, decoded = table.code(chunks)
     return [int(i) for i in ids.split(",")] if ids else [], decoded
 
 
@@ -43,11 +43,23 @@ def test_whole_texts_equal_the_library(spark, make, odd):
         assert row["text"] == text
 
 
-def test_a_full_table_changes_nothing(monkeypatch):
-    monkeypatch.setattr(pieces, "TABLE_ENTRIES", 3)
+def test_a_full_table_changes_nothing():
+    table = pieces.ChunkTable(MODEL, own_entries=3)
     for text in ("one two three four five", "six seven one two", "x " * 40):
         ids = LIBRARY.encode(text)
-        assert coded(text)[0] == ids
+        assert coded(text, table)[0] == ids
+
+
+def test_the_corpus_table_has_the_frequent_chunks_and_its_size_changes_nothing(spark, make):
+    texts = ["one two three four", "one two three", "one two  <s> odd\u200bness", "one <s> odd\u200bness", "one ﬁ ﬁ ﬁ", None]
+    docs = make(texts * 3 + ["once"])
+    counts = {r["chunk"]: r["n"] for r in pieces.chunk_counts(docs).collect()}
+    assert counts["▁one"] == 15 and counts["▁two"] == counts["▁ﬁ"] == 9 and counts["▁four"] == 3 and counts["▁once"] == 1
+    for entries, least in ((1000, 2), (3, 8), (1, 16), (0, 64)):
+        table = pieces.corpus_table(docs, MODEL, entries=entries)
+        assert set(table.column("chunk").to_pylist()) == {c for c, n in counts.items() if n >= least} and table.num_rows <= entries
+        rows = pieces.encode_decode(docs, MODEL, with_ids=True, with_text=True, entries=entries, own_entries=2).collect()
+        assert all((r["ids"], r["decoded"]) == (LIBRARY.encode(r["text"] or ""), LIBRARY.decode(LIBRARY.encode(r["text"] or ""))) for r in rows)
 
 
 def test_empty_table_and_clashing_columns(spark, make):
