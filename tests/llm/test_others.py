@@ -3,6 +3,7 @@
 import hashlib
 import random
 import textwrap
+import time
 import zlib
 
 import numpy as np
@@ -139,6 +140,21 @@ def test_line_dedup_equals_brute_force(spark, bound, monkeypatch):
     assert linespread.remove_boilerplate(docs.limit(0)).count() == 0
 
 
+def test_line_dedup_of_long_texts_and_clashing_names(spark):
+    common = [f"shared line {i}" for i in range(20_000)]
+    rows = [(d, "\n".join(x for i, c in enumerate(common) for x in (c, f"own {d} {i}", "")), f"s{d}") for d in range(4)]
+    rows += [(0, rows[0][1], "s0"), (9, "\n".join(common), "s9"), (10, "\n\n" + common[0] + "\n \nx\n" + common[1], "s10")]
+    names = ["r1", "r2", "gone", "lines", "bounds", "doc", "at", "__row", "id", "first"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").select("*", *(F.lit(i).alias(n) for i, n in enumerate(names)))
+    began = time.time()
+    got = linespread.remove_boilerplate(docs).collect()
+    assert time.time() - began < 60 and got[0].asDict().keys() == {*docs.columns, "n_lines", "n_removed"}
+    want = sorted(zip([r[0] for r in rows], brute_lines(rows, 3), strict=True))
+    assert sorted((r["doc_id"], r["text"]) for r in got) == want
+    assert {r["doc_id"]: r["n_removed"] for r in got} == {0: 0, 1: 20_000, 2: 20_000, 3: 20_000, 9: 20_000, 10: 2}
+    assert all(r[n] == i for r in got for i, n in enumerate(names))
+
+
 # -- licenses -------------------------------------------------------------------------------------
 
 

@@ -80,40 +80,49 @@ def remove_boilerplate(
     Lines are cut at the newline; blank ones stay and are not counted. A null
     text stays null. Documents that lose every line keep an empty text. Rows of
     the same id are one document; a null id is smaller than none, so its rows
-    keep a line only where no id has it. Other columns pass through.
+    keep a line only where no id has it. Other columns pass through, whatever
+    their names.
 
     Line keys are joined with the boilerplate keys (broadcast when that table is
     small, else dealt out with a salt so that a line of a third of all documents
-    is spread), and what a document loses comes back to it by a hash of its id
-    and text. Two documents with one hash would share a set of lines that are
-    boilerplate anyway, so a collision loses no content.
+    is spread). The positions of the lines that a document loses come back to it
+    by 128 bits of hash of its id and text, and the lines between them are put
+    together again, so the work is linear in the text.
     """
     common = Written(boilerplate(docs, min_sites, lg_k, id_col, text_col, site_col))
-    row = F.xxhash64(F.col(id_col), F.col(text_col))
-    keys = doc_lines(docs.select(F.struct(F.col(id_col).alias("id"), row.alias("row")).alias("__row"), text_col), "__row", text_col, None)
-    keys = keys.select(F.col("id.id").alias("id"), F.col("id.row").alias("__row"), "h1", "h2")
+    row = [F.xxhash64(F.col(id_col), F.col(text_col)), F.xxhash64(F.lit("row"), F.col(id_col), F.col(text_col))]
+    lines = F.transform(F.split(F.col(text_col), "\n"), normalised)
+    placed = docs.where(F.col(text_col).isNotNull()).select(
+        F.col(id_col).alias("id"), row[0].alias("r1"), row[1].alias("r2"), F.posexplode(lines).alias("at", "line")
+    )
+    keys = placed.where("line <> ''").select("id", "r1", "r2", "at", line_key(F.col("line")).alias("k")).select("id", "r1", "r2", "at", "k.h1", "k.h2")
     if common.small():
         met = keys.join(F.broadcast(common.df), ["h1", "h2"])
     else:
         salts = F.sequence(F.lit(0), F.lit(SPREADS - 1))
         spread = common.df.withColumn("salt", F.explode(salts))
-        met = keys.withColumn("salt", F.pmod("__row", F.lit(SPREADS)).cast("int")).join(spread, ["h1", "h2", "salt"])
+        met = keys.withColumn("salt", F.pmod("r1", F.lit(SPREADS)).cast("int")).join(spread, ["h1", "h2", "salt"])
     met = met.where(~F.col("id").eqNullSafe(F.col("first")))
-    dropped = Written(met.groupBy("__row").agg(F.collect_set(F.struct("h1", "h2")).alias("__drop")))
+    # a document's positions: as many as it has lines; equal rows have equal ones
+    dropped = Written(met.groupBy("r1", "r2").agg(F.sort_array(F.collect_set("at")).alias("gone")))
     side = F.broadcast(dropped.df) if dropped.small() else dropped.df.hint("shuffle_hash")
-    joined = docs.withColumn("__row", row).join(side, "__row", "left")
-
-    lines = F.split(F.col(text_col), "\n")
-    hit = F.col("__drop").isNotNull()
-    goes = lambda x: F.array_contains("__drop", line_key(normalised(x))) & x.rlike(r"\S")
-    joined = joined.withColumn("__lines", lines).withColumn("__left", F.when(hit, F.filter("__lines", lambda x: ~goes(x))))
-    text = F.when(hit, F.array_join("__left", "\n")).otherwise(F.col(text_col))
+    packed = docs.select(F.struct(*(docs[c] for c in docs.columns)).alias("doc"), row[0].alias("r1"), row[1].alias("r2"))
+    joined = packed.join(side, ["r1", "r2"], "left").withColumn("lines", F.split(F.col("doc")[text_col], "\n"))
+
+    # positions with one before the first line and one behind the last; what stays lies between neighbours
+    bounds = F.concat(F.array(F.lit(-1)), F.col("gone"), F.array(F.size("lines")))
+    joined = joined.withColumn("bounds", F.when(F.col("gone").isNotNull(), bounds))
+    between = F.transform(
+        F.sequence(F.lit(1), F.size("bounds") - 1),
+        lambda i: F.slice("lines", F.get("bounds", i - 1) + 2, F.get("bounds", i) - F.get("bounds", i - 1) - 1),
+    )
+    text = F.when(F.col("gone").isNotNull(), F.array_join(F.flatten(between), "\n")).otherwise(F.col("doc")[text_col])
     counted = {
-        "n_lines": F.coalesce(F.size(F.filter("__lines", lambda x: x.rlike(r"\S"))), F.lit(0)),
-        "n_removed": F.when(hit, F.size("__lines") - F.size("__left")).otherwise(F.lit(0)),
+        "n_lines": F.coalesce(F.size(F.filter("lines", lambda x: x.rlike(r"\S"))), F.lit(0)),
+        "n_removed": F.coalesce(F.size("gone"), F.lit(0)),
     }
     named = [c for c in docs.columns if c not in counted]
     return joined.select(
-        *(text.alias(c) if c == text_col else F.col(c) for c in named),
+        *((text if c == text_col else F.col("doc")[c]).alias(c) for c in named),
         *(F.greatest(c, F.lit(0)).cast("long").alias(n) for n, c in counted.items()),
     )
