@@ -185,3 +185,41 @@ def test_stars_and_cross_pairs_lose_no_candidate_whatever_the_batches(size, seed
     near = lambda a, b: int(np.bitwise_count(wide[a] ^ wide[b]).sum()) <= simhash.WIDE_BITS
     assert cross == {(a, b) for a, b in exact if sizes[key[a]] > simhash.SMALL_GROUP and part[a] != part[b] and near(a, b)}
     assert components_of(cross & real, part) == components_of(real)
+
+
+def test_lone_pairs_at_the_similarity_itself_share_a_key():
+    rng = np.random.default_rng(6)
+    recall = {}
+    for shared, own in ((4, 1), (8, 2), (12, 3), (16, 4), (32, 8), (80, 20), (400, 100), (2000, 500)):
+        found, least_found = 0, 60 if shared > 100 else 200
+        for _ in range(least_found):  # of so many pairs; one set holds the shared hashes, the other some of its own
+            every = np.unique(rng.integers(0, 2**63, shared + own).astype(np.uint64) * np.uint64(2))
+            cut = rng.integers(0, own + 1)
+            common = rng.permutation(every)
+            a, b = np.sort(common[: shared + cut]), np.sort(np.concatenate((common[:shared], common[shared + cut :])))
+            assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) == 0.8
+            key, at = simhash.sketch_keys([simhash.packed_sketch(x, 0.8) for x in (a, b)])
+            fps = simhash.wide_words([simhash.packed_sketch(x, 0.8) for x in (a, b)])[:, 0]
+            found += bool(np.intersect1d(key[at == 0], key[at == 1]).size) and bool(simhash.may_be_similar(fps[0], len(a), fps[1], len(b), 0.8))
+        recall[shared + own] = found / least_found
+    assert all(r == 1 for n, r in recall.items() if n <= simhash.SHORT) and min(recall.values()) >= 0.95
+    assert sum(recall.values()) / len(recall) >= 0.98
+
+
+def test_prefixes_find_every_pair_of_short_texts():
+    rng = np.random.default_rng(7)
+    pool = rng.integers(0, 2**63, 30).astype(np.uint64)
+    bases = [np.unique(rng.choice(pool, rng.integers(4, simhash.SHORT + 1))) for _ in range(40)]
+    sets = [np.unique(np.append(b[rng.random(len(b)) > 0.07], rng.choice(pool, rng.integers(0, 2)))) for b in bases for _ in range(8)]
+    sets = [x for x in sets if 0 < len(x) <= simhash.SHORT]
+    key, at = simhash.sketch_keys([simhash.packed_sketch(x, 0.8) for x in sets])
+    keys = [set(key[at == i].tolist()) for i in range(len(sets))]
+    near = [(i, j) for i in range(len(sets)) for j in range(i) if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j]))]
+    assert len(near) > 50 and all(keys[i] & keys[j] for i, j in near)
+
+
+def test_one_row_of_a_repeated_id_stays_whatever_the_order(spark):
+    rows = [(1, "a b c d e f", "x"), (1, "g h i j k l", "y"), (1, "m n o p q r", "z"), (2, "s t u v w x", "x")]
+    schema = "doc_id long, text string, `__id` string"
+    kept = {tuple(sorted(map(tuple, simhash.drop_near_duplicates(spark.createDataFrame(r, schema)).collect()))) for r in (rows, rows[::-1])}
+    assert len(kept) == 1 and [r[0] for r in kept.pop()] == [1, 2]

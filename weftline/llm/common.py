@@ -13,6 +13,8 @@ Conventions for every operator of this subpackage:
 from __future__ import annotations
 
 import atexit
+import logging
+import re
 import shutil
 import tempfile
 import uuid
@@ -25,8 +27,9 @@ from pyspark.sql import types as T
 
 #: Rows of an Arrow batch that are in Python's hands at once.
 ROWS_AT_ONCE = 500
-#: Tables up to this many bytes (as written, compressed) may be broadcast.
-BROADCAST_BYTES = 8 << 20
+#: Tables up to this many bytes (as written, compressed) and rows may be broadcast.
+BROADCAST_BYTES, BROADCAST_ROWS = 8 << 20, 1_000_000
+_log = logging.getLogger("weftline")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,12 +40,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, from ``spark.checkpoint.dir``.
 
-    Where the session names none (tests in local mode) a temporary one is made
-    and set, so that later calls find it.
+    Where the session names none, in local mode a temporary one is made and set,
+    so that later calls find it. On a cluster that is an error: executors would
+    each write to a disk of their own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if found:
         return found
+    if not re.match(r"local(\[[^,]*(,\s*\d+)?\])?$", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and the executors share")
     made = tempfile.mkdtemp(prefix="weftline-")
     atexit.register(shutil.rmtree, made, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(f"file://{made}")
@@ -72,7 +78,11 @@ class Written:
 
     def small(self, most: int = BROADCAST_BYTES) -> bool:
         """Whether the table is within the size that may be broadcast."""
-        return self.bytes() <= most
+        written, fits = self.bytes(), False
+        if written <= most:
+            fits = self.df.count() <= BROADCAST_ROWS  # from the files' footers
+        _log.info("%s: %d bytes, %s", self.where, written, "broadcast" if fits else "joined by shuffle")
+        return fits
 
     def drop(self) -> None:
         try:

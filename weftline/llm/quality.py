@@ -197,7 +197,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, labe
     Of those at most ``train_rows``, by smallest hash of the id, which are
     spread evenly over the table; so the sample is the same at every run and its
     features (a few MB) may be collected. An id labelled twice counts once, with
-    its larger label; null labels and ids are left out.
+    its larger label, and an id with several texts with the smallest of them; null
+    labels and ids are left out.
     """
     chosen = (
         labels.where(F.col(id_col).isNotNull() & F.col(label).isNotNull() & (remainder(F.col(id_col), 5) != 0))
@@ -206,7 +207,8 @@ def train(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS, labe
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(train_rows)
     )
-    rows = docs.select(F.col(id_col).alias("__id"), "text").join(F.broadcast(chosen), "__id").dropDuplicates(["__id"])
+    rows = docs.select(F.col(id_col).alias("__id"), "text").join(F.broadcast(chosen), "__id")
+    rows = rows.groupBy("__id", "__label").agg(F.min("text").alias("text"))
     got = with_features(rows).select("__id", "__label", "features").toPandas().sort_values("__id")
     x = np.array(got["features"].tolist(), float).reshape(-1, len(FEATURES))
     return fit(x, got["__label"].to_numpy(float))

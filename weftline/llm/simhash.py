@@ -16,7 +16,12 @@ key is passed on, and connected components follow.
 Texts that share four fifths of their shingles differ in far more than 3 of 64
 bits. For those, ``similar_documents`` takes wide fingerprints cut into many
 such halves: two texts are candidates if any half agrees up to what its keys
-tolerate, and a candidate pair is verified on the shingles themselves.
+tolerate, and a candidate pair is verified on the shingles themselves. A key of
+a half has some 2^21 values, so in a large corpus unrelated texts would meet in
+it; there a key also holds the least of the hashes that the half's bits were made
+from, which similar texts mostly share, and which tells unrelated ones apart at
+any corpus size. Short texts have few shingles and noisy fingerprints, so they
+also get the keys of an exact prefix filter.
 """
 
 from __future__ import annotations
@@ -347,14 +352,19 @@ def near_duplicates(
 # -- similar documents ----------------------------------------------------------------------------
 
 #: 64-bit words of a wide fingerprint (two halves each), and odd multipliers that make them from one hash (from a rule).
-WIDE_WORDS = 12
+WIDE_WORDS = 16
 MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 for i in range(1, WIDE_WORDS + 1)], np.uint64)
 #: Bits of the first word in which a candidate pair may differ: at similarity 0.8 about 10 do, with a deviation of 3.
-CANDIDATE_BITS = 18
-#: Of the whole wide fingerprint: at similarity 0.8 about 116 bits differ, with a deviation of 10.
-WIDE_BITS = 156
+CANDIDATE_BITS = 24
+#: Of the whole wide fingerprint: at similarity 0.8 about 154 bits differ, with a deviation of 12.
+WIDE_BITS = 230
+#: Texts of so many shingles or fewer are found by an exact prefix filter, and no bits are asked of them.
+SHORT = 20
 #: Keys of more rows than this are linked in stars first, then between the components that the stars leave.
 SMALL_GROUP = 128
+#: In a large key a row is compared with so many leaders that it may be similar to; in a family of texts around the
+#: similarity asked for, every leader links about half of those that are left.
+PIVOTS = 3
 
 
 def shingle_hashes(text: bytes, size: int) -> tuple[np.ndarray, bytes]:
@@ -365,19 +375,61 @@ def shingle_hashes(text: bytes, size: int) -> tuple[np.ndarray, bytes]:
     return np.unique(np.array([digest(glue(s), 42) for s in zip(*parts)], np.uint64)), b" ".join(words)  # noqa: B905
 
 
-def wide_fingerprint(hashes: np.ndarray) -> np.ndarray:
-    """SimHash of WIDE_WORDS words over distinct hashes."""
+def wide_fingerprint(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """SimHash of WIDE_WORDS words over distinct hashes, and for each word the least of the mixed hashes (32 bits)."""
     total, step = np.zeros(64 * WIDE_WORDS, np.int64), 1 << 14
+    least = np.full(WIDE_WORDS, 2**64 - 1, np.uint64)
     for at in range(0, len(hashes), step):
         mixed = hashes[at : at + step, None] * MULTIPLIERS
         mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        total += bit_counts(mixed ^ (mixed >> np.uint64(32)))
-    return np.packbits(total * 2 > len(hashes), bitorder="little").view(np.uint64)
+        mixed ^= mixed >> np.uint64(32)
+        least = np.minimum(least, mixed.min(0))
+        total += bit_counts(mixed)
+    return np.packbits(total * 2 > len(hashes), bitorder="little").view(np.uint64), (least >> np.uint64(32)).astype(np.uint32)
+
+
+WIDE_BYTES, LEAST_BYTES = 8 * WIDE_WORDS, 4 * WIDE_WORDS
+
+
+def packed_sketch(hashes: np.ndarray, similarity: float) -> bytes:
+    """Wide fingerprint, least hashes, and of a short text the hashes of its prefix.
+
+    Two sets of a Jaccard similarity s share one of the first n - ceil(s n) + 1
+    of their n hashes, taken in one order for both.
+    """
+    wide, least = wide_fingerprint(hashes)
+    n = len(hashes)
+    prefix = hashes[: n - int(np.ceil(similarity * n - 1e-9)) + 1] if 0 < n <= SHORT else hashes[:0]
+    return wide.tobytes() + least.tobytes() + prefix.tobytes()
+
+
+def wide_words(sketches: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(s[:WIDE_BYTES] for s in sketches), np.uint64).reshape(-1, WIDE_WORDS)
+
+
+def mixed_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """One 64-bit key from two numbers."""
+    key = a.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ (b.astype(np.uint64) + np.uint64(1)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    key = (key ^ (key >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return (key ^ (key >> np.uint64(32))).view(np.int64)
+
+
+def sketch_keys(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Keys of packed sketches, and for each key the position of its sketch: Golay keys with the word's least hash, and short prefixes."""
+    least = np.frombuffer(b"".join(s[WIDE_BYTES : WIDE_BYTES + LEAST_BYTES] for s in sketches), np.uint32).reshape(-1, WIDE_WORDS)
+    key, at = keys(wide_words(sketches))
+    out = [mixed_key(key, least[at, key >> 41])]  # bits from 40 up count the halves, two to a word
+    tails = [np.frombuffer(s[WIDE_BYTES + LEAST_BYTES :], np.uint64) for s in sketches]
+    sizes = np.array([len(t) for t in tails])
+    short = np.concatenate(tails) if tails else np.empty(0, np.uint64)
+    out.append(mixed_key(short, np.full(len(short), 2**32, np.uint64)))
+    return np.concatenate(out), np.concatenate((at, np.repeat(np.arange(len(sketches)), sizes)))
 
 
 def may_be_similar(fp, n, other_fp, other_n, similarity: float) -> np.ndarray:
     """Whether first fingerprint words and numbers of shingles allow the similarity."""
-    return (np.bitwise_count(fp ^ other_fp) <= CANDIDATE_BITS) & (np.minimum(n, other_n) >= similarity * np.maximum(n, other_n))
+    less, more = np.minimum(n, other_n), np.maximum(n, other_n)
+    return ((np.bitwise_count(fp ^ other_fp) <= CANDIDATE_BITS) | (less <= SHORT)) & (less >= similarity * more)
 
 
 def candidates(a=(), b=(), *crowded) -> pa.RecordBatch:
@@ -397,24 +449,24 @@ def pairs_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
     """From rows (key, node, fp, n) sorted by key: candidate pairs, and the rows of large keys.
 
     Keys of up to SMALL_GROUP rows give all pairs that may be similar. In a
-    larger key a row is paired with the first leader that it may be similar to,
-    and leads where there is none: one pair a row at most. Its rows are passed
+    larger key a row is paired with the first PIVOTS leaders that it may be
+    similar to, and leads where there are fewer: PIVOTS pairs a row at most. Its rows are passed
     on, for ``cross_of_sorted`` to find what the stars have missed. A key of any
     size is worked through batch by batch; only its leaders are kept.
     """
     leaders: list[tuple] = []  # of the large key that the next rows may continue
 
     def star(node, fp, n):
-        rest, known = np.ones(len(node), bool), 0
-        while rest.any():
+        left, known = np.full(len(node), PIVOTS), 0
+        while (left > 0).any():
             if known == len(leaders):
-                at = int(rest.argmax())
+                at = int((left > 0).argmax())
                 leaders.append((node[at], fp[at], n[at]))
-                rest[at] = False
+                left[at] = 0
             leader, l_fp, l_n = leaders[known]
-            met = np.flatnonzero(rest)
+            met = np.flatnonzero(left > 0)
             met = met[may_be_similar(fp[met], n[met], l_fp, l_n, similarity)]
-            rest[met] = False
+            left[met] -= 1
             met = met[node[met] != leader]
             if len(met):
                 yield candidates(node[met], np.full(len(met), leader))
@@ -475,7 +527,7 @@ def cross_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
     current = None
     for batch in batches:
         key, node, n, part, largest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4, 5))
-        wide, largest = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint64).reshape(-1, WIDE_WORDS), largest.astype(bool)
+        wide, largest = wide_words(batch.column(2).to_pylist()), largest.astype(bool)
         bounds = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key)) if len(key) else []
         for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
             if key[lo] != current:
@@ -492,7 +544,7 @@ def cross_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Ite
                 u, v = np.nonzero(ok)
                 for i in range(0, len(u), 100_000):
                     x, y = at + u[i : i + 100_000], lo + v[i : i + 100_000]
-                    close = np.bitwise_count(kept[1][x] ^ wide[y]).sum(1, dtype=int) <= WIDE_BITS
+                    close = (np.bitwise_count(kept[1][x] ^ wide[y]).sum(1, dtype=int) <= WIDE_BITS) | (np.minimum(kept[2][x], n[y]) <= SHORT)
                     if close.any():
                         yield candidates(kept[0][x[close]], node[y[close]])
 
@@ -518,10 +570,10 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """(id, component_id) per row: groups of texts linked by a Jaccard similarity of word shingles from ``similarity`` up.
 
     Texts with the same words are one group from the start. Candidates come
-    from wide fingerprints; of pairs at similarity 0.8, 0.85 and 0.9 about 90,
-    97 and 99 in a hundred are candidates by themselves, and a group needs only
-    enough of its links to hang together. Every candidate is verified exactly,
-    so nothing less similar is linked. Keys of many rows are linked in stars, and
+    from wide fingerprints; of pairs at similarity 0.8 itself more than 98 in a
+    hundred are candidates, of short texts all (see tests), and a group needs only
+    enough of its links to hang together. Every candidate is verified on 64-bit
+    hashes of all shingles, so nothing less similar is linked. Keys of many rows are linked in stars, and
     then whatever lies in different components there is compared in full. Null and empty texts are one group. Null
     ids get their group's component and never name one; repeated ids are one
     document.
@@ -535,7 +587,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             h1.append((whole & (2**64 - 1)) - 2**63)
             h2.append((whole >> 64) - 2**63)
             n.append(len(hashes))
-            wide.append(wide_fingerprint(hashes).tobytes())
+            wide.append(packed_sketch(hashes, similarity))
         return [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), pa.array(wide, pa.binary())]
 
     fields = [("h1", T.LongType()), ("h2", T.LongType()), ("size", T.LongType()), ("wide", T.BinaryType())]
@@ -549,9 +601,9 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         for batch in batches:
             for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
                 node, sizes = (part.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-                wide = np.frombuffer(b"".join(part.column(2).to_pylist()), np.uint64).reshape(-1, WIDE_WORDS)
-                key, at = keys(wide)
-                first = wide[:, 0].copy().view(np.int64)
+                sketches = part.column(2).to_pylist()
+                key, at = sketch_keys(sketches)
+                first = wide_words(sketches)[:, 0].copy().view(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[at]), pa.array(first[at]), pa.array(sizes[at])], names=["key", "node", "fp", "n"])
 
     keyed = groups.df.where("node is not null and size > 0").select("node", "size", "wide").mapInArrow(spread, "key long, node long, fp long, n long")
@@ -561,20 +613,23 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [shingle_hashes(t, size)[0].astype(np.uint32).view(np.int32) for t in utf8(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int32()))], names=["node", "shingles"])
+            found = [shingle_hashes(t, size)[0].view(np.int64) for t in utf8(batch, "text")]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
     def verified(pairs: Written) -> Written:
         """The pairs whose shingle sets are as similar as asked."""
         wanted = Written(pairs.df.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         side = F.broadcast(wanted.df) if wanted.small() else wanted.df
         texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(side, "node", "left_semi")
-        texts = Written(texts.mapInArrow(sets, "node long, shingles array<int>"))
+        texts = Written(texts.mapInArrow(sets, "node long, shingles array<long>"))
         left = texts.df.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         right = texts.df.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
-        alike = both >= F.lit(similarity) * (F.size(F.array_distinct("x")) + F.size(F.array_distinct("y")) - both)
-        return Written(pairs.df.join(left, "a").join(right, "b").where(alike).select("a", "b"))
+        alike = both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)
+        kept = Written(pairs.df.join(left, "a").join(right, "b").where(alike).select("a", "b"))
+        for done in (wanted, texts, pairs):
+            done.drop()
+        return kept
 
     links = verified(pairs)
     found = Written(connected_components(links.df))
@@ -583,6 +638,7 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         more = verified(cross)
         if more.df.take(1):
             found = Written(connected_components(links.df.unionByName(more.df)))
+    met.drop()
     labelled = label_rows(prints.df.select("id", "h1", "h2"), groups.df.select("h1", "h2", "node", "n"), found.df, ["h1", "h2"])
     return labelled.select(F.col("id").alias(id_col), "component_id")
 
@@ -590,8 +646,8 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One document of each group of ``similar_documents``, the one with the smallest id; columns unchanged.
 
-    Rows with the same id count as one document, of which one row stays; rows
-    with a null id are all kept, as they name no group. Only ids travel: the
+    Rows with the same id count as one document, of which one row stays (the
+    one whose columns, written as JSON, have the smallest hash); rows with a null id are all kept, as they name no group. Only ids travel: the
     rows that go are few against the corpus, and are taken out by a broadcast
     anti-join when their table is small.
     """
@@ -601,5 +657,7 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     side = F.broadcast(marked.df) if marked.small() else marked.df
     untouched = docs.join(side, docs[id_col] == side["__id"], "left_anti")
     repeated = side.where(F.col("__first") == F.col("__id")).select("__id")
-    again = docs.join(repeated, docs[id_col] == repeated["__id"], "left_semi").dropDuplicates([id_col])
-    return untouched.unionByName(again)
+    again = docs.join(repeated, docs[id_col] == repeated["__id"], "left_semi")
+    row = F.struct(*(again[c] for c in again.columns))
+    one = again.groupBy(F.col(id_col).alias("__one")).agg(F.min_by(row, F.xxhash64(F.to_json(row))).alias("__row")).select("__row.*")
+    return untouched.unionByName(one)
