@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from weftline.functions import codecs, scalars
 from weftline.functions.transitions import decide, new_state
 from weftline.operators import eventlog, handlers, listing, queues, retention, streams
-from weftline.plans import queries
+from weftline.plans import lifecycle, queries, upkeep  # noqa: F401  the others register their queries
 from weftline.plans.config import Settings, World
 from weftline.streaming import folds
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Fixed values of the two hash variants (32-bit FNV-1a).
 FNV_OFFSET, FNV_PRIME, MASK32 = 0x811C9DC5, 0x01000193, 0xFFFFFFFF
@@ -51,25 +54,74 @@ def chunk_key(index: Column) -> Column:
     return F.lpad(index.cast("string"), 12, "0")
 
 
+def _fnv(units: list[np.ndarray]) -> np.ndarray:
+    """FNV-1a of many sequences of units at once, position by position."""
+    sizes = np.array([len(u) for u in units], int)
+    out = np.full(len(units), FNV_OFFSET, np.uint64)
+    order = np.argsort(-sizes, kind="stable")
+    flat, starts = np.concatenate([np.empty(0, np.uint64), *units]), np.cumsum(sizes) - sizes
+    live = np.searchsorted(-sizes[order], -np.arange(sizes.max(initial=0)), "left")  # how many are longer than each position
+    for at, n in enumerate(live):
+        rows = order[:n]
+        out[rows] = ((out[rows] ^ flat[starts[rows] + at]) * np.uint64(FNV_PRIME)) & np.uint64(MASK32)
+    return out.astype(np.int64)
+
+
+@F.pandas_udf(T.LongType())
+def _fnv_bytes(texts: pd.Series) -> pd.Series:
+    hashed = pd.Series(_fnv([np.frombuffer((t or "").encode(), np.uint8).astype(np.uint64) for t in texts]), dtype="Int64")
+    return hashed.mask(texts.isna().to_numpy())
+
+
+@F.pandas_udf(T.LongType())
+def _fnv_units(texts: pd.Series) -> pd.Series:
+    hashed = pd.Series(_fnv([np.frombuffer((t or "").encode("utf-16-le", "surrogatepass"), "<u2").astype(np.uint64) for t in texts]), dtype="Int64")
+    return hashed.mask(texts.isna().to_numpy())
+
+
 def fnv1a_bytes(text: Column) -> Column:
-    """FNV-1a over the UTF-8 bytes, as a non-negative long. Folds the bytes inside the JVM."""
-    digits = F.hex(F.encode(text, "UTF-8"))
-    pairs = F.filter(F.sequence(F.lit(0), F.greatest(F.floor(F.length(digits) / 2).cast("int") - 1, F.lit(0))), lambda i: i * 2 < F.length(digits))
-    units = F.transform(pairs, lambda i: F.conv(F.substr(digits, i * 2 + 1, F.lit(2)), 16, 10).cast("long"))
-    return _fold(units)
+    """FNV-1a over the UTF-8 bytes, as a non-negative long; null for null. Arrow batches, since the JVM would interpret every byte."""
+    return _fnv_bytes(text)
 
 
 def fnv1a_utf16(text: Column) -> Column:
     """FNV-1a over UTF-16 code units: differs from fnv1a_bytes beyond ASCII."""
-    digits = F.hex(F.encode(text, "UTF-16BE"))
-    units = F.filter(F.sequence(F.lit(0), F.greatest(F.floor(F.length(digits) / 4).cast("int") - 1, F.lit(0))), lambda i: i * 4 < F.length(digits))
-    return _fold(F.transform(units, lambda i: F.conv(F.substr(digits, i * 4 + 1, F.lit(4)), 16, 10).cast("long")))
+    return _fnv_units(text)
+
+
+def uri_component(text: Column) -> Column:
+    """Percent-encoding of one key component: letters, digits and - _ . ! ~ * ' ( ) stay."""
+    out = F.regexp_replace(F.url_encode(text), r"\+", "%20")
+    for code, char in (("%21", "!"), ("%27", "'"), ("%28", "("), ("%29", ")"), ("%7E", "~")):
+        out = F.replace(out, F.lit(code), F.lit(char))
+    return out
+
+
+def index_key(*parts: Column) -> Column:
+    """Components of a hook's or marker's key, each encoded, joined by colons."""
+    return F.concat_ws(":", *map(uri_component, parts))
+
+
+def compact(**fields: Column) -> Column:
+    """JSON of the fields that are there: a null field is absent, not null."""
+    return F.to_json(F.struct(*(c.alias(n) for n, c in fields.items())), {"ignoreNullFields": "true"})
+
+
+#: What a reject code becomes for the caller: an error's name, and the status it carries where it carries one.
+ERRORS = {
+    "RUN_NOT_FOUND": ("RunNotFoundError", None), "STEP_NOT_FOUND": ("StatusError", 404), "HOOK_NOT_FOUND": ("HookNotFoundError", None),
+    "WAIT_NOT_FOUND": ("StatusError", 404), "ENTITY_CONFLICT": ("EntityConflictError", None), "HOOK_CLAIM_CANCELLED": ("StatusError", 503),
+    "RUN_EXPIRED": ("RunExpiredError", None), "TOO_EARLY": ("TooEarlyError", None), "RUN_NOT_SUPPORTED": ("RunNotSupportedError", None),
+}
 
 
-def _fold(units: Column) -> Column:
-    return F.aggregate(
-        units, F.lit(FNV_OFFSET).cast("long"), lambda h, u: (h.bitwiseXOR(u) * FNV_PRIME).bitwiseAND(F.lit(MASK32))
-    )
+def error_of(outcome: Column) -> tuple[Column, Column]:
+    """Error name and status of an outcome; both null for success."""
+    name, status = F.lit(None).cast("string"), F.lit(None).cast("int")
+    for code, (error, number) in ERRORS.items():
+        name = F.when(outcome == code, error).otherwise(name)
+        status = F.when(outcome == code, F.lit(number).cast("int")).otherwise(status)
+    return name, status
 
 
 def shard_name(domain: str, value: Column, cardinality: int) -> Column:

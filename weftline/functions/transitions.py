@@ -18,9 +18,10 @@ APPENDED, REPLAY = "appended", "replay"
 
 
 def new_state() -> dict:
-    """run: status or None; steps: id to [status, retry_after]; hooks: live; marked, released: hook ids seen and disposed;
-    waits: id to open; resumes: resume id to [hook, digest]; writes: attribute writes by correlation id; n: last slot."""
-    return {"run": None, "steps": {}, "hooks": [], "marked": [], "released": [], "waits": {}, "resumes": {}, "writes": [], "n": 0}
+    """run: status or None; spec: the run's version; steps: id to [status, retry_after]; hooks: live; marked, released: hook
+    ids seen and disposed; waits: id to open; resumes: resume id to [hook, digest]; writes: attribute writes by correlation
+    id; n: last slot. Sets are dicts to true, so that the state is plain JSON."""
+    return {"run": None, "spec": None, "steps": {}, "hooks": {}, "marked": {}, "released": {}, "waits": {}, "resumes": {}, "writes": {}, "n": 0}
 
 
 def _lazy(e: dict) -> bool:
@@ -83,8 +84,7 @@ def _hook(state: dict, e: dict) -> str:
             return "hook_conflict"
         if corr in state["marked"]:
             return REPLAY if corr in state["hooks"] and holder is None else "ENTITY_CONFLICT"
-        state["marked"].append(corr)
-        state["hooks"].append(corr)
+        state["marked"][corr] = state["hooks"][corr] = True
         return APPENDED
     resume = e.get("resume_id")
     if kind == "hook_received" and resume is not None and resume in state["resumes"]:
@@ -96,8 +96,8 @@ def _hook(state: dict, e: dict) -> str:
     if state["run"] is None:
         return "RUN_NOT_FOUND"
     if kind == "hook_disposed":
-        state["hooks"].remove(corr)
-        state["released"].append(corr)
+        del state["hooks"][corr]
+        state["released"][corr] = True
     elif resume is not None:
         state["resumes"][resume] = [corr, e.get("digest")]
     return APPENDED
@@ -120,17 +120,22 @@ def _wait(state: dict, e: dict) -> str:
     return APPENDED
 
 
+def _spec(e: dict) -> int | None:
+    """Version that a run is stored with: the one its creation states for it, else the event's own."""
+    return e["run_spec"] if e.get("run_spec") is not None else e.get("spec_version")
+
+
 def _run(state: dict, e: dict) -> str:
     kind = e["event_type"]
     if kind == "run_created":
         if state["run"] is not None:
             return REPLAY
-        state["run"] = "pending"
+        state["run"], state["spec"] = "pending", _spec(e)
         return APPENDED
     if state["run"] is None:
         if not (kind == "run_started" and e.get("has_run_input")):
             return "RUN_NOT_FOUND"
-        state["run"] = "pending"
+        state["run"], state["spec"] = "pending", _spec(e)
     if kind == "run_started":
         if state["run"] == "running":
             return REPLAY
@@ -139,10 +144,10 @@ def _run(state: dict, e: dict) -> str:
         if e.get("corr") is not None and e.get("by_workflow"):
             if e["corr"] in state["writes"]:
                 return "ENTITY_CONFLICT"
-            state["writes"].append(e["corr"])
+            state["writes"][e["corr"]] = True
     elif kind in ENDS:
         state["run"] = ENDS[kind]
-        state["hooks"], state["waits"] = [], {}  # hooks and waits of an ended run are gone
+        state["hooks"], state["waits"] = {}, {}  # hooks and waits of an ended run are gone
     return APPENDED
 
 
@@ -151,12 +156,17 @@ def decide(state: dict, e: dict, current_spec: int | None = None) -> tuple[str,
 
     The outcome is "appended", "replay" (success without an event) or a reject
     code; rejected events append nothing and leave the state as it was. A start
-    may append the creation it carries as well.
+    may append the creation it carries as well. With ``current_spec`` an event of
+    another version is not supported, and neither is a run stored with another,
+    for all event types that look at the run.
     """
     if current_spec is not None and e.get("spec_version") is not None and e["spec_version"] != current_spec:
         return "RUN_NOT_SUPPORTED", []
     kind = e["event_type"]
     bootstrap = kind == "run_started" and state["run"] is None and bool(e.get("has_run_input"))
+    stored = _spec(e) if bootstrap else state["spec"]
+    if current_spec is not None and kind not in RUN_BLIND and stored is not None and stored != current_spec:
+        return "RUN_NOT_SUPPORTED", []
     verdict = _run_verdict(state, e)
     if verdict is None:
         family = kind.split("_", 1)[0]

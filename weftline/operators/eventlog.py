@@ -22,8 +22,10 @@ DECIDED = "outcome string, appended array<string>, slot long"
 #: What a general fold reads; absent columns count as null.
 FOLD_COLUMNS = (
     "run_id", "seq", "event_type", "corr", "at_us", "step_name", "has_input", "has_run_input", "retry_after_us", "holder", "claim_cancelled",
-    "resume_id", "digest", "by_workflow", "spec_version",
+    "resume_id", "digest", "by_workflow", "spec_version", "run_spec",
 )
+#: Columns that guards don't read and entities are made of; those that events have pass through the fold.
+PAYLOAD = ("output", "error", "resume_at_us")
 
 
 def slots(events: DataFrame, order: list[str], run: str = "run_id") -> DataFrame:
@@ -83,17 +85,19 @@ def resume_dedup(events: DataFrame, order: list[str], run: str = "run_id") -> Da
 
 
 def fold(events: DataFrame, partitions: int | None = None, current_spec: int | None = None) -> DataFrame:
-    """Events (FOLD_COLUMNS) with outcome, the event types they appended and the last slot of their run.
+    """Events (FOLD_COLUMNS, PAYLOAD) with outcome, the event types they appended and the last slot of their run.
 
     Order within a run is (at_us, seq). Rows with a null run are one run of
     their own. A run is one task's work in sequence by nature; runs are bounded
     by the engine's limit on events per run.
     """
     have = set(events.columns)
-    rows = events.select(*(F.col(c) if c in have else F.lit(None).alias(c) for c in FOLD_COLUMNS))
+    carried = [c for c in ("retry_after_us", *PAYLOAD) if c in have]
+    payload = [c for c in PAYLOAD if c in have]
+    rows = events.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in FOLD_COLUMNS), *payload)
     rows = rows.repartition(partitions, "run_id") if partitions else rows.repartition("run_id")
     rows = rows.sortWithinPartitions("run_id", "at_us", "seq")
-    kept = [c for c in ("run_id", "seq", "event_type", "corr", "at_us")]
+    kept = ["run_id", "seq", "event_type", "corr", "at_us", *carried]
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,17 +111,18 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
                 out.append((outcome, types, state["n"]))
             columns = list(zip(*out, strict=True)) if out else [[], [], []]
             arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.string()), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in map(FOLD_COLUMNS.index, kept)), *arrays], names=[*kept, "outcome", "appended", "slot"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *arrays], names=[*kept, "outcome", "appended", "slot"])
 
     return rows.mapInArrow(run, f"{schema}, {DECIDED}")
 
 
 def appended(folded: DataFrame) -> DataFrame:
-    """The log itself: one row for each appended event with its own slot."""
+    """The log itself: one row for each appended event with its own slot, and what payload the events carry."""
+    carried = [c for c in ("retry_after_us", *PAYLOAD) if c in folded.columns]
     rows = folded.where(F.size("appended") > 0)
     exploded = rows.select("*", F.posexplode("appended").alias("__i", "type"))
     slot = F.col("slot") - F.size("appended") + F.col("__i") + 1
-    return exploded.select("run_id", slot.cast("long").alias("slot"), F.col("type").alias("event_type"), "corr", "at_us", "seq")
+    return exploded.select("run_id", slot.cast("long").alias("slot"), F.col("type").alias("event_type"), "corr", "at_us", "seq", *carried)
 
 
 def run_states(log: DataFrame) -> DataFrame:
@@ -137,15 +142,39 @@ def run_states(log: DataFrame) -> DataFrame:
 
 
 def step_states(log: DataFrame) -> DataFrame:
-    """Steps from the log: status, attempts, first start and end."""
+    """Steps from the log: status, attempts, first start and end; output, error and retry time where the log has them.
+
+    A start counts as an attempt and clears the retry time; a retry keeps the
+    attempts and sets error and retry time; a completion sets the output and
+    leaves an earlier error as it is.
+    """
+    has = set(log.columns)
     steps = log.where(F.col("event_type").startswith("step_"))
     kind = F.col("event_type")
     status = F.when(kind.isin("step_created", "step_retrying"), "pending").when(kind == "step_started", "running").when(kind == "step_completed", "completed").otherwise("failed")
+    more = []
+    if "output" in has:
+        more.append(F.max_by("output", F.when(kind == "step_completed", F.col("slot"))).alias("output"))
+    if "error" in has:
+        more.append(F.max_by("error", F.when(kind.isin("step_retrying", "step_failed"), F.col("slot"))).alias("error"))
+    if "retry_after_us" in has:
+        waits = F.when(kind == "step_retrying", F.col("retry_after_us"))
+        more.append(F.max_by(waits, F.when(kind.isin("step_retrying", "step_started"), F.col("slot"))).alias("retry_after_us"))
     return steps.groupBy("run_id", F.col("corr").alias("step_id")).agg(
         F.max_by(status, "slot").alias("status"),
         F.count(F.when(kind == "step_started", 1)).alias("attempt"),
         F.min(F.when(kind == "step_started", F.col("at_us"))).alias("started_us"),
         F.max(F.when(kind.isin("step_completed", "step_failed"), F.col("at_us"))).alias("completed_us"),
+        *more,
+    )
+
+
+def wait_states(log: DataFrame) -> DataFrame:
+    """Waits from the log: open or completed, and when."""
+    waits = log.where(F.col("event_type").isin("wait_created", "wait_completed"))
+    done = F.col("event_type") == "wait_completed"
+    return waits.groupBy("run_id", F.col("corr").alias("wait_id")).agg(
+        F.when(F.max(done), "completed").otherwise("open").alias("status"), F.max(F.when(done, F.col("at_us"))).alias("completed_us")
     )
 
 

@@ -30,7 +30,8 @@ def page_limit(limit: int | float | None, kind: str = "runs", most: int | None =
 def after(keys: Sequence[str], cursor: Sequence, descending: bool = False) -> Column:
     """Rows that come after the cursor in the order of ``keys`` (before it, when descending).
 
-    Spelled out as comparisons of single columns, so that the first reaches the scan.
+    Spelled out as comparisons of single columns, so that the first reaches the scan where it is a column of the table;
+    where it is an expression over one, the reader takes a bound of its own (see ``fixtures.runs``).
     """
     steps = []
     for i, (key, value) in enumerate(zip(keys, cursor, strict=True)):
@@ -68,8 +69,8 @@ def prefix_range(df: DataFrame, key: str, prefix: str = "", start_after: str | N
 
 
 def get_many(df: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """Rows of the wanted keys (distinct); keys without a row are absent."""
-    return df.join(wanted.select(key).distinct(), key, "left_semi")
+    """Rows of the wanted keys, each once however often it is wanted; keys without a row are absent."""
+    return df.join(wanted.select(key), key, "left_semi")
 
 
 def without_payload(df: DataFrame, columns: Sequence[str] = ("input", "output")) -> DataFrame:
@@ -101,6 +102,12 @@ def active_only(df: DataFrame, runs: DataFrame, key: str = "run_id") -> DataFram
     return df.join(runs.where(~F.col("status").isin(*TERMINAL)).select(key), key, "left_semi")
 
 
+def late_writes(df: DataFrame, expired: DataFrame, key: str = "run_id") -> DataFrame:
+    """Rows with ``rejected``: whether their run has a tombstone, so that a late write is answered and not lost."""
+    gone = expired.select(key, F.lit(True).alias("__gone")).distinct()
+    return df.join(gone, key, "left").withColumn("rejected", F.col("__gone").isNotNull()).drop("__gone")
+
+
 def fenced(df: DataFrame, expired: DataFrame, key: str = "run_id") -> DataFrame:
     """Rows whose run has no tombstone."""
     return df.join(expired.select(key), key, "left_anti")

@@ -57,6 +57,27 @@ def publication_allowed(expires_ms: Column, now_ms: Column) -> Column:
     return (expires_ms > now_ms) & (expires_ms <= now_ms + PUBLICATION_MS)
 
 
+def resolve(claims: DataFrame, hooks: DataFrame, tokens: DataFrame, expired: DataFrame, run: str = "run_id") -> DataFrame:
+    """What became of claims (run, hook_id, token) whose answer was lost: ``state`` is committed, cancelled or expired.
+
+    Committed if both the hook and its token are there; an expired run never
+    writes a fence, any other claim is cancelled by one.
+    """
+    out = claims
+    for name, df, keys in (("__hook", hooks, [run, "hook_id"]), ("__token", tokens, [run, "token"]), ("__gone", expired, [run])):
+        out = out.join(df.select(*keys, F.lit(True).alias(name)).distinct(), keys, "left")
+    state = F.when(F.col("__hook") & F.col("__token"), "committed").when(F.col("__gone"), "expired").otherwise("cancelled")
+    return out.withColumn("state", state).drop("__hook", "__token", "__gone")
+
+
+def release_counts(claims: DataFrame, released: DataFrame, keys: Sequence[str], shard: Column) -> DataFrame:
+    """(shard, n_released, n_left) of a release, and their sums over all shards in the row with a null shard."""
+    mark = released.select(*keys, F.lit(True).alias("__gone")).distinct()
+    joined = claims.withColumn("shard", shard).join(mark, list(keys), "left")
+    gone = F.col("__gone").isNotNull()
+    return joined.rollup("shard").agg(F.count(F.when(gone, 1)).alias("n_released"), F.count(F.when(~gone, 1)).alias("n_left"))
+
+
 def release(claims: DataFrame, released: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Claims without those released: exact match of owner and claim."""
     return claims.join(released.select(*keys).distinct(), list(keys), "left_anti")

@@ -6,6 +6,9 @@ Time never comes from the clock: every operator that depends on it takes
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -77,14 +80,87 @@ def expired_leases(in_flight: DataFrame, now_ms: int, claimed_col: str = "claime
 
 
 def dedup(messages: DataFrame, key: str = "idempotency_key") -> DataFrame:
-    """Messages with ``original_id`` and ``accepted`` while every first message of a key is still held.
+    """Messages with ``original_id`` and ``accepted`` where every first message of a key is still held.
 
-    The general case, where keys are released by outcomes, is the stream operator.
+    Where outcomes release keys, ``dedup_while_active`` is meant.
     """
     first = messages.groupBy(key).agg(F.min_by("message_id", F.struct("enqueued_us", "message_id")).alias("original_id"))
     return messages.join(first, key).withColumn("accepted", F.col("original_id") == F.col("message_id"))
 
 
+def dedup_while_active(messages: DataFrame, key: str = "idempotency_key") -> DataFrame:
+    """(key, message_id, original_id, accepted) for messages with ``enqueued_us`` and ``released_us`` (null: never).
+
+    A message is accepted when no earlier accepted one of its key is still
+    active; else it refers to that one. Which message holds a key depends on all
+    before it, so keys are sorted within partitions and run through with one
+    holder in hand.
+    """
+    rows = messages.select(key, *(F.col(c).cast("long").alias(c) for c in ("message_id", "enqueued_us", "released_us")))
+    rows = rows.repartition(key).sortWithinPartitions(key, "enqueued_us", "message_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, holder, until = object(), None, None
+        for batch in batches:
+            original, accepted = [], []
+            for k, message, at, released in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if k != current:
+                    current, holder, until = k, None, None
+                free = holder is None or (until is not None and until <= at)
+                if free:
+                    holder, until = message, released
+                original.append(holder)
+                accepted.append(free)
+            arrays = [batch.column(0), batch.column(1), pa.array(original, pa.int64()), pa.array(accepted, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(arrays, names=[key, "message_id", "original_id", "accepted"])
+
+    kind = messages.schema[key].dataType.simpleString()
+    return rows.mapInArrow(run, f"`{key}` {kind}, message_id long, original_id long, accepted boolean")
+
+
+def lease_id(message_id: Column, attempt: Column) -> Column:
+    """Token of one delivery: a later delivery of the same message has another."""
+    return F.concat_ws("/", message_id.cast("string"), attempt.cast("string"))
+
+
+def settle(answers: DataFrame, leases: DataFrame) -> DataFrame:
+    """Answers (message_id, lease, ...) with ``counts``: whether the lease is still the message's; a late answer of a lost one changes nothing."""
+    current = leases.select("message_id", F.col("lease").alias("__lease"))
+    joined = answers.join(current, "message_id", "left")
+    return joined.withColumn("counts", F.coalesce(F.col("lease") == F.col("__lease"), F.lit(False))).drop("__lease")
+
+
+#: Fixed value: dead letters that one purge takes.
+PURGE_PAGE = 128
+
+
+def purge_dead(dead: DataFrame, shard: str, order: list[str], limit: int = PURGE_PAGE) -> DataFrame:
+    """Of each shard the dead letters that one purge takes, first by ``order``, with ``has_more``: whether some are left."""
+    w = Window.partitionBy(shard).orderBy(*order)
+    first = dead.withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= limit + 1)
+    return first.withColumn("has_more", F.max("__n").over(Window.partitionBy(shard)) > limit).where(F.col("__n") <= limit).drop("__n")
+
+
+def acknowledge(receipts: DataFrame, markers: DataFrame, now_us: int, keep_us: int, key: str) -> DataFrame:
+    """Receipts (key, n_deleted) with ``acknowledged`` and ``compact_us``.
+
+    A receipt counts when it equals the marker's exactly, and then says when the
+    marker may go; without a marker it has been acknowledged before, which is
+    success as well.
+    """
+    known = markers.select(key, F.col("n_deleted").alias("__n"), F.lit(True).alias("__marked"))
+    joined = receipts.join(known, key, "left")
+    equal = F.col("__n") == F.col("n_deleted")
+    out = joined.withColumn("acknowledged", F.when(F.col("__marked"), equal).otherwise(True))
+    return out.withColumn("compact_us", F.when(F.col("__marked") & equal, F.lit(now_us + keep_us)).cast("long")).drop("__n", "__marked")
+
+
+def compactable(deadlines: DataFrame, markers: DataFrame, now_us: int, key: str) -> DataFrame:
+    """Markers that may go: a deadline (key, compact_us) is over and is the marker's own; an outdated deadline takes nothing."""
+    over = deadlines.where(F.col("compact_us") <= now_us).select(key, "compact_us")
+    return markers.join(over, [key, "compact_us"], "left_semi")
+
+
 def accepted_by_gap(messages: DataFrame, hold_us: int, key: str = "idempotency_key") -> DataFrame:
     """In-flight claim by staleness: a key is taken when its previous use is at least ``hold_us`` ago."""
     w = Window.partitionBy(key).orderBy("enqueued_us", "message_id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weftline.functions.scalars import cleanup_backoff_ms
 from weftline.operators.listing import TERMINAL
 
 DAY_US = 86_400_000_000
@@ -78,6 +79,47 @@ def account(records: DataFrame, steps: DataFrame, streams: DataFrame, messages:
     return out.withColumn("phase", F.lit("tombstoned")).withColumn("tombstoned_us", F.lit(now_us).cast("long"))
 
 
+#: Phases of a cleanup in order, and the counter that each one fills (none: it only moves on).
+PHASES = ("retained", "index", "streams", "queues", "payload", "tombstoned")
+COUNTERS = {"streams": "streams_deleted", "queues": "messages_deleted", "payload": "payload_keys_deleted"}
+
+
+def run_phases(records: DataFrame, counts: dict[str, DataFrame], failures: DataFrame, now_us: int, key: str = "run_id") -> DataFrame:
+    """Records after a cleanup has gone as far as it gets: to a tombstone, or to the phase that fails.
+
+    ``counts`` has (key, n) of what there is to delete by phase, ``failures``
+    (key, phase, error). A failure adds an attempt, keeps its error and puts the
+    record off; what earlier phases deleted stays counted. Each kind is joined once,
+    counted before.
+    """
+    steps = F.array(*map(F.lit, PHASES))
+    failed = failures.select(key, F.struct(F.array_position(steps, F.col("phase")).alias("at"), "phase", "error").alias("__f"))
+    first = failed.groupBy(key).agg(F.min("__f").alias("__f"))
+    out = records.join(first, key, "left")
+    fails = F.col("__f").isNotNull() & (F.col("__f.at") > F.array_position(steps, F.col("phase")))
+    reached = F.when(fails, F.col("__f.at")).otherwise(len(PHASES))
+    out = out.withColumns({"__from": F.array_position(steps, F.col("phase")), "__to": reached})
+    for phase, name in COUNTERS.items():
+        out = out.join(counts[phase].groupBy(key).agg(F.sum("n").alias("__n")), key, "left")
+        at = PHASES.index(phase) + 1
+        done = (F.col("__from") <= at) & (F.col("__to") > at)
+        out = out.withColumn(name, (F.col(name) + F.when(done, F.coalesce("__n", F.lit(0))).otherwise(0)).cast("long")).drop("__n")
+    attempts = F.col("attempts") + F.when(fails, 1).otherwise(0)
+    return out.withColumns({
+        "due_us": F.when(fails, F.lit(now_us) + cleanup_backoff_ms(attempts) * 1000).otherwise(F.col("due_us")),
+        "phase": F.element_at(steps, F.col("__to").cast("int")),
+        "last_error": F.when(fails, F.col("__f.error")),
+        "attempts": attempts.cast("long"),
+    }).drop("__f", "__from", "__to")
+
+
+def cleanup_status(live: DataFrame, tombstones: DataFrame, columns: list[str], key: str = "run_id") -> DataFrame:
+    """Cleanup of each run: the live record, else the copy that its tombstone keeps."""
+    old = tombstones.select(key, F.struct(*columns).alias("__old"))
+    new = live.select(key, F.struct(*columns).alias("__new"))
+    return old.join(new, key, "full_outer").select(key, F.coalesce("__new", "__old").alias("c")).select(key, "c.*")
+
+
 def purge(df: DataFrame, tombstones: DataFrame, key: str = "run_id") -> DataFrame:
     """What is left of a table when the tombstoned runs' rows are gone."""
     return df.join(tombstones.select(key).distinct(), key, "left_anti")

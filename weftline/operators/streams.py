@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,26 +82,40 @@ def write_flags(chunks: DataFrame, by: list[str]) -> DataFrame:
 
 
 def split_batches(chunks: DataFrame, max_chunks: int = MAX_CHUNKS, max_bytes: int = MAX_BATCH_BYTES) -> DataFrame:
-    """Chunks with ``batch``: a greedy cut of each stream, in order, at the count or byte bound.
+    """(stream, idx, batch): a greedy cut of each stream, in order, at the count or byte bound.
+
+    The cut is sequential, so streams are sorted within partitions and run
+    through with one stream's counters in hand; a chunk larger than the bound is
+    a batch of its own.
+    """
+    rows = chunks.select("stream", F.col("idx").cast("long").alias("idx"), F.col("size").cast("long").alias("size"))
+    rows = rows.repartition("stream").sortWithinPartitions("stream", "idx")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, cut, n, held = object(), 0, 0, 0
+        for batch in batches:
+            out = []
+            for stream, size in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if stream != current:
+                    current, cut, n, held = stream, 0, 0, 0
+                if n and (n >= max_chunks or held + size > max_bytes):
+                    cut, n, held = cut + 1, 0, 0
+                n, held = n + 1, held + size
+                out.append(cut)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.int64())], names=["stream", "idx", "batch"])
+
+    return rows.mapInArrow(run, f"stream {chunks.schema['stream'].dataType.simpleString()}, idx long, batch long")
+
+
+def refused(writes: DataFrame, changes: DataFrame, order: str = "seq") -> DataFrame:
+    """Writes (stream, ``order``) with ``refused``: the state a stream had ended in before the write, else null.
 
-    The cut is sequential, so it is a fold over a stream's (index, size) pairs
-    inside the JVM; a chunk larger than the bound is a batch of its own.
+    The first close, failure or expiry ends a stream; later ones change nothing.
     """
-    order = F.array_sort(F.collect_list(F.struct("idx", "size")))
-    zero = F.struct(F.array().cast("array<struct<idx:bigint,batch:bigint>>").alias("out"), *(F.lit(0).cast("long").alias(c) for c in ("batch", "n", "bytes")))
-
-    def step(acc, x):
-        full = (acc["n"] > 0) & ((acc["n"] >= max_chunks) | (acc["bytes"] + x["size"] > max_bytes))
-        batch = acc["batch"] + F.when(full, 1).otherwise(0)
-        return F.struct(
-            F.concat(acc["out"], F.array(F.struct(x["idx"].cast("long").alias("idx"), batch.cast("long").alias("batch")))).alias("out"),
-            batch.cast("long").alias("batch"),
-            F.when(full, 1).otherwise(acc["n"] + 1).cast("long").alias("n"),
-            F.when(full, x["size"]).otherwise(acc["bytes"] + x["size"]).cast("long").alias("bytes"),
-        )
-
-    folded = chunks.groupBy("stream").agg(F.aggregate(order, zero, step, lambda a: a["out"]).alias("out"))
-    return folded.select("stream", F.explode("out").alias("x")).select("stream", "x.idx", "x.batch")
+    ends = changes.where(F.col("state").isin("closed", "errored", "expired")).groupBy("stream")
+    first = ends.agg(F.min(order).alias("__end"), F.min_by("state", order).alias("__state"))
+    joined = writes.join(first, "stream", "left")
+    return joined.withColumn("refused", F.when(F.col("__end") < F.col(order), F.col("__state"))).drop("__end", "__state")
 
 
 def final_state(changes: DataFrame, order: str = "seq") -> DataFrame:

@@ -17,6 +17,8 @@ ORACLE_SQL: dict[str, str] = {}
 #: The moment that time-dependent queries take as now: 2001-08-02 for runs, 2024-01-16 for events (microseconds).
 RUNS_NOW_US, EVENTS_NOW_US = 996_710_400_000_000, 1_705_363_200_000_000
 RETENTION_US = 90 * retention.DAY_US
+#: Age after which a run's messages expire: fourteen and a half days.
+QUEUE_AGE_US = 29 * retention.DAY_US // 2
 
 RUNS = """runs AS (SELECT 'wrun_' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') AS run_id, o_orderpriority AS workflow_name,
  epoch_us(o_orderdate) AS created_us, CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'pending' END AS status,
@@ -87,8 +89,10 @@ def runs_second_page(spark, sf_dir):
     """The page after the first one's last row."""
     runs = S.runs(spark, sf_dir).where("status = 'running'")
     last = listing.page(runs, ["created_us", "run_id"], 20, peek=False).select("created_us", "run_id").collect()  # a page: 20 rows
-    cursor = tuple(last[-1]) if last else None
-    return listing.page(runs, ["created_us", "run_id"], 20, cursor).select(*_RUN)
+    if not last:
+        return listing.page(runs, ["created_us", "run_id"], 20).select(*_RUN)
+    rest = S.runs(spark, sf_dir, created_from_us=last[-1]["created_us"]).where("status = 'running'")
+    return listing.page(rest, ["created_us", "run_id"], 20, tuple(last[-1])).select(*_RUN)
 
 
 @query(f"""WITH {RUNS}, p AS (SELECT *, row_number() OVER (ORDER BY created_us, run_id) AS n FROM (SELECT * FROM runs WHERE status = 'pending'
@@ -102,7 +106,7 @@ def runs_page_has_more(spark, sf_dir):
 @query(f"WITH {RUNS} SELECT {_RUN_SQL}, input FROM runs WHERE run_id = 'wrun_0000000007'")
 def run_get(spark, sf_dir):
     """Point read by key."""
-    return S.runs(spark, sf_dir).where(F.col("run_id") == "wrun_0000000007").select(*_RUN, "input")
+    return S.runs(spark, sf_dir, run="wrun_0000000007").select(*_RUN, "input")
 
 
 @query(f"WITH {RUNS} SELECT {_RUN_SQL} FROM runs WHERE run_id IN (SELECT DISTINCT 'wrun_' || lpad(CAST(l_orderkey AS VARCHAR), 10, '0') FROM lineitem WHERE l_quantity = 1)")
@@ -238,7 +242,7 @@ def shard_distribution(spark, sf_dir):
 
 @query(f"WITH RECURSIVE {RUNS}, {_FNV.removeprefix('recursive ')} SELECT run_id, h % 4 AS shard FROM hashed")
 def queue_shards(spark, sf_dir):
-    """Queue shard by UTF-16 FNV-1a (equal to the byte hash on ASCII keys)."""
+    """Queue shard by UTF-16 FNV-1a (equal to the byte hash on ASCII keys; for others see ``queue_shards_beyond_ascii``)."""
     return S.runs(spark, sf_dir).select("run_id", X.queue_shard(F.col("run_id"), 4).alias("shard"))
 
 
@@ -391,7 +395,7 @@ def attributes_latest(spark, sf_dir):
 
 @query(f"WITH {SLOTS}, ends AS (SELECT DISTINCT run_id FROM ev WHERE event_type = 'run_cancelled') SELECT e.run_id, e.event_id FROM ev e WHERE event_type = 'hook_received' AND run_id NOT IN (SELECT run_id FROM ends)")
 def unreleased_hooks(spark, sf_dir):
-    """Hooks of runs that were not cancelled."""
+    """Hook events of runs that were not cancelled; which hooks live is in ``live_hooks``."""
     e = S.run_events(spark, sf_dir)
     ended = e.where("event_type = 'run_cancelled'").select("run_id").distinct()
     return listing.fenced(e.where("event_type = 'hook_received'"), ended).select("run_id", "event_id")
@@ -423,7 +427,7 @@ def hook_admission(spark, sf_dir):
 
 @query(f"WITH {HOOKS} SELECT hook_id, CASE WHEN at_us // 1000 + {ownership.HOOK_CLAIM_MS} > {EVENTS_NOW_US // 1000} THEN 'live' ELSE 'expired' END AS state FROM hooks WHERE at_us <= {EVENTS_NOW_US}")
 def hook_claim_leases(spark, sf_dir):
-    """Claims live or expired at a moment."""
+    """Claims live or expired at a moment."""
     ms = F.floor(F.col("at_us") / 1000).cast("long")
     hooks = S.hooks(spark, sf_dir).where(F.col("at_us") <= EVENTS_NOW_US)
     return hooks.select("hook_id", ownership.claim_state(ms, F.lit(EVENTS_NOW_US // 1000)).alias("state"))
@@ -570,7 +574,7 @@ def expired_leases(spark, sf_dir):
 
 @query(f"WITH {MESSAGES}, f AS (SELECT idempotency_key, arg_min(message_id, (enqueued_us, message_id)) AS original_id FROM messages GROUP BY 1) SELECT m.message_id, f.original_id, m.message_id = f.original_id AS accepted FROM messages m JOIN f ON m.idempotency_key = f.idempotency_key")
 def enqueue_dedup(spark, sf_dir):
-    """Idempotent enqueue while first messages are held."""
+    """Idempotent enqueue where first messages are held for good; ``enqueue_while_active`` releases them."""
     return queues.dedup(S.messages(spark, sf_dir)).select("message_id", "original_id", "accepted")
 
 
@@ -590,14 +594,20 @@ def redrive(spark, sf_dir):
     return out.select("message_id", "redriven", "attempt", "due_us")
 
 
-@query(f"WITH {MESSAGES} SELECT idempotency_key, CAST(count(*) AS BIGINT) AS n_deleted FROM messages WHERE idempotency_key % 10 = 0 GROUP BY 1")
+@query(f"WITH {MESSAGES} SELECT idempotency_key, CAST(count(*) AS BIGINT) AS n_deleted FROM messages GROUP BY 1 HAVING min(enqueued_us) + {QUEUE_AGE_US} <= {EVENTS_NOW_US}")
 def queue_expiry_receipts(spark, sf_dir):
-    """Receipts of messages deleted with their runs."""
+    """Receipts of messages deleted with the runs whose age is over."""
     m = S.messages(spark, sf_dir)
-    _, receipts = queues.expire_runs(m, m.where("idempotency_key % 10 = 0"), "idempotency_key")
+    _, receipts = queues.expire_runs(m, aged_keys(m), "idempotency_key")
     return receipts
 
 
+def aged_keys(messages: DataFrame) -> DataFrame:
+    """Keys whose first message is older than QUEUE_AGE_US."""
+    first = messages.groupBy("idempotency_key").agg(F.min("enqueued_us").alias("first_us"))
+    return first.where(F.col("first_us") + QUEUE_AGE_US <= EVENTS_NOW_US)
+
+
 # -- retention ------------------------------------------------------------------------------------
 
 

@@ -6,6 +6,8 @@ expressions, so filters and column choices still reach the parquet scan.
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,10 +23,27 @@ def run_id(key) -> F.Column:
     return F.concat(F.lit("wrun_"), F.lpad(key.cast("string"), 10, "0"))
 
 
-def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs from orders; completed runs finish one day after they were created."""
+def key_of(run: str) -> int | None:
+    """The order that a run id stands for, the inverse of run_id."""
+    digits = run.removeprefix("wrun_")
+    return int(digits) if run.startswith("wrun_") and digits.isdigit() else None
+
+
+def runs(spark: SparkSession, sf_dir: str, run: str | None = None, created_from_us: int | None = None) -> DataFrame:
+    """Runs from orders; completed runs finish one day after they were created.
+
+    Run ids and creation times are expressions, which no scan can filter on. So a
+    point read names its ``run``, and a page its first time: these become
+    predicates on the table's own columns, which reach the scan.
+    """
+    orders = table(spark, sf_dir, "orders")
+    if run is not None:
+        orders = orders.where(F.col("o_orderkey") == F.lit(key_of(run)))
+    if created_from_us is not None:
+        since = datetime(1970, 1, 1) + timedelta(microseconds=created_from_us)
+        orders = orders.where(F.col("o_orderdate") >= F.lit(since.isoformat(sep=" ")).cast("timestamp_ntz"))
     status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderstatus") == "O", "running").otherwise("pending")
-    return table(spark, sf_dir, "orders").select(
+    return orders.select(
         run_id(F.col("o_orderkey")).alias("run_id"),
         F.col("o_orderpriority").alias("workflow_name"),
         F.col("o_orderdate").alias("created_at"),
@@ -84,6 +103,11 @@ def hooks(spark: SparkSession, sf_dir: str) -> DataFrame:
 OUTCOMES = {"click": 200, "view": 503, "signup": 404, "error": 500, "purchase": 0}
 
 
+def message_run(key) -> F.Column:
+    """The run that a message belongs to: the one of its idempotency key's number."""
+    return run_id(key)
+
+
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Queue messages from events: idempotency key is the user, delay and stored attempts come from $.k."""
     k = F.get_json_object("props", "$.k").cast("long")
