@@ -26,7 +26,7 @@ also get the keys of an exact prefix filter.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 from itertools import combinations
 
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import Written, utf8, with_columns
+from weftline.llm.common import Written, lookup_side, utf8, with_columns
 from weftline.llm.components import connected_components
 
 RADIUS = 3
@@ -362,9 +362,11 @@ WIDE_BITS = 230
 SHORT = 20
 #: Keys of more rows than this are linked in stars first, then between the components that the stars leave.
 SMALL_GROUP = 128
+#: Pairs of a component that are verified in one round, and rounds before all open pairs are.
+TRIES, ROUNDS = 4, 6
 #: In a large key a row is compared with so many leaders that it may be similar to; in a family of texts around the
-#: similarity asked for, every leader links about half of those that are left.
-PIVOTS = 3
+#: similarity asked for, every leader links about half of those that are left, and later rounds the rest.
+PIVOTS = 1
 
 
 def shingle_hashes(text: bytes, size: int) -> tuple[np.ndarray, bytes]:
@@ -566,6 +568,53 @@ def cross_pairs(crowded: DataFrame, groups: DataFrame, found: DataFrame, similar
     return rows.mapInArrow(lambda b: cross_of_sorted(b, similarity), CANDIDATES).select("a", "b").distinct()
 
 
+def settle_pairs(pairs: DataFrame, found: Written | None, verified: Callable[[DataFrame], DataFrame]) -> Written:
+    """(node, component) after every candidate pair (a, b) that can join two components has been verified.
+
+    A family of n texts has n * n / 2 candidate pairs, but hangs together by n
+    links. So pairs are verified in rounds: of each component TRIES pairs that
+    lead out of it (those with the smallest hashes), then components are found
+    anew, and pairs that have come to lie inside one are settled. When the open
+    pairs are few against the components, or after ROUNDS, all that are left are
+    verified, so that none is lost. Picking is by aggregation, so a component
+    with a third of all pairs is no task of its own.
+    """
+    tried: list[Written] = []
+    if found is None:
+        found = Written(pairs.sparkSession.createDataFrame([], "node long, component long"))
+    for n in range(ROUNDS):
+        part = lookup_side(found)
+        open_ = pairs
+        for end in ("a", "b"):
+            side = part.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
+            open_ = open_.join(side, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+        open_ = open_.where("ca <> cb")
+        for before in tried:
+            open_ = open_.join(lookup_side(before), ["a", "b"], "left_anti")
+        open_ = Written(open_.select("a", "b", "ca", "cb"))
+        total = open_.df.count()
+        if not total:
+            open_.drop()
+            break
+        out = open_.df.select(F.explode(F.array("ca", "cb")).alias("c"), "a", "b")
+        firsts = [F.min(F.struct(F.xxhash64("a", "b", F.lit(n * TRIES + i)).alias("h"), "a", "b")).alias(f"p{i}") for i in range(TRIES)]
+        picked = out.groupBy("c").agg(*firsts).select(F.explode(F.array(*(f"p{i}" for i in range(TRIES)))).alias("p")).select("p.a", "p.b").distinct()
+        picked = Written(picked)
+        last = n == ROUNDS - 1 or total <= 2 * picked.df.count()
+        links = verified(open_.df.select("a", "b") if last else picked.df)
+        stars = found.df.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        after = Written(connected_components(stars.unionByName(links)))
+        found.drop()
+        open_.drop()
+        found = after
+        tried.append(picked)
+        if last:
+            break
+    for before in tried:
+        before.drop()
+    return found
+
+
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component_id) per row: groups of texts linked by a Jaccard similarity of word shingles from ``similarity`` up.
 
@@ -616,28 +665,26 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             found = [shingle_hashes(t, size)[0].view(np.int64) for t in utf8(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    def verified(pairs: Written) -> Written:
+    def verified(pairs: DataFrame) -> DataFrame:
         """The pairs whose shingle sets are as similar as asked."""
-        wanted = Written(pairs.df.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        side = F.broadcast(wanted.df) if wanted.small() else wanted.df
-        texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(side, "node", "left_semi")
+        wanted = Written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
+        texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(lookup_side(wanted), "node", "left_semi")
         texts = Written(texts.mapInArrow(sets, "node long, shingles array<long>"))
         left = texts.df.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
         right = texts.df.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
         both = F.size(F.array_intersect("x", "y"))
         alike = both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)
-        kept = Written(pairs.df.join(left, "a").join(right, "b").where(alike).select("a", "b"))
-        for done in (wanted, texts, pairs):
+        kept = Written(pairs.join(left, "a").join(right, "b").where(alike).select("a", "b"))
+        for done in (wanted, texts):
             done.drop()
-        return kept
+        return kept.df
 
-    links = verified(pairs)
-    found = Written(connected_components(links.df))
+    found = settle_pairs(pairs.df, None, verified)
     if crowded.take(1):
         cross = Written(cross_pairs(crowded, groups.df, found.df, similarity))
-        more = verified(cross)
-        if more.df.take(1):
-            found = Written(connected_components(links.df.unionByName(more.df)))
+        found = settle_pairs(cross.df, found, verified)
+        cross.drop()
+    pairs.drop()
     met.drop()
     labelled = label_rows(prints.df.select("id", "h1", "h2"), groups.df.select("h1", "h2", "node", "n"), found.df, ["h1", "h2"])
     return labelled.select(F.col("id").alias(id_col), "component_id")
