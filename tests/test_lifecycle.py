@@ -9,6 +9,7 @@ from weftline.functions import scalars
 from weftline.functions.transitions import decide, new_state
 from weftline.operators import listing, ownership, queues, retention, streams
 from weftline.plans import queries
+from weftline.plans.config import Settings, World
 from weftline.sources import fixtures
 from weftline.streaming import folds
 
@@ -137,6 +138,19 @@ def test_a_point_read_and_a_page_reach_the_scan(spark, small, capsys):
     assert fixtures.runs(spark, small, run="no such run").count() == 0 and fixtures.key_of("wrun_0000000012") == 12
 
 
+def test_the_facade_gates_versions_names_errors_and_deals_messages(spark):
+    world = World(spark, "/nowhere", Settings(spec_version=6, queue_shards=4))
+    events = spark.createDataFrame([("r", 0, "run_created", None, 0, 6), ("r", 1, "run_started", None, 1, 5), ("r", 2, "step_failed", "s", 2, 6)], "run_id string, seq long, event_type string, corr string, at_us long, spec_version int")
+    log, rejected = world.append_events(events)
+    assert [(r["slot"], r["event_type"]) for r in log.collect()] == [(1, "run_created")]
+    assert sorted((r["seq"], r["outcome"], r["error_name"], r["error_status"]) for r in rejected.collect()) == [(1, "RUN_NOT_SUPPORTED", "RunNotSupportedError", None), (2, "STEP_NOT_FOUND", "StatusError", 404)]
+    messages = spark.createDataFrame([(1, "k", 0, 200, None), (2, None, 0, 500, None)], "message_id long, idempotency_key string, attempt long, status int, timeout_s int")
+    got = {r["message_id"]: (r["outcome"], r["shard"]) for r in world.deliver(messages, 0).collect()}
+    assert got == {1: ("ack", fnv(b"k") % 4), 2: ("retry", fnv(b"2") % 4)}
+    due = spark.createDataFrame([("a", "completed", 0, 5)], "run_id string, status string, created_us long, due_us long")
+    assert world.sweep(due, due.limit(0), 10).count() == 0  # no retention, nothing is swept
+
+
 @pytest.mark.parametrize("keep_ms", [1, 10**11, None])
 def test_state_of_ended_runs_goes(spark, tmp_path, keep_ms):
     schema = "run_id string, seq long, event_type string, corr string, at_us long, has_run_input boolean"
