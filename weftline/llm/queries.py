@@ -84,6 +84,11 @@ def op10_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For both policies and each of their rules: documents that fail it, and those that it alone rejects, from the ledger's masks."""
+    return ledger.ablations(ledger.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -95,7 +100,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op5_license_scan,
-        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, pipeline,
+        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, rule_ablations, pipeline,
     )
 }
 
@@ -187,3 +192,12 @@ SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS
        (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed, failed = 0 AS kept, CAST(failed AS BIGINT) AS failed_rules
 FROM f""",
 }
+
+_CELLS = ", ".join(
+    f"('{p.version}', '{r.name}', {p.mask}, {1 << b})" for p in ledger.POLICIES for b, r in enumerate(ledger.RULES) if p.mask >> b & 1
+)
+ORACLE_SQL["rule_ablations"] = f"""
+WITH judged AS ({ORACLE_SQL["op10_rule_ledger"]}), cells(version, rule, mask, b) AS (VALUES {_CELLS})
+SELECT version, rule, CAST(count(*) FILTER (WHERE (failed_rules & b) <> 0) AS BIGINT) AS fails,
+       CAST(count(*) FILTER (WHERE (failed_rules & mask) = b) AS BIGINT) AS only_by
+FROM cells LEFT JOIN judged ON true GROUP BY version, rule"""
