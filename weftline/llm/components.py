@@ -20,6 +20,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     clean = edges.where("a is not null and b is not null and a <> b")
     current = Written(clean.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    before = None
     for _ in range(max_rounds):
         both = current.df.unionByName(current.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
@@ -31,13 +32,12 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
             least.select("u", F.col("m").alias("v"))
         )
         after = Written(small.where("u <> v").distinct())
-        sums = [
-            x.df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for x in (current, after)
-        ]
+        now = after.df.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         current.drop()
         current = after
-        if sums[0] == sums[1]:
+        if now == before or not now[0]:
             break
+        before = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = current.df.select(F.col("u").alias("node"), F.col("v").alias("component"))

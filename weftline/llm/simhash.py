@@ -362,8 +362,8 @@ WIDE_BITS = 230
 SHORT = 20
 #: Keys of more rows than this are linked in stars first, then between the components that the stars leave.
 SMALL_GROUP = 128
-#: Pairs of a component that are verified in one round, and rounds before all open pairs are.
-TRIES, ROUNDS = 4, 6
+#: Pairs of a component that are verified in each round; after these rounds all open pairs are.
+TRIES = (4, 16)
 #: In a large key a row is compared with so many leaders that it may be similar to; in a family of texts around the
 #: similarity asked for, every leader links about half of those that are left, and later rounds the rest.
 PIVOTS = 1
@@ -572,17 +572,17 @@ def settle_pairs(pairs: DataFrame, found: Written | None, verified: Callable[[Da
     """(node, component) after every candidate pair (a, b) that can join two components has been verified.
 
     A family of n texts has n * n / 2 candidate pairs, but hangs together by n
-    links. So pairs are verified in rounds: of each component TRIES pairs that
-    lead out of it (those with the smallest hashes), then components are found
+    links. So pairs are verified in rounds: of each component a few (see TRIES)
+    that lead out of it (those with the smallest hashes), then components are found
     anew, and pairs that have come to lie inside one are settled. When the open
-    pairs are few against the components, or after ROUNDS, all that are left are
-    verified, so that none is lost. Picking is by aggregation, so a component
+    pairs are few against the components, or after the last round, all that are
+    left are verified, so that none is lost. Picking is by aggregation, so a component
     with a third of all pairs is no task of its own.
     """
     tried: list[Written] = []
     if found is None:
         found = Written(pairs.sparkSession.createDataFrame([], "node long, component long"))
-    for n in range(ROUNDS):
+    for n, tries in enumerate((*TRIES, 0)):
         part = lookup_side(found)
         open_ = pairs
         for end in ("a", "b"):
@@ -596,18 +596,20 @@ def settle_pairs(pairs: DataFrame, found: Written | None, verified: Callable[[Da
         if not total:
             open_.drop()
             break
-        out = open_.df.select(F.explode(F.array("ca", "cb")).alias("c"), "a", "b")
-        firsts = [F.min(F.struct(F.xxhash64("a", "b", F.lit(n * TRIES + i)).alias("h"), "a", "b")).alias(f"p{i}") for i in range(TRIES)]
-        picked = out.groupBy("c").agg(*firsts).select(F.explode(F.array(*(f"p{i}" for i in range(TRIES)))).alias("p")).select("p.a", "p.b").distinct()
-        picked = Written(picked)
-        last = n == ROUNDS - 1 or total <= 2 * picked.df.count()
+        picked = None
+        if tries:
+            out = open_.df.select(F.explode(F.array("ca", "cb")).alias("c"), "a", "b")
+            firsts = [F.min(F.struct(F.xxhash64("a", "b", F.lit(100 * n + i)).alias("h"), "a", "b")).alias(f"p{i}") for i in range(tries)]
+            each = out.groupBy("c").agg(*firsts).select(F.explode(F.array(*(f"p{i}" for i in range(tries)))).alias("p"))
+            picked = Written(each.select("p.a", "p.b").distinct())
+        last = picked is None or total <= 2 * picked.df.count()
         links = verified(open_.df.select("a", "b") if last else picked.df)
         stars = found.df.select(F.col("node").alias("a"), F.col("component").alias("b"))
         after = Written(connected_components(stars.unionByName(links)))
         found.drop()
         open_.drop()
         found = after
-        tried.append(picked)
+        tried += [picked] if picked else []
         if last:
             break
     for before in tried:
