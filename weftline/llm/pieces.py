@@ -31,7 +31,7 @@ MARK = "▁"
 #: Longer chunks are segmented where they stand and not kept, so that a table entry is small.
 KEPT_CHARS = 64
 #: Entries of the corpus's table at most, and of a worker's own words; results don't depend on them.
-TABLE_ENTRIES, OWN_ENTRIES = 300_000, 300_000
+TABLE_ENTRIES, OWN_ENTRIES = 100_000, 200_000
 #: Characters of the texts whose chunks are held at once.
 HELD_CHARS = 500_000
 _CHUNKS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
