@@ -363,7 +363,7 @@ SHORT = 20
 #: Keys of more rows than this are linked in stars first, then between the components that the stars leave.
 SMALL_GROUP = 128
 #: Pairs of a component that are verified in each round; after these rounds all open pairs are.
-TRIES = (4, 16)
+TRIES = (8,)
 #: In a large key a row is compared with so many leaders that it may be similar to; in a family of texts around the
 #: similarity asked for, every leader links about half of those that are left, and later rounds the rest.
 PIVOTS = 1
