@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import decontam, deobfuscate, ledger, licenses, linespread, pieces, quality, simhash, urls, wrapper
+from weftline.llm import decontam, deobfuscate, interactions, ledger, licenses, linespread, pieces, quality, simhash, urls, wrapper
 from weftline.llm.common import Written, remainder, table
 
 
@@ -89,6 +89,11 @@ def rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.ablations(ledger.ledger(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five filters in every order, by language: what each step keeps and removes."""
+    return interactions.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -100,7 +105,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op5_license_scan,
-        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, rule_ablations, pipeline,
+        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, rule_ablations, op11_filter_audit, pipeline,
     )
 }
 
@@ -201,3 +206,37 @@ WITH judged AS ({ORACLE_SQL["op10_rule_ledger"]}), cells(version, rule, mask, b)
 SELECT version, rule, CAST(count(*) FILTER (WHERE (failed_rules & b) <> 0) AS BIGINT) AS fails,
        CAST(count(*) FILTER (WHERE (failed_rules & mask) = b) AS BIGINT) AS only_by
 FROM cells LEFT JOIN judged ON true GROUP BY version, rule"""
+
+
+ORACLE_SQL["op11_filter_audit"] = r"""
+WITH l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+first AS (SELECT t, min(doc_id) AS id FROM d GROUP BY t),
+w AS (SELECT d.*, first.id, regexp_extract_all(d.t, '[^\x20\x09-\x0D]+') AS ws FROM d JOIN first ON d.t = first.t),
+f AS (
+  SELECT part, coalesce(l.good, 0) AS good, coalesce(l.toxic, 0) AS toxic, len(ws) < 200 AS a, 100 * len(list_distinct(ws)) < 50 * len(ws) AS b,
+         100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 3 * length(t) AS c, regexp_matches(t, '[#$%&*|]') AS d, coalesce(w.doc_id > id, false) AS e
+  FROM w LEFT JOIN l ON w.doc_id = l.doc_id
+), m AS (
+  SELECT part, good, toxic, concat(CASE WHEN a THEN 'A' ELSE '' END, CASE WHEN b THEN 'B' ELSE '' END, CASE WHEN c THEN 'C' ELSE '' END,
+         CASE WHEN d THEN 'D' ELSE '' END, CASE WHEN e THEN 'E' ELSE '' END) AS fails FROM f
+), x(v) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+o AS (
+  SELECT concat(p.v, q.v, r.v, s.v, u.v) AS filter_order FROM x p JOIN x q ON q.v <> p.v JOIN x r ON r.v NOT IN (p.v, q.v)
+  JOIN x s ON s.v NOT IN (p.v, q.v, r.v) JOIN x u ON u.v NOT IN (p.v, q.v, r.v, s.v)
+), st AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+k AS (
+  SELECT filter_order, step, substr(filter_order, CAST(step AS INT), 1) AS own, left(filter_order, CAST(step AS INT) - 1) AS before FROM st
+), cells AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails),
+j AS (
+  SELECT part, filter_order, CAST(step AS INT) AS step, own, n, good, toxic, fails, contains(fails, own) AS hit,
+         length(fails) <> length(translate(fails, before, '')) AS gone FROM cells JOIN k ON true
+), s AS (
+  SELECT part, filter_order, step, own, sum(CASE WHEN NOT gone AND NOT hit THEN n ELSE 0 END) AS kept, sum(CASE WHEN hit AND NOT gone THEN n ELSE 0 END) AS removed,
+         sum(CASE WHEN hit AND gone THEN n ELSE 0 END) AS redundant, sum(CASE WHEN fails = own THEN n ELSE 0 END) AS unique_fails,
+         sum(CASE WHEN hit AND NOT gone THEN good ELSE 0 END) AS good_lost, sum(CASE WHEN hit AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost
+  FROM j GROUP BY part, filter_order, step, own
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+       CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM s"""
