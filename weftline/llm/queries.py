@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import decontam, deobfuscate, interactions, ledger, licenses, linespread, pieces, quality, simhash, urls, wrapper
+from weftline.llm import decontam, deobfuscate, interactions, ledger, licenses, linespread, pieces, quality, simhash, turns, urls, wrapper
 from weftline.llm.common import Written, remainder, table
 
 
@@ -94,6 +94,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie over all conversations, rebuilt on shared first turns."""
+    return turns.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline's result."""
     import corpus_pipeline
@@ -105,7 +110,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op5_license_scan,
-        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, rule_ablations, op11_filter_audit, pipeline,
+        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, rule_ablations, op11_filter_audit,
+        op13_conversation_trie, pipeline,
     )
 }
 
@@ -240,3 +246,33 @@ j AS (
 SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
        CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
        CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM s"""
+
+_CRC32 = """list_reduce(list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda s: CAST(ascii(s) AS UBIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), list_transform(range(8), lambda u: CAST(0 AS UBIGINT))), lambda z, u: xor(z >> 1, CAST(3988292384 AS UBIGINT) * (z & 1))))"""
+ORACLE_SQL["op13_conversation_trie"] = f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, strlen(coalesce(text, '')) AS b,
+         sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS tok FROM conversations WHERE conv_id IS NOT NULL
+), o AS (SELECT conv_id, tok, b, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, r, tok) AS i FROM t),
+c AS (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id),
+e AS (SELECT conv_id, n, conv_id - conv_id % 5 AS base, CAST(xor({_CRC32}, CAST(4294967295 AS UBIGINT)) % 9 AS BIGINT) AS h FROM c),
+x AS (SELECT e.*, coalesce(p.n, 0) AS nb FROM e LEFT JOIN c p ON e.base = p.conv_id),
+re AS (
+  SELECT x.conv_id, o.i AS d, o.tok, o.b FROM x JOIN o ON o.conv_id = x.base AND o.i <= x.h
+  UNION ALL SELECT x.conv_id, least(x.h, x.nb) + o.i - x.h, o.tok, o.b FROM x JOIN o ON o.conv_id = x.conv_id AND o.i > x.h
+), s AS (
+  SELECT x.conv_id, coalesce(list(re.tok ORDER BY re.d) FILTER (WHERE re.tok IS NOT NULL), []) AS toks, coalesce(list(re.b ORDER BY re.d) FILTER (WHERE re.tok IS NOT NULL), []) AS bytes
+  FROM x LEFT JOIN re ON x.conv_id = re.conv_id GROUP BY x.conv_id
+), p AS (SELECT conv_id, toks, bytes, unnest(range(0, len(toks) + 1)) AS d FROM s),
+m AS (
+  SELECT d, toks[1:d] AS path, min(conv_id) AS conv_id, count(*) AS n_convs, coalesce(any_value(bytes[d]), 0) AS own,
+         coalesce(string_agg(CASE WHEN len(toks) = d THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id), '') AS ends
+  FROM p GROUP BY d, toks[1:d]
+), k AS (SELECT path[1:d - 1] AS path, count(*) AS n FROM m WHERE d > 0 GROUP BY ALL),
+a AS (
+  SELECT m.d, m.path, m.conv_id, m.n_convs, m.ends, coalesce(k.n, 0) AS n_children, CASE WHEN k.n IS NULL THEN 1 ELSE 0 END AS leaf, (m.n_convs - 1) * m.own AS saved
+  FROM m LEFT JOIN k ON m.path = k.path
+), u AS (SELECT path[1:z] AS path, sum(leaf) AS n_leaves, sum(saved) AS saved FROM (SELECT path, leaf, saved, unnest(range(0, d + 1)) AS z FROM a) GROUP BY ALL)
+SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(a.n_convs AS BIGINT) AS n_convs, CAST(a.n_children AS BIGINT) AS n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
+FROM a JOIN u ON a.path = u.path LEFT JOIN a up ON a.d > 0 AND up.path = a.path[1:a.d - 1]"""
