@@ -20,6 +20,7 @@ COLUMNS = {
     "op9_toxicity": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op10_rule_ledger": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint", "base_failed": "boolean", "kept": "boolean"},
     "op11_filter_audit": {"part": "string", "filter_order": "string", "step": "int", **dict.fromkeys(("kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley"), "bigint")},
+    "op12_ngram_jaccard": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     "op13_conversation_trie": {**dict.fromkeys(("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens"), "bigint"), "ends_sha256": "string"},
 }
 NOT_BY_ROW = ("op2_decontamination", "op11_filter_audit", "op13_conversation_trie")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.llm import decontam, deobfuscate, interactions, ledger, licenses, linespread, pieces, quality, simhash, turns, urls, wrapper
+from weftline.llm import decontam, deobfuscate, interactions, jaccard, ledger, licenses, linespread, pieces, quality, simhash, turns, urls, wrapper
 from weftline.llm.common import Written, remainder, table
 
 
@@ -94,6 +94,11 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audit(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), table(spark, sf_dir, "labels"))
 
 
+def op12_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of distinct 5-word shingles and the smallest id that links of Jaccard 0.8 or more reach."""
+    return jaccard.similar_documents(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every node of the trie over all conversations, rebuilt on shared first turns."""
     return turns.conversation_trie(table(spark, sf_dir, "conversations"))
@@ -110,7 +115,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_gam, op2_decontamination, op3_sentencepiece, op4_line_spread, op5_license_scan,
-        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, rule_ablations, op11_filter_audit,
+        op6_html_extraction, op7_url_filter, op8_simhash, op9_toxicity, op10_rule_ledger, rule_ablations, op11_filter_audit, op12_ngram_jaccard,
         op13_conversation_trie, pipeline,
     )
 }
@@ -276,3 +281,17 @@ a AS (
 SELECT a.conv_id, CAST(a.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, CAST(a.n_convs AS BIGINT) AS n_convs, CAST(a.n_children AS BIGINT) AS n_children,
        CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved AS BIGINT) AS saved_tokens, sha256(a.ends) AS ends_sha256
 FROM a JOIN u ON a.path = u.path LEFT JOIN a up ON a.d > 0 AND up.path = a.path[1:a.d - 1]"""
+
+ORACLE_SQL["op12_ngram_jaccard"] = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM w
+), e AS (SELECT doc_id, len(s) AS n, unnest(s) AS s FROM g),
+p AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM e a JOIN e b ON a.s = b.s AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), l AS (SELECT x, y FROM p UNION ALL SELECT y, x FROM p),
+r(x, y) AS (SELECT x, y FROM l UNION SELECT r.x, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT x, min(y) AS y FROM r GROUP BY x)
+SELECT g.doc_id, CAST(len(g.s) AS BIGINT) AS n_shingles, least(g.doc_id, coalesce(c.y, g.doc_id)) AS component_id FROM g LEFT JOIN c ON g.doc_id = c.x"""
