@@ -99,3 +99,10 @@ def test_seeds_meet_and_dense_products_equal_sets(sets, common):
                     assert set(jaccard.seeds(a, 80, order).tolist()) & set(jaccard.seeds(b, 80, order).tolist())
     u, v = jaccard.dense_links(arrays, arrays, 80)
     assert set(zip(u.tolist(), v.tolist(), strict=True)) == near
+
+
+def test_ngrams_tell_orders_of_repeated_words_apart():
+    rng = random.Random(5)
+    for n in (4, 5, 6, 40, 400):
+        text = " ".join(rng.choice("abc") for _ in range(n))
+        assert len(jaccard.ngrams(text.encode())) == len(shingle_set(text))

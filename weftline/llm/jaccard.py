@@ -47,7 +47,8 @@ COMMON = 1_000_000
 #: Rows and n-grams of a block of a crowd, and columns and rows of the dense products.
 BLOCK_ROWS, BLOCK_GRAMS, DENSE_COLUMNS, STRIP = 1024, 1_000_000, 4096, 256
 
-_MULTIPLIERS = [np.uint64((0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64) for i in range(64)]
+#: An odd multiplier for each place in an n-gram, unrelated to each other, so that repeated words that change places don't cancel out.
+_MULTIPLIERS = [np.uint64(xxhash.xxh64_intdigest(b"%d" % i, 12) | 1) for i in range(64)]
 
 
 # -- n-gram sets ----------------------------------------------------------------------------------
