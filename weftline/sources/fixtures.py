@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.scalars import epoch_micros
@@ -123,6 +123,31 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def queue_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What happens to queue cells, from events: a user is a cell; sign-ups, clicks and purchases are messages.
+
+    Five seconds after each event the cell wakes, and up to seven minutes after that an answer comes for
+    the first or second lease of the cell's newest message, some of them too late.
+    """
+    k, at = F.get_json_object("props", "$.k").cast("long"), F.floor(epoch_micros(F.col("ts")) / 1000).cast("long")
+    makes = F.col("event_type").isin("signup", "click", "purchase")
+    newest = F.last(F.when(makes, F.col("event_id")), ignorenulls=True).over(Window.partitionBy("user_id").orderBy("ts", "event_id"))
+    none, four = F.lit(None), 4 * F.col("event_id")
+    status = F.array(*map(F.lit, (200, 500, 503, 404, 0)))[(k % 5).cast("int")]
+
+    def action(name, seq, when, message=none, key=none, delay=none, lease=none, status=none, timeout=none):
+        return F.struct(
+            seq.alias("seq"), when.cast("long").alias("at_ms"), F.lit(name).alias("action"), message.cast("long").alias("message_id"), key.cast("string").alias("idempotency_key"),
+            delay.cast("long").alias("delay_s"), lease.cast("long").alias("lease"), status.cast("int").alias("status"), timeout.cast("int").alias("timeout_s"),
+        )
+
+    enqueue = F.when(makes, action("enqueue", four, at, F.col("event_id"), F.when(k % 5 != 0, F.concat(F.lit("k"), (k % 3).cast("string"))), k % 4))
+    tick = action("tick", four + 1, at + 5_000)
+    answer = F.when(F.col("newest").isNotNull(), action("answer", four + 2, at + 5_000 + (k % 8) * 60_000, F.col("newest"), lease=1 + k % 2, status=status, timeout=F.when(k % 10 == 2, 30)))
+    made = table(spark, sf_dir, "events").withColumn("newest", newest).select(F.col("user_id").alias("cell"), F.explode(F.array(enqueue, tick, answer)).alias("a"))
+    return made.where("a is not null").select("cell", "a.*")
+
+
 def stream_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream chunks from conversations: a conversation is a stream, a turn a chunk."""
     return table(spark, sf_dir, "conversations").select(
