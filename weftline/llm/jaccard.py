@@ -79,8 +79,8 @@ def seed_size(n: int, percent: int) -> int:
 
 
 def seeds(grams: np.ndarray, percent: int, common: np.ndarray) -> np.ndarray:
-    """The first n-grams of a set: those that aren't common by hash, then the common ones (``common`` is sorted)."""
-    p = seed_size(len(grams), percent)
+    """The first n-grams of a set (of none: none): those that aren't common by hash, then the common ones (``common`` is sorted)."""
+    p = seed_size(len(grams), percent) if len(grams) else 0
     at = np.searchsorted(common, grams)
     known = np.zeros(len(grams), bool)
     inside = at < len(common)
@@ -345,19 +345,26 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                 names=["gram", "node", "size"],
             )
 
+    repeated = Written(prints.df.where("id is not null").groupBy("id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("id"))
+    repeats = bool(repeated.df.take(1))
+
+    def texts_of(nodes: Written) -> DataFrame:
+        """(node, text) of the given nodes, each text of a node once."""
+        rows = texts.withColumnRenamed("id", "node").join(lookup_side(nodes), "node", "left_semi")
+        if not repeats:
+            return rows
+        again = lookup_side(repeated).withColumnRenamed("id", "node")
+        return rows.join(again, "node", "left_anti").unionByName(rows.join(again, "node", "left_semi").dropDuplicates())
+
     def sets_of(nodes: Written) -> DataFrame:
-        """(node, size, grams) of the given nodes' texts, each set of a node once."""
+        """(node, size, grams) of the given nodes' texts."""
 
         def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in (b.slice(i, 200) for b in batches for i in range(0, b.num_rows, 200)):
                 found = [ngrams(t, size) for t in utf8(batch, text_col)]
-                digest = [(xxhash.xxh3_64_intdigest(g.tobytes())) - 2**63 for g in found]
-                n = [len(g) for g in found]
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(digest, pa.int64()), pa.array(n, pa.int64()), _lists(found)], names=["node", "h", "size", "grams"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(g) for g in found], pa.int64()), _lists(found)], names=["node", "size", "grams"])
 
-        wanted = texts.withColumnRenamed("id", "node").join(lookup_side(nodes), "node", "left_semi")
-        made = wanted.mapInArrow(rows, "node long, h long, size long, grams array<long>")
-        return made.where("size > 0").groupBy("node", "h").agg(F.first("size").alias("size"), F.first("grams").alias("grams")).drop("h")
+        return texts_of(nodes).mapInArrow(rows, "node long, size long, grams array<long>").where("size > 0")
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose exact overlap, over all columns, is enough."""
@@ -384,17 +391,15 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if again.df.take(1):
 
         def rare_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                node, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-                found = [seeds(np.asarray(g.values).view(np.uint64), percent, common) for g in batch.column(2)]
+            for batch in (b.slice(i, 200) for b in batches for i in range(0, b.num_rows, 200)):
+                sets = [ngrams(t, size) for t in utf8(batch, text_col)]
+                found = [seeds(g, percent, common) for g in sets]
                 lengths = [len(f) for f in found]
-                grams = np.concatenate(found).view(np.int64) if found else np.empty(0, np.int64)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(grams), pa.array(np.repeat(node, lengths)), pa.array(np.repeat(sizes, lengths).astype(np.int32), pa.int32())], names=["gram", "node", "size"]
-                )
+                node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)
+                sizes = np.repeat([len(g) for g in sets], lengths).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(node), pa.array(sizes, pa.int32())], names=["gram", "node", "size"])
 
-        sets = Written(sets_of(again))
-        entries = Written(sets.df.mapInArrow(rare_first, "gram long, node long, size int"))
+        entries = Written(texts_of(again).mapInArrow(rare_first, "gram long, node long, size int"))
         large = Written(entries.df.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first")).where(F.col("m") > COLUMN).drop("m"))
         side = lookup_side(large)
         products = seed_products(entries.df.join(side, "gram", "left_anti"), percent)
@@ -404,14 +409,13 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         entries.drop()
         large.drop()
 
-    repeated = prints.df.where("id is not null and n_shingles > 0").groupBy("id").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("id")
-    repeated = Written(repeated)
-    if repeated.df.take(1):
+    if repeats:
         rows = some.select("id", "h1", "h2").join(lookup_side(repeated), "id", "left_semi").join(groups.df.select("h1", "h2", "node"), ["h1", "h2"])
         links = links.unionByName(rows.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct())
     found = Written(connected_components(links))
 
     if crowded is not None and crowded.df.take(1):
+        sets = Written(sets_of(Written(crowded.df.select("node").distinct())))
         members = connected_components(crowded.df.select(F.col("node").alias("a"), F.col("first").alias("b")))
         sizes = sets.df.groupBy("node").agg(F.sum("size").alias("size"))
         crowd = Written(members.withColumnRenamed("component", "crowd").join(sizes, "node"))
