@@ -7,6 +7,9 @@ see ``weftline.operators.eventlog``.
 
 from __future__ import annotations
 
+import json
+from dataclasses import dataclass
+
 #: Event types by what they do to the run.
 ENDS = {"run_completed": "completed", "run_failed": "failed", "run_cancelled": "cancelled"}
 STEP_ENDS = {"step_completed": "completed", "step_failed": "failed"}
@@ -17,11 +20,21 @@ RUN_BLIND = frozenset({"run_created", "step_completed", "step_retrying"})
 APPENDED, REPLAY = "appended", "replay"
 
 
+@dataclass(frozen=True)
+class Limits:
+    """What attributes may be. The limits of the public API aren't published, so all are parameters."""
+
+    keys: int = 64
+    key_bytes: int = 256
+    value_bytes: int = 4096
+    reserved: str = "$"
+
+
 def new_state() -> dict:
     """run: status or None; spec: the run's version; steps: id to [status, retry_after]; hooks: live; marked, released: hook
     ids seen and disposed; waits: id to open; resumes: resume id to [hook, digest]; writes: attribute writes by correlation
-    id; n: last slot. Sets are dicts to true, so that the state is plain JSON."""
-    return {"run": None, "spec": None, "steps": {}, "hooks": {}, "marked": {}, "released": {}, "waits": {}, "resumes": {}, "writes": {}, "n": 0}
+    id; attributes: value by key, and how many there are; n: last slot. Sets are dicts to true, so that the state is plain JSON."""
+    return {"run": None, "spec": None, "steps": {}, "hooks": {}, "marked": {}, "released": {}, "waits": {}, "resumes": {}, "writes": {}, "attributes": {}, "n_attributes": 0, "n": 0}
 
 
 def _lazy(e: dict) -> bool:
@@ -125,7 +138,29 @@ def _spec(e: dict) -> int | None:
     return e["run_spec"] if e.get("run_spec") is not None else e.get("spec_version")
 
 
-def _run(state: dict, e: dict) -> str:
+def attribute_changes(state: dict, e: dict, limits: Limits) -> list | None:
+    """Changes [key, value or None] of an event, a JSON list; None if one of them isn't allowed or too many keys would be there."""
+    changes, there = json.loads(e["changes"]), {}
+    for key, value in changes:
+        wrong = not key or len(key.encode()) > limits.key_bytes or (value is not None and len(value.encode()) > limits.value_bytes)
+        if wrong or (key.startswith(limits.reserved) and not e.get("allow_reserved")):
+            return None
+        there[key] = value is not None
+    more = sum(now - (key in state["attributes"]) for key, now in there.items())
+    return None if more > 0 and state["n_attributes"] + more > limits.keys else changes
+
+
+def _set_attributes(state: dict, changes: list) -> None:
+    for key, value in changes:
+        known = key in state["attributes"]
+        if value is not None:
+            state["attributes"][key] = value
+        elif known:
+            del state["attributes"][key]
+        state["n_attributes"] += (value is not None) - known
+
+
+def _run(state: dict, e: dict, limits: Limits) -> str:
     kind = e["event_type"]
     if kind == "run_created":
         if state["run"] is not None:
@@ -141,17 +176,24 @@ def _run(state: dict, e: dict) -> str:
             return REPLAY
         state["run"] = "running"
     elif kind == "attr_set":
+        changes = attribute_changes(state, e, limits) if e.get("changes") is not None else []
+        if changes is None:
+            return "INVALID_ATTRIBUTES"
         if e.get("corr") is not None and e.get("by_workflow"):
             if e["corr"] in state["writes"]:
                 return "ENTITY_CONFLICT"
             state["writes"][e["corr"]] = True
+        _set_attributes(state, changes)
     elif kind in ENDS:
         state["run"] = ENDS[kind]
         state["hooks"], state["waits"] = {}, {}  # hooks and waits of an ended run are gone
     return APPENDED
 
 
-def decide(state: dict, e: dict, current_spec: int | None = None) -> tuple[str, list[str]]:
+_FAMILIES = {"step": _step, "hook": _hook, "wait": _wait}
+
+
+def decide(state: dict, e: dict, current_spec: int | None = None, limits: Limits = Limits()) -> tuple[str, list[str]]:  # noqa: B008  a constant
     """Outcome of one event and the types it appends; advances the state.
 
     The outcome is "appended", "replay" (success without an event) or a reject
@@ -170,7 +212,7 @@ def decide(state: dict, e: dict, current_spec: int | None = None) -> tuple[str,
     verdict = _run_verdict(state, e)
     if verdict is None:
         family = kind.split("_", 1)[0]
-        verdict = {"step": _step, "hook": _hook, "wait": _wait}.get(family, _run)(state, e)
+        verdict = _run(state, e, limits) if family not in _FAMILIES else _FAMILIES[family](state, e)
     if verdict == "hook_conflict":
         state["n"] += 1
         return APPENDED, ["hook_conflict"]

@@ -10,19 +10,19 @@ streamed through Arrow batches, so a task holds one run's state at a time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weftline.functions.transitions import decide, new_state
+from weftline.functions.transitions import Limits, decide, new_state
 
-DECIDED = "outcome string, appended array<string>, slot long"
+DECIDED = "outcome string, appended array<string>, slot long, retry_at_us long"
 #: What a general fold reads; absent columns count as null.
 FOLD_COLUMNS = (
     "run_id", "seq", "event_type", "corr", "at_us", "step_name", "has_input", "has_run_input", "retry_after_us", "holder", "claim_cancelled",
-    "resume_id", "digest", "by_workflow", "spec_version", "run_spec",
+    "resume_id", "digest", "by_workflow", "spec_version", "run_spec", "changes", "allow_reserved",
 )
 #: Columns that guards don't read and entities are made of; those that events have pass through the fold.
 PAYLOAD = ("output", "error", "resume_at_us")
@@ -84,9 +84,11 @@ def resume_dedup(events: DataFrame, order: list[str], run: str = "run_id") -> Da
     return events.withColumn("outcome", F.when(n == 1, "appended").when(differs, "ENTITY_CONFLICT").otherwise("replay"))
 
 
-def fold(events: DataFrame, partitions: int | None = None, current_spec: int | None = None) -> DataFrame:
+def fold(events: DataFrame, partitions: int | None = None, current_spec: int | None = None, carry: Sequence[str] = (), limits: Limits = Limits()) -> DataFrame:  # noqa: B008  a constant
     """Events (FOLD_COLUMNS, PAYLOAD) with outcome, the event types they appended and the last slot of their run.
 
+    ``carry`` names fold columns that come out as well. A start that is TOO_EARLY has the time from which it may come (retry_at_us).
+
     Order within a run is (at_us, seq). Rows with a null run are one run of
     their own. A run is one task's work in sequence by nature; runs are bounded
     by the engine's limit on events per run.
@@ -97,7 +99,7 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
     rows = events.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in FOLD_COLUMNS), *payload)
     rows = rows.repartition(partitions, "run_id") if partitions else rows.repartition("run_id")
     rows = rows.sortWithinPartitions("run_id", "at_us", "seq")
-    kept = ["run_id", "seq", "event_type", "corr", "at_us", *carried]
+    kept = ["run_id", "seq", "event_type", "corr", "at_us", *carried, *(c for c in carry if c not in carried)]
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,11 +109,11 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
             for e in batch.to_pylist():
                 if e["run_id"] != current:
                     state, current = new_state(), e["run_id"]
-                outcome, types = decide(state, e, current_spec)
-                out.append((outcome, types, state["n"]))
-            columns = list(zip(*out, strict=True)) if out else [[], [], []]
-            arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.string()), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *arrays], names=[*kept, "outcome", "appended", "slot"])
+                outcome, types = decide(state, e, current_spec, limits)
+                out.append((outcome, types, state["n"], state["steps"][e["corr"]][1] if outcome == "TOO_EARLY" else None))
+            columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
+            arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *arrays], names=[*kept, "outcome", "appended", "slot", "retry_at_us"])
 
     return rows.mapInArrow(run, f"{schema}, {DECIDED}")
 
@@ -125,6 +127,82 @@ def appended(folded: DataFrame) -> DataFrame:
     return exploded.select("run_id", slot.cast("long").alias("slot"), F.col("type").alias("event_type"), "corr", "at_us", "seq", *carried)
 
 
+#: Rows of a run's guard state: what kind of entity (a map of the fold's state, or the run), its id and what is known of it.
+GUARD_ROWS = ("run_id", "kind", "id", "a", "b", "n", "m")
+#: What ``fold`` has to carry for them.
+GUARD_CARRY = ("retry_after_us", "resume_id", "digest", "by_workflow", "spec_version", "run_spec", "changes")
+
+
+def guard_states(folded: DataFrame) -> DataFrame:
+    """The state (GUARD_ROWS) that guards are left with by a fold that carries GUARD_CARRY: where a stream can go on."""
+    rows = folded.where(F.size("appended") > 0)
+    kind, corr, ends = F.col("event_type"), F.col("corr"), ("run_completed", "run_failed", "run_cancelled")
+    order = F.struct("slot")
+    made = F.array_contains("appended", "run_created")
+    status = F.when(kind == "run_created", "pending").when(kind == "run_started", "running")
+    for event in ends:
+        status = status.when(kind == event, event.removeprefix("run_"))
+    runs = rows.groupBy("run_id").agg(
+        F.max_by(status, F.when(status.isNotNull(), F.col("slot"))).alias("a"), F.max("slot").alias("n"),
+        F.max(F.when(made, F.coalesce("run_spec", "spec_version"))).cast("long").alias("m"),
+    )
+    ended = runs.where(F.col("a").isin("completed", "failed", "cancelled")).select("run_id")
+
+    def row(df: DataFrame, what: str, a: str | None = None, b: str | None = None, n: str | None = None) -> DataFrame:
+        null = {"a": a, "b": b, "n": n}
+        values = [(F.col(c) if c else F.lit(None)).cast("long" if k == "n" else "string").alias(k) for k, c in null.items()]
+        return df.select("run_id", F.lit(what).alias("kind"), "id", *values, F.lit(None).cast("long").alias("m"))
+
+    def last(what: str, **carried: Column) -> DataFrame:
+        return rows.where(kind.startswith(what)).groupBy("run_id", corr.alias("id")).agg(F.max_by(F.struct(*(c.alias(n) for n, c in carried.items())), order).alias("x")).select("run_id", "id", "x.*")
+
+    state = F.when(kind.isin("step_created", "step_retrying"), "pending").when(kind == "step_started", "running").otherwise(F.expr("substring(event_type, 6)"))
+    steps = last("step_", status=state, retry=F.when(kind == "step_retrying", F.col("retry_after_us")))
+    hooks = rows.where(F.array_contains("appended", "hook_created") | (kind == "hook_disposed")).groupBy("run_id", corr.alias("id")).agg(F.max(kind == "hook_disposed").alias("gone"))
+    waits = last("wait_", open=F.when(kind == "wait_created", 1).otherwise(0))
+    resumes = rows.where((kind == "hook_received") & F.col("resume_id").isNotNull()).groupBy("run_id", F.col("resume_id").alias("id")).agg(F.min_by(F.struct(corr.alias("hook"), "digest"), order).alias("x"))
+    writes = rows.where((kind == "attr_set") & F.col("by_workflow").cast("boolean") & corr.isNotNull()).select("run_id", corr.alias("id")).distinct()
+    values = attributes(rows).select("run_id", F.col("key").alias("id"), "value")
+    parts = [
+        runs.select("run_id", F.lit("run").alias("kind"), F.lit(None).cast("string").alias("id"), "a", F.lit(None).cast("string").alias("b"), "n", "m"),
+        row(steps, "steps", a="status", n="retry"), row(hooks, "marked"), row(hooks.where("gone"), "released"),
+        row(hooks.where("not gone").join(ended, "run_id", "left_anti"), "hooks"), row(waits.join(ended, "run_id", "left_anti"), "waits", n="open"),
+        row(resumes.select("run_id", "id", "x.*"), "resumes", a="hook", b="digest"), row(writes, "writes"), row(values, "attributes", a="value"),
+    ]
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
+def attributes(folded: DataFrame) -> DataFrame:
+    """(run_id, key, value) after all changes of a fold that carries them: the last change of each key, where it isn't a removal."""
+    sets = folded.where((F.col("event_type") == "attr_set") & (F.size("appended") > 0) & F.col("changes").isNotNull())
+    each = sets.select("run_id", "slot", F.posexplode(F.from_json("changes", "array<array<string>>")).alias("i", "c"))
+    return latest_attributes(each.select("run_id", "slot", "i", F.col("c")[0].alias("key"), F.col("c")[1].alias("value")), ["slot", "i"])
+
+
+def create(events: DataFrame, current_spec: int | None = None) -> DataFrame:
+    """Raw events (FOLD_COLUMNS without holder, token) folded with the holders of their claims: token first, then hook id.
+
+    A claim holds its token if it is the token's earliest by (at_us, seq), and its hook id if it is the earliest of
+    those that hold their token, whatever its own run says to it; the claims of one run and hook are one
+    owner's. Other claims name the holder and become conflicts in the fold. Owners come from aggregations with partial
+    results, so a token that a third of all hooks claim is no task of its own.
+    """
+    claim = (F.col("event_type") == "hook_created") & F.col("token").isNotNull()
+    named = events.withColumn("__name", F.concat_ws("/", F.col("run_id").cast("string"), "corr"))
+    claims = named.where(claim).select("run_id", "seq", "at_us", "token", "corr", "__name")
+    first = claims.groupBy("token").agg(F.min_by("__name", F.struct("at_us", "seq")).alias("__token_holder"))
+    won = claims.join(first, "token").where("__name = __token_holder")
+    ids = won.groupBy("corr").agg(F.min_by("__name", F.struct("at_us", "seq")).alias("__id_holder"))
+    joined = named.where(claim).join(first, "token", "left").join(ids, "corr", "left")
+    holder = F.when(F.col("__token_holder") != F.col("__name"), F.col("__token_holder")).otherwise(F.col("__id_holder"))
+    held = joined.withColumn("holder", holder).drop("__name", "__token_holder", "__id_holder")
+    rest = named.where(~F.coalesce(claim, F.lit(False))).withColumn("holder", F.lit(None).cast("string")).drop("__name")
+    return fold(rest.unionByName(held), current_spec=current_spec)
+
+
 def run_states(log: DataFrame) -> DataFrame:
     """Runs from the log: status, first start, end, and how many events."""
     kind = F.col("event_type")
