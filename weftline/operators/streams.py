@@ -40,6 +40,45 @@ def read(chunks: DataFrame, start: int | Column = 0, max_chunks: int = MAX_CHUNK
     return counted.where((F.col("__n") <= max_chunks) & (F.col("__bytes") <= max_bytes)).drop("__n", "__bytes")
 
 
+def waiting_reads(requests: DataFrame, chunks: DataFrame, ends: DataFrame) -> DataFrame:
+    """What each read that may wait gets: (request_id, stream, start, answered_ms, timed_out, state, tail_index, n_chunks, bytes).
+
+    Requests are (request_id, stream, start, max_chunks, max_bytes, wait_ms, at_ms), within ``check_read``'s bounds; chunks (stream, idx, size,
+    at_ms) are contiguous and never earlier than the ones before; ends are (stream, state, at_ms), the first of a stream counts. A read is answered at once if its
+    stream has a chunk from ``start`` on, has ended, or the read neither waits nor wants chunks. Else
+    the next change of the stream answers it, whatever that brings, or the end of its wait. The chunks of an
+    answer are those from ``start`` as far as both budgets allow.
+
+    A read looks its few indexes up by equality; how far its stream was comes from one running maximum over a stream's times.
+    """
+    written = chunks.select("stream", F.col("at_ms").alias("t"), F.lit(0).alias("r"), (F.col("idx") + 1).alias("count"), F.lit(None).cast(requests.schema["request_id"].dataType).alias("request_id"))
+    asked = requests.select("stream", F.col("at_ms").alias("t"), F.lit(1).alias("r"), F.lit(0).cast("long").alias("count"), "request_id")
+    so_far = Window.partitionBy("stream").orderBy("t", "r").rowsBetween(Window.unboundedPreceding, 0)
+    there = written.unionByName(asked).withColumn("count", F.max("count").over(so_far)).where("r = 1").select("stream", "request_id", "count")
+    last = ends.groupBy("stream").agg(F.min("at_ms").alias("end_ms"), F.min_by("state", "at_ms").alias("end_state"))
+    coming = chunks.select("stream", F.col("idx").alias("count"), F.col("at_ms").alias("next_ms"))
+    known = requests.join(there, ["stream", "request_id"]).join(last, "stream", "left").join(coming, ["stream", "count"], "left")
+    ended = F.coalesce(F.col("end_ms") <= F.col("at_ms"), F.lit(False))
+    at_once = (F.col("count") > F.col("start")) | ended | (F.col("wait_ms") == 0) | (F.col("max_chunks") == 0)
+    change = F.least("next_ms", "end_ms")
+    until = F.col("at_ms") + F.col("wait_ms")
+    timed_out = ~at_once & F.coalesce(change > until, F.lit(True))
+    known = known.withColumn("answered_ms", F.when(at_once, F.col("at_ms")).when(timed_out, until).otherwise(change)).withColumn("timed_out", timed_out)
+    known = known.withColumn("state", F.when(F.col("end_ms") <= F.col("answered_ms"), F.col("end_state")).otherwise("open"))
+    wanted = known.where("max_chunks > 0").select("stream", "request_id", "answered_ms", "max_bytes", F.explode(F.expr("sequence(start, start + max_chunks - 1)")).alias("idx"))
+    met = wanted.join(chunks.select("stream", "idx", "size", F.col("at_ms").alias("t")), ["stream", "idx"]).where("t <= answered_ms")
+    sums = met.withColumn("b", F.sum("size").over(Window.partitionBy("request_id").orderBy("idx"))).where("b <= max_bytes")
+    given = sums.groupBy("request_id").agg(F.count(F.lit(1)).alias("n_chunks"), F.sum("size").alias("bytes"))
+    # An answer after a wait comes with all that is written at its time.
+    tails = known.select("request_id", "stream", F.col("answered_ms").alias("t"), F.lit(1).alias("r"), F.lit(0).cast("long").alias("count"))
+    tails = written.unionByName(tails).withColumn("count", F.max("count").over(so_far)).where("r = 1").select("request_id", F.col("count").alias("tail"))
+    out = known.join(given, "request_id", "left").join(tails, "request_id")
+    zero = F.lit(0).cast("long")
+    return out.select(
+        "request_id", "stream", "start", "answered_ms", "timed_out", "state", (F.col("tail") - 1).alias("tail_index"), F.coalesce("n_chunks", zero).alias("n_chunks"), F.coalesce("bytes", zero).cast("long").alias("bytes")
+    )
+
+
 def start_of(chunks: DataFrame, start: int) -> DataFrame:
     """(stream, start): a negative start counts from the end and is floored at 0."""
     if start >= 0:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from weftline.functions import forms
 from weftline.functions import scalars as X
 from weftline.functions.transitions import Limits
-from weftline.operators import disposal, eventlog, numbering, queue_life, queues
+from weftline.operators import disposal, eventlog, numbering, queue_life, queues, streams
 from weftline.plans.lifecycle import _STEP_RESULTS, _STEPS, _step_log, _steps
 from weftline.plans.queries import EVENTS, SLOTS, query
 from weftline.sources import fixtures as S
@@ -244,3 +244,33 @@ def hook_creations(spark, sf_dir):
     folded = eventlog.create(_raw_hooks(spark, sf_dir))
     outcome = F.when(F.array_contains("appended", "hook_conflict"), "hook_conflict").otherwise(F.col("outcome"))
     return folded.select("run_id", "seq", "event_type", outcome.alias("outcome"))
+
+
+# -- reads that wait ------------------------------------------------------------------------------
+
+
+def _talk(spark, sf_dir):
+    """Chunks written two at a time each ten seconds, ends of two streams in three, and a read for each chunk."""
+    t, turn, conv = S.table(spark, sf_dir, "conversations"), F.col("turn"), F.col("conv_id")
+    chunks = t.select(conv.alias("stream"), turn.alias("idx"), (F.octet_length("text").cast("long") * 3000).alias("size"), (conv * 1000 + F.floor(turn / 2) * 10_000).alias("at_ms"))
+    ends = chunks.groupBy("stream").agg((F.max("at_ms") + 5_000).alias("at_ms")).where("stream % 3 < 2").select("stream", F.when(F.col("stream") % 3 == 0, "closed").otherwise("errored").alias("state"), "at_ms")
+    requests = t.select(
+        (conv * 100_000 + turn).alias("request_id"), conv.alias("stream"), (turn + turn % 3).alias("start"), F.when(turn % 7 == 5, 0).otherwise(1 + turn % 3 * 9).alias("max_chunks"),
+        F.lit(streams.MAX_CHUNK_BYTES).cast("long").alias("max_bytes"), (turn % 4 * 5_000).alias("wait_ms"), (conv * 1000 + turn * 4_000).alias("at_ms"),
+    )
+    return requests, chunks, ends
+
+
+@query(f"""WITH c AS (SELECT conv_id AS stream, turn AS idx, strlen(text) * 3000 AS size, conv_id * 1000 + turn // 2 * 10000 AS t FROM conversations),
+ e AS (SELECT stream, max(t) + 5000 AS end_t, CASE WHEN stream % 3 = 0 THEN 'closed' ELSE 'errored' END AS end_state FROM c WHERE stream % 3 < 2 GROUP BY stream),
+ r AS (SELECT conv_id * 100000 + turn AS request_id, conv_id AS stream, turn + turn % 3 AS start, CASE WHEN turn % 7 = 5 THEN 0 ELSE 1 + turn % 3 * 9 END AS most, turn % 4 * 5000 AS wait, conv_id * 1000 + turn * 4000 AS t0 FROM conversations),
+ n AS (SELECT r.*, e.end_t, e.end_state, (SELECT count(*) FROM c WHERE c.stream = r.stream AND c.t <= r.t0) AS had, least((SELECT min(t) FROM c WHERE c.stream = r.stream AND c.t > r.t0), e.end_t) AS change FROM r LEFT JOIN e ON r.stream = e.stream),
+ o AS (SELECT *, had > start OR coalesce(end_t <= t0, false) OR wait = 0 OR most = 0 AS once FROM n),
+ a AS (SELECT *, NOT once AND coalesce(change > t0 + wait, true) AS timed_out, CASE WHEN once THEN t0 WHEN coalesce(change > t0 + wait, true) THEN t0 + wait ELSE change END AS at_t FROM o),
+ g AS (SELECT a.request_id, c.size, sum(c.size) OVER (PARTITION BY a.request_id ORDER BY c.idx) AS b FROM a JOIN c ON a.stream = c.stream AND c.idx >= a.start AND c.idx < a.start + a.most AND c.t <= a.at_t),
+ s AS (SELECT request_id, count(*) AS n, sum(size) AS bytes FROM g WHERE b <= {streams.MAX_CHUNK_BYTES} GROUP BY request_id)
+ SELECT a.request_id, a.stream, a.start, a.at_t AS answered_ms, a.timed_out, CASE WHEN a.end_t <= a.at_t THEN a.end_state ELSE 'open' END AS state,
+ (SELECT count(*) FROM c WHERE c.stream = a.stream AND c.t <= a.at_t) - 1 AS tail_index, CAST(coalesce(s.n, 0) AS BIGINT) AS n_chunks, CAST(coalesce(s.bytes, 0) AS BIGINT) AS bytes FROM a LEFT JOIN s ON a.request_id = s.request_id""")
+def waiting_reads(spark, sf_dir):
+    """Reads of streams that wait for chunks, within their bounds on time, chunks and bytes."""
+    return streams.waiting_reads(*_talk(spark, sf_dir))
