@@ -152,3 +152,93 @@ def test_skeletons_go_round():
     root = wrapper.run_tree(wrapper.parse("<body><div class='a b' id=c><p>x<p>y</div><div><ul><li>z</ul></div></body>"))
     again = wrapper.from_skeleton(wrapper.skeleton(root))
     assert again.shape == root.shape and [r.path for r in wrapper.inside(again)] == [r.path for r in wrapper.inside(root)]
+
+
+def six_pages(spark, body):
+    """Texts of six pages of one host by their wrapper, and by structure; ``body`` makes a page's body from its prose."""
+    rng = random.Random(6)
+    rows = [(i, "http://c.com/", f"<body><nav>Menu</nav>{body(lambda n: prose(rng, n), i)}<footer>End</footer></body>") for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in wrapper.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    return [got[i] for i in range(6)], [wrapper.extract(h) for _, _, h in rows]
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        lambda p, i: f"<main><section class=intro><p>{p(40)}</p></section><section class=body><p>{p(100)}</p></section><section class=end><p>{p(40)}</p></section></main>",
+        lambda p, i: f"<article><p>{p(30)}</p></article><article class=second><p>{p(30)}</p></article>",
+        lambda p, i: f"<article><div class=content><p>{p(120)}</p></div><div class=tail><p>{p(30)}</p></div></article>",
+        lambda p, i: f"<article><h2>Summary</h2><p>{p(20)}</p><h2>Details</h2><div><h3>More</h3><p>{p(60)}</p></div></article>",
+        lambda p, i: f"<main><div>{p(5)}<div><div><p>{p(90)}</p></div></div></div><table><tr><td>{p(9)}</td></tr></table></main>",
+        lambda p, i: f"<div class=page><article><p>{p(50)}</p></article><aside>{p(30)}</aside></div>",
+    ],
+)
+def test_nothing_of_an_article_is_lost(spark, body):
+    got, by_structure = six_pages(spark, body)
+    assert got == by_structure and all(got)
+
+
+def test_constant_headings_of_content_without_telling_elements(spark):
+    got, _ = six_pages(spark, lambda p, i: f"<div>Menu here</div><div><h1>T{i}</h1><h2>Summary</h2><p>{p(20)}</p><div><h2>Details</h2><p>{p(60)}</p></div><h2>Share</h2></div>")
+    assert all(t.startswith(f"T{i} Summary ") and " Details " in t and not t.endswith("Share") and "Menu" not in t for i, t in enumerate(got))
+
+
+def random_article(rng, depth, own):
+    """Nested sections with text of the page's own and constant headings before it."""
+    out = []
+    for _ in range(rng.randint(1, 3)):
+        kind = rng.choice(["p", "ul", "h3", "div", "section"]) if depth else "p"
+        text = own(rng)
+        if kind == "ul":
+            out.append(f"<ul><li>{text}<li>{own(rng)}</ul>")
+        elif kind == "h3":
+            out.append(f"<h3>Part</h3><p>{text}</p>")
+        elif kind == "p":
+            out.append(f"<p>{text}</p>")
+        else:
+            out.append(f"<{kind} class=k{rng.randint(0, 2)}>{random_article(rng, depth - 1, own)}</{kind}>")
+    return "".join(out)
+
+
+@pytest.mark.parametrize("tag", ["article", "main"])
+def test_random_articles_equal_the_reading_by_structure(spark, tag):
+    words = random.Random(7)
+    own = lambda rng: prose(words, rng.randint(5, 25))
+    rows = []
+    for host in range(25):
+        for i in range(6):
+            article = random_article(random.Random(host), 3, own)  # one shape a host, other texts a page
+            rows.append((10 * host + i, f"http://h{host}.com/", f"<body><div class=top><p>Welcome</p></div><{tag}>{article}</{tag}><div>Imprint</div></body>"))
+    got = {r["page_id"]: r["text"] for r in wrapper.extract_text(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {i: wrapper.extract(h) for i, _, h in rows}
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p data-a=it's>Main text it's here</p><p>second</p>", "Main text it's here second"),
+        ('<p title="abc>first para</p>', "first para"),
+        ("<p title='a > b' class = \"x>y\">one</p>", "one"),
+        ("<p it's>one</p><div class='menu' it's>x</div>two", "one two"),
+        ("<div class=menu data-x=\"a>x</div><p>one", "one"),
+        ("<p>one</p><p class=", "one"),
+        ("<p>one<a ' href=x>two</a></p>", "onetwo"),
+        ("one <!-- two", "one"),
+        ("a<p/>b<br/>c", "a b c"),
+    ],
+)
+def test_attributes_and_quotes(page, text):
+    assert wrapper.extract(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<p>" + "<a '" * 250_000, '<a x="' * 170_000, "<a x='\"" * 140_000, "<!" * 500_000, "<?" * 500_000, "<a<" * 300_000, "<!--" * 250_000, "<li><ul>" + "<b>" * 150_000 + "<li>" * 130_000,
+        "<p>" + "<i>" * 100_000 + "<div>" * 100_000, "<a b=c d>" * 100_000, "<table>" + "<td>" * 200_000, "<a " + "x=y " * 250_000, "<script>" * 120_000, "<a =" * 250_000,
+    ],
+)
+def test_a_hostile_page_takes_no_longer_than_others(page):
+    began = time.process_time()
+    wrapper.parse(page)
+    assert time.process_time() - began < 4

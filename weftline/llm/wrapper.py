@@ -17,6 +17,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -72,12 +73,20 @@ CONTENT_SHARE, OWN_SHARE = 0.5, 0.1
 CONTAINERS = frozenset("html body div section center article main form table tbody tr td".split())
 #: What stands beside the content path as a part of the text.
 TEXT_LEVEL = frozenset("h1 h2 h3 h4 h5 h6 p pre blockquote ul ol dl figure".split())
+#: Elements that hold a page's content by their meaning, and headings that make what they stand in an article.
+ARTICLES, TITLES, HEADINGS = frozenset("article main".split()), frozenset("h1 h2".split()), frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Containers of one kind are records of a list where a parent has more than so many.
 RECORDS = 16
 #: Cells of an alignment that are in memory at once; larger ones are halved.
 CELLS = 4_000_000
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+#: A comment, a declaration, or the start of a tag; group 3 is there if all of a tag's attributes are well formed.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/>]*+)"""
+    r"""(?:((?>\s++[^\s"'>=/]++(?>\s*+=\s*+(?>"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+)\s*+/?>)?+""",
+    re.S,
+)
+_ATTRIBUTE = re.compile(r"""\s(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
+_NAME, _SIGN, _BLANK, _BARE = re.compile(r"[^\s/\"']*\s*\Z"), re.compile("[=>]"), re.compile(r"\s*"), re.compile(r"[^\s>]*")
 _WORDS = re.compile("[a-z]+")
 _HUMP = re.compile("([a-z])([A-Z])")
 _CLOSES = {tag: (frozenset(names.split()), frozenset(bounds)) for tag, (names, bounds) in CLOSES.items()}
@@ -102,14 +111,45 @@ def names_of(attributes: str) -> tuple[tuple[str, ...], ...]:
     return tuple(out)
 
 
+def loose_attributes(page: str, at: int, last: dict[str, int]) -> tuple[int, str]:
+    """End of a tag whose attributes start at a place, and those of them that name things, well formed.
+
+    Quotes count after an equals sign alone, and if they are closed (``last`` has the places of the page's last ones). A tag
+    without an end goes on to the end of the page.
+    """
+    told = ""
+    while True:
+        sign = _SIGN.search(page, at)
+        if sign is None:
+            return len(page), told
+        if sign[0] == ">":
+            return sign.end(), told
+        name = _NAME.search(page[at : sign.start()])
+        start = _BLANK.match(page, sign.end()).end()
+        quote = page[start : start + 1]
+        if quote in last and last[quote] > start:
+            end = page.find(quote, start + 1)
+            value, at = page[start + 1 : end], end + 1
+        else:
+            at = _BARE.match(page, start).end()
+            value = page[start:at]
+        if name and name[0].strip().lower() in ("class", "id", "role"):
+            told += f" {name[0].strip()}='{value.replace(chr(39), ' ')}'"
+
+
 def parse(page: str) -> Node:
-    """Tree of a page, forgiving: unknown ends are dropped, open elements end with their parent."""
+    """Tree of a page, forgiving: unknown ends are dropped, open elements end with their parent. Linear in the page."""
     root = Node("#root")
     stack, at, lower = [root], 0, None
-    open_tags: Counter[str] = Counter()
+    places: dict[str, list[int]] = {}  # of the open elements of each tag in the stack
+    solid = [0]  # of the open elements that aren't inline
+    last = {q: page.rfind(q) for q in "\"'"}
 
     def close(size: int):
-        open_tags.subtract(n.tag for n in stack[size:])
+        for i in range(len(stack) - 1, size - 1, -1):
+            places[stack[i].tag].pop()
+            if solid[-1] == i:
+                solid.pop()
         del stack[size:]
 
     for found in iter(lambda: _TOKEN.search(page, at), None):
@@ -118,27 +158,23 @@ def parse(page: str) -> Node:
         at = found.end()
         if not found[2]:
             continue
+        told = found[3]
+        if told is None:
+            at, told = loose_attributes(page, found.end(2), last)
         tag = found[2].lower()
         if found[1]:
-            if open_tags[tag] > 0:
-                close(next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag))
+            if places.get(tag):
+                close(places[tag][-1])
             continue
-        if tag in ENDS_PARAGRAPH and open_tags["p"] > 0:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == "p":
-                    close(i)
-                    break
-                if stack[i].tag not in INLINE:
-                    break
+        if tag in ENDS_PARAGRAPH and places.get("p") and solid[-1] == places["p"][-1]:
+            close(solid[-1])
         if tag in _CLOSES:
             names, bounds = _CLOSES[tag]
-            if any(open_tags[n] > 0 for n in names):
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag in names:
-                        close(i)
-                    elif stack[i].tag in bounds:
-                        break
-        node = Node(tag, names_of(found[3]) if "=" in found[3] else ())
+            bound = max((places[b][-1] for b in bounds if places.get(b)), default=0)
+            inside_bound = [places[n][i] for n in names if places.get(n) and (i := bisect_right(places[n], bound)) < len(places[n])]
+            if inside_bound:
+                close(min(inside_bound))
+        node = Node(tag, names_of(told) if "=" in told else ())
         stack[-1].children.append(node)
         if tag in RAW:
             lower = page.lower() if lower is None else lower
@@ -148,8 +184,10 @@ def parse(page: str) -> Node:
             after = page.find(">", end)
             at = len(page) if after < 0 else after + 1
         elif tag not in VOID:
+            places.setdefault(tag, []).append(len(stack))
+            if tag not in INLINE:
+                solid.append(len(stack))
             stack.append(node)
-            open_tags[tag] += 1
     if at < len(page):
         stack[-1].children.append(page[at:])
     return root
@@ -482,7 +520,8 @@ def choose(model: Run, pages: int, seen: dict[str, Seen]) -> tuple[dict[str, int
     From the root the content path goes down as long as one container, or the
     containers of one kind, hold CONTENT_SHARE of the varying text outside
     links; varying headings, paragraphs and the like beside it belong to the
-    text. A template node of several elements that holds most of all text is a much
+    text. It ends at an article or main element (all that have varying text), and at a container with a varying title
+    of its own: everything in there is content. A template node of several elements that holds most of all text is a much
     copied page's content and no template. There are no content paths where the path doesn't
     get below the body.
     """
@@ -520,6 +559,9 @@ def choose(model: Run, pages: int, seen: dict[str, Seen]) -> tuple[dict[str, int
     node, main = model, []
     while varying[node.path] > 0:
         total, below = varying[node.path], node.children
+        whole = node.tag not in ("#root", "html", "body")
+        if whole and (node.tag in ARTICLES or any(c.tag in TITLES and varying[c.path] for c in below)):
+            break  # an article, or what has a title of its own: all of it is content
         if total - sum(varying[c.path] for c in below) > OWN_SHARE * total:
             break
         inner = [c for c in below if c.tag in CONTAINERS and c.path not in template and seen.get(c.path, nothing).n >= CONTENT_SHARE * pages]
@@ -527,7 +569,11 @@ def choose(model: Run, pages: int, seen: dict[str, Seen]) -> tuple[dict[str, int
         if best is None:
             break
         alike = [c for c in inner if c.label == best.label and varying[c.path]]
-        if varying[best.path] >= CONTENT_SHARE * total:
+        if best.tag in ARTICLES:
+            alike = [c for c in inner if c.tag == best.tag and varying[c.path]]
+        elif best.names and len(alike) > 1 and node.tag not in ("#root", "html"):
+            pass  # containers of one name are parts of one thing
+        elif varying[best.path] >= CONTENT_SHARE * total:
             alike = [best]
         elif node.tag in ("#root", "html") or sum(varying[c.path] for c in alike) < CONTENT_SHARE * total or best.tag in ("tr", "td"):
             break
@@ -555,6 +601,20 @@ def by_structure(root: Run) -> list[Run]:
     return [root]
 
 
+def kept_headings(top: Run, fixed: set[int]) -> set[int]:
+    """Template headings that text of the page's own follows: they are that text's."""
+    kept, work = set(), [top]
+    while work:
+        run, own = work.pop(), False
+        for child in reversed(run.children):
+            if id(child) not in fixed:
+                own |= bool(child.chars) and not furniture(child.tag, child.names)
+                work.append(child)
+            elif own and child.tag in HEADINGS:
+                kept |= {id(child), *(id(r) for r in inside(child))}
+    return kept
+
+
 def extract(page: str | None, wrapper: Wrapper | None = None) -> str:
     """Text of a page by its group's wrapper; by structure alone where there is none or the page hasn't its content."""
     tree = parse(page or "")
@@ -568,6 +628,7 @@ def extract(page: str | None, wrapper: Wrapper | None = None) -> str:
         below = inside(top)
         # the template's text only: what a page has of its own at such a place stays
         fixed = {id(r) for r in below if wrapper.template.get(where.get(id(r))) == r.digest}
+        fixed -= kept_headings(top, fixed)
         # a page that is nothing but template has no slot to keep: then its text is the content
         if any(id(r) not in fixed and r.chars for r in below if not r.children) or (top.own.strip() and id(top) not in fixed):
             dropped |= {id(e) for r in below if id(r) in fixed for e in r.elements}
