@@ -45,7 +45,7 @@ SUPPORT, SUPPORT_SHARE, PREFIXES = 3, 0.004, (4, 5, 6)
 EXPLAINED = 0.5
 THRESHOLD = 0.3
 #: Letters put apart by any run of separators or white space.
-_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[0-9@$!|+])(?:[\s.\-_*~·]+(?:[^\W_]|[0-9@$!|+])){2,}(?![^\W_])")
+_SPACED = re.compile(r"(?<!\S)(?:[^\W_]|[0-9@$!|+])(?:[\s.,/\-_*~·]+(?:[^\W_]|[0-9@$!|+])){2,}(?![^\W_])")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1")
 _LONG_RUN = re.compile(r"(.)\1{3,}", re.S)
@@ -139,8 +139,10 @@ def fit_language_model(counts: DataFrame) -> LanguageModel:
 
 
 def suspicious(token: str) -> bool:
-    """Whether a token (lower case, no spaces) has more than one reading: look-alikes, inner separators or runs."""
-    return not _LEET.isdisjoint(token) or _RUN.search(token) is not None or any(c in token[1:-1] for c in SEPARATORS)
+    """Whether a token (lower case, no spaces) has more than one reading: look-alikes, inner separators (also figures of other scripts) or runs."""
+    if not _LEET.isdisjoint(token) or _RUN.search(token) is not None or any(c in token[1:-1] for c in SEPARATORS):
+        return True
+    return not token.isascii() and any(c.isalnum() and droppable(c) for c in token[1:-1])
 
 
 def restore(token: str, model: LanguageModel, edges: bool = False) -> str:
@@ -275,26 +277,64 @@ class Lexicon:
         return self.score_entries({e for e in entries(words) if e in self.chance})
 
 
-#: Longer tokens are decoded without asking the gate, whose search isn't linear.
-GATED = 32
+#: Longer tokens are looked at by the gate's automaton, whose work is linear in the length; shorter ones by the same gate as a pattern.
+SHORT_TOKEN = 32
 
 
-def gate(lexicon: Lexicon) -> re.Pattern | None:
-    """A pattern that every token with a reading in the lexicon contains; None for an empty lexicon.
+def droppable(char: str) -> bool:
+    """Whether a reading may leave a character out wherever it stands: what is no letter and no digit that may be one."""
+    return not (char.isalpha() or (char.isalnum() and char in LOOK_ALIKES))
+
+
+class Gate:
+    """Whether some entry's letters stand in a token in their order, with nothing between that a reading must keep.
 
     Each letter of an entry is one or more characters that may stand for it,
-    with any number of characters between that a reading may drop.
+    with any number of characters between that ``restore`` may drop. A token without such a place has no
+    reading in the lexicon. ``search`` asks a pattern or, for long tokens, the
+    same automaton bit by bit; both say the same.
     """
-    looks: dict[str, str] = {}
-    for char, letters in LOOK_ALIKES.items():
-        for letter in letters:
-            looks[letter] = looks.get(letter, "") + char
-    kinds = set()
-    for entry in lexicon.chance:
-        letters = re.sub(r"(.)\1+", r"\1", entry.removesuffix("*"))
-        stands = [re.escape(x + looks.get(x, "")) for x in letters]
-        kinds.add("".join(f"[{c}][{c}\\W_]*" for c in stands))
-    return re.compile("|".join(sorted(kinds))) if kinds else None
+
+    def __init__(self, lexicon: Lexicon):
+        looks: dict[str, str] = {}
+        for char, letters in LOOK_ALIKES.items():
+            for letter in letters:
+                looks[letter] = looks.get(letter, "") + char
+        words = sorted({re.sub(r"(.)\1+", r"\1", entry.removesuffix("*")) for entry in lexicon.chance} - {""})
+        classes = [[x + looks.get(x, "") for x in word] for word in words]
+        # of characters beyond ASCII that may be dropped, Python's classes know some as letters: see ``plain``
+        self.pattern = re.compile("|".join("".join(f"[{re.escape(c)}][{re.escape(c)}\\W_]*" for c in word) for word in classes)) if words else None
+        self.first = self.last = at = 0
+        self.places: dict[str, int] = {}
+        for word in classes:
+            self.first |= 1 << at
+            for c in word:
+                for char in c:
+                    self.places[char] = self.places.get(char, 0) | 1 << at
+                at += 1
+            self.last |= 1 << (at - 1)
+
+    @staticmethod
+    def plain(token: str) -> str:
+        """The token with what may be dropped as full stops."""
+        return token if token.isascii() else "".join("." if droppable(c) and c not in LOOK_ALIKES else c for c in token)
+
+    def search(self, token: str) -> bool:
+        if self.pattern is None:
+            return False
+        if len(token) <= SHORT_TOKEN:
+            return self.pattern.search(self.plain(token)) is not None
+        return self.walk(token)
+
+    def walk(self, token: str) -> bool:
+        """The automaton: a bit for each letter of each entry that has been read last at some place."""
+        read = 0
+        for char in token:
+            here = self.places.get(char, 0)
+            read = ((read << 1 | self.first) & here) | (read if droppable(char) else read & here)
+            if read & self.last:
+                return True
+        return False
 
 
 class Scorer:
@@ -303,11 +343,11 @@ class Scorer:
     KEPT = 500_000
 
     def __init__(self, model: LanguageModel, lexicon: Lexicon):
-        self.restorer, self.lexicon, self.gate = Restorer(model), lexicon, gate(lexicon)
+        self.restorer, self.lexicon, self.gate = Restorer(model), lexicon, Gate(lexicon)
         self.known: dict[str, tuple[str, ...]] = {}
 
     def may_hit(self, token: str) -> bool:
-        return self.gate is not None and (len(token) > GATED or self.gate.search(token) is not None)
+        return self.gate.search(token)
 
     def hits(self, words) -> tuple[str, ...]:
         chance = self.lexicon.chance
