@@ -155,6 +155,22 @@ def bounded(value: Column, fallback: int, most: int, least: int = 1) -> Column:
     return F.greatest(F.lit(least), F.least(F.lit(most), number)).cast("long")
 
 
+#: Fixed value: the largest whole number that a double tells from its neighbours.
+SAFE_INTEGER = 2**53 - 1
+
+
+def integer_setting(raw: Column, fallback: int, least: int, most: int = SAFE_INTEGER) -> Column:
+    """A setting from its text: the fallback for none or an empty one, null for what is no whole number within the bounds.
+
+    Blanks around a number don't count, and blanks alone are 0; a number may be written with a fraction of zeros or an exponent.
+    """
+    text = F.regexp_replace(raw, r"^\s+|\s+$", "")
+    number = F.when(text == "", F.lit(0.0)).otherwise(F.when(text.rlike(r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"), text.try_cast("double")))
+    number = F.when(raw.isNull() | (raw == ""), F.lit(float(fallback))).otherwise(number)
+    fits = (number == F.floor(number)) & (F.abs(number) <= SAFE_INTEGER) & number.between(least, most)
+    return F.when(fits, number.cast("long"))
+
+
 def run_keys(run: dict[str, Column]) -> tuple[Column, Column]:
     """The two catalog keys of a run: by workflow and over all."""
     ms = padded_ms(epoch_millis(run["created_at"]))

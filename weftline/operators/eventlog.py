@@ -84,6 +84,18 @@ def resume_dedup(events: DataFrame, order: list[str], run: str = "run_id") -> Da
     return events.withColumn("outcome", F.when(n == 1, "appended").when(differs, "ENTITY_CONFLICT").otherwise("replay"))
 
 
+#: Columns that an event always has; others are absent where a batch has none.
+_ALWAYS = frozenset(("run_id", "seq", "event_type", "corr", "at_us"))
+
+
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """Rows of a batch as dicts of the columns that it has values in: most events say little."""
+    names = [n for n, c in zip(batch.schema.names, batch.columns, strict=True) if n in _ALWAYS or c.null_count < len(c)]
+    columns = [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
+    for values in zip(*columns, strict=True):
+        yield dict(zip(names, values, strict=True))
+
+
 def fold(events: DataFrame, partitions: int | None = None, current_spec: int | None = None, carry: Sequence[str] = (), limits: Limits = Limits()) -> DataFrame:  # noqa: B008  a constant
     """Events (FOLD_COLUMNS, PAYLOAD) with outcome, the event types they appended and the last slot of their run.
 
@@ -106,7 +118,7 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
         state, current = new_state(), object()
         for batch in batches:
             out = []
-            for e in batch.to_pylist():
+            for e in rows_of(batch):
                 if e["run_id"] != current:
                     state, current = new_state(), e["run_id"]
                 outcome, types = decide(state, e, current_spec, limits)

@@ -12,8 +12,27 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Fixed values in milliseconds: one call between services at most, its attempts and the delay between them, and what a delivery's lease has beyond its call.
+CALL_MS, CALL_ATTEMPTS, CALL_DELAY_MS, LEASE_GRACE_MS = 300_000, 3, 900, 30_000
 #: Fixed values in milliseconds: how long a hook claim is held, and the largest lead of a catalog publication.
 HOOK_CLAIM_MS, PUBLICATION_MS = 2_101_800, 1_200_900
+#: Milliseconds for which what was admitted before an expiry may still write: a call with its repeats, a publication after it, a queue's lease, a hook's claim.
+HORIZONS = {
+    "call": CALL_ATTEMPTS * CALL_MS + CALL_DELAY_MS,
+    "publication": (CALL_ATTEMPTS + 1) * CALL_MS + CALL_DELAY_MS,
+    "lease": CALL_MS + LEASE_GRACE_MS,
+    "claim": (2 * CALL_ATTEMPTS + 1) * CALL_MS + 2 * CALL_DELAY_MS,
+}
+#: Which horizon an expiry's fence has to outlive, by what it fences.
+FENCES = {"catalog": "publication", "queue": "lease", "hook": "claim"}
+
+
+def fence_ends(expired_ms: Column, kind: Column) -> Column:
+    """When a fence of an expired run may go: nothing admitted before can write any more. Null for an unknown kind."""
+    ends = F.lit(None).cast("long")
+    for name, horizon in FENCES.items():
+        ends = F.when(kind == name, expired_ms + HORIZONS[horizon]).otherwise(ends)
+    return ends
 
 
 def owners(claims: DataFrame, key: str, order: Sequence[str], carry: Sequence[str]) -> DataFrame:

@@ -79,6 +79,24 @@ def account(records: DataFrame, steps: DataFrame, streams: DataFrame, messages:
     return out.withColumn("phase", F.lit("tombstoned")).withColumn("tombstoned_us", F.lit(now_us).cast("long"))
 
 
+def clean_now(records: DataFrame, runs: DataFrame, requested: DataFrame, now_us: int, key: str = "run_id") -> DataFrame:
+    """Records after immediate cleanups were asked for: due now, one generation on; runs without a record get one.
+
+    A cleanup that has reached its tombstone stays as it is, and so do the others. Only runs that
+    exist get a record; asking twice is asking once.
+    """
+    asked = requested.select(key).distinct()
+    have = records.join(asked.withColumn("__asked", F.lit(True)), key, "left")
+    moved = F.coalesce("__asked", F.lit(False)) & (F.col("phase") != "tombstoned")
+    kept = have.withColumns({
+        "due_us": F.when(moved, F.lit(now_us)).otherwise(F.col("due_us")).cast("long"),
+        "generation": (F.col("generation") + F.when(moved, 1).otherwise(0)).cast("long"),
+    }).drop("__asked")
+    fresh = runs.join(asked, key, "left_semi").join(records.select(key), key, "left_anti").withColumn("due_us", F.lit(now_us).cast("long"))
+    made = cleanup_records(fresh, now_us, key).withColumn("generation", F.lit(1).cast("long")).select(kept.columns)
+    return kept.unionByName(made)
+
+
 #: Phases of a cleanup in order, and the counter that each one fills (none: it only moves on).
 PHASES = ("retained", "index", "streams", "queues", "payload", "tombstoned")
 COUNTERS = {"streams": "streams_deleted", "queues": "messages_deleted", "payload": "payload_keys_deleted"}

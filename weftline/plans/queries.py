@@ -246,11 +246,11 @@ def queue_shards(spark, sf_dir):
     return S.runs(spark, sf_dir).select("run_id", X.queue_shard(F.col("run_id"), 4).alias("shard"))
 
 
-@query("SELECT CAST(a AS BIGINT) AS attempt, CAST(least(60, pow(2, a)) AS BIGINT) AS delivery_s, CAST(least(3600000, 1000 * pow(2, least(greatest(a, 1) - 1, 12))) AS BIGINT) AS cleanup_ms FROM range(0, 20) t(a)")
+@query(f"WITH {MESSAGES} SELECT DISTINCT delay_s % 20 AS attempt, CAST(least(60, pow(2, delay_s % 20)) AS BIGINT) AS delivery_s, CAST(least(3600000, 1000 * pow(2, least(greatest(delay_s % 20, 1) - 1, 12))) AS BIGINT) AS cleanup_ms FROM messages")
 def backoffs(spark, sf_dir):
-    """Delivery and cleanup backoffs by attempt."""
-    a = F.col("id")
-    return spark.range(20).select(a.alias("attempt"), X.backoff_seconds(a).alias("delivery_s"), X.cleanup_backoff_ms(F.greatest(a, F.lit(1))).alias("cleanup_ms"))
+    """Delivery and cleanup backoffs by the attempts that messages have."""
+    attempts, a = S.messages(spark, sf_dir).select((F.col("delay_s") % 20).alias("attempt")).distinct(), F.col("attempt")
+    return attempts.select("attempt", X.backoff_seconds(a).alias("delivery_s"), X.cleanup_backoff_ms(F.greatest(a, F.lit(1))).alias("cleanup_ms"))
 
 
 @query(f"WITH {RUNS} SELECT run_id, strftime(make_timestamp(created_us), '%Y-%m-%dT%H:%M:%S') || '.' || lpad(CAST(created_us // 1000 % 1000 AS VARCHAR), 3, '0') || 'Z' AS iso, lpad(CAST(created_us // 1000 AS VARCHAR), 13, '0') AS padded, created_us // 1000 AS back FROM runs")
@@ -650,15 +650,17 @@ def retention_histogram(spark, sf_dir):
     return retention.histogram(_sweep(spark, sf_dir))
 
 
-@query(f"""WITH {DUE}, {STEPS}, x AS (SELECT run_id, terminal_due_us AS due_us FROM dl WHERE terminal_due_us <= {RUNS_NOW_US}), s AS (SELECT run_id, count(*) AS n FROM steps GROUP BY 1)
- SELECT x.run_id, due_us, 'tombstoned' AS phase, CAST(coalesce(s.n, 0) AS BIGINT) AS payload_keys_deleted, CAST(1 AS BIGINT) AS streams_deleted, {RUNS_NOW_US} AS tombstoned_us FROM x LEFT JOIN s ON x.run_id = s.run_id""")
+@query(f"""WITH {DUE}, {STEPS}, x AS (SELECT run_id, terminal_due_us AS due_us FROM dl WHERE terminal_due_us <= {RUNS_NOW_US}), s AS (SELECT run_id, count(*) AS n FROM steps GROUP BY 1),
+ {MESSAGES}, m AS (SELECT 'wrun_' || lpad(CAST(idempotency_key AS VARCHAR), 10, '0') AS run_id, count(*) AS n FROM messages GROUP BY 1)
+ SELECT x.run_id, due_us, 'tombstoned' AS phase, CAST(coalesce(s.n, 0) AS BIGINT) AS payload_keys_deleted, CAST(1 AS BIGINT) AS streams_deleted, CAST(coalesce(m.n, 0) AS BIGINT) AS messages_deleted,
+ {RUNS_NOW_US} AS tombstoned_us FROM x LEFT JOIN s ON x.run_id = s.run_id LEFT JOIN m ON x.run_id = m.run_id""")
 def tombstones(spark, sf_dir):
     """Tombstones with cleanup accounting."""
     runs = _due_runs(spark, sf_dir)
     records = retention.cleanup_records(runs, RUNS_NOW_US)
-    none = runs.where(F.lit(False))
-    out = retention.account(records, S.step_events(spark, sf_dir), runs.select("run_id"), none.select("run_id"), RUNS_NOW_US)
-    return out.select("run_id", "due_us", "phase", "payload_keys_deleted", "streams_deleted", "tombstoned_us")
+    messages = S.messages(spark, sf_dir).select(S.message_run(F.col("idempotency_key")).alias("run_id"))
+    out = retention.account(records, S.step_events(spark, sf_dir), runs.select("run_id"), messages, RUNS_NOW_US)
+    return out.select("run_id", "due_us", "phase", "payload_keys_deleted", "streams_deleted", "messages_deleted", "tombstoned_us")
 
 
 @query(f"WITH {DUE}, {STEPS} SELECT run_id, step_id, CAST(count(*) AS BIGINT) AS n FROM steps WHERE run_id NOT IN (SELECT run_id FROM dl WHERE terminal_due_us <= {RUNS_NOW_US}) GROUP BY run_id, step_id")
