@@ -32,3 +32,15 @@ def small():
     if not os.path.isdir(where):
         pytest.skip("no test data here")
     return where
+
+
+@pytest.fixture
+def keyed_state(spark):
+    """The state store that keyed processors need, and few partitions, as each starts a Python worker a batch."""
+    settings = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider", "spark.sql.shuffle.partitions": "2"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    yield
+    for name, value in before.items():
+        spark.conf.set(name, value)

@@ -3,7 +3,7 @@ import random
 import pytest
 
 from weftline.operators.queue_life import ACTION, LIFE, lives
-from weftline.streaming.cells import ROCKSDB, live_stream
+from weftline.streaming.cells import live_stream
 
 SCHEMA = "cell string, " + ", ".join(f"{c} {t}" for c, t in ACTION.items())
 SETTINGS = {"in_flight": 2, "lease_ms": 5_000, "max_attempts": 3}
@@ -36,17 +36,12 @@ def some_actions(seed, n=260):
 
 def streamed(spark, tmp_path, batches, **settings):
     """Rows of a stream that gets one file a run, stopped and started again for each."""
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
-        for n, rows in enumerate(batches):
-            spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
-            stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
-            out = live_stream(stream, **settings)
-            query = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
-            assert query.awaitTermination(240)
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    for n, rows in enumerate(batches):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema(SCHEMA).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        out = live_stream(stream, **settings)
+        query = out.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check").trigger(availableNow=True).start()
+        assert query.awaitTermination(240)
     return got(spark.read.parquet(f"{tmp_path}/out"))
 
 
@@ -75,11 +70,11 @@ def test_no_more_in_flight_than_allowed(spark):
 
 
 @pytest.mark.parametrize("alarms", [False, True])
-def test_stream_with_restarts_equals_batch(spark, tmp_path, alarms):
+def test_stream_with_restarts_equals_batch(spark, keyed_state, tmp_path, alarms):
     rows = some_actions(5)
     rows.sort(key=lambda r: r[2] + random.Random(r[1]).randrange(3_000))  # out of order by up to 3 s
     last = [row("z", 10**6, 10**6, "tick")]  # takes the watermark past everything
-    batches = [rows[:400], rows[400:700], rows[700:], last]
+    batches = [rows[:500], rows[500:], last]
     until = 10**6 - 4_000 if alarms else None
     want = got(lives(spark.createDataFrame(rows, SCHEMA).repartition(3), **SETTINGS, alarms_until_ms=until))
     out = [r for r in streamed(spark, tmp_path, batches, **SETTINGS, delay_ms=4_000, alarms=alarms) if r[0] != "z"]

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from weftline.functions.transitions import Limits
 from weftline.operators import eventlog
-from weftline.streaming.cells import ROCKSDB
 from weftline.streaming.runs import EVENT, create_with_admission, fold_runs
 
 COLUMNS = {**EVENT, "token": "string"}
@@ -43,14 +42,6 @@ def decided(df):
     return sorted((tuple(r[c] for c in OUT) for r in rows.collect()), key=repr)
 
 
-@pytest.fixture
-def rocksdb(spark):
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    yield
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
-
-
 def streamed(spark, where, batches, make):
     """Rows of a stream that is started anew for each batch, and its progress."""
     progress = []
@@ -63,7 +54,7 @@ def streamed(spark, where, batches, make):
     return decided(spark.read.parquet(f"{where}/out")), progress
 
 
-def test_stream_equals_batch_over_restarts(spark, rocksdb, tmp_path):
+def test_stream_equals_batch_over_restarts(spark, keyed_state, tmp_path):
     rows = some_events(1)
     want = decided(eventlog.fold(spark.createDataFrame(rows, SCHEMA), limits=LIMITS))
     assert len({r[5] for r in want}) >= 8
@@ -74,7 +65,7 @@ def test_stream_equals_batch_over_restarts(spark, rocksdb, tmp_path):
     assert 0 < written[2] < held / 2  # by the batch's events, not by what runs hold
 
 
-def test_stream_goes_on_from_a_batch_log(spark, rocksdb, tmp_path):
+def test_stream_goes_on_from_a_batch_log(spark, keyed_state, tmp_path):
     rows = some_events(2)
     events = spark.createDataFrame(rows, SCHEMA)
     want = [r for r in decided(eventlog.fold(events, limits=LIMITS)) if r[1] >= 250]
@@ -85,7 +76,7 @@ def test_stream_goes_on_from_a_batch_log(spark, rocksdb, tmp_path):
     assert got == want
 
 
-def test_state_of_ended_runs_goes(spark, rocksdb, tmp_path):
+def test_state_of_ended_runs_goes(spark, keyed_state, tmp_path):
     def event(seq, run, kind, at):
         return tuple({**dict.fromkeys(COLUMNS), "run_id": run, "seq": seq, "event_type": kind, "at_us": 10**9 + at, "has_run_input": True, "corr": "c"}.values())
 
@@ -96,7 +87,7 @@ def test_state_of_ended_runs_goes(spark, rocksdb, tmp_path):
     assert {(r[1], r[5]) for r in got} == {(0, "appended"), (1, "appended"), (2, "appended"), (3, "appended"), (4, "appended"), (5, "replay")}
 
 
-def test_admission_and_fold_in_one_job_equal_batch(spark, rocksdb, tmp_path):
+def test_admission_and_fold_in_one_job_equal_batch(spark, keyed_state, tmp_path):
     rows = some_events(3, n=240)
     want = decided(eventlog.create(spark.createDataFrame(rows, SCHEMA)))
     assert any(r[2] == "hook_created" and r[5] == "ENTITY_CONFLICT" for r in want)

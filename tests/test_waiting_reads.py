@@ -4,7 +4,6 @@ import pytest
 
 from weftline.operators.streams import waiting_reads
 from weftline.streaming import reads
-from weftline.streaming.cells import ROCKSDB
 
 REQUEST = "request_id long, stream string, start long, max_chunks long, max_bytes long, wait_ms long, at_ms long"
 CHUNK, END = "stream string, idx long, size long, at_ms long", "stream string, state string, at_ms long"
@@ -34,7 +33,7 @@ def test_answers_at_once_after_a_wait_and_in_vain(spark):
     assert answers(waiting_reads(*frames(spark, [], chunks, []))) == []
 
 
-def test_stream_equals_batch_over_restarts(spark, tmp_path):
+def test_stream_equals_batch_over_restarts(spark, keyed_state, tmp_path):
     rng = random.Random(4)
     chunks, requests, ends = [], [], []
     for stream in "abc":
@@ -53,16 +52,11 @@ def test_stream_equals_batch_over_restarts(spark, tmp_path):
     rows += [(s, at, i, "read", None, None, None, i, start, most, most_bytes, wait) for i, s, start, most, most_bytes, wait, at in requests]
     rows.sort(key=lambda r: r[1] + random.Random(r[2]).randrange(400))
     last = [("z", 10**6, 1, "read", None, None, None, 1, 0, 1, 10, 0)]
-    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    try:
-        for n, part in enumerate([rows[:120], rows[120:], last]):
-            spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
-            stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
-            out = reads.waiting_reads(stream, 500).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check")
-            assert out.trigger(availableNow=True).start().awaitTermination(240)
-    finally:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    for n, part in enumerate([rows[:120], rows[120:], last]):
+        spark.createDataFrame(part, schema).coalesce(1).write.parquet(f"{tmp_path}/in/{n}")
+        stream = spark.readStream.schema(schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        out = reads.waiting_reads(stream, 500).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/check")
+        assert out.trigger(availableNow=True).start().awaitTermination(240)
     assert answers(spark.read.parquet(f"{tmp_path}/out").where("stream <> 'z'")) == want
 
 
