@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from weftline.llm import jaccard
+from weftline.llm import crowds, jaccard
 
 
 def shingle_set(text):
@@ -59,7 +59,7 @@ def corpus(rng, family=70):
 @pytest.mark.parametrize("bounds", [{}, {"COLUMN": 4, "BLOCK_ROWS": 16, "STRIP": 8, "DENSE_COLUMNS": 64}, {"COLUMN": 6, "COMMON": 3, "BLOCK_ROWS": 32}])
 def test_equals_brute_force(spark, make, monkeypatch, bounds):
     for name, value in bounds.items():
-        monkeypatch.setattr(jaccard, name, value)
+        monkeypatch.setattr(jaccard if hasattr(jaccard, name) else crowds, name, value)
     rng = random.Random(11)
     texts = corpus(rng)
     ids = rng.sample(range(10_000), len(texts))
@@ -97,7 +97,7 @@ def test_seeds_meet_and_dense_products_equal_sets(sets, common):
                 near.add((i, j))
                 for order in (known, known[:0]):
                     assert set(jaccard.seeds(a, 80, order).tolist()) & set(jaccard.seeds(b, 80, order).tolist())
-    u, v = jaccard.dense_links(arrays, arrays, 80)
+    u, v = crowds.dense_links(arrays, arrays, 80)
     assert set(zip(u.tolist(), v.tolist(), strict=True)) == near
 
 

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from weftline.llm import components, simhash
+from weftline.llm import components, crowds, simhash
 
 
 def brute_print(text):
@@ -134,57 +134,30 @@ def test_similar_documents_are_the_verified_classes(spark, make):
 
 
 @pytest.mark.parametrize("size", [3, 7, 1000])
-@pytest.mark.parametrize("seed", [3, 4])
-def test_stars_and_cross_pairs_lose_no_candidate_whatever_the_batches(size, seed):
+def test_stars_hold_every_key_together_whatever_the_batches(size):
     import pyarrow as pa
 
-    rng = np.random.default_rng(seed)
-    key = rng.integers(0, 60, 900)
-    key[300:700] = 30
-    key = np.sort(key)
-    wide = rng.integers(0, 2**63, (900, simhash.WIDE_WORDS))
-    for i in range(200, 800):  # a family in which some differ by many bits
-        flips = rng.integers(0, 63, rng.integers(0, 13))
-        wide[i] = wide[200]
-        wide[i, 0] ^= np.bitwise_xor.reduce(1 << flips) if len(flips) else 0
-    fp, n, node = wide[:, 0], rng.integers(80, 110, 900), np.arange(900)
-
-    def batches(names, columns):
-        for i in range(0, len(columns[0]), size):
-            yield pa.RecordBatch.from_arrays([pa.array(c[i : i + size]) for c in columns], names=names)
-
-    def components_of(pairs, label=None):
-        label = list(range(900)) if label is None else list(label)
-        for a, b in sorted(pairs):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**63, 60).astype(np.uint64)) for _ in range(40)]
+    sets += [np.unique(np.append(sets[i % 5][rng.random(60) > 0.05], rng.integers(0, 2**63, 2).astype(np.uint64))) for i in range(200)]
+    sketches = [simhash.packed_sketch(s, 0.8) for s in sets]
+    whole = pa.RecordBatch.from_arrays([pa.array(range(240), pa.int64()), pa.array(sketches, pa.binary())], names=["node", "wide"])
+    dealt = [b for i in range(0, 240, size) for b in simhash.first_of_keys(iter([whole.slice(i, size)]))]
+    rows = sorted((r for b in dealt for r in b.to_pylist()), key=lambda r: (r["key"], r["node"]))
+    table = pa.RecordBatch.from_pylist(rows, schema=dealt[0].schema)
+    edges = [(r["a"], r["b"]) for b in simhash.stars_of_sorted(table.slice(i, size) for i in range(0, len(rows), size)) for r in b.to_pylist()]
+
+    def labels(pairs):
+        label = list(range(240))
+        for a, b in pairs:
             x, y = sorted((label[a], label[b]))
             label = [x if v == y else v for v in label]
         return label
 
-    rows = [r for b in simhash.pairs_of_sorted(batches(["key", "node", "fp", "n"], [key, node, fp, n]), 0.8) for r in b.to_pylist()]
-    pairs = {(r["a"], r["b"]) for r in rows if r["b"] is not None}
-    crowded = [(r["key"], r["a"]) for r in rows if r["b"] is None]
-    sizes = Counter(key.tolist())
-    assert sorted(crowded) == [(k, i) for i, k in enumerate(key.tolist()) if sizes[k] > simhash.SMALL_GROUP]
-    exact = {
-        (i, j)
-        for i in range(900)
-        for j in range(i + 1, 900)
-        if key[i] == key[j] and (int(fp[i]) ^ int(fp[j])).bit_count() <= simhash.CANDIDATE_BITS and min(n[i], n[j]) >= 0.8 * max(n[i], n[j])
-    }
-    assert pairs <= exact
-    # half of the star's links fail verification; the cross pairs must then offer every candidate between what is left
-    real = {p for p in exact if (p[0] + p[1]) % 2 == 0}
-    part = np.array(components_of(pairs & real))
-    most = {k: max(Counter(part[key == k].tolist()).items(), key=lambda x: (x[1], x[0]))[0] for k in set(key.tolist())}
-    crowd = np.array([i for _, i in crowded])
-    largest = np.array([part[i] == most[key[i]] for i in crowd])
-    crowd, largest = (x[np.lexsort((crowd, largest, key[crowd]))] for x in (crowd, largest))
-    columns = [key[crowd], crowd, [wide[i].tobytes() for i in crowd], n[crowd], part[crowd], largest]
-    found = simhash.cross_of_sorted(batches(["key", "node", "wide", "n", "part", "largest"], columns), 0.8)
-    cross = {(r["a"], r["b"]) for b in found for r in b.to_pylist()}
-    near = lambda a, b: int(np.bitwise_count(wide[a] ^ wide[b]).sum()) <= simhash.WIDE_BITS
-    assert cross == {(a, b) for a, b in exact if sizes[key[a]] > simhash.SMALL_GROUP and part[a] != part[b] and near(a, b)}
-    assert components_of(cross & real, part) == components_of(real)
+    key, at = simhash.sketch_keys(sketches)
+    first = {}
+    assert labels(edges) == labels([(int(i), first.setdefault(int(k), int(i))) for k, i in zip(key, at, strict=True)])
+    assert len(edges) < len(key)
 
 
 def test_lone_pairs_at_the_similarity_itself_share_a_key():
@@ -199,8 +172,7 @@ def test_lone_pairs_at_the_similarity_itself_share_a_key():
             a, b = np.sort(common[: shared + cut]), np.sort(np.concatenate((common[:shared], common[shared + cut :])))
             assert len(np.intersect1d(a, b)) / len(np.union1d(a, b)) == 0.8
             key, at = simhash.sketch_keys([simhash.packed_sketch(x, 0.8) for x in (a, b)])
-            fps = simhash.wide_words([simhash.packed_sketch(x, 0.8) for x in (a, b)])[:, 0]
-            found += bool(np.intersect1d(key[at == 0], key[at == 1]).size) and bool(simhash.may_be_similar(fps[0], len(a), fps[1], len(b), 0.8))
+            found += bool(np.intersect1d(key[at == 0], key[at == 1]).size)
         recall[shared + own] = found / least_found
     assert all(r == 1 for n, r in recall.items() if n <= simhash.SHORT) and min(recall.values()) >= 0.95
     assert sum(recall.values()) / len(recall) >= 0.98
@@ -225,25 +197,24 @@ def test_one_row_of_a_repeated_id_stays_whatever_the_order(spark):
     assert len(kept) == 1 and [r[0] for r in kept.pop()] == [1, 2]
 
 
-def test_pairs_are_settled_in_rounds_without_a_loss(spark):
-    rng = random.Random(11)
-    families = [range(0, 120), range(120, 125), range(125, 127)]
-    pairs = [(a, b) for f in families for a in f for b in f if a < b] + [(3, 121), (122, 126)]
-    good = {p for p in pairs if rng.random() < 0.45 and 7 not in p} | {(7, 90)}  # 7 hangs on one pair alone
-    asked = []
-
-    def verified(chosen):
-        rows = [tuple(r) for r in chosen.collect()]
-        asked.extend(rows)
-        return spark.createDataFrame([r for r in rows if r in good], "a long, b long")
-
-    found = simhash.settle_pairs(spark.createDataFrame(pairs, "a long, b long"), None, verified)
+def test_crowds_of_many_blocks_lose_no_link(spark, monkeypatch):
+    """A family around the similarity asked for, in one crowd with texts that are like none."""
+    monkeypatch.setattr(crowds, "BLOCK_ROWS", 16)
+    monkeypatch.setattr(crowds, "BLOCK_GRAMS", 1000)
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 2**40, 80)
+    sets = {i: np.unique(np.append(base[rng.random(80) > rng.choice([0.04, 0.12])], rng.integers(0, 2**40, rng.integers(0, 9)))) for i in range(150)}
+    sets |= {i: np.unique(rng.integers(0, 2**40, rng.integers(1, 90))) for i in range(150, 180)}
+    label = list(range(180))
+    for i in range(180):
+        for j in range(i):
+            if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])):
+                x, y = sorted((label[i], label[j]))
+                label = [x if v == y else v for v in label]
+    table = spark.createDataFrame([(i, len(s), s.tolist()) for i, s in sets.items()], "node long, size long, grams array<long>")
+    edges = spark.createDataFrame([(i, i - 1) for i in range(1, 180)], "a long, b long")
+    found = crowds.crowd_components(edges, lambda nodes: table.join(nodes.df, "node", "left_semi"), 80)
     got = {r["node"]: r["component"] for r in found.df.collect()}
-    label = list(range(127))
-    for a, b in sorted(good):
-        x, y = sorted((label[a], label[b]))
-        label = [x if v == y else v for v in label]
-    assert all(got.get(i, i) == label[i] for i in range(127))
-    assert len(asked) == len(set(asked)) < len(pairs) / 4
-    none = simhash.settle_pairs(spark.createDataFrame([], "a long, b long"), None, verified)
+    assert [got.get(i, i) for i in range(180)] == label and 2 < len(set(label)) < 180
+    none = crowds.crowd_components(edges.limit(0), lambda nodes: table, 80)
     assert none.df.count() == 0

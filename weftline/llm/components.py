@@ -1,7 +1,8 @@
-"""Connected components over an edge table, in alternating star steps."""
+"""Connected components: over an edge table in alternating star steps, and of edges in hand."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,3 +43,17 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     stars = current.df.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+
+
+def forest(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges of a spanning forest (node, its smallest reachable) of edges over 0..n-1."""
+    label = np.arange(n)
+    while True:
+        before = label.copy()
+        np.minimum.at(label, u, label[v])
+        np.minimum.at(label, v, label[u])
+        label = label[label]
+        if (label == before).all():
+            break
+    node = np.flatnonzero(label != np.arange(n))
+    return node, label[node]

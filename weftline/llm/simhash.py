@@ -15,8 +15,8 @@ key is passed on, and connected components follow.
 
 Texts that share four fifths of their shingles differ in far more than 3 of 64
 bits. For those, ``similar_documents`` takes wide fingerprints cut into many
-such halves: two texts are candidates if any half agrees up to what its keys
-tolerate, and a candidate pair is verified on the shingles themselves. A key of
+such halves: two texts are in one crowd if any half agrees up to what its keys
+tolerate, and inside a crowd texts are compared on the shingles themselves. A key of
 a half has some 2^21 values, so in a large corpus unrelated texts would meet in
 it; there a key also holds the least of the hashes that the half's bits were made
 from, which similar texts mostly share, and which tells unrelated ones apart at
@@ -26,7 +26,7 @@ also get the keys of an exact prefix filter.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import cache
 from itertools import combinations
 
@@ -37,8 +37,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import Written, lookup_side, utf8, with_columns
-from weftline.llm.components import connected_components
+from weftline.llm.common import Written, utf8, with_columns
+from weftline.llm.components import connected_components, forest
+from weftline.llm.crowds import crowd_components, repeated_ids, texts_of
 
 RADIUS = 3
 #: Generator polynomial of the binary Golay code, x^11 + x^9 + x^7 + x^6 + x^5 + x + 1 (a fixed value).
@@ -157,20 +158,6 @@ def keys(fps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 # -- links inside a key ---------------------------------------------------------------------------
 
 
-def forest(u: np.ndarray, v: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest (node, its smallest reachable) of edges over 0..n-1."""
-    label = np.arange(n)
-    while True:
-        before = label.copy()
-        np.minimum.at(label, u, label[v])
-        np.minimum.at(label, v, label[u])
-        label = label[label]
-        if (label == before).all():
-            break
-    node = np.flatnonzero(label != np.arange(n))
-    return node, label[node]
-
-
 def links_small(fps: np.ndarray, starts: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
     """Forest of links within groups that begin at ``starts``; all pairs of small groups at once."""
     ends = np.append(starts[1:], len(fps))
@@ -354,20 +341,8 @@ def near_duplicates(
 #: 64-bit words of a wide fingerprint (two halves each), and odd multipliers that make them from one hash (from a rule).
 WIDE_WORDS = 16
 MULTIPLIERS = np.array([(0x9E3779B97F4A7C15 * (2 * i + 1)) % 2**64 for i in range(1, WIDE_WORDS + 1)], np.uint64)
-#: Bits of the first word in which a candidate pair may differ: at similarity 0.8 about 10 do, with a deviation of 3.
-CANDIDATE_BITS = 24
-#: Of the whole wide fingerprint: at similarity 0.8 about 154 bits differ, with a deviation of 12.
-WIDE_BITS = 230
 #: Texts of so many shingles or fewer are found by an exact prefix filter, and no bits are asked of them.
 SHORT = 20
-#: Keys of more rows than this are linked in stars first, then between the components that the stars leave.
-SMALL_GROUP = 128
-#: Pairs of a component that are verified in each round; after these rounds all open pairs are.
-TRIES = (8,)
-#: In a large key a row is compared with so many leaders that it may be similar to; in a family of texts around the
-#: similarity asked for, every leader links about half of those that are left, and later rounds the rest.
-PIVOTS = 1
-
 
 def shingle_hashes(text: bytes, size: int) -> tuple[np.ndarray, bytes]:
     """Distinct hashes of a text's shingles, and the words they were made from; few words are one shingle, none give none."""
@@ -428,206 +403,62 @@ def sketch_keys(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate((at, np.repeat(np.arange(len(sketches)), sizes)))
 
 
-def may_be_similar(fp, n, other_fp, other_n, similarity: float) -> np.ndarray:
-    """Whether first fingerprint words and numbers of shingles allow the similarity."""
-    less, more = np.minimum(n, other_n), np.maximum(n, other_n)
-    return ((np.bitwise_count(fp ^ other_fp) <= CANDIDATE_BITS) | (less <= SHORT)) & (less >= similarity * more)
-
-
-def candidates(a=(), b=(), *crowded) -> pa.RecordBatch:
-    """Distinct pairs (a, b), a < b; or rows (node, null, key, fp, n) of large keys."""
-    if crowded:
-        columns = [pa.array(a, pa.int64()), pa.nulls(len(a), pa.int64()), *(pa.array(c, pa.int64()) for c in crowded)]
-    else:
-        both = np.unique(np.stack((np.minimum(a, b), np.maximum(a, b))), axis=1).astype(np.int64)
-        columns = [pa.array(both[0]), pa.array(both[1]), *(pa.nulls(both.shape[1], pa.int64()) for _ in range(3))]
-    return pa.RecordBatch.from_arrays(columns, names=["a", "b", "key", "fp", "n"])
-
-
-CANDIDATES = "a long, b long, key long, fp long, n long"
-
+def first_of_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (node, wide): the keys of their sketches as (key, node, null), of each chunk's rows with one key the first alone.
 
-def pairs_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """From rows (key, node, fp, n) sorted by key: candidate pairs, and the rows of large keys.
-
-    Keys of up to SMALL_GROUP rows give all pairs that may be similar. In a
-    larger key a row is paired with the first PIVOTS leaders that it may be
-    similar to, and leads where there are fewer: PIVOTS pairs a row at most. Its rows are passed
-    on, for ``cross_of_sorted`` to find what the stars have missed. A key of any
-    size is worked through batch by batch; only its leaders are kept.
+    The others are edges to it, (any number, node, first): so a key that very many rows have is few rows to its task.
     """
-    leaders: list[tuple] = []  # of the large key that the next rows may continue
-
-    def star(node, fp, n):
-        left, known = np.full(len(node), PIVOTS), 0
-        while (left > 0).any():
-            if known == len(leaders):
-                at = int((left > 0).argmax())
-                leaders.append((node[at], fp[at], n[at]))
-                left[at] = 0
-            leader, l_fp, l_n = leaders[known]
-            met = np.flatnonzero(left > 0)
-            met = met[may_be_similar(fp[met], n[met], l_fp, l_n, similarity)]
-            left[met] -= 1
-            met = met[node[met] != leader]
-            if len(met):
-                yield candidates(node[met], np.full(len(met), leader))
-            known += 1
-
-    def solve(key, node, fp, n):
-        """Keys that begin here; the last one may go on if it is large."""
-        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        sizes = np.diff(np.append(starts, len(key)))
-        small = np.flatnonzero((sizes > 1) & (sizes <= SMALL_GROUP))
-        for gap in range(1, SMALL_GROUP):
-            wide = small[sizes[small] > gap]
-            if not len(wide):
-                break
-            reps = sizes[wide] - gap
-            u = np.repeat(starts[wide], reps) + np.arange(int(reps.sum())) - np.repeat(np.cumsum(reps) - reps, reps)
-            u = u[may_be_similar(fp[u], n[u], fp[u + gap], n[u + gap], similarity)]
-            if len(u):
-                yield candidates(node[u], node[u + gap])
-        for i in np.flatnonzero(sizes > SMALL_GROUP):
-            part = slice(starts[i], starts[i] + sizes[i])
-            leaders.clear()
-            yield from star(node[part], fp[part], n[part])
-            yield candidates(node[part], (), key[part], fp[part].view(np.int64), n[part])
-
-    held = [np.empty(0, np.int64) for _ in range(4)]
-    large = None  # the key that leaders are of
     for batch in batches:
-        new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(4)]
-        if large is not None and len(new[0]):
-            same = int(np.searchsorted(new[0], large, "right"))
-            if same:
-                key, node, fp, n = (x[:same] for x in new)
-                yield from star(node, fp.view(np.uint64), n)
-                yield candidates(node, (), key, fp, n)
-            new = [x[same:] for x in new]
-            large = None if len(new[0]) else large
-        if not len(new[0]):
-            continue
-        rows = [np.concatenate(x) for x in zip(held, new, strict=True)]
-        last = int(np.searchsorted(rows[0], rows[0][-1], "left"))
-        if len(rows[0]) - last > SMALL_GROUP:  # the last key is large already: its leaders are kept for what follows
-            large, last = rows[0][-1], len(rows[0])
-        if last:
-            yield from solve(rows[0][:last], rows[1][:last], rows[2][:last].view(np.uint64), rows[3][:last])
-        held = [x[last:] for x in rows]
-    if len(held[0]):
-        yield from solve(held[0], held[1], held[2].view(np.uint64), held[3])
-
-
-def cross_of_sorted(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """From rows (key, node, wide, n, part, largest) of large keys: all candidate pairs between different parts.
-
-    Rows are sorted by key, and within a key the largest part comes last, so
-    that it streams past the rows of the others.
-    """
-    kept: list[np.ndarray] = []  # node, wide, n, part of a key's rows so far, without its largest part
-    current = None
+        for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+            node = part.column(0).to_numpy(zero_copy_only=False)
+            key, at = sketch_keys(part.column(1).to_pylist())
+            order = np.lexsort((node[at], key))
+            key, who = key[order], node[at][order]
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, int)
+            first = np.repeat(who[starts], np.diff(np.append(starts, len(key))))
+            edges = np.unique(np.stack((who, first))[:, who != first], axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.concatenate((key[starts], edges[0]))),
+                    pa.array(np.concatenate((who[starts], edges[0]))),
+                    pa.concat_arrays([pa.nulls(len(starts), pa.int64()), pa.array(edges[1], pa.int64())]),
+                ],
+                names=["key", "node", "first"],
+            )
+
+
+def stars_of_sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """From rows (key, node, first) sorted by key and node: edges (a, b) of each row to its key's first one, and those that are there already."""
+    known, leader = None, None  # of the key that the next rows may continue
     for batch in batches:
-        key, node, n, part, largest = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 3, 4, 5))
-        wide, largest = wide_words(batch.column(2).to_pylist()), largest.astype(bool)
-        bounds = np.append(np.flatnonzero(np.append(True, key[1:] != key[:-1])), len(key)) if len(key) else []
-        for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-            if key[lo] != current:
-                current, kept = key[lo], [x[:0] for x in (node, wide, n, part)]
-            own = np.flatnonzero(~largest[lo:hi]) + lo
-            first = len(kept[0])
-            kept = [np.concatenate((k, x[own])) for k, x in zip(kept, (node, wide, n, part), strict=True)]
-            step = max(1, 2_000_000 // (hi - lo))
-            for at in range(0, len(kept[0]), step):
-                k_node, k_wide, k_n, k_part = (x[at : at + step, None] for x in kept)
-                ok = may_be_similar(k_wide[:, :, 0], k_n, wide[lo:hi, 0], n[lo:hi], similarity) & (k_part != part[lo:hi])
-                if at + step > first:  # the new rows meet one another once
-                    ok[max(0, first - at) :] &= largest[lo:hi] | (k_node[max(0, first - at) :] < node[lo:hi])
-                u, v = np.nonzero(ok)
-                for i in range(0, len(u), 100_000):
-                    x, y = at + u[i : i + 100_000], lo + v[i : i + 100_000]
-                    close = (np.bitwise_count(kept[1][x] ^ wide[y]).sum(1, dtype=int) <= WIDE_BITS) | (np.minimum(kept[2][x], n[y]) <= SHORT)
-                    if close.any():
-                        yield candidates(kept[0][x[close]], node[y[close]])
-
-
-def cross_pairs(crowded: DataFrame, groups: DataFrame, found: DataFrame, similarity: float) -> DataFrame:
-    """Candidate pairs of rows (node, key) of large keys that lie in different components of found (node, component).
-
-    ``groups`` has the wide fingerprint and the number of shingles of each node.
-    A key whose rows are in one component already is left out before that joins.
-    """
-    parted = crowded.select("key", "node").join(found, "node", "left").select("key", "node", F.coalesce("component", "node").alias("part"))
-    parted = Written(parted)
-    parts = parted.df.groupBy("key", "part").agg(F.count(F.lit(1)).alias("m"))
-    most = parts.groupBy("key").agg(F.max(F.struct("m", "part")).alias("most"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    open_keys = parted.df.join(most.select("key", "most.part", "parts").withColumnRenamed("part", "__most"), "key")
-    rows = open_keys.join(groups.select("node", "wide", "size"), "node")
-    rows = rows.select("key", "node", "wide", F.col("size").alias("n"), "part", (F.col("part") == F.col("__most")).alias("largest"))
-    rows = rows.repartition("key").sortWithinPartitions("key", "largest", "node")
-    return rows.mapInArrow(lambda b: cross_of_sorted(b, similarity), CANDIDATES).select("a", "b").distinct()
-
-
-def settle_pairs(pairs: DataFrame, found: Written | None, verified: Callable[[DataFrame], DataFrame]) -> Written:
-    """(node, component) after every candidate pair (a, b) that can join two components has been verified.
-
-    A family of n texts has n * n / 2 candidate pairs, but hangs together by n
-    links. So pairs are verified in rounds: of each component a few (see TRIES)
-    that lead out of it (those with the smallest hashes), then components are found
-    anew, and pairs that have come to lie inside one are settled. When the open
-    pairs are few against the components, or after the last round, all that are
-    left are verified, so that none is lost. Picking is by aggregation, so a component
-    with a third of all pairs is no task of its own.
-    """
-    tried: list[Written] = []
-    if found is None:
-        found = Written(pairs.sparkSession.createDataFrame([], "node long, component long"))
-    for n, tries in enumerate((*TRIES, 0)):
-        part = lookup_side(found)
-        open_ = pairs
-        for end in ("a", "b"):
-            side = part.select(F.col("node").alias(end), F.col("component").alias(f"c{end}"))
-            open_ = open_.join(side, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
-        open_ = open_.where("ca <> cb")
-        for before in tried:
-            open_ = open_.join(lookup_side(before), ["a", "b"], "left_anti")
-        open_ = Written(open_.select("a", "b", "ca", "cb"))
-        total = open_.df.count()
-        if not total:
-            open_.drop()
-            break
-        picked = None
-        if tries:
-            out = open_.df.select(F.explode(F.array("ca", "cb")).alias("c"), "a", "b")
-            firsts = [F.min(F.struct(F.xxhash64("a", "b", F.lit(100 * n + i)).alias("h"), "a", "b")).alias(f"p{i}") for i in range(tries)]
-            each = out.groupBy("c").agg(*firsts).select(F.explode(F.array(*(f"p{i}" for i in range(tries)))).alias("p"))
-            picked = Written(each.select("p.a", "p.b").distinct())
-        last = picked is None or total <= 2 * picked.df.count()
-        links = verified(open_.df.select("a", "b") if last else picked.df)
-        stars = found.df.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        after = Written(connected_components(stars.unionByName(links)))
-        found.drop()
-        open_.drop()
-        found = after
-        tried += [picked] if picked else []
-        if last:
-            break
-    for before in tried:
-        before.drop()
-    return found
+        key, node = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+        first = batch.column(2)
+        is_edge = first.is_valid().to_numpy(zero_copy_only=False)
+        a, b = [node[is_edge]], [first.drop_null().to_numpy(zero_copy_only=False)]
+        key, node = key[~is_edge], node[~is_edge]
+        if len(key):
+            starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            leaders = node[starts].copy()
+            if key[0] == known:
+                leaders[0] = leader
+            known, leader = key[-1], leaders[-1]
+            whose = np.repeat(leaders, np.diff(np.append(starts, len(key))))
+            a.append(node[node != whose])
+            b.append(whose[node != whose])
+        both = np.unique(np.stack((np.concatenate(a), np.concatenate(b))), axis=1).astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], names=["a", "b"])
 
 
 def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
     """(id, component_id) per row: groups of texts linked by a Jaccard similarity of word shingles from ``similarity`` up.
 
-    Texts with the same words are one group from the start. Candidates come
-    from wide fingerprints; of pairs at similarity 0.8 itself more than 98 in a
-    hundred are candidates, of short texts all (see tests), and a group needs only
-    enough of its links to hang together. Every candidate is verified on 64-bit
-    hashes of all shingles, so nothing less similar is linked. Keys of many rows are linked in stars, and
-    then whatever lies in different components there is compared in full. Null and empty texts are one group. Null
+    Texts with the same words are one group from the start. Whoever shares a key of its wide
+    fingerprint with another is in its crowd; pairs at similarity 0.8 itself share one in more than 98 of a
+    hundred cases, short texts always (see tests), and a group needs only
+    enough of its links to hang together. Inside a crowd all links are found, on 64-bit
+    hashes of all shingles (``crowds``), so nothing less similar is linked. Null and empty texts are one group. Null
     ids get their group's component and never name one; repeated ids are one
-    document.
+    document. Ids are whole numbers.
     """
 
     def rows(batch: pa.RecordBatch):
@@ -647,47 +478,21 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.min("size").alias("size"), F.min("wide").alias("wide")
     )
     groups = Written(grouped)
+    keyed = groups.df.where("node is not null and size > 0").select("node", "wide").mapInArrow(first_of_keys, "key long, node long, first long")
+    edges = Written(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(stars_of_sorted, "a long, b long").distinct())
+    texts, repeated = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")), repeated_ids(prints.df)
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
-                node, sizes = (part.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-                sketches = part.column(2).to_pylist()
-                key, at = sketch_keys(sketches)
-                first = wide_words(sketches)[:, 0].copy().view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(node[at]), pa.array(first[at]), pa.array(sizes[at])], names=["key", "node", "fp", "n"])
-
-    keyed = groups.df.where("node is not null and size > 0").select("node", "size", "wide").mapInArrow(spread, "key long, node long, fp long, n long")
-    met = Written(keyed.repartition("key").sortWithinPartitions("key", "node").mapInArrow(lambda b: pairs_of_sorted(b, similarity), CANDIDATES))
-    pairs = Written(met.df.where("b is not null").select("a", "b").distinct())
-    crowded = met.df.where("b is null").select(F.col("a").alias("node"), "key")
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [shingle_hashes(t, size)[0].view(np.int64) for t in utf8(batch, "text")]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    def verified(pairs: DataFrame) -> DataFrame:
-        """The pairs whose shingle sets are as similar as asked."""
-        wanted = Written(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        texts = docs.select(F.col(id_col).alias("node"), F.col(text_col).alias("text")).join(lookup_side(wanted), "node", "left_semi")
-        texts = Written(texts.mapInArrow(sets, "node long, shingles array<long>"))
-        left = texts.df.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-        right = texts.df.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-        both = F.size(F.array_intersect("x", "y"))
-        alike = both >= F.lit(similarity) * (F.size("x") + F.size("y") - both)
-        kept = Written(pairs.join(left, "a").join(right, "b").where(alike).select("a", "b"))
-        for done in (wanted, texts):
-            done.drop()
-        return kept.df
-
-    found = settle_pairs(pairs.df, None, verified)
-    if crowded.take(1):
-        cross = Written(cross_pairs(crowded, groups.df, found.df, similarity))
-        found = settle_pairs(cross.df, found, verified)
-        cross.drop()
-    pairs.drop()
-    met.drop()
+    def sets_of(nodes: Written) -> DataFrame:
+        def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in (b.slice(i, 200) for b in batches for i in range(0, b.num_rows, 200)):
+                found = [shingle_hashes(t, size)[0] for t in utf8(batch, "text")]
+                sizes = pa.array([len(x) for x in found], pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0), sizes, pa.array([x.view(np.int64) for x in found], pa.list_(pa.int64()))], names=["node", "size", "grams"])
+
+        return texts_of(texts, nodes, repeated).mapInArrow(sets, "node long, size long, grams array<long>").where("size > 0")
+
+    found = crowd_components(edges.df, sets_of, round(100 * similarity))
+    edges.drop()
     labelled = label_rows(prints.df.select("id", "h1", "h2"), groups.df.select("h1", "h2", "node", "n"), found.df, ["h1", "h2"])
     return labelled.select(F.col("id").alias(id_col), "component_id")
 
