@@ -399,8 +399,8 @@ def train(
         .limit(train_rows)
     )
     rows = docs.select(F.col(id_col).alias("__id"), "text").join(F.broadcast(chosen), "__id").select("text", F.col("__label").cast("int").alias("label"))
-    rows = Written(rows.where("text is not null").groupBy("text").agg(F.max("label").alias("label"))).df
-    n_toxic = rows.where("label > 0").count()
+    rows = Written(rows.where("text is not null").groupBy("text").agg(F.max("label").alias("label")))
+    n_toxic = rows.df.where("label > 0").count()
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
 
@@ -410,7 +410,7 @@ def train(
             words = [sorted(restorer.words(t)) for t in texts(batch)]
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.list_(pa.string())), batch.column(1)], names=["words", "label"])
 
-    worded = Written(rows.mapInArrow(read, "words array<string>, label int"))  # each labelled text is restored once
+    worded = Written(rows.df.mapInArrow(read, "words array<string>, label int"))  # each labelled text is restored once
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter[str], Counter[str]] = (Counter(), Counter())
@@ -439,6 +439,8 @@ def train(
             yield pa.RecordBatch.from_arrays([pa.array(met, pa.list_(pa.int32()))], names=["met"])
 
     toxic = worded.df.where("label > 0").mapInArrow(meet, "met array<int>").toArrow().column("met").combine_chunks()
+    for done in (rows, worded):
+        done.drop()
     picked = cover(toxic, np.array(list(chance.values())), kept["clean"].to_numpy(float))
     return Lexicon({e: c for i, (e, c) in enumerate(chance.items()) if i in picked})
 

@@ -68,7 +68,9 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document after restoring disguised words."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model = deobfuscate.fit_language_model(Written(deobfuscate.word_counts(docs)).df)
+    counts = Written(deobfuscate.word_counts(docs))
+    model = deobfuscate.fit_language_model(counts.df)
+    counts.drop()
     lexicon = deobfuscate.train(docs, table(spark, sf_dir, "labels"), model)
     scored = deobfuscate.score(docs, model, lexicon)
     return scored.select("doc_id", (remainder(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
