@@ -195,7 +195,8 @@ def scan(docs: DataFrame, notices: tuple[tuple[str, str], ...] = NOTICES, share:
 
     The score is 1 where a base phrase stands, else the best share of a notice
     that matched, else 0. Null and empty texts have no words, no places (first
-    and last are null), no blocks and empty labels.
+    and last are null), no blocks and empty labels. Repeated rows each get their own result; a column that has the
+    name of a result is replaced by it. Of places where a notice matches equally well the first is its block.
     """
     frequency = token_frequency(docs, notices, text_col)
     prepared = prepare(notices, frequency, share)

@@ -285,7 +285,8 @@ def listed_labels(pages: DataFrame, block_list: dict[str, str] = BLOCK_LIST, url
 def judge(pages: DataFrame, model: Forest, rules: tuple[tuple[str, str], ...] = RULES, url_col: str = "url") -> DataFrame:
     """Add host, path, rule, score and verdict: the rule's verdict where one fits, else block from THRESHOLD up.
 
-    Rows only meet the suffix rates of the model. A null URL has empty host and path and no rule.
+    Rows only meet the suffix rates of the model. A null URL has empty host and path and no rule. Of rules that fit
+    the longest counts. Repeated rows each get their own result; a column that has the name of a result is replaced by it.
     """
     host, path = host_and_path(F.col(url_col))
     parted = pages.withColumns({"host": host, "path": path})

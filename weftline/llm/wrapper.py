@@ -663,6 +663,8 @@ def induce(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> Da
     Every non-empty page of a group is aligned with the model page, one of those
     with the group's most frequent tree. Nodes' texts are counted by hash (in the
     tasks first), then each node's most frequent one is taken; see ``choose``.
+    Of trees that are equally frequent the one with the largest hash is the model, of texts the one with the largest
+    hash; repeated rows count each. Other columns are ignored.
     """
     host, _ = host_and_path(F.col(url_col))
     keyed = pages.select(host.alias("host"), F.col(html_col).alias("html")).where(F.col("html").rlike(r"\S"))
