@@ -10,12 +10,12 @@ formed in full:
   at first, column by column (a shuffle by n-gram), and the counts of a pair are
   summed. A pair goes on only if its count and all that may still come reach what the two sizes
   ask for.
-* The other columns are multiplied for the pairs that are left: the exact overlap.
+* What is left hangs together in crowds, in which all columns are multiplied, as dense blocks (``crowds``): the exact overlaps.
 * Columns of more than ``COLUMN`` entries aren't multiplied out. Their documents
   take their seeds anew, rare n-grams first (the common ones, a broadcast of
   bounded size, go to the end of the order). What is in a large column even
   then are families of near copies, or texts of common passages alone. Those that hang together
-  by such columns form a crowd, which is multiplied in dense blocks (``crowds``).
+  by such columns are a crowd as well.
 
 The order of the n-grams decides about work alone, not about results.
 """
@@ -253,28 +253,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
         return texts_of(noded, nodes, repeated).mapInArrow(rows, "node long, size long, grams array<long>").where("size > 0")
 
-    def similar(pairs: DataFrame) -> DataFrame:
-        """The pairs (a, b) whose exact overlap, over all columns, is enough."""
-        pairs = Written(pairs)
-        nodes = Written(pairs.df.select(F.explode(F.array("a", "b")).alias("node")).distinct())
-        sets = Written(sets_of(nodes))
-        left, right = (sets.df.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("grams").alias(f"g{c}")) for c in "ab")
-        both = pairs.df.join(left, "a").join(right, "b")
-        kept = Written(both.where(enough(F.size(F.array_intersect("ga", "gb")), F.col("na"), F.col("nb"), percent)).select("a", "b"))
-        for done in (pairs, nodes, sets):
-            done.drop()
-        return kept.df
-
     # All sets, seeds by hash.
     entries = Written(heads.mapInArrow(first_entries, "gram long, node long, size int"))
     products = seed_products(entries.df.where("gram is not null"), percent)
     again = Written(entries.df.where("gram is null").select("node").unionByName(products.df.where("b is null").select(F.col("a").alias("node"))).distinct())
-    links = similar(hopeful(products.df, percent))
+    edges = Written(hopeful(products.df, percent))
     entries.drop()
     products.drop()
 
     # Sets with common n-grams among their seeds, rare ones first.
-    crowded = None
+    every = edges.df
     if again.df.take(1):
 
         def rare_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -290,19 +278,18 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         large = Written(entries.df.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first")).where(F.col("m") > COLUMN).drop("m"))
         side = lookup_side(large)
         products = seed_products(entries.df.join(side, "gram", "left_anti"), percent)
-        links = links.unionByName(similar(hopeful(products.df, percent)))
+        more = Written(hopeful(products.df, percent))
         products.drop()
-        crowded = Written(entries.df.join(side, "gram").select("node", "first").distinct())
+        crowded = Written(entries.df.join(side, "gram").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct())
         entries.drop()
         large.drop()
+        every = every.unionByName(more.df).unionByName(crowded.df)
 
+    found = None
     if repeated is not None:
         rows = some.select("id", "h1", "h2").join(lookup_side(repeated).withColumnRenamed("node", "id"), "id", "left_semi").join(groups.df.select("h1", "h2", "node"), ["h1", "h2"])
-        links = links.unionByName(rows.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct())
-    found = Written(connected_components(links))
-
-    if crowded is not None:
-        found = crowd_components(crowded.df.select(F.col("node").alias("a"), F.col("first").alias("b")), sets_of, percent, found)
+        found = Written(connected_components(rows.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct()))
+    found = crowd_components(every, sets_of, percent, found)
 
     named = prints.df.select("id", "h1", "h2", "n_shingles")
     labelled = label_rows(named.where("n_shingles > 0"), groups.df.select("h1", "h2", "node", "n"), found.df, ["h1", "h2"])
