@@ -403,25 +403,32 @@ def sketch_keys(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(out), np.concatenate((at, np.repeat(np.arange(len(sketches)), sizes)))
 
 
+#: Rows whose shared keys a task looks for before the shuffle, some 25,000 bytes of work each.
+CHUNK = 2_000
+
+
 def first_of_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows (node, wide): the keys of their sketches as (key, node, null), of each chunk's rows with one key the first alone.
+    """From rows (node, wide): the keys of their sketches as (key, node, null), where rows of a chunk that hang together by keys are one node.
 
-    The others are edges to it, (any number, node, first): so a key that very many rows have is few rows to its task.
+    The others are edges to that one, (any number, node, first). So a family of
+    any size is one node of each chunk to the tasks behind the shuffle, and a key that very many rows have is few rows.
     """
     for batch in batches:
-        for part in (batch.slice(i, 2000) for i in range(0, batch.num_rows, 2000)):
+        for part in (batch.slice(i, CHUNK) for i in range(0, batch.num_rows, CHUNK)):
             node = part.column(0).to_numpy(zero_copy_only=False)
             key, at = sketch_keys(part.column(1).to_pylist())
-            order = np.lexsort((node[at], key))
-            key, who = key[order], node[at][order]
+            order = np.lexsort((at, key))
+            key, at = key[order], at[order]
             starts = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.empty(0, int)
-            first = np.repeat(who[starts], np.diff(np.append(starts, len(key))))
-            edges = np.unique(np.stack((who, first))[:, who != first], axis=1)
+            lead = np.repeat(at[starts], np.diff(np.append(starts, len(key))))
+            which, root = forest(at, lead, len(node))
+            roots = np.arange(len(node))
+            roots[which] = root
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.concatenate((key[starts], edges[0]))),
-                    pa.array(np.concatenate((who[starts], edges[0]))),
-                    pa.concat_arrays([pa.nulls(len(starts), pa.int64()), pa.array(edges[1], pa.int64())]),
+                    pa.array(np.concatenate((key[starts], node[which]))),
+                    pa.array(np.concatenate((node[roots[at[starts]]], node[which]))),
+                    pa.concat_arrays([pa.nulls(len(starts), pa.int64()), pa.array(node[root], pa.int64())]),
                 ],
                 names=["key", "node", "first"],
             )
