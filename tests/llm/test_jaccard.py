@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -106,3 +107,48 @@ def test_ngrams_tell_orders_of_repeated_words_apart():
     for n in (4, 5, 6, 40, 400):
         text = " ".join(rng.choice("abc") for _ in range(n))
         assert len(jaccard.ngrams(text.encode())) == len(shingle_set(text))
+
+
+def test_a_large_column_is_never_one_task(monkeypatch):
+    """What a task has of a column beyond its bound goes as edges, dealt by node; the rest still tells that the column is large."""
+    monkeypatch.setattr(jaccard, "ENTRIES", 1000)
+    n, most = 900, 4
+    heads = pa.array([[7, 1000 + i] for i in range(n)], pa.list_(pa.int64()))
+    rows = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([50] * n, pa.int32()), heads], names=["node", "size", "head"])
+    got = pa.Table.from_batches(list(jaccard.entries(iter([rows]), most))).to_pandas()
+    kept = got[got["first"].isna()]
+    assert len(got) == 2 * n and (kept["gram"] == 7).sum() == 2 * (most + 1)  # two lots of entries
+    sent = pa.RecordBatch.from_pandas(got.sort_values(["gram", "size"]).astype({"first": "Int64"}), schema=pa.schema([("gram", pa.int64()), ("node", pa.int64()), ("size", pa.int32()), ("first", pa.int64())]), preserve_index=False)
+    out = pa.Table.from_batches(list(jaccard.column_products(iter([sent]), 80, most))).to_pandas()
+    assert out["na"].isna().all() and set(out["a"]) == set(range(n))  # all hang together, no pair is listed
+    up = {i: i for i in range(n)}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in zip(out["a"], out["b"], strict=True):
+        up[root(a)] = root(b)
+    assert len({root(i) for i in range(n)}) == 1
+
+
+def test_blocks_of_sizes_too_far_apart_do_not_meet(spark, monkeypatch):
+    """Rows of a crowd go only to the blocks of neighbouring size classes, and all links are found."""
+    monkeypatch.setattr(crowds, "BLOCK_ROWS", 8)
+    sizes = [10, 20, 40, 80, 160, 320]
+    rows = [(100 * s + i, 1, s, 100 * s + i) for s in sizes for i in range(8)]
+    sets = [(node, s, [1_000_000 * s + k for k in range(s - 1)] + [node]) for node, _, s, _ in rows]
+    seen = spark.sparkContext.accumulator(0)
+    real = crowds.block_links
+
+    def counted(table, percent):
+        seen.add(table.num_rows)
+        return real(table, percent)
+
+    monkeypatch.setattr(crowds, "block_links", counted)
+    met = crowds.crowd_links(spark.createDataFrame(rows, "node long, crowd long, size long, part long"), spark.createDataFrame(sets, "node long, size long, grams array<long>"), 80, all_pairs=True)
+    links = {frozenset((r["a"], r["b"])) for r in met.df.collect()}
+    assert len(links) == 7 * len(sizes) and all(max(x) // 100 == min(x) // 100 for x in links)
+    assert seen.value == len(rows)  # with all blocks meeting each other it was one row for each of six blocks
+    met.drop()

@@ -10,6 +10,7 @@ a family of any size is never one task, nor a list of its pairs.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 import numpy as np
@@ -95,23 +96,28 @@ def crowd_links(crowds: DataFrame, sets: DataFrame, percent: int, *, all_pairs:
 
     Blocks are dealt by a hash of the node. Without ``all_pairs`` each block meets itself and the
     crowd's first one; with it, components of half a block or more have blocks of
-    their own, and all blocks meet but those of one component.
+    their own, as have classes of size, and all blocks meet but those of one component and those of
+    classes that are not neighbours: sets of such sizes can't be similar enough.
     """
-    rows, own = crowds, F.lit(None).cast("long")
+    rows, own, level = crowds, F.lit(None).cast("long"), F.lit(0)
     if all_pairs:
         large = rows.groupBy("crowd", "part").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") >= BLOCK_ROWS // 2).select("crowd", "part", F.col("part").alias("own"))
         rows = rows.join(lookup_side(Written(large)), ["crowd", "part"], "left")
         own = F.col("own")
-    rows = rows.withColumn("own", own)
-    by_own = rows.groupBy("crowd", "own").agg(blocks_of("size").alias("blocks"))
+        # A class is a little wider than the sizes that one set may be similar to.
+        level = F.floor(F.ln(F.greatest("size", F.lit(1))) / (1.001 * max(math.log(100 / percent), 0.01))).cast("int")
+    rows = rows.withColumn("own", own).withColumn("level", level)
+    by_own = rows.groupBy("crowd", "own", "level").agg(blocks_of("size").alias("blocks"))
     # A crowd has few large components: one for each half block of its rows at most.
-    listed = by_own.groupBy("crowd").agg(F.sort_array(F.collect_list(F.struct("own", "blocks"))).alias("l"), F.sum("blocks").alias("total"))
-    first = F.expr("aggregate(slice(l, 1, i), 0L, (t, x) -> t + x.blocks)")
-    placed = listed.select("crowd", "total", "l", F.posexplode("l").alias("i", "x")).select("crowd", "total", F.col("x.own").alias("own2"), F.col("x.blocks").alias("blocks"), first.alias("first"))
-    rows = rows.join(lookup_side(Written(placed.withColumnRenamed("crowd", "crowd2"))), (F.col("crowd") == F.col("crowd2")) & F.col("own").eqNullSafe(F.col("own2")))
+    listed = by_own.groupBy("crowd").agg(F.sort_array(F.collect_list(F.struct("own", "level", "blocks"))).alias("l"), F.sum("blocks").alias("total"))
+    first = F.expr("transform(l, (x, i) -> struct(x.own as own, x.level as level, x.blocks as blocks, aggregate(slice(l, 1, i), 0L, (t, y) -> t + y.blocks) as first))")
+    placed = listed.select("crowd", "total", first.alias("l")).select(F.col("crowd").alias("crowd2"), "total", "l", F.explode("l").alias("x"))
+    meets = F.expr("filter(l, y -> abs(y.level - x.level) <= 1 and (x.own is null or not y.own <=> x.own))") if all_pairs else F.slice("l", 1, 1)
+    placed = placed.select("crowd2", "total", F.col("x.own").alias("own2"), F.col("x.level").alias("level2"), "x.blocks", "x.first", meets.alias("meets"))
+    rows = rows.join(lookup_side(Written(placed)), (F.col("crowd") == F.col("crowd2")) & F.col("own").eqNullSafe(F.col("own2")) & (F.col("level") == F.col("level2")))
     rows = rows.withColumn("block", F.col("first") + F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")))
     if all_pairs:
-        others = F.expr("filter(sequence(0L, total - 1), j -> own is null or j < first or j >= first + blocks)")
+        others = F.expr("flatten(transform(meets, y -> sequence(y.first, y.first + y.blocks - 1)))")
     else:
         others = F.expr("case when block = 0 then sequence(0L, total - 1) else array(0L, block) end")
     rows = rows.withColumn("other", F.explode(others))

@@ -11,10 +11,10 @@ formed in full:
   summed. A pair goes on only if its count and all that may still come reach what the two sizes
   ask for.
 * What is left hangs together in crowds, in which all columns are multiplied, as dense blocks (``crowds``): the exact overlaps.
-* Columns of more than ``COLUMN`` entries aren't multiplied out. Their documents
-  take their seeds anew, rare n-grams first (the common ones, a broadcast of
-  bounded size, go to the end of the order). What is in a large column even
-  then are families of near copies, or texts of common passages alone. Those that hang together
+* Seeds are taken rare n-grams first: those that over ``COLUMN`` texts have among their seeds by hash
+  are counted beforehand and go to the end of the order (a broadcast of bounded size).
+* Columns of more than ``COLUMN`` entries aren't multiplied out. What is in one in spite of the order
+  are families of near copies, or texts of common passages alone. Those that hang together
   by such columns are a crowd as well.
 
 The order of the n-grams decides about work alone, not about results.
@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weftline.llm.common import Written, lookup_side, utf8, with_columns
+from weftline.llm.common import ROWS_AT_ONCE, Written, lookup_side, utf8, with_columns
 from weftline.llm.components import connected_components
 from weftline.llm.crowds import crowd_components, repeated_ids, texts_of
 from weftline.llm.simhash import label_rows
@@ -42,6 +42,8 @@ PERCENT, SIZE = 80, 5
 COLUMN = 32
 #: Common n-grams that are told to all tasks (8 bytes each), the most frequent ones first.
 COMMON = 1_000_000
+#: Entries that a task looks at together before they are shuffled.
+ENTRIES = 1_000_000
 
 #: An odd multiplier for each place in an n-gram, unrelated to each other, so that repeated words that change places don't cancel out.
 _MULTIPLIERS = [np.uint64(xxhash.xxh64_intdigest(b"%d" % i, 12) | 1) for i in range(64)]
@@ -96,16 +98,46 @@ def enough(overlap: Column, a: Column, b: Column, percent: int) -> Column:
 # -- columns --------------------------------------------------------------------------------------
 
 
+def entries(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Entries (gram, node, size, null) of rows (node, size, head), some ENTRIES at a time.
+
+    Of an n-gram's entries among these ``most + 1`` are given, as they tell that the column is large; the rest are edges
+    (node, node, size, first) to the first of them. So a task never gets a large column in full.
+    """
+
+    def given(rows):
+        heads = [np.asarray(r.column(2).flatten()) for r in rows]
+        lengths = np.concatenate([r.column(2).value_lengths().to_numpy(zero_copy_only=False) for r in rows])
+        node, size = (np.repeat(np.concatenate([r.column(i).to_numpy(zero_copy_only=False) for r in rows]), lengths) for i in range(2))
+        gram = np.concatenate(heads)
+        order = np.argsort(gram, kind="stable")
+        gram, node, size = gram[order], node[order], size[order]
+        starts = np.flatnonzero(np.append(True, gram[1:] != gram[:-1])) if len(gram) else np.empty(0, np.int64)
+        start = np.repeat(starts, np.diff(np.append(starts, len(gram))))
+        over = np.arange(len(gram)) - start > most
+        first = pa.array(node[start], pa.int64(), mask=~over)
+        return pa.RecordBatch.from_arrays([pa.array(np.where(over, node, gram), pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int32()), first], names=["gram", "node", "size", "first"])
+
+    held, n = [], 0
+    for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+        held.append(batch)
+        n += len(batch.column(2).flatten())
+        if n >= ENTRIES:
+            yield given(held)
+            held, n = [], 0
+    if held:
+        yield given(held)
+
+
 def column_products(batches: Iterator[pa.RecordBatch], percent: int, most: int) -> Iterator[pa.RecordBatch]:
-    """From entries (gram, node, size) sorted by gram and size: products (a, b, na, nb) of columns of up to ``most`` entries.
+    """From entries (gram, node, size, first) sorted by gram and size: products (a, b, na, nb) of columns of up to ``most`` entries.
 
-    Entries of larger columns are given as (node, null, size, null), one by one as they come.
+    Entries of larger columns are given as edges (node, a node of the column, null, null), one by one as they come; edges pass through.
     """
 
-    def emit(a, b, na, nb):
-        crowded = b is None
-        columns = [pa.array(a, pa.int64()), pa.nulls(len(a), pa.int64()) if crowded else pa.array(b, pa.int64()), pa.array(na, pa.int32()), pa.nulls(len(a), pa.int32()) if crowded else pa.array(nb, pa.int32())]
-        return pa.RecordBatch.from_arrays(columns, names=["a", "b", "na", "nb"])
+    def emit(a, b, na=None, nb=None):
+        sizes = [pa.nulls(len(a), pa.int32()) if n is None else pa.array(n, pa.int32()) for n in (na, nb)]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), *sizes], names=["a", "b", "na", "nb"])
 
     def solve(gram, node, size):
         starts = np.flatnonzero(np.append(True, gram[1:] != gram[:-1]))
@@ -124,16 +156,20 @@ def column_products(batches: Iterator[pa.RecordBatch], percent: int, most: int)
                 yield emit(node[x], node[y], size[x], size[y])
         for i in np.flatnonzero(sizes > most):
             part = slice(starts[i], starts[i] + sizes[i])
-            yield emit(node[part], None, size[part], None)
+            yield emit(node[part], np.full(sizes[i], node[starts[i]]))
 
     held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int32)]
-    large = None  # a column that has outgrown the bound: its entries go straight through
+    large = lead = None  # a column that has outgrown the bound, and its first node: its entries go straight through
     for batch in batches:
+        edges = batch.filter(batch.column(3).is_valid())
+        if edges.num_rows:
+            yield emit(edges.column(1), edges.column(3))
+            batch = batch.filter(batch.column(3).is_null())
         rows = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
         if large is not None and len(rows[0]):
             same = int(np.searchsorted(rows[0], large, "right"))
             if same:
-                yield emit(rows[1][:same], None, rows[2][:same], None)
+                yield emit(rows[1][:same], np.full(same, lead))
             rows = [r[same:] for r in rows]
             large = None if len(rows[0]) else large
         if not len(rows[0]):
@@ -141,7 +177,7 @@ def column_products(batches: Iterator[pa.RecordBatch], percent: int, most: int)
         rows = [np.concatenate(x) for x in zip(held, rows, strict=True)]
         last = int(np.searchsorted(rows[0], rows[0][-1], "left"))
         if len(rows[0]) - last > most:
-            large, last = rows[0][-1], len(rows[0])
+            large, lead, last = rows[0][-1], rows[1][last], len(rows[0])
         if last:
             yield from solve(*(r[:last] for r in rows))
         held = [r[last:] for r in rows]
@@ -149,9 +185,9 @@ def column_products(batches: Iterator[pa.RecordBatch], percent: int, most: int)
         yield from solve(*held)
 
 
-def seed_products(entries: DataFrame, percent: int) -> Written:
-    """Products (a, b, na, nb) of the small columns of entries (gram, node, size); b is null for a node in a large one."""
-    dealt = entries.repartition("gram").sortWithinPartitions("gram", "size")
+def seed_products(heads: DataFrame, percent: int) -> Written:
+    """Products (a, b, na, nb) of the small columns of seeds (node, size, head), and edges (a, b, null, null) between nodes of a large one."""
+    dealt = heads.mapInArrow(lambda b: entries(b, COLUMN), "gram long, node long, size int, first long").repartition("gram").sortWithinPartitions("gram", "size")
     return Written(dealt.mapInArrow(lambda b: column_products(b, percent, COLUMN), "a long, b long, na int, nb int"))
 
 
@@ -162,14 +198,14 @@ def hopeful(products: DataFrame, percent: int) -> DataFrame:
     in the order, so what they have in common is counted; the rest of that set may
     be in common.
     """
-    counted = products.where("b is not null").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
+    counted = products.where("na is not null").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("met"))
     later = [F.ceil(percent * F.col(n) / 100) - 1 for n in ("na", "nb")]
     return counted.where(enough(F.col("met") + F.greatest(*later), F.col("na"), F.col("nb"), percent)).select("a", "b").distinct()
 
 
-def common_grams(heads: DataFrame) -> np.ndarray:
-    """The n-grams of large columns, at most COMMON of them: the most frequent ones, from a count over all seeds."""
-    counts = heads.select(F.explode("head").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > COLUMN)
+def common_grams(seeds: DataFrame) -> np.ndarray:
+    """The n-grams (gram) of large columns, at most COMMON of them: the most frequent ones, from a count over all seeds."""
+    counts = seeds.groupBy("gram").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > COLUMN)
     counts = Written(counts)
     by_size = counts.df.groupBy(F.floor(4 * F.log2("m")).alias("level")).count().orderBy(F.desc("level")).collect()  # some hundred rows
     least, total = None, 0
@@ -199,6 +235,16 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     of its texts. Other columns are ignored. An empty table gives an empty result.
     """
 
+    def first_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Seeds by hash alone."""
+        for batch in (b.slice(i, ROWS_AT_ONCE) for b in batches for i in range(0, b.num_rows, ROWS_AT_ONCE)):
+            found = [seeds(ngrams(t, size), percent, np.empty(0, np.uint64)) for t in utf8(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64))], names=["gram"])
+
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    text_col = "text"
+    common = common_grams(texts.select("text").mapInArrow(first_seeds, "gram long"))
+
     def prints_of(batch: pa.RecordBatch):
         h1, h2, n, head = [], [], [], []
         for text in utf8(batch, text_col):
@@ -207,39 +253,20 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
             h1.append((whole & (2**64 - 1)) - 2**63)
             h2.append((whole >> 64) - 2**63)
             n.append(len(grams))
-            head.append(grams[: seed_size(len(grams), percent)] if len(grams) else grams)
+            head.append(seeds(grams, percent, common))
         return [pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(n, pa.int64()), _lists(head)]
 
     fields = [("h1", T.LongType()), ("h2", T.LongType()), ("n_shingles", T.LongType()), ("head", T.ArrayType(T.LongType()))]
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    text_col = "text"
-    prints = Written(with_columns(texts, fields, prints_of, keep=["id"]))
+    seeded = Written(with_columns(texts, fields, prints_of, keep=["id"]))
+    prints = Written(seeded.df.drop("head"))
     some = prints.df.where("n_shingles > 0")
-    groups = Written(
-        some.groupBy("h1", "h2").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n"), F.first("n_shingles").alias("size"), F.first("head").alias("head"))
-    )
-    heads = groups.df.where("node is not null").select("node", F.col("size").cast("int").alias("size"), "head")
-    common = common_grams(heads)
-
-    def first_entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Seed entries without the common ones; a node that has some of these is also given with a null n-gram."""
-        for batch in batches:
-            node, sizes = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            head = batch.column(2)
-            lengths = head.value_lengths().to_numpy(zero_copy_only=False)
-            grams = np.asarray(head.flatten())
-            at = np.repeat(np.arange(len(node)), lengths)
-            known = np.isin(grams.view(np.uint64), common) if len(common) else np.zeros(len(grams), bool)
-            marked = np.unique(at[known])
-            rest = at[~known]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([pa.array(grams[~known], pa.int64()), pa.nulls(len(marked), pa.int64())]),
-                    pa.array(np.concatenate((node[rest], node[marked])), pa.int64()),
-                    pa.array(np.concatenate((sizes[rest], sizes[marked])), pa.int32()),
-                ],
-                names=["gram", "node", "size"],
-            )
+    groups = Written(some.groupBy("h1", "h2").agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("n")))
+    heads = seeded.df.where("n_shingles > 0").groupBy("h1", "h2").agg(F.min("id").alias("node"), F.first("n_shingles").cast("int").alias("size"), F.first("head").alias("head"))
+    products = seed_products(heads.where("node is not null").select("node", "size", "head"), percent)
+    seeded.drop()
+    crowded = products.df.where("na is null").select("a", "b")
+    every = Written(hopeful(products.df, percent).unionByName(crowded.distinct()))
+    products.drop()
 
     repeated, noded = repeated_ids(prints.df), texts.withColumnRenamed("id", "node")
 
@@ -253,43 +280,11 @@ def similar_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
         return texts_of(noded, nodes, repeated).mapInArrow(rows, "node long, size long, grams array<long>").where("size > 0")
 
-    # All sets, seeds by hash.
-    entries = Written(heads.mapInArrow(first_entries, "gram long, node long, size int"))
-    products = seed_products(entries.df.where("gram is not null"), percent)
-    again = Written(entries.df.where("gram is null").select("node").unionByName(products.df.where("b is null").select(F.col("a").alias("node"))).distinct())
-    edges = Written(hopeful(products.df, percent))
-    entries.drop()
-    products.drop()
-
-    # Sets with common n-grams among their seeds, rare ones first.
-    every = edges.df
-    if again.df.take(1):
-
-        def rare_first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in (b.slice(i, 200) for b in batches for i in range(0, b.num_rows, 200)):
-                sets = [ngrams(t, size) for t in utf8(batch, text_col)]
-                found = [seeds(g, percent, common) for g in sets]
-                lengths = [len(f) for f in found]
-                node = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), lengths)
-                sizes = np.repeat([len(g) for g in sets], lengths).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(found).view(np.int64)), pa.array(node), pa.array(sizes, pa.int32())], names=["gram", "node", "size"])
-
-        entries = Written(texts_of(noded, again, repeated).mapInArrow(rare_first, "gram long, node long, size int"))
-        large = Written(entries.df.groupBy("gram").agg(F.count(F.lit(1)).alias("m"), F.min("node").alias("first")).where(F.col("m") > COLUMN).drop("m"))
-        side = lookup_side(large)
-        products = seed_products(entries.df.join(side, "gram", "left_anti"), percent)
-        more = Written(hopeful(products.df, percent))
-        products.drop()
-        crowded = Written(entries.df.join(side, "gram").select(F.col("node").alias("a"), F.col("first").alias("b")).distinct())
-        entries.drop()
-        large.drop()
-        every = every.unionByName(more.df).unionByName(crowded.df)
-
     found = None
     if repeated is not None:
         rows = some.select("id", "h1", "h2").join(lookup_side(repeated).withColumnRenamed("node", "id"), "id", "left_semi").join(groups.df.select("h1", "h2", "node"), ["h1", "h2"])
         found = Written(connected_components(rows.select(F.col("id").alias("a"), F.col("node").alias("b")).distinct()))
-    found = crowd_components(every, sets_of, percent, found)
+    found = crowd_components(every.df, sets_of, percent, found)
 
     named = prints.df.select("id", "h1", "h2", "n_shingles")
     labelled = label_rows(named.where("n_shingles > 0"), groups.df.select("h1", "h2", "node", "n"), found.df, ["h1", "h2"])
