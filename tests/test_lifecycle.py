@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions import scalars
 from weftline.functions.transitions import decide, new_state
-from weftline.operators import listing, ownership, queues, retention, streams
+from weftline.operators import eventlog, listing, ownership, queues, retention, streams
 from weftline.plans import queries
 from weftline.plans.config import Settings, World
 from weftline.sources import fixtures
@@ -162,3 +162,73 @@ def test_state_of_ended_runs_goes(spark, tmp_path, keep_ms):
         assert query.awaitTermination(120)
     got = {(r["run_id"], r["seq"]): r["outcome"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got["r", 2] == ("RUN_NOT_FOUND" if keep_ms == 1 else "ENTITY_CONFLICT") and got["q", 1] == "appended" and got["other", 0] == "appended"
+
+
+def test_guards_over_arrays_equal_decide():
+    """Whole runs decided together give what each event gives by itself, for all kinds, versions, holders and resumes."""
+    import random
+
+    import numpy as np
+    import pyarrow as pa
+
+    from weftline.functions import guards
+    from weftline.functions.transitions import decide, new_state
+
+    schema = pa.schema([("run_id", pa.string()), ("event_type", pa.string()), ("corr", pa.string()), ("at_us", pa.int64()), ("step_name", pa.string()), ("has_input", pa.bool_()), ("has_run_input", pa.bool_()),
+                        ("retry_after_us", pa.int64()), ("holder", pa.string()), ("claim_cancelled", pa.bool_()), ("resume_id", pa.string()), ("digest", pa.string()), ("by_workflow", pa.bool_()), ("spec_version", pa.int32()), ("run_spec", pa.int32())])
+    rng = random.Random(3)
+    weights = [3, 3, 1, 1, 1, *[4] * 11]
+    seen = set()
+    for case in range(300):
+        rows, starts = [], []
+        for r in range(rng.randrange(1, 30)):
+            starts.append(len(rows))
+            early = rng.random() < 0.7
+            for i in range(rng.randrange(1, 40)):
+                kind = rng.choices(guards.KINDS[:-1], weights)[0] if i or not early else rng.choice(("run_created", "run_started"))
+                some = lambda *x: rng.choice((None, *x))
+                rows.append({"run_id": None if r == 0 else f"r{r}", "event_type": kind, "corr": some("a", "b", "c"), "at_us": i + rng.randrange(3), "step_name": some("n"), "has_input": some(True, False), "has_run_input": some(True, True, False),
+                             "retry_after_us": some(i, i + 3, i + 9), "holder": some(None, None, f"r{r}/a", "x/y"), "claim_cancelled": rng.random() < 0.1, "resume_id": some("p", "q"), "digest": some("1", "2"),
+                             "by_workflow": some(True, False), "spec_version": rng.choice([None] * 8 + [5, 6]), "run_spec": rng.choice([None] * 4 + [5, 6])})
+        spec = 6 if case % 3 == 0 else None
+        names = schema.names if case % 2 else [n for n in schema.names if n not in ("resume_id", "holder", "run_spec")]
+        rows = [{n: x[n] for n in names} for x in rows]
+        batch = pa.RecordBatch.from_pylist(rows, schema=pa.schema([schema.field(n) for n in names]))
+        want, state = [], None
+        for i, e in enumerate(rows):
+            state = new_state() if i in starts else state
+            outcome, types = decide(state, e, spec)
+            want.append((outcome, types, state["n"], state["steps"][e["corr"]][1] if outcome == "TOO_EARLY" else None))
+            seen.add(outcome)
+        saved, guards.LEAST = guards.LEAST, 0
+        try:
+            found = guards.decide_all(batch, np.array(starts), spec)
+        finally:
+            guards.LEAST = saved
+        got = [(guards.OUTCOMES[o], [guards.KINDS[k] for k in (a, b) if k >= 0], int(s), t) for o, a, b, s, t in zip(*found[:4], found[4].to_pylist(), strict=True)]
+        for i, (g, w) in enumerate(zip(got, want, strict=True)):
+            assert g == w, (case, i, rows[i])
+    assert seen == set(guards.OUTCOMES) - {"hook_conflict"}
+
+
+def test_open_hooks_read_the_log_once(spark):
+    """Hooks of the log's own runs as live_hooks gives them, from one fold; a hook without a name is one as well."""
+    log = spark.createDataFrame(
+        [("a", 1, "run_created", None, 1), ("a", 2, "hook_created", "h", 2), ("a", 3, "hook_created", "g", 3), ("a", 4, "hook_disposed", "g", 4), ("a", 5, "hook_created", None, 5),
+         ("b", 1, "run_created", None, 1), ("b", 2, "hook_created", "h", 2), ("b", 3, "run_failed", None, 3), (None, 1, "run_created", None, 1), (None, 2, "hook_created", "h", 7)],
+        "run_id string, slot long, event_type string, corr string, at_us long",
+    )
+    got = eventlog.open_hooks(log)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, [("a", "h", 2), ("a", None, 5), (None, "h", 7)]))
+    named = sorted(tuple(r) for r in eventlog.live_hooks(log, eventlog.run_states(log)).where("run_id is not null and hook_id is not null").collect())
+    assert named == [("a", "h")]
+    assert got._jdf.queryExecution().optimizedPlan().collectLeaves().size() == 1
+
+
+def test_folds_over_larger_files_have_more_tasks(spark, small, tmp_path, monkeypatch):
+    """A shuffle's tasks follow the bytes that its rows are made from, not only the session's setting."""
+    monkeypatch.setattr(eventlog, "TASK_BYTES", 1024)
+    orders = spark.read.parquet(f"{small}/orders.parquet")
+    assert eventlog.tasks_of(orders) > 4 and eventlog.tasks_of(spark.range(3)) is None
+    monkeypatch.setattr(eventlog, "TASK_BYTES", 8 << 20)
+    assert eventlog.tasks_of(orders) is None

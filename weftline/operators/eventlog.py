@@ -5,18 +5,23 @@ Two paths decide acceptance. Guards that depend only on the first of something
 over aggregates and windows. The general case, where a rejected event must not
 influence later ones, goes through the transitions of
 ``weftline.functions.transitions``: rows are shuffled by run, sorted, and
-streamed through Arrow batches, so a task holds one run's state at a time.
+streamed through Arrow batches. Runs that end in a batch are decided together, as arrays
+(``weftline.functions.guards``); for others a task holds one run's state at a time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions.guards import KINDS, OUTCOMES, decide_all
 from weftline.functions.transitions import Limits, decide, new_state
+from weftline.sources.shared import path_of
 
 DECIDED = "outcome string, appended array<string>, slot long, retry_at_us long"
 #: What a general fold reads; absent columns count as null.
@@ -96,6 +101,29 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
         yield dict(zip(names, values, strict=True))
 
 
+def run_starts(batch: pa.RecordBatch) -> np.ndarray:
+    """Where the runs of a batch, sorted by run (the first column), begin; null is a run."""
+    ids = batch.column(0)
+    a, b = ids.slice(1), ids.slice(0, len(ids) - 1)
+    differs = pc.fill_null(pc.not_equal(a, b), True).to_numpy(zero_copy_only=False)
+    both = pc.and_(pc.is_null(a), pc.is_null(b)).to_numpy(zero_copy_only=False)
+    return np.flatnonzero(np.append(True, differs & ~both))
+
+
+def tasks_of(df: DataFrame) -> int | None:
+    """Tasks for a shuffle of rows made from files, where these are more than the session's partitions are meant for."""
+    spark, total = df.sparkSession, 0
+    for name in df.inputFiles():
+        path, fs = path_of(spark, name)
+        total += fs.getFileStatus(path).getLen()
+    n = -(-total // TASK_BYTES)
+    return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
+#: Rows of a run up to which it is held until it is whole, and bytes of files that a task's rows are made from.
+LONG_RUN, TASK_BYTES = 50_000, 8 << 20
+
+
 def fold(events: DataFrame, partitions: int | None = None, current_spec: int | None = None, carry: Sequence[str] = (), limits: Limits = Limits()) -> DataFrame:  # noqa: B008  a constant
     """Events (FOLD_COLUMNS, PAYLOAD) with outcome, the event types they appended and the last slot of their run.
 
@@ -108,15 +136,33 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
     have = set(events.columns)
     carried = [c for c in ("retry_after_us", *PAYLOAD) if c in have]
     payload = [c for c in PAYLOAD if c in have]
-    rows = events.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in FOLD_COLUMNS), *payload)
+    # Columns that events don't have aren't shuffled and sorted either.
+    used = [c for c in FOLD_COLUMNS if c in have or c in _ALWAYS or c in carry]
+    rows = events.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in used), *payload)
+    partitions = partitions or tasks_of(events)
     rows = rows.repartition(partitions, "run_id") if partitions else rows.repartition("run_id")
     rows = rows.sortWithinPartitions("run_id", "at_us", "seq")
     kept = ["run_id", "seq", "event_type", "corr", "at_us", *carried, *(c for c in carry if c not in carried)]
     schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
 
+    def given(batch: pa.RecordBatch, arrays: list[pa.Array]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *arrays], names=[*kept, "outcome", "appended", "slot", "retry_at_us"])
+
+    def together(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch | None:
+        found = decide_all(batch, starts, current_spec)
+        if found is None:
+            return None
+        outcome, one, two, slot, retry = found
+        types = np.stack((one, two), 1)
+        offsets = np.append(0, np.cumsum((types >= 0).sum(1))).astype(np.int32)
+        names = pa.array(KINDS).take(pa.array(types[types >= 0]))
+        return given(batch, [pa.array(OUTCOMES).take(pa.array(outcome)), pa.ListArray.from_arrays(pa.array(offsets), names), pa.array(slot, pa.int64()), retry])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         state, current = new_state(), object()
-        for batch in batches:
+
+        def one_by_one(batch):
+            nonlocal state, current
             out = []
             for e in rows_of(batch):
                 if e["run_id"] != current:
@@ -124,8 +170,35 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
                 outcome, types = decide(state, e, current_spec, limits)
                 out.append((outcome, types, state["n"], state["steps"][e["corr"]][1] if outcome == "TOO_EARLY" else None))
             columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
-            arrays = [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()), strict=True)]
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *arrays], names=[*kept, "outcome", "appended", "slot", "retry_at_us"])
+            return given(batch, [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()), strict=True)])
+
+        held = None  # rows of a run that may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch, held = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0], None
+            starts = run_starts(batch)
+            if current == batch.column(0)[0].as_py():  # a long run that is already under way goes on
+                end = int(starts[1]) if len(starts) > 1 else batch.num_rows
+                yield one_by_one(batch.slice(0, end))
+                batch = batch.slice(end)
+                if not batch.num_rows:
+                    continue
+                starts = starts[1:] - end
+            last = int(starts[-1])
+            if last:
+                whole = batch.slice(0, last)
+                done = together(whole, starts[:-1])
+                yield one_by_one(whole) if done is None else done
+            rest = batch.slice(last)
+            if rest.num_rows > LONG_RUN:
+                yield one_by_one(rest)
+            else:
+                held = rest
+        if held is not None:
+            done = together(held, np.zeros(1, np.int64))
+            yield one_by_one(held) if done is None else done
 
     return rows.mapInArrow(run, f"{schema}, {DECIDED}")
 
@@ -275,6 +348,17 @@ def live_hooks(log: DataFrame, runs: DataFrame) -> DataFrame:
     return open_.join(runs.where("status in ('pending', 'running')").select("run_id"), "run_id", "left_semi")
 
 
+def open_hooks(log: DataFrame) -> DataFrame:
+    """(run_id, hook_id, created_us) of the same hooks as ``live_hooks`` with the log's own runs, from one pass over the log."""
+    kind, ends = F.col("event_type"), ("run_completed", "run_failed", "run_cancelled")
+    rows = log.where(kind.isin("hook_created", "hook_disposed", *ends)).withColumn("ends", kind.isin(*ends))
+    state = rows.groupBy("run_id", "ends", F.when(~F.col("ends"), F.col("corr")).alias("hook_id")).agg(
+        F.max_by("event_type", "slot").alias("last"), F.min(F.when(kind == "hook_created", F.col("at_us"))).alias("created_us")
+    )
+    ended = F.max("ends").over(Window.partitionBy("run_id"))
+    return state.withColumn("ended", ended).where("not ended and last = 'hook_created'").select("run_id", "hook_id", "created_us")
+
+
 def latest_attributes(changes: DataFrame, order: list[str], run: str = "run_id") -> DataFrame:
     """(run, key, value) after all changes; a null value deletes its key."""
     last = changes.groupBy(run, "key").agg(F.max_by(F.struct("value"), F.struct(*order)).alias("v"))
