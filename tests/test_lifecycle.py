@@ -232,3 +232,5 @@ def test_folds_over_larger_files_have_more_tasks(spark, small, tmp_path, monkeyp
     assert eventlog.tasks_of(orders) > 4 and eventlog.tasks_of(spark.range(3)) is None
     monkeypatch.setattr(eventlog, "TASK_BYTES", 8 << 20)
     assert eventlog.tasks_of(orders) is None
+    monkeypatch.setattr(eventlog, "TASK_BYTES", 1024)
+    assert eventlog.by_run(orders.withColumn("run_id", F.col("o_orderkey"))).rdd.getNumPartitions() > 4

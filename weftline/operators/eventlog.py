@@ -120,6 +120,12 @@ def tasks_of(df: DataFrame) -> int | None:
     return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
+def by_run(rows: DataFrame) -> DataFrame:
+    """Rows dealt by run over ``tasks_of`` them, so that joins and groups by run, or by run and more, have no larger tasks as the input grows."""
+    n = tasks_of(rows)
+    return rows.repartition(n, "run_id") if n else rows
+
+
 #: Rows of a run up to which it is held until it is whole, and bytes of files that a task's rows are made from.
 LONG_RUN, TASK_BYTES = 50_000, 8 << 20
 

@@ -668,4 +668,4 @@ def steps_after_purge(spark, sf_dir):
     """Steps that outlive their runs' retention."""
     runs = _due_runs(spark, sf_dir)
     gone = runs.where(retention.is_expired(F.col("due_us"), F.lit(RUNS_NOW_US)))
-    return retention.purge(S.step_events(spark, sf_dir), gone).groupBy("run_id", "step_id").agg(F.count(F.lit(1)).alias("n"))
+    return retention.purge(eventlog.by_run(S.step_events(spark, sf_dir).select("run_id", "step_id")), gone).groupBy("run_id", "step_id").agg(F.count(F.lit(1)).alias("n"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators import listing, ownership, queues, retention, streams
+from weftline.operators import eventlog, listing, ownership, queues, retention, streams
 from weftline.plans.queries import (
     DELIVERED,
     DUE,
@@ -160,7 +160,7 @@ def late_step_writes(spark, sf_dir):
     """Step writes with an answer: those of tombstoned runs are rejected, not lost."""
     runs = _due_runs(spark, sf_dir)
     gone = runs.where(retention.is_expired(F.col("due_us"), F.lit(RUNS_NOW_US)))
-    judged = listing.late_writes(S.step_events(spark, sf_dir), gone)
+    judged = listing.late_writes(eventlog.by_run(S.step_events(spark, sf_dir).select("run_id", "step_id")), gone)
     return judged.groupBy("run_id", "step_id", "rejected").agg(F.count(F.lit(1)).alias("n"))
 
 
