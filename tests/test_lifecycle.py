@@ -234,3 +234,64 @@ def test_folds_over_larger_files_have_more_tasks(spark, small, tmp_path, monkeyp
     assert eventlog.tasks_of(orders) is None
     monkeypatch.setattr(eventlog, "TASK_BYTES", 1024)
     assert eventlog.by_run(orders.withColumn("run_id", F.col("o_orderkey"))).rdd.getNumPartitions() > 4
+
+
+def test_listed_events_come_in_order_and_few_wait():
+    """Events of rows dealt by run come as one sort gives them, whatever the batches are, and a long run's are not held until it ends."""
+    import random
+
+    import pyarrow as pa
+
+    event = pa.struct([("seq", pa.int64()), ("event_type", pa.string()), ("at_us", pa.int64())])
+    schema = pa.schema([("run_id", pa.string()), ("first", pa.int64()), ("events", pa.list_(event))])
+    rng = random.Random(5)
+    for case in range(200):
+        rows = []
+        for i in range(rng.randrange(1, 60)):
+            at = [rng.choice((None, *range(9))) if rng.random() < 0.1 else rng.randrange(i, i + 9) for _ in range(rng.randrange(1, 4))]
+            made = [{"seq": rng.randrange(-2, 5), "event_type": "wait_created", "at_us": a} for a in at]
+            events = [rng.choice((e, e, None)) for e in made]  # null is no event; it counts for the earliest time all the same
+            rows.append({"run_id": rng.choice((None, "a", "b")), "first": None if None in at else min(at), "events": events})
+        nulls_first = lambda *x: [(y is not None, y if y is not None else 0) for y in x]
+        rows.sort(key=lambda r: [nulls_first(r["run_id"])[0][0], r["run_id"] or "", *nulls_first(r["first"])])
+        size = rng.randrange(1, 8)
+        batches = [pa.RecordBatch.from_pylist(rows[i : i + size], schema=schema) for i in range(0, len(rows), size)]
+        got = [(e["run_id"], e["at_us"], e["seq"]) for b in eventlog.opened(iter(batches)) for e in b.to_pylist()]
+        every = [(r["run_id"], e["at_us"], e["seq"]) for r in rows for e in r["events"] if e]
+        assert got == sorted(every, key=lambda x: [x[0] is not None, x[0] or "", *nulls_first(*x[1:])]), case
+    asked = 0
+
+    def long_run():
+        nonlocal asked
+        for i in range(100):
+            asked += 1
+            yield pa.RecordBatch.from_pylist([{"run_id": "a", "first": i, "events": [{"seq": i, "event_type": "wait_created", "at_us": i + k} for k in (0, 2)]}], schema=schema)
+
+    for _ in zip(range(20), eventlog.opened(long_run()), strict=False):
+        assert asked < 30
+
+
+def test_lists_fold_as_their_events_do(spark):
+    """Lists of events give what the events give as rows, also where several rows make one run's; only rows of wanted outcomes come out."""
+    event = "struct<seq: bigint, event_type: string, corr: string, at_us: bigint, retry_after_us: bigint, output: string, has_run_input: boolean>"
+    rows = spark.range(4000).selectExpr("if(id % 7 = 0, null, concat('r', id % 90)) run_id", "id", "id % 40 at")
+    made = F.expr(f"""array(cast(named_struct('s', id * 9, 't', 'run_started', 'c', null, 'a', at - 5, 'r', null, 'o', null, 'i', true) as {event}),
+     if(id % 3 = 0, null, cast(named_struct('s', id * 9 + 1, 't', 'step_created', 'c', string(id % 11), 'a', at, 'r', null, 'o', null, 'i', null) as {event})),
+     cast(named_struct('s', id * 9 + 2, 't', 'step_retrying', 'c', string(id % 11), 'a', at + 1, 'r', at + id % 9, 'o', null, 'i', null) as {event}),
+     cast(named_struct('s', id * 9 + 3, 't', 'step_started', 'c', string(id % 11), 'a', at + 3, 'r', null, 'o', null, 'i', null) as {event}),
+     if(id % 5 > 0, null, cast(named_struct('s', id * 9 + 4, 't', 'step_completed', 'c', string(id % 11), 'a', at + 9, 'r', null, 'o', string(id), 'i', null) as {event})))""")
+    listed = eventlog.dealt(rows, F.col("at") - 5).select("run_id", "first", made.alias("events"))
+    flat = rows.select("run_id", F.explode(made).alias("e")).where("e is not null").select("run_id", "e.*")
+    result = lambda df: sorted(map(repr, map(tuple, df.select("run_id", "seq", "outcome", "appended", "slot", "retry_at_us", "output", "retry_after_us").collect())))
+    want = result(eventlog.fold(flat))
+    assert result(eventlog.fold(listed, listed=True)) == want != []
+    for outcome in ("appended", "TOO_EARLY"):
+        some = eventlog.fold(flat).where(F.col("outcome") == outcome)
+        assert result(eventlog.fold(listed, listed=True, only=[outcome])) == result(some) != []
+
+
+def test_rows_are_shuffled_before_events_are_made(spark, small):
+    """The queries on the fold shuffle what events are made from, and no events: there are up to twenty times as many."""
+    for name in ("wait_results", "live_hooks", "hooks_page", "step_results", "early_starts"):
+        plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[-1]
+        assert "Exchange" in plan and "event_type" not in plan.split("Exchange", 1)[1], name

@@ -110,13 +110,13 @@ def run_starts(batch: pa.RecordBatch) -> np.ndarray:
     return np.flatnonzero(np.append(True, differs & ~both))
 
 
-def tasks_of(df: DataFrame) -> int | None:
+def tasks_of(df: DataFrame, task_bytes: int | None = None) -> int | None:
     """Tasks for a shuffle of rows made from files, where these are more than the session's partitions are meant for."""
     spark, total = df.sparkSession, 0
     for name in df.inputFiles():
         path, fs = path_of(spark, name)
         total += fs.getFileStatus(path).getLen()
-    n = -(-total // TASK_BYTES)
+    n = -(-total // (task_bytes or TASK_BYTES))
     return n if n > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
@@ -126,30 +126,89 @@ def by_run(rows: DataFrame) -> DataFrame:
     return rows.repartition(n, "run_id") if n else rows
 
 
-#: Rows of a run up to which it is held until it is whole, and bytes of files that a task's rows are made from.
-LONG_RUN, TASK_BYTES = 50_000, 8 << 20
+def dealt(rows: DataFrame, first: Column) -> DataFrame:
+    """Rows that stand for several events of a run each, dealt by run and sorted by it and by ``first``, the earliest time of a row's events.
 
+    ``fold`` takes the lists of events that are made from them, so that the rows are shuffled and not what is made
+    from them. Tasks are small, as each row becomes many.
+    """
+    n = tasks_of(rows, DEALT_BYTES)
+    rows = rows.withColumn("first", first)
+    return (rows.repartition(n, "run_id") if n else rows.repartition("run_id")).sortWithinPartitions("run_id", "first")
+
+
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Events of rows (run_id, first, events) of ``dealt``, in order of (run_id, at_us, seq), nulls first.
 
-def fold(events: DataFrame, partitions: int | None = None, current_spec: int | None = None, carry: Sequence[str] = (), limits: Limits = Limits()) -> DataFrame:  # noqa: B008  a constant
+    The last events of a batch wait until no later row can have an earlier one.
+    """
+    held = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        run_id, first, lists = batch.columns
+        flat = lists.flatten()
+        events = pa.RecordBatch.from_arrays([run_id.take(pc.list_parent_indices(lists)), *flat.flatten()], names=["run_id", *(f.name for f in flat.type)])
+        if flat.null_count:
+            events = events.filter(flat.is_valid())
+        if held is not None:
+            events = pa.Table.from_batches([held, events]).combine_chunks()
+            events = events.to_batches()[0] if len(events) else held
+        if not events.num_rows:
+            continue
+        starts = run_starts(events)
+        keys = [np.repeat(np.arange(len(starts)), np.diff(np.append(starts, events.num_rows)))]
+        for name in ("at_us", "seq"):
+            c = events.column(name)
+            keys += [c.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(c, 0).to_numpy(zero_copy_only=False)]
+        order = np.lexsort(keys[::-1])
+        if (np.diff(order) != 1).any():
+            events = events.take(pa.array(order))
+        since, cut = first[-1].as_py(), int(starts[-1])
+        if since is not None:
+            cut += int((~keys[1][order[cut:]] | (keys[2][order[cut:]] < since)).sum())
+        for at in range(0, cut, LONG_RUN):
+            yield events.slice(at, min(LONG_RUN, cut - at))
+        held = events.slice(cut)
+    if held is not None and held.num_rows:
+        yield held
+
+
+#: Rows of a run up to which it is held until it is whole, and bytes of files that a task's rows, and rows of many events, are made from.
+LONG_RUN, TASK_BYTES, DEALT_BYTES = 50_000, 8 << 20, 2 << 20
+
+
+def fold(
+    events: DataFrame, partitions: int | None = None, current_spec: int | None = None, carry: Sequence[str] = (), limits: Limits = Limits(),  # noqa: B008  a constant
+    listed: bool = False, only: Sequence[str] = (),
+) -> DataFrame:
     """Events (FOLD_COLUMNS, PAYLOAD) with outcome, the event types they appended and the last slot of their run.
 
     ``carry`` names fold columns that come out as well. A start that is TOO_EARLY has the time from which it may come (retry_at_us).
+    With ``listed`` they come as lists, (run_id, first, events) made from ``dealt`` rows, in which null is no event; these aren't
+    shuffled or sorted as rows. All events are decided; with ``only`` those of these outcomes come out.
 
     Order within a run is (at_us, seq). Rows with a null run are one run of
     their own. A run is one task's work in sequence by nature; runs are bounded
     by the engine's limit on events per run.
     """
-    have = set(events.columns)
+    element = events.schema["events"].dataType.elementType if listed else events.schema
+    have = {*element.names, "run_id"}
     carried = [c for c in ("retry_after_us", *PAYLOAD) if c in have]
     payload = [c for c in PAYLOAD if c in have]
-    # Columns that events don't have aren't shuffled and sorted either.
-    used = [c for c in FOLD_COLUMNS if c in have or c in _ALWAYS or c in carry]
-    rows = events.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in used), *payload)
-    partitions = partitions or tasks_of(events)
-    rows = rows.repartition(partitions, "run_id") if partitions else rows.repartition("run_id")
-    rows = rows.sortWithinPartitions("run_id", "at_us", "seq")
+    if listed:
+        rows, types = events.select("run_id", "first", "events"), {"run_id": events.schema["run_id"].dataType, **{f.name: f.dataType for f in element}}
+    else:
+        # Columns that events don't have aren't shuffled and sorted either.
+        used = [c for c in FOLD_COLUMNS if c in have or c in _ALWAYS or c in carry]
+        rows = events.select(*(F.col(c) if c in have else F.lit(None).cast("string").alias(c) for c in used), *payload)
+        partitions = partitions or tasks_of(events)
+        rows = rows.repartition(partitions, "run_id") if partitions else rows.repartition("run_id")
+        rows = rows.sortWithinPartitions("run_id", "at_us", "seq")
+        types = {f.name: f.dataType for f in rows.schema}
     kept = ["run_id", "seq", "event_type", "corr", "at_us", *carried, *(c for c in carry if c not in carried)]
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in kept)
+    schema = ", ".join(f"{c} {types[c].simpleString()}" for c in kept)
+    wanted = [i for i, o in enumerate(OUTCOMES) if o in only]
 
     def given(batch: pa.RecordBatch, arrays: list[pa.Array]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *arrays], names=[*kept, "outcome", "appended", "slot", "retry_at_us"])
@@ -159,9 +218,13 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
         if found is None:
             return None
         outcome, one, two, slot, retry = found
-        types = np.stack((one, two), 1)
-        offsets = np.append(0, np.cumsum((types >= 0).sum(1))).astype(np.int32)
-        names = pa.array(KINDS).take(pa.array(types[types >= 0]))
+        if only:
+            rows = np.flatnonzero(np.isin(outcome, wanted))
+            batch, retry = batch.take(pa.array(rows)), retry.take(pa.array(rows))
+            outcome, one, two, slot = (x[rows] for x in (outcome, one, two, slot))
+        kinds = np.stack((one, two), 1)
+        offsets = np.append(0, np.cumsum((kinds >= 0).sum(1))).astype(np.int32)
+        names = pa.array(KINDS).take(pa.array(kinds[kinds >= 0]))
         return given(batch, [pa.array(OUTCOMES).take(pa.array(outcome)), pa.ListArray.from_arrays(pa.array(offsets), names), pa.array(slot, pa.int64()), retry])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,11 +238,14 @@ def fold(events: DataFrame, partitions: int | None = None, current_spec: int | N
                     state, current = new_state(), e["run_id"]
                 outcome, types = decide(state, e, current_spec, limits)
                 out.append((outcome, types, state["n"], state["steps"][e["corr"]][1] if outcome == "TOO_EARLY" else None))
+            if only:
+                rows = [i for i, o in enumerate(out) if o[0] in only]
+                batch, out = batch.take(pa.array(rows, pa.int64())), [out[i] for i in rows]
             columns = list(zip(*out, strict=True)) if out else [[], [], [], []]
             return given(batch, [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()), strict=True)])
 
         held = None  # rows of a run that may go on in the next batch
-        for batch in batches:
+        for batch in opened(batches) if listed else batches:
             if not batch.num_rows:
                 continue
             if held is not None:
