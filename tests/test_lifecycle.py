@@ -292,6 +292,8 @@ def test_lists_fold_as_their_events_do(spark):
 
 def test_rows_are_shuffled_before_events_are_made(spark, small):
     """The queries on the fold shuffle what events are made from, and no events: there are up to twenty times as many."""
+    from weftline.plans import lifecycle, lives  # noqa: F401  they register their queries
+
     for name in ("wait_results", "live_hooks", "hooks_page", "step_results", "early_starts"):
         plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[-1]
         assert "Exchange" in plan and "event_type" not in plan.split("Exchange", 1)[1], name
