@@ -297,3 +297,52 @@ def test_rows_are_shuffled_before_events_are_made(spark, small):
     for name in ("wait_results", "live_hooks", "hooks_page", "step_results", "early_starts"):
         plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString().split("MapInArrow")[-1]
         assert "Exchange" in plan and "event_type" not in plan.split("Exchange", 1)[1], name
+
+
+def test_steps_made_in_the_fold_are_those_of_its_log(spark):
+    """Steps from the fold's own tasks are those that the log's aggregation gives: null runs and ids, events without a time, runs over many batches, steps that end after a long while."""
+    event = "struct<seq: bigint, event_type: string, corr: string, at_us: bigint, retry_after_us: bigint, output: string, error: string, has_run_input: boolean>"
+    kinds = "array('step_created', 'step_created', 'step_started', 'step_retrying', 'step_started', 'step_completed', 'step_failed', 'hook_created', 'wait_created')"
+    rows = spark.range(80_000).selectExpr("case when id < 60000 then 'long' when id % 7 > 0 then concat('r', id % 90) end run_id", "id", "if(id % 30000 = 29999, null, id) at")
+    one = f"""cast(named_struct('s', id, 't', element_at({kinds}, 1 + pmod(hash(id), 9)), 'c', if(id % 101 = 0, null, string(id * 31 % if(run_id = 'long', 9001, 400))), 'a', at,
+     'r', if(id % 3 = 0, at + id % 50, null), 'o', if(id % 4 > 0, string(id), null), 'e', if(id % 5 > 0, string(-id), null), 'i', null) as {event})"""
+    begin = f"if(id % 500 = 0, cast(named_struct('s', -1, 't', 'run_started', 'c', null, 'a', at - 1, 'r', null, 'o', null, 'e', null, 'i', true) as {event}), null)"
+    listed = eventlog.dealt(rows, F.col("at") - 1).select("run_id", "first", F.expr(f"array({begin}, {one})").alias("events"))
+    states, steps = eventlog.step_states(eventlog.appended(eventlog.fold(listed, listed=True))), eventlog.folded_steps(listed, listed=True)
+    assert steps.columns == states.columns and [f.dataType for f in steps.schema] == [f.dataType for f in states.schema]
+    got = steps.collect()
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, map(tuple, states.collect()))) and len(got) > 3_000
+    assert {r.status for r in got} == {"pending", "running", "completed", "failed"} and None in {r.run_id for r in got}
+    counts = [sum(map(bool, x)) for x in zip(*((r.attempt > 1, r.output, r.error, r.output and r.error, r.retry_after_us) for r in got), strict=True)]
+    assert min(counts) > 20, counts
+    assert eventlog.folded_steps(listed.limit(0), listed=True).collect() == []
+
+
+def test_events_made_in_the_fold_are_those_of_lists(spark):
+    """Events that the fold makes of rows are those that lists of them hold: columns with nulls, sums, fixed values and flags that are null."""
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({
+        "run_id": ["a", None, "b"], "first": [0, 1, 2], "at": pa.array([5, None, 7]), "id": ["x", "y", None], "some": [True, None, False],
+    })
+    kinds = {"seq": pa.int64(), "event_type": pa.string(), "corr": pa.string(), "at_us": pa.int64(), "digest": pa.string()}
+    events = [
+        {"seq": 0, "event_type": "step_created", "corr": ("id",), "at_us": ("at", 0), "digest": None},
+        {"seq": 1, "event_type": ("id",), "corr": None, "at_us": ("at", 3), "digest": "d"},
+        {"seq": ("at",), "event_type": "run_started", "corr": "c", "at_us": -9, "digest": None},
+    ]
+    got = eventlog.Made(kinds, events, [None, "some", None]).of(batch).to_pylist()
+    rows = [
+        ("a", 0, "step_created", "x", 5, None), ("a", 1, "x", None, 8, "d"), ("a", 5, "run_started", "c", -9, None), (None, 0, "step_created", "y", None, None),
+        (None, None, "run_started", "c", -9, None), ("b", 0, "step_created", None, 7, None), ("b", 7, "run_started", "c", -9, None),
+    ]
+    assert got == [dict(zip(("run_id", *kinds), r, strict=True)) for r in rows]
+
+
+def test_step_results_shuffles_rows_once(spark, small):
+    """Lines and runs are shuffled once; neither steps nor their events are shuffled or sorted as rows after the fold, which would cost more than the fold itself."""
+    from weftline.plans import lifecycle  # noqa: F401  registers the query
+
+    plan = queries.QUERIES["step_results"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "SortAggregate" not in plan
+    assert "Exchange" not in plan.split("MapInArrow")[0] and "step_retrying" not in plan

@@ -78,7 +78,9 @@ def decide_all(batch: pa.RecordBatch, starts: np.ndarray, current_spec: int | No
     corr = dictionary("corr")
 
     def of(*kinds):
-        return np.isin(kind, [_K[k] for k in kinds])
+        wanted = np.zeros(len(KINDS), bool)
+        wanted[[_K[k] for k in kinds]] = True
+        return wanted[kind]
 
     def first(mask):
         found = np.full(len(starts), n)

@@ -11,13 +11,15 @@ streamed through Arrow batches. Runs that end in a batch are decided together, a
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import from_arrow_schema
 
 from weftline.functions.guards import KINDS, OUTCOMES, decide_all
 from weftline.functions.transitions import Limits, decide, new_state
@@ -101,7 +103,7 @@ def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
         yield dict(zip(names, values, strict=True))
 
 
-def run_starts(batch: pa.RecordBatch) -> np.ndarray:
+def run_starts(batch: pa.RecordBatch | pa.Table) -> np.ndarray:
     """Where the runs of a batch, sorted by run (the first column), begin; null is a run."""
     ids = batch.column(0)
     a, b = ids.slice(1), ids.slice(0, len(ids) - 1)
@@ -129,16 +131,68 @@ def by_run(rows: DataFrame) -> DataFrame:
 def dealt(rows: DataFrame, first: Column) -> DataFrame:
     """Rows that stand for several events of a run each, dealt by run and sorted by it and by ``first``, the earliest time of a row's events.
 
-    ``fold`` takes the lists of events that are made from them, so that the rows are shuffled and not what is made
-    from them. Tasks are small, as each row becomes many.
+    ``fold`` takes the lists of events that are made from them, or makes the events itself (``Made``), so that the rows are
+    shuffled and not what is made from them. Tasks are small, as each row becomes many.
     """
+    return in_order(dealt_alone(rows), first)
+
+
+def dealt_alone(rows: DataFrame) -> DataFrame:
+    """Rows dealt as by ``dealt``, for what has to be done by run before ``in_order``."""
     n = tasks_of(rows, DEALT_BYTES)
-    rows = rows.withColumn("first", first)
-    return (rows.repartition(n, "run_id") if n else rows.repartition("run_id")).sortWithinPartitions("run_id", "first")
+    return rows.repartition(n, "run_id") if n else rows.repartition("run_id")
+
 
+def in_order(rows: DataFrame, first: Column) -> DataFrame:
+    """Rows that are dealt by run, sorted as by ``dealt``."""
+    return rows.withColumn("first", first).sortWithinPartitions(F.xxhash64("run_id"), "run_id", "first")  # ids often begin alike, which hashes don't
 
-def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Events of rows (run_id, first, events) of ``dealt``, in order of (run_id, at_us, seq), nulls first.
+
+@dataclass(frozen=True)
+class Made:
+    """Events that each row of (run_id, first, ...) stands for: for each event where its fields come from, and the flag without which there is none.
+
+    A field comes from a column, given as (name,) or (name, what is added to it), or is the same for all rows, given by itself.
+    ``kinds`` has the fields' types. Rows carry only what differs from row to row, and the events are made of them in the tasks of ``fold``.
+    """
+
+    kinds: dict[str, pa.DataType]
+    events: Sequence[dict]
+    when: Sequence[str | None]
+
+    def of(self, batch: pa.RecordBatch) -> pa.RecordBatch:
+        """The events of a batch, row by row."""
+        n = batch.num_rows
+        there = np.ones((n, len(self.events)), bool)
+        for i, name in enumerate(self.when):
+            if name is not None:
+                there[:, i] = pc.fill_null(batch.column(name), False).to_numpy(zero_copy_only=False)
+        row, event = np.nonzero(there)
+        fields = [batch.column("run_id").take(pa.array(row))]
+        for name, kind in self.kinds.items():
+            said = [e[name] for e in self.events]
+            columns = list(dict.fromkeys(v[0] for v in said if isinstance(v, tuple)))
+            fixed = [v for v in said if not isinstance(v, tuple)]
+            pool = pa.concat_arrays([*(batch.column(c) for c in columns), pa.array(fixed, kind)])
+            varies = np.array([isinstance(v, tuple) for v in said])
+            begin = np.where(varies, 0, len(columns) * n + np.cumsum(~varies) - 1)
+            begin[varies] = [columns.index(v[0]) * n for v in said if isinstance(v, tuple)]
+            values = pool.take(pa.array(begin[event] + varies[event] * row))
+            more = np.array([v[1] if isinstance(v, tuple) and len(v) > 1 else 0 for v in said])
+            fields.append(pc.add(values, pa.array(more[event])) if more.any() else values)
+        return pa.RecordBatch.from_arrays(fields, names=["run_id", *self.kinds])
+
+
+def _listed(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The events of (run_id, first, events), row by row; null is no event."""
+    run_id, _, lists = batch.columns
+    flat = lists.flatten()
+    events = pa.RecordBatch.from_arrays([run_id.take(pc.list_parent_indices(lists)), *flat.flatten()], names=["run_id", *(f.name for f in flat.type)])
+    return events.filter(flat.is_valid()) if flat.null_count else events
+
+
+def opened(batches: Iterator[pa.RecordBatch], made: Callable[[pa.RecordBatch], pa.RecordBatch] = _listed) -> Iterator[pa.RecordBatch]:
+    """Events of rows (run_id, first, events, or what events are ``made`` of) of ``dealt``, in order of (run_id, at_us, seq), nulls first.
 
     The last events of a batch wait until no later row can have an earlier one.
     """
@@ -146,11 +200,7 @@ def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        run_id, first, lists = batch.columns
-        flat = lists.flatten()
-        events = pa.RecordBatch.from_arrays([run_id.take(pc.list_parent_indices(lists)), *flat.flatten()], names=["run_id", *(f.name for f in flat.type)])
-        if flat.null_count:
-            events = events.filter(flat.is_valid())
+        first, events = batch.column(1), made(batch)
         if held is not None:
             events = pa.Table.from_batches([held, events]).combine_chunks()
             events = events.to_batches()[0] if len(events) else held
@@ -159,9 +209,9 @@ def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         starts = run_starts(events)
         keys = [np.repeat(np.arange(len(starts)), np.diff(np.append(starts, events.num_rows)))]
         for name in ("at_us", "seq"):
-            c = events.column(name)
+            c = events.column(events.schema.get_field_index(name))
             keys += [c.is_valid().to_numpy(zero_copy_only=False), pc.fill_null(c, 0).to_numpy(zero_copy_only=False)]
-        order = np.lexsort(keys[::-1])
+        order = np.lexsort([k for k in keys[::-1] if k is keys[0] or not (k.dtype == bool and k.all())])
         if (np.diff(order) != 1).any():
             events = events.take(pa.array(order))
         since, cut = first[-1].as_py(), int(starts[-1])
@@ -180,24 +230,30 @@ LONG_RUN, TASK_BYTES, DEALT_BYTES = 50_000, 8 << 20, 2 << 20
 
 def fold(
     events: DataFrame, partitions: int | None = None, current_spec: int | None = None, carry: Sequence[str] = (), limits: Limits = Limits(),  # noqa: B008  a constant
-    listed: bool = False, only: Sequence[str] = (),
+    listed: bool | Made = False, only: Sequence[str] = (), steps: bool = False,
 ) -> DataFrame:
     """Events (FOLD_COLUMNS, PAYLOAD) with outcome, the event types they appended and the last slot of their run.
 
     ``carry`` names fold columns that come out as well. A start that is TOO_EARLY has the time from which it may come (retry_at_us).
-    With ``listed`` they come as lists, (run_id, first, events) made from ``dealt`` rows, in which null is no event; these aren't
-    shuffled or sorted as rows. All events are decided; with ``only`` those of these outcomes come out.
+    With ``listed`` they come as lists, (run_id, first, events) made from ``dealt`` rows, in which null is no event, or are made here
+    of such rows as ``listed`` says; these aren't shuffled or sorted as rows. All events are decided; with ``only`` those of these
+    outcomes come out. With ``steps`` the steps come out that ``step_states`` would make of the log (``folded_steps``).
 
     Order within a run is (at_us, seq). Rows with a null run are one run of
     their own. A run is one task's work in sequence by nature; runs are bounded
     by the engine's limit on events per run.
     """
-    element = events.schema["events"].dataType.elementType if listed else events.schema
+    made = listed if isinstance(listed, Made) else None
+    if made:
+        element = from_arrow_schema(pa.schema(list(made.kinds.items())))
+    else:
+        element = events.schema["events"].dataType.elementType if listed else events.schema
     have = {*element.names, "run_id"}
     carried = [c for c in ("retry_after_us", *PAYLOAD) if c in have]
     payload = [c for c in PAYLOAD if c in have]
     if listed:
-        rows, types = events.select("run_id", "first", "events"), {"run_id": events.schema["run_id"].dataType, **{f.name: f.dataType for f in element}}
+        rows = events.select("run_id", "first", *([c for c in events.columns if c not in ("run_id", "first")] if made else ["events"]))
+        types = {"run_id": events.schema["run_id"].dataType, **{f.name: f.dataType for f in element}}
     else:
         # Columns that events don't have aren't shuffled and sorted either.
         used = [c for c in FOLD_COLUMNS if c in have or c in _ALWAYS or c in carry]
@@ -245,7 +301,7 @@ def fold(
             return given(batch, [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.list_(pa.string()), pa.int64(), pa.int64()), strict=True)])
 
         held = None  # rows of a run that may go on in the next batch
-        for batch in opened(batches) if listed else batches:
+        for batch in opened(batches, made.of if made else _listed) if listed else batches:
             if not batch.num_rows:
                 continue
             if held is not None:
@@ -272,9 +328,116 @@ def fold(
             done = together(held, np.zeros(1, np.int64))
             yield one_by_one(held) if done is None else done
 
+    if steps:
+        more = [f"{c} {types[c].simpleString()}" for c in ("output", "error", "retry_after_us") if c in have]
+        run_type, step_type, at_type = (types[c].simpleString() for c in ("run_id", "corr", "at_us"))
+        schema = ", ".join([f"run_id {run_type}, step_id {step_type}, status string, attempt long, started_us {at_type}, completed_us {at_type}", *more])
+        return rows.mapInArrow(lambda batches: _steps_of(run(batches)), schema)
     return rows.mapInArrow(run, f"{schema}, {DECIDED}")
 
 
+#: Kinds of step events (places in KINDS), those of them whose last one gives a step's payload, and the status that each leaves.
+_STARTS, _RETRIES, _COMPLETES, _FAILS = (KINDS.index(f"step_{k}") for k in ("started", "retrying", "completed", "failed"))
+_LAST = {"output": (_COMPLETES,), "error": (_RETRIES, _FAILS), "retry_after_us": (_RETRIES, _STARTS)}
+_STEP_STATUS = {k: s for k, s in zip(range(KINDS.index("step_created"), _FAILS + 1), ("pending", "running", "pending", "completed", "failed"), strict=True)}
+
+
+def _steps_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Steps from the batches of a fold, as ``step_states`` makes them of its log; those of a run that may go on are held.
+
+    Rows are parts of steps: an event is one, and what some events make of a step is another.
+    """
+    held = []  # of one run, in order, each part larger than the next, so that a long run's parts are merged few times
+    for batch in batches:
+        part = _step_parts(batch)
+        if not part.num_rows:
+            continue
+        if held and len(run_starts(part)) == 1 and held[0].column(0)[0].as_py() == part.column(0)[0].as_py():
+            held.append(_merged(part))
+            while len(held) > 1 and held[-1].num_rows >= held[-2].num_rows:
+                held[-2:] = [_merged(pa.concat_tables(held[-2:]))]
+            continue
+        part = _merged(pa.concat_tables([*held, part]))
+        last = int(run_starts(part)[-1])
+        if last:
+            yield _step_rows(part.slice(0, last))
+        held = [part.slice(last)]
+    if held:
+        yield _step_rows(_merged(pa.concat_tables(held)))
+
+
+def _step_parts(batch: pa.RecordBatch) -> pa.Table:
+    """(run_id, corr, kind of the last event, starts, first start, last end, payload with whether there is one) of appended step events, in order."""
+    lists = batch.column("appended")
+    kind = pc.fill_null(pc.index_in(lists.flatten(), pa.array(KINDS)), -1).to_numpy(zero_copy_only=False)
+    row = pc.list_parent_indices(lists).to_numpy()
+    wanted = np.isin(kind, list(_STEP_STATUS))
+    kind, row = kind[wanted], pa.array(row[wanted])
+    at = batch.column("at_us").take(row)
+    null = pa.scalar(None, at.type)
+    begins, ends = kind == _STARTS, (kind == _COMPLETES) | (kind == _FAILS)
+    out = {
+        "run_id": batch.column("run_id").take(row), "corr": batch.column("corr").take(row), "kind": pa.array(kind), "attempt": pa.array(begins.astype(np.int64)),
+        "started_us": pc.if_else(pa.array(begins), at, null), "completed_us": pc.if_else(pa.array(ends), at, null),
+    }
+    for name, kinds in _LAST.items():
+        if name in batch.schema.names:
+            value = batch.column(name).take(row)
+            if name == "retry_after_us":
+                value = pc.if_else(pa.array(kind == _RETRIES), value, pa.scalar(None, value.type))
+            out |= {name: value, f"has_{name}": pa.array(np.isin(kind, kinds))}
+    return pa.table(out)
+
+
+def _merged(part: pa.Table) -> pa.Table:
+    """One row for each (run_id, corr) of rows sorted by run; of two rows of one the first is the earlier."""
+    part = part.combine_chunks()
+    n, column = part.num_rows, lambda c: part.column(c).chunk(0)
+    starts = run_starts(part)
+    run = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, n)))
+    corr = pc.fill_null(pc.cast(pc.dictionary_encode(column("corr")).indices, pa.int64()), -1).to_numpy(zero_copy_only=False)
+    key = run * (int(corr.max()) + 2) + corr + 1
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    place = np.arange(n)
+
+    def last(mask):
+        """Places of the last rows of a mask in each group, null where there is none."""
+        found = np.maximum.reduceat(np.where(mask, place, -1), begin)
+        return pa.array(order[found], mask=found < 0)
+
+    def least(c, sign):
+        value, empty = column(c), np.iinfo(np.int64).max
+        there = pc.is_valid(value).to_numpy(zero_copy_only=False)[order]
+        number = pc.fill_null(pc.cast(value, pa.int64()), 0).to_numpy(zero_copy_only=False)[order]
+        found, some = np.minimum.reduceat(np.where(there, sign * number, empty), begin), np.logical_or.reduceat(there, begin)
+        return pa.array(np.where(some, sign * found, 0), value.type, mask=~some)
+
+    newest = last(np.ones(n, bool))
+    out = {c: column(c).take(newest) for c in ("run_id", "corr", "kind")}
+    out["attempt"] = pa.array(np.add.reduceat(column("attempt").to_numpy()[order], begin))
+    out |= {"started_us": least("started_us", 1), "completed_us": least("completed_us", -1)}
+    for name in _LAST:
+        if name in part.column_names:
+            found = last(column(f"has_{name}").to_numpy(zero_copy_only=False)[order])
+            out |= {name: column(name).take(found), f"has_{name}": found.is_valid()}
+    return pa.table(out)
+
+
+def _step_rows(part: pa.Table) -> pa.RecordBatch:
+    kind = part.column("kind").to_numpy()
+    status = pa.array(list(_STEP_STATUS.values())).take(pa.array(kind - min(_STEP_STATUS)))
+    names = [c for c in _LAST if c in part.column_names]
+    columns = [part.column(c).combine_chunks() for c in ("run_id", "corr", "attempt", "started_us", "completed_us", *names)]
+    return pa.RecordBatch.from_arrays([*columns[:2], status, *columns[2:]], names=["run_id", "step_id", "status", "attempt", "started_us", "completed_us", *names])
+
+
+def folded_steps(events: DataFrame, listed: bool | Made = False) -> DataFrame:
+    """``step_states`` of the log that a fold of these events appends, made in the fold's own tasks: all of a step is where its run is."""
+    return fold(events, listed=listed, only=["appended"], steps=True)
+
+
 def appended(folded: DataFrame) -> DataFrame:
     """The log itself: one row for each appended event with its own slot, and what payload the events carry."""
     carried = [c for c in ("retry_after_us", *PAYLOAD) if c in folded.columns]

@@ -8,7 +8,7 @@ from weftline.functions import forms
 from weftline.functions import scalars as X
 from weftline.functions.transitions import Limits
 from weftline.operators import disposal, eventlog, numbering, queue_life, queues, streams
-from weftline.plans.lifecycle import _STEP_RESULTS, _STEPS, _step_log, _steps
+from weftline.plans.lifecycle import _STEP_RESULTS, _STEPS, _lines, _step_log, _steps
 from weftline.plans.queries import EVENTS, SLOTS, query
 from weftline.sources import fixtures as S
 
@@ -194,7 +194,8 @@ def hooks_shown(spark, sf_dir):
 @query(f"WITH {_STEPS}, e AS (SELECT b.*, i FROM b, range(3, 5) t(i)) SELECT run_id, step_id, CAST(i AS BIGINT) AS seq, CAST(3 + q3 - i AS BIGINT) AS retry_after_s FROM e WHERE NOT dead AND (i = 3 AND q3 > 0 OR i = 4 AND q3 > 1)")
 def early_starts(spark, sf_dir):
     """Starts that come too early, and the seconds after which they may come again."""
-    early = eventlog.fold(_step_log(spark, sf_dir), listed=True, only=["TOO_EARLY"])
+    log, made = _step_log(spark, sf_dir)
+    early = eventlog.fold(log, listed=made, only=["TOO_EARLY"])
     ms = [F.col(c) / 1000 for c in ("retry_at_us", "at_us")]
     return early.select("run_id", F.col("corr").alias("step_id"), "seq", X.retry_after_seconds(*ms).alias("retry_after_s"))
 
@@ -203,10 +204,10 @@ def early_starts(spark, sf_dir):
 def step_by_id(spark, sf_dir):
     """Point read of a step that lives: the first by run and id."""
     ends = S.runs(spark, sf_dir).select("run_id", F.when(F.col("status") == "completed", F.col("created_us") + 43_200_000_000).alias("end"))
-    alive = _steps(spark, sf_dir).join(ends, "run_id").where("end is null or at <= end")
+    alive = _steps(_lines(spark, sf_dir)).join(ends, "run_id").where("end is null or at <= end")
     key = F.broadcast(alive.orderBy("run_id", "step_id").select("run_id", "step_id").limit(1))  # one row
-    log = _step_log(spark, sf_dir).join(key.select("run_id"), "run_id", "left_semi")
-    steps = eventlog.step_states(eventlog.appended(eventlog.fold(log, listed=True)))
+    log, made = _step_log(spark, sf_dir)
+    steps = eventlog.folded_steps(log.join(key.select("run_id"), "run_id", "left_semi"), made)
     return steps.join(key, ["run_id", "step_id"], "left_semi").select("run_id", "step_id", "status", "attempt", "output", "error")
 
 
