@@ -152,3 +152,82 @@ def test_blocks_of_sizes_too_far_apart_do_not_meet(spark, monkeypatch):
     assert len(links) == 7 * len(sizes) and all(max(x) // 100 == min(x) // 100 for x in links)
     assert seen.value == len(rows)  # with all blocks meeting each other it was one row for each of six blocks
     met.drop()
+
+
+def test_seeds_and_sets_are_in_no_table(spark, make, monkeypatch):
+    """Seeds and whole sets go through one shuffle each and are written nowhere, also of texts that share a passage."""
+    monkeypatch.setattr(jaccard, "COLUMN", 4)
+    rng = random.Random(3)
+    passage = words(rng, 40)
+    texts = [" ".join([*(f"o{i}x{k}" for k in range(rng.choice([6, 9, 13]))), *passage]) for i in range(60)]
+    texts += [" ".join([*passage, *passage, *(f"p{i}x{k}" for k in range(60))]) for i in range(8)]
+    ids = rng.sample(range(1000), len(texts))
+    written, real = set(), crowds.Written.__init__
+
+    def init(self, df, *args, **kw):
+        written.update(df.columns)
+        real(self, df, *args, **kw)
+
+    monkeypatch.setattr(crowds.Written, "__init__", init)
+    assert sorted(tuple(r) for r in jaccard.similar_documents(make(texts, ids)).collect()) == brute(texts, ids)
+    assert "h1" in written and not {"head", "grams"} & written
+
+
+def test_a_common_passage_makes_no_crowd():
+    """In a large column only those hang together whose rests are enough for their sizes; before, all did."""
+    sizes, rests = [37] * 8 + [45] * 60 + [41] * 5, [36] * 8 + [36] * 60 + [40] * 5
+    n = len(sizes)
+    column = pa.RecordBatch.from_arrays(
+        [pa.array([7] * n, pa.int64()), pa.array(range(n), pa.int64()), pa.array(sizes, pa.int32()), pa.nulls(n, pa.int64()), pa.array(rests, pa.int32())], names=["gram", "node", "size", "first", "rest"]
+    )
+    out = pa.Table.from_batches(list(jaccard.column_products(iter([column]), 80, 32))).to_pydict()
+    assert out["a"] == list(range(n)) and out["na"] == [None] * n
+    assert out["b"] == [0] * 8 + list(range(8, 68)) + [0] * 5  # those of 45 could be similar to none of 36 in common
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 60), st.integers(0, 14)), min_size=1, max_size=60), st.sampled_from([1, 3, 256]))
+def test_reaching_equals_all_pairs(rows, classes):
+    """Entries hang together as all pairs say whose smaller rest is enough for both sizes."""
+    size = np.array([n for n, _ in rows], np.int32)
+    rest = np.array([max(1, n - p) for n, p in rows], np.int32)
+    up = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if 180 * min(rest[i], rest[j]) >= 80 * (int(size[i]) + int(size[j])):
+                a, b = up[i], up[j]
+                up = [min(a, b) if x in (a, b) else x for x in up]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(jaccard, "CLASSES", classes)
+        assert jaccard.reaching(size, rest, 80).tolist() == up
+
+
+def test_products_of_packed_lots():
+    """Lots of entries, packed and dealt by part, give each pair as often as it shares seeds; a copy's entries count once."""
+    rng = random.Random(8)
+    rows = [(1000 + i, 20, [rng.randrange(2**64) // 2**58 * 2**58 - 2**63 for _ in range(5)]) for i in range(40)]
+    rows += rows[:5]
+    seen, prints = {}, jaccard.packed(np.array([1, 0], np.uint8), *(np.array([k, 7], np.int64) for k in range(4)))
+    for some in (rows[:30], rows[30:]):
+        node, size, head = zip(*some, strict=True)
+        batch = pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(size, pa.int32()), pa.array(head, pa.list_(pa.int64()))], names=["node", "size", "head"])
+        for pack in jaccard.packed_entries(jaccard.entries(iter([batch]), 32)):
+            for r in pack.to_pylist():
+                seen.setdefault(r["part"], []).append((r["entries"], None))
+    met, known = {}, []
+    for k, packs in enumerate(seen.values()):
+        packs = [*packs, (None, prints)] if k == 0 else packs
+        table = pa.table([pa.array([e for e, _ in packs], pa.binary()), pa.array([p for _, p in packs], pa.binary())], names=["entries", "prints"])
+        for r in jaccard.part_products(table, 80, 1000).to_pylist():
+            if r["a"] is None:
+                known.append((r["id"], r["h1"], r["h2"], r["n_shingles"]))
+            else:
+                met[r["a"], r["b"]] = met.get((r["a"], r["b"]), 0) + 1
+    assert known == [(0, 1, 2, 3), (None, 7, 7, 7)]
+    want = {}
+    for i in range(40):
+        for j in range(i + 1, 40):
+            n = sum(x == y for x in rows[i][2] for y in rows[j][2])
+            if n:
+                want[1000 + i, 1000 + j] = n
+    assert met == want and len(seen) > 20

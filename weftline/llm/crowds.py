@@ -121,10 +121,12 @@ def crowd_links(crowds: DataFrame, sets: DataFrame, percent: int, *, all_pairs:
     else:
         others = F.expr("case when block = 0 then sequence(0L, total - 1) else array(0L, block) end")
     rows = rows.withColumn("other", F.explode(others))
-    sides = rows.select("crowd", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "part")
-    sides = sides.join(sets.select("node", "grams"), "node")
-    met = sides.groupBy("crowd", "lo", "hi").applyInArrow(lambda t: block_links(t, percent), "a long, b long")
-    return Written(met.distinct())
+    sides = Written(rows.select("crowd", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "node", "part"))
+    met = sets.select("node", "grams").join(lookup_side(sides), "node")
+    met = met.groupBy("crowd", "lo", "hi").applyInArrow(lambda t: block_links(t, percent), "a long, b long")
+    met = Written(met.distinct())
+    sides.drop()
+    return met
 
 
 def repeated_ids(rows: DataFrame, id_col: str = "id") -> Written | None:
@@ -142,18 +144,19 @@ def texts_of(texts: DataFrame, nodes: Written, repeated: Written | None) -> Data
     return rows.join(again, "node", "left_anti").unionByName(rows.join(again, "node", "left_semi").dropDuplicates())
 
 
-def crowd_components(edges: DataFrame, sets_of: Callable[[Written], DataFrame], percent: int, found: Written | None = None) -> Written:
+def crowd_components(edges: DataFrame, sets_of: Callable[[Written], DataFrame], percent: int, found: Written | None = None, sizes: DataFrame | None = None) -> Written:
     """(node, component) by all links of ``percent`` hundredths inside the crowds that edges (a, b) make, and by ``found`` so far.
 
     ``sets_of`` gives (node, size, grams) for a table of nodes. An edge need not be a link. Without edges the result is ``found``, or empty.
+    With ``sizes`` (node, size) known for all nodes, sets are made where they are compared and written nowhere.
     """
     found = found or Written(edges.sparkSession.createDataFrame([], "node long, component long"))
     members = Written(connected_components(edges).withColumnRenamed("component", "crowd"))
     if not members.df.take(1):
         members.drop()
         return found
-    sets = Written(sets_of(members))
-    crowd = Written(members.df.join(sets.df.groupBy("node").agg(F.sum("size").alias("size")), "node"))
+    sets = Written(sets_of(members)) if sizes is None else None
+    crowd = Written(members.df.join(sets.df.groupBy("node").agg(F.sum("size").alias("size")) if sets else sizes, "node"))
     members.drop()
     for all_pairs in (False, True):
         parted = Written(crowd.df.join(lookup_side(found), "node", "left").select("node", "crowd", "size", F.coalesce("component", "node").alias("part")))
@@ -161,14 +164,16 @@ def crowd_components(edges: DataFrame, sets_of: Callable[[Written], DataFrame],
         # The first time, all pairs of up to two blocks have met.
         open_ = Written(by_crowd.where("x <> y" + (" and blocks > 2" if all_pairs else "")).select("crowd"))
         if open_.df.take(1):
-            met = crowd_links(parted.df.join(lookup_side(open_), "crowd", "left_semi"), sets.df, percent, all_pairs=all_pairs)
+            rows = parted.df.join(lookup_side(open_), "crowd", "left_semi")
+            nodes = None if sets else Written(rows.select("node"))
+            met = crowd_links(rows, sets.df if sets else sets_of(nodes), percent, all_pairs=all_pairs)
             stars = found.df.select(F.col("node").alias("a"), F.col("component").alias("b"))
             after = Written(connected_components(stars.unionByName(met.df)))
-            for done in (found, met):
+            for done in filter(None, (found, met, nodes)):
                 done.drop()
             found = after
         for done in (parted, open_):
             done.drop()
-    for done in (crowd, sets):
+    for done in filter(None, (crowd, sets)):
         done.drop()
     return found
